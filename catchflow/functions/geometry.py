@@ -202,3 +202,24 @@ def project_rings(rings: Column, lon0: float, lat0: float, lat1: float, lat2: fl
         return _pt(x, y)
     return F.transform(rings, lambda r: F.struct(r["part"].alias("part"), r["hole"].alias("hole"),
                                                  F.transform(r["pts"], pt).alias("pts")))
+
+
+# Named target systems for :func:`reproject`.
+PROJECTIONS = {"lcc_forecast": LCC_FORECAST}
+
+
+def reproject(df, target, rings_col: str = "rings", source: str = "EPSG:4326"):
+    """Reproject lon/lat rings to ``target`` (a name in PROJECTIONS or LCC parameters).
+
+    A target equal to the source is the identity: the rings are left as they are.
+    """
+    if target == source:
+        return df.withColumn("crs", F.lit(source))
+    params = PROJECTIONS[target] if isinstance(target, str) else target
+    name = target if isinstance(target, str) else "lcc"
+    return df.withColumn(rings_col, project_rings(F.col(rings_col), **params)).withColumn("crs", F.lit(name))
+
+
+def set_crs(df, crs: str):
+    """Relabel the coordinate system without moving any vertex."""
+    return df.withColumn("crs", F.lit(crs))
