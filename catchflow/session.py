@@ -46,10 +46,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def local_path(uri: str) -> str:
+    """``file:`` URIs as plain paths (Spark reads both; Python file IO needs the plain form)."""
+    if uri.startswith("file://"):
+        return uri[len("file://"):]
+    if uri.startswith("file:"):
+        return uri[len("file:"):]
+    return uri
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder, for written intermediate tables."""
+    """A fresh folder under the shared checkpoint folder, for written intermediate tables.
+
+    Writers that produce raw files from Python (chunk stores, polygon containers) need this folder
+    on a POSIX file system shared by all executors; Spark's own writers work on any scheme.
+    """
     import uuid
-    base = checkpoint_dir(spark).rstrip("/")
+    base = local_path(checkpoint_dir(spark).rstrip("/"))
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
