@@ -11,7 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, checkpoint_dir
+
+
+def prepare_coverage(cov: DataFrame) -> DataFrame:
+    """Coverage with each catchment's cell count, materialised once in the shared checkpoint folder.
+
+    The checkpoint cuts the polygon-clipping lineage: the size check, the broadcast and any retry
+    after a lost executor read the written table instead of clipping again.
+    """
+    checkpoint_dir(cov.sparkSession)
+    ncell = cov.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    c = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").join(ncell, "divide_id")
+    return c.checkpoint(eager=True)
 
 
 def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], missing: str = "poison",
@@ -20,10 +32,10 @@ def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], miss
 
     ``missing='poison'`` (the reference rule): a covered cell that is NULL or has no raster row makes
     the result NULL; the denominator is all coverage. ``missing='skip'`` averages what is present.
+    ``cov`` is either a plain coverage table or the output of :func:`prepare_coverage`.
     """
     variables = [v for v in variables if v in raster.columns]  # P10
-    ncell = cov.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    c = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").join(ncell, "divide_id")
+    c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
     c = bounded_broadcast(c, broadcast_rows)
     r = raster.select(time_col, "iy", "ix", *variables)
     j = r.join(c, ["iy", "ix"])

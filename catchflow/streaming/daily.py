@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.forcing import basin_mean, catchment_mean
+from ..operators.forcing import basin_mean, catchment_mean, prepare_coverage
 from ..operators.ledger import record
 
 
@@ -25,7 +25,7 @@ def ingest_daily(spark: SparkSession, src: str, schema: T.StructType | str, cov:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(src)
-    cov = cov.cache()  # static side of every micro-batch (small; broadcast inside catchment_mean)
+    cov = prepare_coverage(cov)  # static side of every micro-batch: materialised once, broadcast per batch
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
         c = catchment_mean(df, cov, variables)
