@@ -144,29 +144,42 @@ def _segs_cross(s: Column, t: Column) -> Column:
 
 def point_in_rings(p: Column, rings: Column) -> Column:
     """Even-odd rule over all rings (holes included)."""
-    segs = _segments(rings)
+    return _point_in_segs(p, _segments(rings))
 
-    def crosses(s: Column) -> Column:
-        ay, by = s["a"]["y"], s["b"]["y"]
-        straddle = (ay > p["y"]) != (by > p["y"])
-        xint = s["a"]["x"] + (p["y"] - ay) * (s["b"]["x"] - s["a"]["x"]) / (by - ay)
-        return F.when(straddle, p["x"] < xint).otherwise(F.lit(False))
 
-    return (F.size(F.filter(segs, crosses)) % 2) == 1
+def with_polygon_distance(df, a: str, b: str, out: str = "dist"):
+    """Add ``out`` = :func:`polygon_distance` of two ring columns, with the edge and vertex arrays
+    computed once as columns (keeps the generated code small)."""
+    tmp = df.select("*", _segments(F.col(a)).alias("_sa"), _segments(F.col(b)).alias("_sb"),
+                    F.flatten(F.transform(F.col(a), lambda r: r["pts"])).alias("_pa"),
+                    F.flatten(F.transform(F.col(b), lambda r: r["pts"])).alias("_pb"))
+    return tmp.withColumn(out, _distance(F.col("_sa"), F.col("_sb"), F.col("_pa"), F.col("_pb"))).drop(
+        "_sa", "_sb", "_pa", "_pb")
 
 
 def polygon_distance(a: Column, b: Column) -> Column:
     """Euclidean distance between two polygons; 0 when they touch, overlap or one contains the other."""
-    sa, sb = _segments(a), _segments(b)
     pa = F.flatten(F.transform(a, lambda r: r["pts"]))
     pb = F.flatten(F.transform(b, lambda r: r["pts"]))
+    return _distance(_segments(a), _segments(b), pa, pb)
+
+
+def _point_in_segs(p: Column, segs: Column) -> Column:
+    def crosses(s: Column) -> Column:
+        ay, by = s["a"]["y"], s["b"]["y"]
+        straddle = (ay > p["y"]) != (by > p["y"])
+        xint = s["a"]["x"] + (p["y"] - ay) * (s["b"]["x"] - s["a"]["x"]) / (by - ay)
+        return F.when(straddle, p["x"] < xint).otherwise(F.lit(False))
+    return (F.size(F.filter(segs, crosses)) % 2) == 1
+
 
+def _distance(sa: Column, sb: Column, pa: Column, pb: Column) -> Column:
     def min_pt_to(pts: Column, segs: Column) -> Column:
         return F.array_min(F.transform(pts, lambda p: F.array_min(F.transform(segs, lambda s: _point_seg_dist(p, s)))))
 
     d = F.least(min_pt_to(pa, sb), min_pt_to(pb, sa))
     touching = (F.exists(sa, lambda s: F.exists(sb, lambda t: _segs_cross(s, t)))
-                | point_in_rings(F.element_at(pa, 1), b) | point_in_rings(F.element_at(pb, 1), a))
+                | _point_in_segs(F.element_at(pa, 1), sb) | _point_in_segs(F.element_at(pb, 1), sa))
     return F.when(touching, F.lit(0.0)).otherwise(d)
 
 

@@ -157,32 +157,33 @@ def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds:
     missing = feats.join(covered_ids, "divide_id", "left_anti")
     covered = feats.join(covered_ids, "divide_id", "left_semi")
     cov_tiles = covered.select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
-                               _tiles(F.col("bb"), tile, F.lit(0.0)).alias("t"))
+                               F.col("bb").alias("src_bb"), _tiles(F.col("bb"), tile, F.lit(0.0)).alias("t"))
     checkpoint_dir(divides.sparkSession)
-    pending = missing.withColumn("radius", F.lit(float(tile))).checkpoint()
-    found = None
+    state = missing.withColumn("radius", F.lit(float(tile)))
+    found = []
     for _ in range(max_rounds):
-        if pending.limit(1).count() == 0:
+        cand = (state.select("divide_id", "rings", "bb", "radius", _tiles(F.col("bb"), tile, F.col("radius")).alias("t"))
+                .join(cov_tiles, "t"))
+        # a pair sharing several tiles is kept only in the tile of its overlap's lower-left corner (no shuffle)
+        ref_x = F.floor(F.greatest(F.col("bb.xmin") - F.col("radius"), F.col("src_bb.xmin")) / tile).cast("bigint")
+        ref_y = F.floor(F.greatest(F.col("bb.ymin") - F.col("radius"), F.col("src_bb.ymin")) / tile).cast("bigint")
+        cand = cand.filter((F.col("t.tx") == ref_x) & (F.col("t.ty") == ref_y))
+        cand = geo.with_polygon_distance(cand, "rings", "src_rings", "dist")
+        best = (cand.groupBy("divide_id").agg(F.min(F.struct("dist", "source_id")).alias("b"))
+                .select("divide_id", F.col("b.dist").alias("dist"), F.col("b.source_id").alias("source_id")))
+        # one written table per round: this round's answers and what is still open
+        res = state.join(best, "divide_id", "left").withColumn(
+            "done", F.coalesce(F.col("dist") <= F.col("radius"), F.lit(False))).checkpoint(eager=True)
+        found.append(res.filter("done").select("divide_id", "source_id", "dist"))
+        state = (res.filter(~F.col("done"))
+                 .select("divide_id", "rings", "bb",
+                         F.greatest(F.col("radius") * 2, F.coalesce(F.col("dist"), F.lit(0.0))).alias("radius")))
+        if state.limit(1).count() == 0:
             break
-        cand = (pending.select("divide_id", "rings", "radius", _tiles(F.col("bb"), tile, F.col("radius")).alias("t"))
-                .join(cov_tiles, "t")
-                .dropDuplicates(["divide_id", "source_id"])
-                .withColumn("dist", geo.polygon_distance(F.col("rings"), F.col("src_rings"))))
-        best = (cand.groupBy("divide_id", "radius")
-                .agg(F.min(F.struct("dist", "source_id")).alias("b"))
-                .select("divide_id", "radius", F.col("b.dist").alias("dist"), F.col("b.source_id").alias("source_id")))
-        ok = best.filter(F.col("dist") <= F.col("radius")).select("divide_id", "source_id", "dist")
-        ok = ok.checkpoint()
-        found = ok if found is None else found.unionByName(ok)
-        retry = (pending.join(best.select("divide_id", "dist"), "divide_id", "left")
-                 .join(ok.select("divide_id"), "divide_id", "left_anti")
-                 .withColumn("radius", F.greatest(F.col("radius") * 2, F.coalesce(F.col("dist"), F.lit(0.0))))
-                 .drop("dist"))
-        pending = retry.checkpoint()
-    if found is None:
-        spark = divides.sparkSession
-        return spark.createDataFrame([], "divide_id string, source_id string, dist double")
-    return found
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def fill_nearest(cov: DataFrame, divides: DataFrame, grid: Grid, tile: float | None = None) -> DataFrame:

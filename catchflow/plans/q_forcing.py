@@ -158,7 +158,7 @@ FROM best b JOIN c5 c ON c.divide_id = b.source_id""")
 def nearest_fill(spark, sf):
     d = views.divides(spark, sf)
     c = cov.coverage(d, G5, cells="touch")
-    near = cov.nearest_sources(d, c, tile=2.0)
+    near = cov.nearest_sources(d, c, tile=4.0)
     return (near.join(c.select(F.col("divide_id").alias("source_id"), "cell_id", "coverage"), "source_id")
                 .select("divide_id", "source_id", r9("dist", "dist"), "cell_id", r9("coverage", "coverage")))
 
