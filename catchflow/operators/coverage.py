@@ -116,6 +116,14 @@ def to_nested(cov: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("cell_id", "coverage"))).alias("cells"))
 
 
+def nested_coverage(divides: DataFrame, cov: DataFrame, id_col: str = "divide_id") -> DataFrame:
+    """R1 (pack) for every feature: features without any cell get an empty array (see R2)."""
+    n = to_nested(cov)
+    feats = divides.select(F.col(id_col).alias("divide_id"), "basin_id")
+    empty = F.array().cast("array<struct<cell_id:bigint,coverage:double>>")
+    return feats.join(n, "divide_id", "left").select("basin_id", "divide_id", F.coalesce("cells", empty).alias("cells"))
+
+
 def flatten_coverage(nested: DataFrame, nx: int, basin_id: str | None = None) -> DataFrame:
     """R1 (unpack) + G6: nested per-feature arrays -> flat rows with global (iy, ix)."""
     e = nested.select(*([F.col("basin_id")] if "basin_id" in nested.columns else []), "divide_id",

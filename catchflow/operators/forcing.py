@@ -1,9 +1,9 @@
 """Grid -> catchment -> basin forcing (J1, A1, A2) and the long/wide reshape.
 
 The coverage table is small next to the raster and is reused for every time step, so it is
-broadcast when its size is proven small (``bounded_broadcast``); the raster then streams through one
-whole-stage-codegen span: scan -> broadcast hash join -> partial aggregate, and only the partial
-sums per (catchment, time) are shuffled. A larger coverage falls back to a shuffle join on (iy, ix).
+broadcast when its size is proven small; the raster then streams through one whole-stage-codegen
+span: scan -> broadcast hash join -> partial aggregate, and only the partial sums per
+(catchment, time) are shuffled. A larger coverage is processed in bounded spatial bands.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, checkpoint_dir
+from ..session import DEFAULT_BROADCAST_ROWS, checkpoint_dir
 
 
 def prepare_coverage(cov: DataFrame) -> DataFrame:
@@ -33,10 +33,22 @@ def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], miss
     ``missing='poison'`` (the reference rule): a covered cell that is NULL or has no raster row makes
     the result NULL; the denominator is all coverage. ``missing='skip'`` averages what is present.
     ``cov`` is either a plain coverage table or the output of :func:`prepare_coverage`.
+
+    Coverage with at most ``broadcast_rows`` rows is broadcast whole. A bigger coverage is split into
+    spatial bands of whole catchments, each at most ``broadcast_rows`` rows; every band broadcasts
+    its own coverage against the raster rows of its row/column range only (a pushed-down range
+    filter), and writes its result to the shared checkpoint folder. The raster is never shuffled.
     """
     variables = [v for v in variables if v in raster.columns]  # P10
+    if missing not in ("poison", "skip"):
+        raise ValueError(f"missing must be 'poison' or 'skip', not {missing!r}")
     c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
-    c = bounded_broadcast(c, broadcast_rows)
+    if c.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return _weighted(raster, F.broadcast(c), variables, missing, time_col)
+    return _banded(raster, c, variables, missing, time_col, broadcast_rows)
+
+
+def _weighted(raster: DataFrame, c: DataFrame, variables: list[str], missing: str, time_col: str) -> DataFrame:
     r = raster.select(time_col, "iy", "ix", *variables)
     j = r.join(c, ["iy", "ix"])
     aggs = [F.max("n_cells").alias("_n"), F.sum("coverage").alias("_c")]
@@ -49,14 +61,39 @@ def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], miss
     for v in variables:
         if missing == "poison":
             e = F.when(F.col(f"_k_{v}") == F.col("_n"), F.try_divide(F.col(f"_s_{v}"), F.col("_c")))
-        elif missing == "skip":
-            e = F.try_divide(F.col(f"_s_{v}"), F.col(f"_w_{v}"))
         else:
-            raise ValueError(f"missing must be 'poison' or 'skip', not {missing!r}")
+            e = F.try_divide(F.col(f"_s_{v}"), F.col(f"_w_{v}"))
         outs.append(e.alias(v))
     return g.select("basin_id", "divide_id", time_col, *outs)
 
 
+def _banded(raster: DataFrame, c: DataFrame, variables: list[str], missing: str, time_col: str,
+            bound: int) -> DataFrame:
+    """Bands of whole catchments in row order, each with at most ``bound`` coverage rows (a catchment
+    larger than the bound gets a band of its own and a shuffle join with AQE skew handling)."""
+    from pyspark.sql import Window
+
+    from ..session import scratch_path
+    spark = c.sparkSession
+    per = c.groupBy("divide_id").agg(F.min("iy").alias("_iy0"), F.count(F.lit(1)).alias("_n"))
+    # running total over the catchment dimension (one row per catchment, not per fact)
+    w = Window.orderBy("_iy0", "divide_id").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("band", F.floor((F.sum("_n").over(w) - F.col("_n")) / F.lit(bound)).cast("bigint"))
+    cb = c.join(per.select("divide_id", "band"), "divide_id").checkpoint(eager=True)
+    bands = (cb.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("iy").alias("iy0"), F.max("iy").alias("iy1"),
+                                    F.min("ix").alias("ix0"), F.max("ix").alias("ix1"))
+               .orderBy("band").collect())  # one small row per band
+    paths = []
+    for b in bands:
+        cov_b = cb.filter(F.col("band") == b["band"]).drop("band")
+        r_b = raster.filter(F.col("iy").between(b["iy0"], b["iy1"]) & F.col("ix").between(b["ix0"], b["ix1"]))
+        side = F.broadcast(cov_b) if b["n"] <= bound else cov_b
+        path = scratch_path(spark, f"band-{b['band']}")
+        _weighted(r_b, side, variables, missing, time_col).write.parquet(path)
+        paths.append(path)
+    return spark.read.parquet(*paths)
+
+
 def basin_mean(catchment: DataFrame, variables: list[str], time_col: str = "time",
                weights: DataFrame | None = None) -> DataFrame:
     """A2: unweighted mean of catchments per basin and time, skipping missing.

@@ -192,3 +192,23 @@ def reproject_lcc(spark, sf):
     lat = F.lit(25.0) + F.col("y0") * 2.5
     x, y = geo.lcc_xy(lon, lat, **geo.LCC_FORECAST)
     return b.select("divide_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+
+
+@register("catchment_forcing_banded", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """
+SELECT basin_id, divide_id, time, round(qty, 9) AS qty, round(disc, 9) AS disc FROM catch""")
+def catchment_forcing_banded(spark, sf):
+    """A1 through the banded path: coverage larger than the broadcast bound (30 rows here)."""
+    c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS, broadcast_rows=30)
+    return c.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("features_without_cells", sql=V.with_(V.BOXES) + """,
+grid AS (SELECT CAST(a.range AS BIGINT) AS iy, CAST(b.range AS BIGINT) AS ix FROM range(5) a, range(5) b),
+c5 AS (SELECT divide_id FROM boxes, grid
+       WHERE greatest(0, least(x1, ix + 1) - greatest(x0, ix)) * greatest(0, least(y1, iy + 1) - greatest(y0, iy)) > 1e-12)
+SELECT divide_id, CAST(0 AS INTEGER) AS n_cells FROM boxes WHERE divide_id NOT IN (SELECT divide_id FROM c5)""")
+def features_without_cells(spark, sf):
+    """R1 + R2: nested per-feature cell arrays (empty for features the grid misses), then the empty ones."""
+    d = views.divides(spark, sf)
+    nested = cov.nested_coverage(d, cov.coverage(d, G5))
+    return cov.without_cells(nested).select("divide_id", F.size("cells").alias("n_cells"))

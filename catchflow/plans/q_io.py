@@ -132,3 +132,25 @@ def reproject_identity(spark, sf):
     bb = geo.bbox(F.col("rings"))
     return d.select("divide_id", "crs", bb["xmin"].alias("xmin"), bb["ymin"].alias("ymin"),
                     bb["xmax"].alias("xmax"), bb["ymax"].alias("ymax"))
+
+
+@register("basin_files_roundtrip", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """
+SELECT basin_id, time, round(avg(qty), 9) AS qty, round(avg(disc), 9) AS disc FROM catch GROUP BY 1, 2""")
+def basin_files_roundtrip(spark, sf):
+    """K3 write, S11 read (basin id parsed from the path, every file in one read)."""
+    c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS)
+    path = scratch_path(spark, "basin")
+    sinks.write_basin_series(forcing.basin_mean(c, views.RASTER_VARS), path)
+    back = src.scan_daily_basin_files(spark, path, "time string, qty double, disc double")
+    return back.select("basin_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("rounded_files_roundtrip", sql=V.with_(V.RASTER) + """
+SELECT time, iy, ix, round_even(qty * CAST(1000.0 AS DOUBLE), 0) / CAST(1000.0 AS DOUBLE) AS qty,
+       round_even(disc * CAST(100000.0 AS DOUBLE), 0) / CAST(100000.0 AS DOUBLE) AS disc FROM raster""")
+def rounded_files_roundtrip(spark, sf):
+    """K5: per-variable rounding written as CSV, read back."""
+    r = views.raster(spark, sf).select("time", "iy", "ix", "qty", "disc")
+    path = scratch_path(spark, "rounded")
+    sinks.write_rounded(r, path, {"qty": 3, "disc": 5})
+    return src.scan_series(spark, path, "time string, iy bigint, ix bigint, qty double, disc double", "time")

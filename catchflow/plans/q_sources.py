@@ -69,3 +69,17 @@ def container_coverage(spark, sf):
     d = containers.scan_divides(spark, root)
     c = cov.coverage(d, views.GRID)
     return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
+
+
+@register("file_catalog", sql=V.with_(V.RASTER) + """,
+yr AS (SELECT DISTINCT CAST(year(time) AS INTEGER) AS year FROM raster)
+SELECT year, variable, CAST(4 AS BIGINT) AS n_chunks FROM yr, (VALUES ('qty'), ('disc')) v(variable)""")
+def file_catalog(spark, sf):
+    """List the chunk files of every store (bytes never read), parse year and variable, count per pair."""
+    from ..operators import catalog
+    root = scratch_path(spark, "stores")
+    write_raster_stores(spark, sf, root)
+    files = catalog.list_files(spark, root, glob="[0-9]*.[0-9]*.[0-9]*")
+    parts = files.select(F.regexp_extract("path", r"/(\d{4})/([^/]+)/[^/]+$", 1).cast("int").alias("year"),
+                         F.regexp_extract("path", r"/(\d{4})/([^/]+)/[^/]+$", 2).alias("variable"))
+    return parts.groupBy("year", "variable").agg(F.count(F.lit(1)).alias("n_chunks"))
