@@ -53,10 +53,10 @@ def sample_ids(ids: DataFrame, col: str, n: int, seed: int) -> DataFrame:
     Draw ``i`` picks position ``pmod(xxhash64(seed, i), count)`` of the sorted distinct ids; the
     draws are generated as rows and joined to a position index of the ids (an equi-join).
     """
-    from pyspark.sql import Window
+    from .ordering import ordered_index
     spark = ids.sparkSession
     d = ids.select(col).distinct()
-    idx = d.select(col, (F.row_number().over(Window.orderBy(col)) - 1).cast("long").alias("_pos"))
+    idx = ordered_index(d, [col], "_pos")
     cnt = d.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(0))
     draws = spark.range(n).select(F.col("id").alias("draw"), F.lit(0).alias("_k"))
     draws = draws.join(F.broadcast(cnt), "_k").select(

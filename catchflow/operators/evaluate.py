@@ -62,13 +62,14 @@ def nse_table(obs: DataFrame, members: DataFrame, mode: str = "masked", key: str
 # ---------------------------------------------------------------- routed-flow features
 
 def position_index(df: DataFrame, col: str, name: str) -> DataFrame:
-    """0-based dense position of the distinct values of ``col`` (a small dimension table).
+    """0-based dense position of the distinct values of ``col``; join it back by value.
 
-    The window runs over the distinct values only, never over the facts; join it back by value.
+    Numbered over the distinct values only (never the facts), range-partitioned, so no single
+    task sorts the whole dimension.
     """
-    from pyspark.sql import Window
-    d = df.select(col).distinct()
-    return d.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(name))
+    from .ordering import ordered_index
+    idx = ordered_index(df.select(col).distinct(), [col], name)
+    return idx.select(col, F.col(name).cast("int").alias(name))
 
 
 def feature_stats(flow: DataFrame, idx: DataFrame | None = None) -> DataFrame:

@@ -71,14 +71,13 @@ def _banded(raster: DataFrame, c: DataFrame, variables: list[str], missing: str,
             bound: int) -> DataFrame:
     """Bands of whole catchments in row order, each with at most ``bound`` coverage rows (a catchment
     larger than the bound gets a band of its own and a shuffle join with AQE skew handling)."""
-    from pyspark.sql import Window
-
     from ..session import scratch_path
+    from .ordering import running_sum
     spark = c.sparkSession
     per = c.groupBy("divide_id").agg(F.min("iy").alias("_iy0"), F.count(F.lit(1)).alias("_n"))
-    # running total over the catchment dimension (one row per catchment, not per fact)
-    w = Window.orderBy("_iy0", "divide_id").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumn("band", F.floor((F.sum("_n").over(w) - F.col("_n")) / F.lit(bound)).cast("bigint"))
+    # running total over the catchment dimension (one row per catchment, not per fact), range-partitioned
+    per = running_sum(per, ["_iy0", "divide_id"], "_n", "_cum")
+    per = per.withColumn("band", F.floor((F.col("_cum") - F.col("_n")) / F.lit(bound)).cast("bigint"))
     cb = c.join(per.select("divide_id", "band"), "divide_id").checkpoint(eager=True)
     bands = (cb.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("iy").alias("iy0"), F.max("iy").alias("iy1"),
                                     F.min("ix").alias("ix0"), F.max("ix").alias("ix1"))

@@ -122,8 +122,9 @@ steps AS (SELECT DISTINCT time FROM flow),
 n AS (SELECT 'frame_' || CAST(CAST(dense_rank() OVER (ORDER BY time) - 1 AS INTEGER) AS VARCHAR) || '.png' AS name FROM steps)
 SELECT name, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(name, '_(\\d+)\\.', 1) AS INTEGER)) AS INTEGER) AS position FROM n""")
 def numeric_suffix_order(spark, sf):
-    from pyspark.sql import Window
     from ..operators.evaluate import position_index
+    from ..operators.ordering import ordered_index
     idx = position_index(views.flow(spark, sf), "time", "time_idx")
     names = idx.select(F.concat(F.lit("frame_"), F.col("time_idx").cast("string"), F.lit(".png")).alias("name"))
-    return names.select("name", F.row_number().over(Window.orderBy(S.numeric_suffix("name"))).cast("int").alias("position"))
+    pos = ordered_index(names.withColumn("_k", S.numeric_suffix("name")), ["_k"], "position")  # O4
+    return pos.select("name", (F.col("position") + 1).cast("int").alias("position"))
