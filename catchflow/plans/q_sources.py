@@ -33,7 +33,7 @@ def write_raster_stores(spark, sf, root):
 
 @register("chunk_scan", sql=V.with_(V.RASTER, V.GRID10) + """,
 yr AS (SELECT min(year(time)) AS y0, max(year(time)) AS y1 FROM raster),
-months AS (SELECT unnest(generate_series(make_timestamp(y0, 1, 1, 0, 0, 0), make_timestamp(y1 - 1, 12, 1, 0, 0, 0), INTERVAL 1 MONTH)) AS time FROM yr),
+months AS (SELECT unnest(generate_series(make_timestamp(y0, 1, 1, 0, 0, 0), make_timestamp(y1, 12, 1, 0, 0, 0), INTERVAL 1 MONTH)) AS time FROM yr),
 dense AS (SELECT m.time, g.iy, g.ix, r.qty, r.disc FROM months m CROSS JOIN grid g LEFT JOIN raster r USING (time, iy, ix)),
 long AS (SELECT time, iy, ix, variable, value FROM dense UNPIVOT INCLUDE NULLS (value FOR variable IN (qty, disc)))
 SELECT time, iy, ix, variable, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM long, yr
@@ -43,7 +43,8 @@ def chunk_scan(spark, sf):
     years = write_raster_stores(spark, sf, root)
     with open(f"{root}/{years[2]}/qty/0.1.0", "wb") as fh:  # one corrupt chunk: its cells drop out
         fh.write(b"not a chunk")
-    return chunks.scan_raster(spark, root + "/{year}", (years[0], years[-1]), ["qty", "disc"])
+    # years as range(begin, end): end is exclusive, so the whole archive is (first, last + 1)
+    return chunks.scan_raster(spark, root + "/{year}", (years[0], years[-1] + 1), ["qty", "disc"])
 
 
 @register("polygon_container_scan", sql=V.with_(V.BOXES) + """

@@ -38,6 +38,12 @@ RUNS = """runs AS (
          event_type AS variable, value, event_id AS seq
   FROM events)"""
 
+RUN_CELLS = """run_cells AS (
+  SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS init_hour, CAST(user_id % 3 AS INTEGER) AS step,
+         event_type AS variable, CAST((user_id // 3) % 10 AS BIGINT) AS iy, CAST((user_id // 30) % 10 AS BIGINT) AS ix,
+         value, event_id AS seq
+  FROM events)"""
+
 NEXUS = """nexus AS (SELECT CAST(c_nationkey AS VARCHAR) AS vpu, 'nex-' || CAST(c_custkey AS VARCHAR) AS id FROM customer)"""
 
 NEXUS_VALUES = """nexus_values AS (SELECT CAST(user_id AS VARCHAR) AS nex_id, event_id AS "index", value FROM events)"""

@@ -88,6 +88,17 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_type").alias("variable"), "value", F.col("event_id").alias("seq"))
 
 
+def run_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RUNS placed on the grid: ``init_hour, step, variable, iy, ix, value, seq`` (several events can
+    share a run, variable and cell: the keep-last case)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(ntz(F.date_trunc("hour", "ts")).alias("init_hour"), (F.col("user_id") % 3).cast("int").alias("step"),
+                     F.col("event_type").alias("variable"),
+                     F.pmod(F.expr("user_id div 3"), F.lit(10)).cast("bigint").alias("iy"),
+                     F.pmod(F.expr("user_id div 30"), F.lit(10)).cast("bigint").alias("ix"),
+                     "value", F.col("event_id").alias("seq"))
+
+
 def nexus(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select(F.col("c_nationkey").cast("string").alias("vpu"),

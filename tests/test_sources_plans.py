@@ -88,7 +88,7 @@ def test_every_query_has_a_builder():
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 70
+    assert len(q) >= 78
     missing = set(q) - set(o)
     assert missing == {"sample_basins"}  # hash functions differ between engines: rows-only
 
