@@ -30,10 +30,15 @@ def slice_year(df: DataFrame, col: str, year: int) -> DataFrame:
 
 
 def in_span(obs: DataFrame, sim: DataFrame, col: str = "datetime") -> DataFrame:
-    """P19 + A18: keep observations within the simulated first..last time (one-row bounds, broadcast)."""
-    b = sim.agg(F.min(col).alias("_t0"), F.max(col).alias("_t1")).withColumn("_k", F.lit(0))
-    j = obs.withColumn("_k", F.lit(0)).join(F.broadcast(b), "_k")
-    return j.filter(F.col(col).between(F.col("_t0"), F.col("_t1"))).drop("_k", "_t0", "_t1")
+    """P19 + A18: keep observations within the simulated first..last time.
+
+    The span is one aggregate row, fetched as two scalars; as literals the range reaches the scan's
+    pushed filters (no join at all).
+    """
+    t0, t1 = sim.agg(F.min(col), F.max(col)).first()
+    if t0 is None:
+        return obs.limit(0)
+    return obs.filter(F.col(col).between(F.lit(t0), F.lit(t1)))
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -57,10 +62,9 @@ def sample_ids(ids: DataFrame, col: str, n: int, seed: int) -> DataFrame:
     spark = ids.sparkSession
     d = ids.select(col).distinct()
     idx = ordered_index(d, [col], "_pos")
-    cnt = d.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(0))
-    draws = spark.range(n).select(F.col("id").alias("draw"), F.lit(0).alias("_k"))
-    draws = draws.join(F.broadcast(cnt), "_k").select(
-        "draw", F.pmod(F.xxhash64(F.lit(seed), F.col("draw")), F.col("_n")).alias("_pos"))
+    total = idx.count()  # one scalar
+    draws = spark.range(n).select(F.col("id").alias("draw"),
+                                  F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total)).alias("_pos"))
     return draws.join(bounded_broadcast(idx), "_pos").select("draw", col)
 
 

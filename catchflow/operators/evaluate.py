@@ -49,14 +49,14 @@ def nse_table(obs: DataFrame, members: DataFrame, mode: str = "masked", key: str
                                          F.count(F.lit(1)).alias("n"))
     if mode != "obs_all":
         raise ValueError(f"mode must be 'masked' or 'obs_all', not {mode!r}")
-    grp = by or ["_g"]
-    o = obs if by else obs.withColumn("_g", F.lit(0))
-    den = o.groupBy(*grp).agg(obs_ss("obs").alias("den"))
-    num = (j if by else j.withColumn("_g", F.lit(0))).groupBy(*grp, "id").agg(
-        sse("obs", "value").alias("num"), F.count(F.lit(1)).alias("n"))
-    out = num.join(bounded_broadcast(den), grp)
-    res = out.select(*by, "id", F.when(F.col("den") > 0, F.lit(1.0) - F.try_divide("num", "den")).alias("nse"), "n")
-    return res
+    num = j.groupBy(*by, "id").agg(sse("obs", "value").alias("num"), F.count(F.lit(1)).alias("n"))
+    if by:
+        den = obs.groupBy(*by).agg(obs_ss("obs").alias("den"))
+        out = num.join(bounded_broadcast(den), by)
+    else:  # one series: the denominator is one scalar
+        den = obs.agg(obs_ss("obs")).first()[0]
+        out = num.withColumn("den", F.lit(den).cast("double"))
+    return out.select(*by, "id", F.when(F.col("den") > 0, F.lit(1.0) - F.try_divide("num", "den")).alias("nse"), "n")
 
 
 # ---------------------------------------------------------------- routed-flow features

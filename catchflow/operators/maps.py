@@ -33,8 +33,8 @@ def rescale(df: DataFrame, col: str = "value", by: list[str] | None = None, out:
         b = bounded_broadcast(frame_bounds(df, by, col))
         j = df.join(b, by)
     else:
-        b = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")).withColumn("_k", F.lit(0))
-        j = df.withColumn("_k", F.lit(0)).join(F.broadcast(b), "_k").drop("_k")  # one row: size is known
+        lo, hi = df.agg(F.min(col), F.max(col)).first()  # one aggregate row, used as two literals
+        j = df.select("*", F.lit(lo).cast("double").alias("_lo"), F.lit(hi).cast("double").alias("_hi"))
     return j.withColumn(out, S.rescale(F.col(col), F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
