@@ -70,12 +70,27 @@ def decode_geometry(blob: bytes) -> list[dict]:
     return rings
 
 
-def encode_polygon(rings: list[dict], srs_id: int = 4326) -> bytes:
-    """Rings of one part (outer first, then holes) -> GeoPackage blob with a WKB Polygon (no envelope)."""
+def _wkb_polygon(rings: list[dict]) -> bytes:
     body = struct.pack("<BII", 1, 3, len(rings))
     for r in rings:
         body += struct.pack("<I", len(r["pts"]))
         body += b"".join(struct.pack("<dd", p["x"], p["y"]) for p in r["pts"])
+    return body
+
+
+def encode_polygon(rings: list[dict], srs_id: int = 4326) -> bytes:
+    """Rings -> GeoPackage blob (no envelope): a WKB Polygon for one part, a MultiPolygon for several.
+
+    Within a part the outer ring comes first, then its holes (``hole`` flags order them).
+    """
+    parts: dict[int, list[dict]] = {}
+    for r in rings:
+        parts.setdefault(int(r.get("part") or 0), []).append(r)
+    polys = [sorted(rs, key=lambda r: bool(r.get("hole"))) for _, rs in sorted(parts.items())]
+    if len(polys) == 1:
+        body = _wkb_polygon(polys[0])
+    else:
+        body = struct.pack("<BII", 1, 6, len(polys)) + b"".join(_wkb_polygon(p) for p in polys)
     return b"GP" + bytes([0, 1]) + struct.pack("<i", srs_id) + body
 
 
@@ -147,7 +162,8 @@ def write_divides(divides: DataFrame, root: str, layer: str = "divides", id_col:
         con = sqlite3.connect(":memory:")
         con.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, "{id_col}" TEXT, geom BLOB)')
         for i, (ident, rings) in enumerate(zip(pdf[id_col], pdf["rings"])):
-            rl = [{"pts": [{"x": p["x"], "y": p["y"]} for p in r["pts"]]} for r in rings]
+            rl = [{"part": r["part"], "hole": r["hole"], "pts": [{"x": p["x"], "y": p["y"]} for p in r["pts"]]}
+                  for r in rings]
             con.execute(f'INSERT INTO "{layer}" VALUES (?, ?, ?)', (i + 1, ident, encode_polygon(rl)))
         con.commit()
         with open(f"{root}/{name}.gpkg", "wb") as fh:

@@ -100,3 +100,13 @@ def test_sample_is_deterministic(spark):
     b = sorted(sample_ids(ids, "basin_id", 15, 42).collect())
     assert a == b and len(a) == 15
     assert sorted(sample_ids(ids, "basin_id", 15, 7).collect()) != a
+
+
+def test_wkb_multipolygon_with_hole_roundtrip():
+    def sq(x0, y0, x1, y1, part, hole):
+        pts = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+        return {"part": part, "hole": hole, "pts": [{"x": float(x), "y": float(y)} for x, y in pts]}
+    rings = [sq(0, 0, 4, 4, 0, False), sq(1, 1, 2, 2, 0, True), sq(6, 6, 7, 7, 1, False)]
+    back = containers.decode_geometry(containers.encode_polygon(rings))
+    assert [(r["part"], r["hole"], len(r["pts"])) for r in back] == [(0, False, 5), (0, True, 5), (1, False, 5)]
+    assert back[2]["pts"][0] == {"x": 6.0, "y": 6.0}
