@@ -25,10 +25,20 @@ def _empty_like(pts: Column) -> Column:
     return F.filter(pts, lambda p: F.lit(False))
 
 
+def _prev(pts: Column) -> Column:
+    """The point array rotated right by one: element i is the cyclic predecessor of pts[i]."""
+    n = F.size(pts)
+    return F.when(n > 0, F.concat(F.slice(pts, n, 1), F.slice(pts, 1, n - 1))).otherwise(pts)
+
+
+def _edges(pts: Column, fn) -> Column:
+    """``fn(a, b)`` for every cyclic edge a->b; a and b are lambda variables (each read once per edge)."""
+    return F.zip_with(_prev(pts), pts, fn)
+
+
 def _clip_pass(pts: Column, axis: str, bound: Column, keep_ge: bool) -> Column:
     """One Sutherland-Hodgman pass of a cyclic point array against ``axis >= bound`` (or ``<=``)."""
     other = "y" if axis == "x" else "x"
-    n = F.size(pts)
 
     def inside(p: Column) -> Column:
         return p[axis] >= bound if keep_ge else p[axis] <= bound
@@ -38,16 +48,14 @@ def _clip_pass(pts: Column, axis: str, bound: Column, keep_ge: bool) -> Column:
         v = a[other] + t * (b[other] - a[other])
         return _pt(bound, v) if axis == "x" else _pt(v, bound)
 
-    def emit(i: Column) -> Column:
-        cur = F.element_at(pts, i + 1)
-        prev = F.element_at(pts, F.when(i == 0, n).otherwise(i))
+    def emit(prev: Column, cur: Column) -> Column:
         ci, pi = inside(cur), inside(prev)
         return (F.when(ci & pi, F.array(cur))
                 .when(ci, F.array(cross(prev, cur), cur))
                 .when(pi, F.array(cross(prev, cur)))
                 .otherwise(_empty_like(pts)))
 
-    return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(0), n - 1), emit))).otherwise(_empty_like(pts))
+    return F.flatten(_edges(pts, emit))
 
 
 def clip_rings(rings: Column, axis: str, lo: Column, hi: Column) -> Column:
@@ -66,15 +74,35 @@ def clip_rings(rings: Column, axis: str, lo: Column, hi: Column) -> Column:
 
 def ring_area(pts: Column) -> Column:
     """Unsigned shoelace area of a cyclic point array."""
-    n = F.size(pts)
+    terms = _edges(pts, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
+    s = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    return F.when(F.size(pts) >= 3, F.abs(s) / 2.0).otherwise(F.lit(0.0))
 
-    def step(acc: Column, i: Column) -> Column:
-        a = F.element_at(pts, i + 1)
-        b = F.element_at(pts, F.when(i + 1 == n, F.lit(1)).otherwise(i + 2))
-        return acc + a["x"] * b["y"] - b["x"] * a["y"]
 
-    s = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), step)
-    return F.when(n >= 3, F.abs(s) / 2.0).otherwise(F.lit(0.0))
+def _trap_left(a: Column, b: Column, X: Column) -> Column:
+    """Signed trapezoid ``(qx - px) * (py + qy) / 2`` of the part of segment a->b with ``x <= X``."""
+    ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
+    yc = ay + (X - ax) * (by - ay) / (bx - ax)  # only evaluated in the crossing branches, where ax != bx
+    return (F.when((ax <= X) & (bx <= X), (bx - ax) * (ay + by) / 2)
+             .when(ax <= X, (X - ax) * (ay + yc) / 2)       # a inside, b beyond: a -> crossing
+             .when(bx <= X, (bx - X) * (yc + by) / 2)       # a beyond, b inside: crossing -> b
+             .otherwise(F.lit(0.0)))
+
+
+def slab_area(rings: Column, xa: Column, xb: Column) -> Column:
+    """Area of a (multi-ring) polygon between ``x = xa`` and ``x = xb``, holes subtracted.
+
+    Uses ``area(P n {x <= X}) = sum over edges of the trapezoid of the edge part left of X`` (the cut
+    along ``x = X`` is vertical and adds nothing), so one arithmetic pass over the edges gives the
+    slab's area as ``|F(xb) - F(xa)|`` per ring without building any clipped polygon.
+    """
+    def ring_slab(r: Column) -> Column:
+        terms = _edges(r["pts"], lambda a, b: _trap_left(a, b, xb) - _trap_left(a, b, xa))
+        return F.abs(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t))
+
+    return F.aggregate(
+        F.filter(rings, lambda r: F.size(r["pts"]) >= 3), F.lit(0.0),
+        lambda acc, r: acc + F.when(r["hole"], -ring_slab(r)).otherwise(ring_slab(r)))
 
 
 def polygon_area(rings: Column) -> Column:
@@ -110,12 +138,7 @@ def triangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def _segments(rings: Column) -> Column:
     """All edges of all rings as array<struct<a, b>> (cyclic, so open or closed rings both work)."""
     def ring_segs(r: Column) -> Column:
-        pts = r["pts"]
-        n = F.size(pts)
-        return F.transform(
-            F.sequence(F.lit(1), n),
-            lambda i: F.struct(F.element_at(pts, i).alias("a"),
-                               F.element_at(pts, F.when(i == n, F.lit(1)).otherwise(i + 1)).alias("b")))
+        return _edges(r["pts"], lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r["pts"]) >= 2), ring_segs))
 
 

@@ -3,7 +3,8 @@
 Candidate cells come from each polygon's own bounding box, so work follows polygon area, never
 polygons x cells. The overlay runs in two stages: every polygon is first clipped to the row strips
 it spans (one row per strip), the strips are hash-spread over tasks so a single huge polygon is
-split, and each strip is then clipped to its cells. All of it is Catalyst expressions.
+split, and each cell's share of its strip is then one edge-wise integral (``slab_area``). All of it
+is Catalyst expressions.
 """
 
 from __future__ import annotations
@@ -90,19 +91,24 @@ def coverage(divides: DataFrame, grid: Grid, cells: str = "touch", expand: int =
     ylo = F.lit(grid.y0) + F.col("iy") * F.lit(grid.dy)
     strips = strips.withColumn("rings", geo.clip_rings(F.col("rings"), "y", ylo, ylo + F.lit(grid.dy)))
     strips = strips.filter(F.size("rings") > 0).repartition("divide_id", "iy")
-    # stage 2: cells of each strip, from the strip's own x extent
+    # stage 2: all cells of a strip in one expression, from the strip's own x extent; each cell's share
+    # of the strip is one edge-wise integral, computed once, filtered and inlined (the strip polygon is
+    # never copied per cell)
     sb = geo.bbox(F.col("rings"))
     ix_lo = F.greatest(F.floor((sb["xmin"] - grid.x0) / grid.dx), F.col("e_ix_lo")).cast("bigint")
     ix_hi = F.least(F.ceil((sb["xmax"] - grid.x0) / grid.dx) - 1, F.col("e_ix_hi")).cast("bigint")
-    cellsdf = strips.select("basin_id", "divide_id", "iy", "rings",
-                            F.explode(_seq_or_empty(ix_lo, ix_hi)).alias("ix"))
-    xlo = F.lit(grid.x0) + F.col("ix") * F.lit(grid.dx)
-    clipped = geo.clip_rings(F.col("rings"), "x", xlo, xlo + F.lit(grid.dx))
-    out = cellsdf.select("basin_id", "divide_id", "iy", "ix",
-                         (geo.polygon_area(clipped) / F.lit(grid.cell_area)).alias("coverage"))
-    return (out.filter(F.col("coverage") > COVERAGE_EPS)
-               .select("basin_id", "divide_id", (F.col("iy") * grid.nx + F.col("ix")).alias("cell_id"),
-                       "iy", "ix", F.least(F.col("coverage"), F.lit(1.0)).alias("coverage")))
+    strips = strips.select("basin_id", "divide_id", "iy", "rings", ix_lo.alias("ix_lo"), ix_hi.alias("ix_hi"))
+
+    def cell(ix):
+        xlo = F.lit(grid.x0) + ix.cast("double") * F.lit(grid.dx)
+        a = geo.slab_area(F.col("rings"), xlo, xlo + F.lit(grid.dx)) / F.lit(grid.cell_area)
+        return F.struct(ix.alias("ix"), F.least(a, F.lit(1.0)).alias("coverage"))
+
+    cells = F.filter(F.transform(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi")), cell),
+                     lambda c: c["coverage"] > COVERAGE_EPS)
+    out = strips.select("basin_id", "divide_id", "iy", F.inline(cells))
+    return out.select("basin_id", "divide_id", (F.col("iy") * grid.nx + F.col("ix")).alias("cell_id"),
+                      "iy", "ix", "coverage")
 
 
 def unravel(cell_id, nx: int):

@@ -21,9 +21,9 @@ def prepare_coverage(cov: DataFrame) -> DataFrame:
     after a lost executor read the written table instead of clipping again.
     """
     checkpoint_dir(cov.sparkSession)
-    ncell = cov.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    c = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").join(ncell, "divide_id")
-    return c.checkpoint(eager=True)
+    base = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").checkpoint(eager=True)  # overlay runs once
+    ncell = base.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    return base.join(ncell, "divide_id").checkpoint(eager=True)
 
 
 def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], missing: str = "poison",
