@@ -23,7 +23,7 @@ def prepare_coverage(cov: DataFrame) -> DataFrame:
     checkpoint_dir(cov.sparkSession)
     base = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").checkpoint(eager=True)  # overlay runs once
     ncell = base.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    return base.join(ncell, "divide_id").checkpoint(eager=True)
+    return base.join(ncell, "divide_id")  # both sides read the written table
 
 
 def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], missing: str = "poison",

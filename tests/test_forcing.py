@@ -91,3 +91,13 @@ def test_banded_equals_broadcast(spark):
             return None if v is None else round(v, 9)
         return sorted(((x.divide_id, x.time, r(x.qty), r(x.disc)) for x in df.collect()), key=str)
     assert norm(banded) == norm(whole)
+
+
+def test_incremental_equals_batch(spark):
+    from catchflow.plans import load_all
+    from catchflow.plans.registry import QUERIES
+    load_all()
+    sf = "/root/testdata/sf0.001"
+    inc = sorted(tuple(r) for r in QUERIES["incremental_daily"](spark, sf).collect())
+    batch = sorted(tuple(r) for r in QUERIES["catchment_forcing"](spark, sf).collect())
+    assert inc == batch and len(inc) > 0
