@@ -212,3 +212,61 @@ def features_without_cells(spark, sf):
     d = views.divides(spark, sf)
     nested = cov.nested_coverage(d, cov.coverage(d, G5))
     return cov.without_cells(nested).select("divide_id", F.size("cells").alias("n_cells"))
+
+
+_CENTRE_COV = _EXTENT_SQL.format(e=0).replace(
+    "SELECT basin_id, iy, ix FROM r1 JOIN grid ON iy BETWEEN iy_lo AND iy_hi AND ix BETWEEN ix_lo AND ix_hi",
+    "") + """,
+centre_cov AS (SELECT c.* FROM rect_cov c JOIN r1 USING (basin_id)
+               WHERE c.iy BETWEEN r1.iy_lo AND r1.iy_hi AND c.ix BETWEEN r1.ix_lo AND r1.ix_hi)
+"""
+
+
+@register("coverage_centre", sql=V.with_(V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV + """
+SELECT basin_id, divide_id, cell_id, iy, ix, round(coverage, 9) AS coverage FROM centre_cov""")
+def coverage_centre(spark, sf):
+    """P1 default: only cells whose centre lies within the bounds of the catchment's basin."""
+    c = cov.coverage(views.divides(spark, sf), G, cells="centre")
+    return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
+
+
+@register("catchment_forcing_centre", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV + """,
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix))
+SELECT basin_id, divide_id, time,
+       round(CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END, 9) AS qty,
+       round(CASE WHEN count(disc) = max(n) THEN sum(disc * coverage) / sum(coverage) END, 9) AS disc
+FROM j GROUP BY 1, 2, 3""")
+def catchment_forcing_centre(spark, sf):
+    """A1 on the centre-rule coverage: weights renormalise over the cells that are kept."""
+    c = cov.coverage(views.divides(spark, sf), G, cells="centre")
+    m = forcing.catchment_mean(views.raster(spark, sf), c, views.RASTER_VARS)
+    return m.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+def _ov(a0, a1, b0, b1):
+    return f"greatest(0, least({a1}, {b1}) - greatest({a0}, {b0}))"
+
+
+_HOLE_COV = " + ".join([
+    f"{_ov('x0', 'x1', 'ix', 'ix + 1')} * {_ov('y0', 'y1', 'iy', 'iy + 1')}",
+    f"- {_ov('x0 + 0.25', 'x1 - 0.25', 'ix', 'ix + 1')} * {_ov('y0 + 0.25', 'y1 - 0.25', 'iy', 'iy + 1')}",
+    f"{_ov('x0', 'x0 + 0.5', 'ix', 'ix + 1')} * {_ov('y0 + 5', 'y0 + 5.75', 'iy', 'iy + 1')}",
+]).replace("+ -", "-")
+
+
+@register("coverage_multipart_holes", sql=V.with_(V.BOXES, V.GRID10) + f""",
+c AS (SELECT basin_id, divide_id, iy * 10 + ix AS cell_id, iy, ix, {_HOLE_COV} AS coverage FROM boxes, grid)
+SELECT basin_id, divide_id, cell_id, iy, ix, round(coverage, 9) AS coverage FROM c WHERE coverage > 1e-12""")
+def coverage_multipart_holes(spark, sf):
+    """G1 on two-part polygons: the nation box with a hole inset by 0.25, plus a 0.5 x 0.75 box 5 units up
+    (partly beyond the grid's top edge)."""
+    b = views.boxes(spark, sf)
+    x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")
+    outer = geo.rectangle(x0, y0, x1, y1)
+    hole = F.transform(geo.rectangle(x0 + 0.25, y0 + 0.25, x1 - 0.25, y1 - 0.25),
+                       lambda r: r.withField("hole", F.lit(True)))
+    part2 = F.transform(geo.rectangle(x0, y0 + 5, x0 + 0.5, y0 + 5.75), lambda r: r.withField("part", F.lit(1)))
+    d = b.select("basin_id", "divide_id", F.concat(outer, hole, part2).alias("rings"))
+    c = cov.coverage(d, G)
+    return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
