@@ -72,13 +72,19 @@ def position_index(df: DataFrame, col: str, name: str) -> DataFrame:
     return idx.select(col, F.col(name).cast("int").alias(name))
 
 
-def feature_stats(flow: DataFrame, idx: DataFrame | None = None) -> DataFrame:
-    """A7-A10 in one aggregate pass: ``nonzero`` (NULL is not non-zero), ``peak``, ``flow_sum``, ``duration``."""
-    g = flow.groupBy("feature_id").agg(
-        F.coalesce(F.bool_or(F.col("flow") != 0), F.lit(False)).alias("nonzero"),
-        F.max("flow").alias("peak"),
-        F.sum("flow").alias("flow_sum"),
-        F.count_if(F.col("flow") > 0).alias("duration"))
+def feature_stats(flow: DataFrame, idx: DataFrame | None = None, dt: float | None = None) -> DataFrame:
+    """A7-A10 in one aggregate pass: ``nonzero`` (NULL is not non-zero), ``peak``, ``flow_sum``, ``duration``.
+
+    ``flow_sum`` is the plain sum of flow, as the reference reports it; with ``dt`` (seconds per step)
+    a ``volume`` column (sum x dt) is added.
+    """
+    aggs = [F.coalesce(F.bool_or(F.col("flow") != 0), F.lit(False)).alias("nonzero"),
+            F.max("flow").alias("peak"),
+            F.sum("flow").alias("flow_sum"),
+            F.count_if(F.col("flow") > 0).alias("duration")]
+    if dt is not None:
+        aggs.append((F.sum("flow") * F.lit(float(dt))).alias("volume"))
+    g = flow.groupBy("feature_id").agg(*aggs)
     if idx is not None:
         g = g.join(bounded_broadcast(idx), "feature_id")
     return g
@@ -90,6 +96,16 @@ def top_feature(stats: DataFrame, metric: str, order_col: str = "feature_idx") -
                  .select(order_col, "feature_id", F.lit(metric).alias("metric"), F.col(metric).cast("double").alias("score")))
 
 
+def join_three(routed: DataFrame, ensemble: DataFrame, obs: DataFrame, year: int | None = None,
+               key: str = "datetime") -> DataFrame:
+    """J7 (+ P6): routed flow x ensemble mean x observed, inner on time, optionally one year."""
+    j = routed.join(ensemble, key).join(obs, key)
+    if year is None:
+        return j
+    return j.filter((F.col(key) >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+                    & (F.col(key) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+
+
 def first_nonzero(stats: DataFrame, order_col: str = "feature_idx") -> DataFrame:
     """The non-zero feature with the smallest position (one row)."""
     return stats.filter("nonzero").orderBy(order_col).limit(1).select(order_col, "feature_id")

@@ -93,6 +93,29 @@ def _banded(raster: DataFrame, c: DataFrame, variables: list[str], missing: str,
     return spark.read.parquet(*paths)
 
 
+def catchment_mean_long(raster_long: DataFrame, cov: DataFrame, variables: list[str] | None = None,
+                        time_col: str = "time", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A1 on the long raster (``time, iy, ix, variable, value``, as chunk scans produce it).
+
+    Joins coverage to the long rows and aggregates per (catchment, time, variable), so the raster is
+    never pivoted; only the catchment-level result is turned wide (``variables`` fixes the columns).
+    Poisoning as in :func:`catchment_mean`: a covered cell without a value for the variable makes it NULL.
+    """
+    c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
+    if c.limit(broadcast_rows + 1).count() > broadcast_rows:
+        raise ValueError("coverage above the broadcast bound: use catchment_mean on a wide raster (banded)")
+    r = raster_long.select(time_col, "iy", "ix", "variable", "value")
+    if variables:
+        r = r.filter(F.col("variable").isin(variables))
+    g = (r.join(F.broadcast(c), ["iy", "ix"])
+          .groupBy("basin_id", "divide_id", time_col, "variable")
+          .agg(F.sum(F.col("value") * F.col("coverage")).alias("_s"), F.count("value").alias("_k"),
+               F.max("n_cells").alias("_n"), F.sum(F.when(F.col("value").isNotNull(), F.col("coverage"))).alias("_c")))
+    long = g.select("basin_id", "divide_id", time_col, "variable",
+                    F.when(F.col("_k") == F.col("_n"), F.try_divide("_s", "_c")).alias("value"))
+    return long.groupBy("basin_id", "divide_id", time_col).pivot("variable", variables).agg(F.first("value"))
+
+
 def basin_mean(catchment: DataFrame, variables: list[str], time_col: str = "time",
                weights: DataFrame | None = None) -> DataFrame:
     """A2: unweighted mean of catchments per basin and time, skipping missing.

@@ -165,7 +165,7 @@ def three_way_join(spark, sf):
     routed = fl.join(f, "feature_id").select(F.col("time").alias("datetime"), F.col("flow").alias("routed"))
     obs, mem = obs_members(spark, sf)
     ens = evaluate.ensemble_mean(mem).withColumnRenamed("value", "ens")
-    j = compare.slice_year(routed.join(ens, "datetime").join(obs, "datetime"), "datetime", 2024)
+    j = evaluate.join_three(routed, ens, obs, year=2024)
     return j.select("datetime", F.round("routed", 6).alias("routed"), r9("ens", "ens"), r9("obs", "obs"))
 
 

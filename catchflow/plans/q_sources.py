@@ -9,6 +9,7 @@ from ..session import scratch_path
 from ..sources import chunks, containers
 from . import sql_views as V
 from . import views
+from .q_forcing import _CENTRE_COV as _CENTRE_COV_SQL
 from .registry import r9, register
 
 # Codec of each yearly store, in year order (cycled): exercises every decoder.
@@ -17,7 +18,7 @@ CODECS = [None, {"id": "zlib", "level": 1}, {"id": "gzip", "level": 1}, {"id": "
 CHUNKS = (12, 5, 5)
 
 
-def write_raster_stores(spark, sf, root):
+def write_raster_stores(spark, sf, root, dtype="<f4"):
     """RASTER as one store per year (t = month - 1), chunks of a year x 5 x 5 cells; returns the years."""
     r = views.raster(spark, sf)
     years = sorted(x[0] for x in r.select(F.year("time").alias("y")).distinct().collect())  # a handful of ints
@@ -27,7 +28,7 @@ def write_raster_stores(spark, sf, root):
         hours = [int(((__import__("datetime").datetime(y, m, 1) - __import__("datetime").datetime(1995, 1, 1))
                       .total_seconds()) // 3600) for m in range(1, 13)]
         chunks.write_store(part, f"{root}/{y}", ["qty", "disc"], (12, views.GRID.ny, views.GRID.nx), CHUNKS,
-                           hours, "1995-01-01 00:00:00", CODECS[i % len(CODECS)])
+                           hours, "1995-01-01 00:00:00", CODECS[i % len(CODECS)], dtype=dtype)
     return years
 
 
@@ -84,3 +85,25 @@ def file_catalog(spark, sf):
     parts = files.select(F.regexp_extract("path", r"/(\d{4})/([^/]+)/[^/]+$", 1).cast("int").alias("year"),
                          F.regexp_extract("path", r"/(\d{4})/([^/]+)/[^/]+$", 2).alias("variable"))
     return parts.groupBy("year", "variable").agg(F.count(F.lit(1)).alias("n_chunks"))
+
+
+@register("forcing_job_files", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
+catch AS (SELECT basin_id, divide_id, time,
+         CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
+         CASE WHEN count(disc) = max(n) THEN sum(disc * coverage) / sum(coverage) END AS disc FROM j GROUP BY 1, 2, 3)
+SELECT basin_id, time, round(avg(qty), 9) AS qty, round(avg(disc), 9) AS disc FROM catch GROUP BY 1, 2""")
+def forcing_job_files(spark, sf):
+    """The whole forcing job from files: yearly chunk stores (float64) and polygon containers written from
+    the tables, then scan -> resume -> centre-rule coverage -> long-form catchment mean -> basin mean ->
+    K1/K2/K3 writes -> ledger; the basin files are read back."""
+    from .. import jobs
+    from ..sources import series as src
+    root = scratch_path(spark, "job")
+    years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
+    containers.write_divides(views.divides(spark, sf), f"{root}/gpkg")
+    jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/gpkg",
+                     views.GRID, f"{root}/out", f"{root}/ledger")
+    back = src.scan_daily_basin_files(spark, f"{root}/out/basin", "time string, qty double, disc double")
+    return back.select("basin_id", "time", r9("qty", "qty"), r9("disc", "disc"))
