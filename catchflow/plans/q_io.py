@@ -154,3 +154,14 @@ def rounded_files_roundtrip(spark, sf):
     path = scratch_path(spark, "rounded")
     sinks.write_rounded(r, path, {"qty": 3, "disc": 5})
     return src.scan_series(spark, path, "time string, iy bigint, ix bigint, qty double, disc double", "time")
+
+
+@register("raster_table_roundtrip", sql=V.with_(V.RASTER) + """
+SELECT time, iy, ix, qty, disc FROM raster""")
+def raster_table_roundtrip(spark, sf):
+    """S1 table layout: write partitioned by year and 5 x 5 tiles, read every year back (end-exclusive range)."""
+    r = views.raster(spark, sf).select("time", "iy", "ix", "qty", "disc")
+    path = scratch_path(spark, "raster")
+    sinks.write_raster(r, path, tile=5)
+    y0, y1 = r.agg(F.min(F.year("time")), F.max(F.year("time"))).first()
+    return src.scan_raster_table(spark, path, years=(y0, y1 + 1), tile=5, variables=["qty", "disc"])

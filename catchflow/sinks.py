@@ -1,7 +1,9 @@
 """Partitioned writes (K1-K8): one job per output, partition columns instead of per-basin loops.
 
 Every writer sorts within partitions by time (O1) instead of a global sort, and uses Spark's
-file committer, so a lost executor's task is simply re-run.
+file committer, so a lost executor's task is simply re-run. Rows are spread over tasks by the
+output keys plus a deterministic salt (the year of the row, or a hash of a finer id), so a key
+holding a third of all rows is written by many tasks, and a retried task rebuilds the same split.
 """
 
 from __future__ import annotations
@@ -25,19 +27,21 @@ def _ts_strings(df: DataFrame) -> DataFrame:
 
 def write_catchment_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
     """K2: one CSV series per catchment (``basin_id=/divide_id=`` folders)."""
-    (_ts_strings(df.repartition("basin_id", "divide_id").sortWithinPartitions("basin_id", "divide_id", time_col))
+    (_ts_strings(df.repartition("basin_id", "divide_id", F.year(time_col))
+                 .sortWithinPartitions("basin_id", "divide_id", time_col))
         .write.mode(mode).partitionBy("basin_id", "divide_id").option("header", True).csv(path))
 
 
 def write_basin_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
     """K3: the basin aggregate, one CSV folder per basin."""
-    (_ts_strings(df.repartition("basin_id").sortWithinPartitions("basin_id", time_col))
+    (_ts_strings(df.repartition("basin_id", F.year(time_col)).sortWithinPartitions("basin_id", time_col))
         .write.mode(mode).partitionBy("basin_id").option("header", True).csv(path))
 
 
 def write_coverage(cov: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: coverage cache keyed by basin (the grid id is part of ``path``)."""
-    cov.repartition("basin_id").write.mode(mode).partitionBy("basin_id").parquet(path)
+    salt = F.pmod(F.xxhash64("divide_id"), F.lit(16))
+    cov.repartition("basin_id", salt).write.mode(mode).partitionBy("basin_id").parquet(path)
 
 
 def write_rounded(df: DataFrame, path: str, spec: dict[str, int], time_col: str = "time", by: list[str] | None = None,
@@ -66,14 +70,15 @@ def write_water_years(df: DataFrame, path: str, by: list[str], time_col: str = "
 
 def write_gage_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
     """K8: compiled series per gage (``gage_id=`` folders), time-ordered inside each file, no index column."""
-    (_ts_strings(df.repartition("gage_id").sortWithinPartitions("gage_id", time_col))
+    (_ts_strings(df.repartition("gage_id", F.year(time_col)).sortWithinPartitions("gage_id", time_col))
         .write.mode(mode).partitionBy("gage_id").option("header", True).csv(path))
 
 
 def write_dense(dense: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: dense model-input layout as Parquet, partitioned by basin and time chunk."""
     keys = [c for c in ("basin_id", "chunk") if c in dense.columns]
-    dense.repartition(*keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    salt = F.pmod(F.xxhash64("ids"), F.lit(16))
+    dense.repartition(*keys, salt).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: str = "overwrite") -> None:
@@ -82,3 +87,14 @@ def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: st
                       "index", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "value")
     (s.repartition("nex_file").sortWithinPartitions("nex_file", "index")
        .write.mode(mode).partitionBy("nex_file").option("header", False).csv(path))
+
+
+def write_raster(df: DataFrame, path: str, tile: int = 64, time_col: str = "time", mode: str = "overwrite") -> None:
+    """S1 layout: raster rows partitioned by ``year`` and spatial tile (``ty``, ``tx`` = cell index div
+    ``tile``), sorted by cell then time inside each file, so a year range and a cell extent prune
+    folders and Parquet row groups. A task writes one tile-month (64 x 64 cells x 744 h at most)."""
+    t = (df.withColumn("year", F.year(time_col))
+           .withColumn("ty", F.floor(F.col("iy") / tile).cast("int"))
+           .withColumn("tx", F.floor(F.col("ix") / tile).cast("int")))
+    (t.repartition("year", "ty", "tx", F.month(time_col)).sortWithinPartitions("iy", "ix", time_col)
+      .write.mode(mode).partitionBy("year", "ty", "tx").parquet(path))

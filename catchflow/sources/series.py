@@ -59,3 +59,20 @@ def scan_daily_basin_files(spark: SparkSession, root: str, schema: T.StructType
     df = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", "true").csv(root)
           .withColumn("basin_id", F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1)))
     return clean_doubles(df.withColumn(time_col, S.parse_time(time_col)))
+
+
+def scan_raster_table(spark: SparkSession, path: str, years: tuple[int, int] | None = None,
+                      extent: tuple[int, int, int, int] | None = None, tile: int = 64,
+                      variables: list[str] | None = None) -> DataFrame:
+    """S1 on the partitioned raster table: ``years = (begin, end)`` with the end exclusive, and an optional
+    cell ``extent = (iy0, iy1, ix0, ix1)`` (inclusive). Both become literal predicates: partition
+    filters on ``year``/``ty``/``tx`` and pushed filters on ``iy``/``ix``."""
+    df = spark.read.parquet(path)
+    if years is not None:
+        df = df.filter((F.col("year") >= years[0]) & (F.col("year") < years[1]))
+    if extent is not None:
+        iy0, iy1, ix0, ix1 = extent
+        df = df.filter(F.col("ty").between(iy0 // tile, iy1 // tile) & F.col("tx").between(ix0 // tile, ix1 // tile)
+                       & F.col("iy").between(iy0, iy1) & F.col("ix").between(ix0, ix1))
+    cols = ["time", "iy", "ix"] + (variables or [c for c in df.columns if c not in ("time", "iy", "ix", "year", "ty", "tx")])
+    return df.select(*cols)

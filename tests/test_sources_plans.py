@@ -137,3 +137,16 @@ def test_sinks_layout(spark, tmp_dir):
     part = [f for f in os.listdir(f"{tmp_dir}/gage/gage_id=g1") if f.endswith(".csv")]
     lines = open(f"{tmp_dir}/gage/gage_id=g1/{part[0]}").read().splitlines()
     assert lines[0] == "time,v" and lines[1].startswith("1999-09-30 23:00:00")   # K8: no index column, time order
+
+
+def test_raster_table_prunes_partitions_and_pushes_extent(spark, tmp_dir):
+    from catchflow import sinks
+    from catchflow.sources import series as src
+    r = views.raster(spark, SF_SMALL).select("time", "iy", "ix", "qty", "disc")
+    sinks.write_raster(r, f"{tmp_dir}/raster", tile=5)
+    df = src.scan_raster_table(spark, f"{tmp_dir}/raster", years=(1996, 1998), extent=(0, 4, 5, 9), tile=5)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(ty" in plan and "(tx" in plan
+    assert "PushedFilters: [IsNotNull(iy), IsNotNull(ix), GreaterThanOrEqual(iy,0)" in plan
+    want = r.filter("year(time) in (1996, 1997) and iy <= 4 and ix >= 5")
+    assert sorted(df.collect()) == sorted(want.collect())
