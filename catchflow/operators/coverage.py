@@ -166,13 +166,16 @@ def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds:
     the feature is searched again. Ties go to the smallest ``divide_id``.
     Output: ``divide_id`` (missing), ``source_id``, ``dist``.
     """
-    covered_ids = cov.select("divide_id").distinct()
-    feats = divides.select("divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
-    missing = feats.join(covered_ids, "divide_id", "left_anti")
-    covered = feats.join(covered_ids, "divide_id", "left_semi")
+    checkpoint_dir(divides.sparkSession)
+    covered_ids = cov.select("divide_id").distinct().withColumn("_has", F.lit(True))
+    # one written table: every feature with its bbox and whether it has cells (the overlay is not re-run)
+    feats = (divides.select("divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
+             .join(covered_ids, "divide_id", "left")
+             .withColumn("_has", F.coalesce("_has", F.lit(False))).checkpoint(eager=True))
+    missing = feats.filter(~F.col("_has")).drop("_has")
+    covered = feats.filter("_has").drop("_has")
     cov_tiles = covered.select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
                                F.col("bb").alias("src_bb"), _tiles(F.col("bb"), tile, F.lit(0.0)).alias("t"))
-    checkpoint_dir(divides.sparkSession)
     state = missing.withColumn("radius", F.lit(float(tile)))
     found = []
     for _ in range(max_rounds):
@@ -203,6 +206,8 @@ def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds:
 def fill_nearest(cov: DataFrame, divides: DataFrame, grid: Grid, tile: float | None = None) -> DataFrame:
     """Features without cells copy the cells of their nearest covered feature."""
     tile = tile or 16 * max(grid.dx, grid.dy)
+    checkpoint_dir(divides.sparkSession)
+    cov = cov.checkpoint(eager=True)  # used by the search and by the copy below
     near = nearest_sources(divides, cov, tile)
     copied = (near.join(divides.select("divide_id", "basin_id"), "divide_id")
               .join(cov.select(F.col("divide_id").alias("source_id"), "cell_id", "iy", "ix", "coverage"), "source_id")

@@ -156,8 +156,10 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY divide_id ORDE
 SELECT b.divide_id, b.source_id, round(b.dist, 9) AS dist, c.cell_id, round(c.coverage, 9) AS coverage
 FROM best b JOIN c5 c ON c.divide_id = b.source_id""")
 def nearest_fill(spark, sf):
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
     d = views.divides(spark, sf)
-    c = cov.coverage(d, G5, cells="touch")
+    c = cov.coverage(d, G5, cells="touch").checkpoint(eager=True)  # searched and copied from: overlay once
     near = cov.nearest_sources(d, c, tile=4.0)
     return (near.join(c.select(F.col("divide_id").alias("source_id"), "cell_id", "coverage"), "source_id")
                 .select("divide_id", "source_id", r9("dist", "dist"), "cell_id", r9("coverage", "coverage")))
