@@ -74,3 +74,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``catchflow`` importable on the executors (``addPyFile`` of a zip of the package, once per
+    SparkContext). Needed where Python runs on the workers: the byte decoders and fixture writers."""
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    base = local_path(checkpoint_dir(spark))
+    target_dir = base if "://" not in base else tempfile.mkdtemp(prefix="catchflow-pkg-")
+    os.makedirs(target_dir, exist_ok=True)
+    zpath = os.path.join(target_dir, f"catchflow-{key}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, ship_package
 
 # ---------------------------------------------------------------- codecs
 
@@ -165,6 +165,7 @@ def scan_chunks(spark: SparkSession, roots: str | list[str], variables: list[str
     error rows). A chunk that fails to decode yields an error row, not a failed job. Each store's
     time axis is decoded the same way and joined on ``(store, t)``.
     """
+    ship_package(spark)
     roots = [_norm(r).rstrip("/") for r in ([roots] if isinstance(roots, str) else list(roots))]
     metas = {f"{r}/{v}": read_meta(spark, f"{r}/{v}") for r in roots for v in variables}
     tmetas = {f"{r}/time": read_meta(spark, f"{r}/time") for r in roots}
@@ -207,6 +208,7 @@ def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int
     The JSON metadata and the small time axis are written by the driver.
     """
     import os
+    ship_package(df.sparkSession)
     fill = float("nan")
     for v in variables + ["time"]:
         os.makedirs(f"{root}/{v}", exist_ok=True)

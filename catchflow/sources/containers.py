@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 _PT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 _RING = pa.struct([("part", pa.int32()), ("hole", pa.bool_()), ("pts", pa.list_(_PT))])
 _ARROW = pa.schema([("path", pa.string()), ("fid", pa.int64()), ("feature_id", pa.string()),
@@ -130,6 +132,7 @@ def scan_divides(spark: SparkSession, paths: str | list[str], layer: str = "divi
     ``basin_id`` is parsed from the file name. With ``tolerant`` unreadable files become error rows
     (kept only with ``with_errors``); missing folders simply list nothing.
     """
+    ship_package(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
              .load(paths).select("path", "content"))
     dec = files.mapInArrow(_decoder(layer, id_col, tolerant), SCHEMA)
@@ -154,6 +157,7 @@ def write_divides(divides: DataFrame, root: str, layer: str = "divides", id_col:
     A group is one basin's polygons (bounded by the basin, not by the archive).
     """
     import os
+    ship_package(divides.sparkSession)
     os.makedirs(root, exist_ok=True)
 
     def write_one(pdf):
