@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Decimals kept per variable of the analysis raster after post-processing.
-AORC_DECIMALS = {
+ANALYSIS_DECIMALS = {
     "APCP_surface": 5,
     "DLWRF_surface": 4,
     "DSWRF_surface": 4,

@@ -64,10 +64,10 @@ RUN_VALUES = T.StructType([
 ])
 
 # The eight variables of the analysis raster, in source order.
-AORC_VARIABLES = ["APCP_surface", "DLWRF_surface", "DSWRF_surface", "PRES_surface",
+ANALYSIS_VARIABLES = ["APCP_surface", "DLWRF_surface", "DSWRF_surface", "PRES_surface",
                   "SPFH_2maboveground", "TMP_2maboveground", "UGRD_10maboveground", "VGRD_10maboveground"]
 # The eight variables of the forecast raster.
-HRRR_VARIABLES = ["TMP", "SPFH", "DLWRF", "DSWRF", "PRES", "UGRD", "VGRD", "APCP_1hr_acc_fcst"]
+FORECAST_VARIABLES = ["TMP", "SPFH", "DLWRF", "DSWRF", "PRES", "UGRD", "VGRD", "APCP_1hr_acc_fcst"]
 
 
 @dataclass(frozen=True)

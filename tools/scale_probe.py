@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from catchflow.functions import geometry as geo  # noqa: E402
 from catchflow.operators import coverage as cov  # noqa: E402
 from catchflow.operators import forcing  # noqa: E402
-from catchflow.schemas import AORC_VARIABLES, Grid  # noqa: E402
+from catchflow.schemas import ANALYSIS_VARIABLES, Grid  # noqa: E402
 from catchflow.session import checkpoint_dir, get_spark  # noqa: E402
 
 
@@ -32,7 +32,7 @@ def main():
         (F.col("id") % cells).alias("c"), (F.col("id") / cells).cast("long").alias("h"))
     r = r.select(F.timestamp_add("HOUR", F.col("h"), F.lit("2000-01-01").cast("timestamp_ntz")).alias("time"),
                  (F.col("c") / nx).cast("long").alias("iy"), (F.col("c") % nx).alias("ix"),
-                 *[(F.sin(F.col("c") * (i + 1) + F.col("h")) * 10 + i).alias(v) for i, v in enumerate(AORC_VARIABLES)])
+                 *[(F.sin(F.col("c") * (i + 1) + F.col("h")) * 10 + i).alias(v) for i, v in enumerate(ANALYSIS_VARIABLES)])
     p = spark.range(npoly).select(
         (F.col("id") % 50).cast("string").alias("basin_id"), F.concat(F.lit("cat-"), F.col("id").cast("string")).alias("divide_id"),
         (F.rand(1) * (nx - 16)).alias("x0"), (F.rand(2) * (ny - 16)).alias("y0"),
@@ -43,8 +43,8 @@ def main():
     c = forcing.prepare_coverage(cov.coverage(divides, grid))
     ncov = c.count()
     t1 = time.perf_counter()
-    cm = forcing.catchment_mean(r, c, AORC_VARIABLES)
-    b = forcing.basin_mean(cm, AORC_VARIABLES)
+    cm = forcing.catchment_mean(r, c, ANALYSIS_VARIABLES)
+    b = forcing.basin_mean(cm, ANALYSIS_VARIABLES)
     b.write.format("noop").mode("overwrite").save()
     t2 = time.perf_counter()
     rows = cells * hours
