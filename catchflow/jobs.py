@@ -7,6 +7,7 @@ resumable through the ledger (SURVEY 3.1). All basins run in one plan; no per-ba
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import sinks
 from .operators import coverage as cov
@@ -36,3 +37,17 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
     return spark.read.option("header", True).csv(f"{out}/basin")
 
 
+
+
+def post_process_job(spark: SparkSession, series_root: str, schema: str, out: str, spec: dict[str, int] | None = None,
+                     id_pattern: str = r"divide_id=([^/]+)", time_col: str = "time") -> DataFrame:
+    """M1 + P10 + D1 + K5/K6/K7: every series file in one read, each listed variable rounded to its
+    decimals (absent ones skipped), then split by id and water year into gzip CSV. Returns what was written."""
+    from .functions.scalars import ANALYSIS_DECIMALS, round_columns
+    from .sources.series import scan_series
+    raw = scan_series(spark, series_root, schema, time_col, with_path=True)
+    values = [f.name for f in spark.createDataFrame([], schema).schema.fields if f.name != time_col]
+    df = raw.select(F.regexp_extract("source_path", id_pattern, 1).alias("series_id"), time_col, *values)
+    df = round_columns(df, spec or ANALYSIS_DECIMALS)
+    sinks.write_water_years(df, out, by=["series_id"], time_col=time_col, compression="gzip")
+    return df

@@ -165,3 +165,24 @@ def raster_table_roundtrip(spark, sf):
     sinks.write_raster(r, path, tile=5)
     y0, y1 = r.agg(F.min(F.year("time")), F.max(F.year("time"))).first()
     return src.scan_raster_table(spark, path, years=(y0, y1 + 1), tile=5, variables=["qty", "disc"])
+
+
+@register("post_process_files", sql=V.with_(V.RASTER) + """
+SELECT CAST(iy * 10 + ix AS VARCHAR) AS series_id, time,
+       round_even(qty * CAST(1000.0 AS DOUBLE), 0) / CAST(1000.0 AS DOUBLE) AS PRES_surface,
+       round_even(disc * CAST(10000000.0 AS DOUBLE), 0) / CAST(10000000.0 AS DOUBLE) AS SPFH_2maboveground,
+       CAST(year(time) + CASE WHEN month(time) >= 10 THEN 1 ELSE 0 END AS INTEGER) AS water_year
+FROM raster""")
+def post_process_files(spark, sf):
+    """The post-processing job on series files: the fixed per-variable decimals (the two present variables
+    here, the six absent ones skipped), water-year split, gzip; read back."""
+    from .. import jobs
+    r = views.raster(spark, sf).select(
+        "time", (F.col("iy") * 10 + F.col("ix")).cast("string").alias("divide_id"), F.lit("0").alias("basin_id"),
+        F.col("qty").alias("PRES_surface"), F.col("disc").alias("SPFH_2maboveground"))
+    src_path, out = scratch_path(spark, "series"), scratch_path(spark, "post")
+    sinks.write_catchment_series(r, src_path)
+    jobs.post_process_job(spark, src_path, "time string, PRES_surface double, SPFH_2maboveground double", out)
+    back = src.scan_series(spark, out, "time string, PRES_surface double, SPFH_2maboveground double, "
+                                       "series_id string, water_year int", "time")
+    return back.select("series_id", "time", "PRES_surface", "SPFH_2maboveground", "water_year")
