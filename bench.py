@@ -15,7 +15,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "basin_forcing", "catchment_forcing", "coverage_fraction", "coverage_triangle_area", "compare_sources",
+    "basin_forcing", "catchment_forcing", "catchment_forcing_centre", "coverage_fraction", "coverage_centre",
+    "coverage_multipart_holes", "coverage_triangle_area", "compare_sources", "raster_table_roundtrip",
     "dense_pack", "nearest_fill", "round_decimals", "water_year_summary", "catalog_paths",
     "ensemble_wide", "nse_table", "nse_obs_all", "nonzero_features", "peak_feature", "three_way_join",
     "last_value_map", "step_map", "rescale_region", "forecast_align", "dedupe_last", "merge_outer",
