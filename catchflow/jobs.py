@@ -51,3 +51,35 @@ def post_process_job(spark: SparkSession, series_root: str, schema: str, out: st
     df = round_columns(df, spec or ANALYSIS_DECIMALS)
     sinks.write_water_years(df, out, by=["series_id"], time_col=time_col, compression="gzip")
     return df
+
+
+# The observed-discharge file layout (header ``date,QObs(mm/h)``, gage id in the name).
+OBS_SCHEMA = "date string, `QObs(mm/h)` double"
+OBS_NAME = r"(\d+)-usgs-hourly"
+
+
+def evaluation_job(spark: SparkSession, nexus_root: str, obs_root: str, mode: str = "masked",
+                   gage_of_nexus: DataFrame | None = None, year: int | None = None) -> DataFrame:
+    """S6 + S5 + D4 + A3 + A6 + A4/A5 (+ P6): member series from nexus files, observed discharge from CSV,
+    the ensemble mean scored as one more member; NSE per (gage, member) in one aggregate.
+
+    ``gage_of_nexus`` (``nex_id, gage_id``) assigns members to gages; without it every member is scored
+    against the single observed gage.
+    """
+    from .operators import evaluate
+    from .sources.series import scan_nexus, scan_series
+    sims = scan_nexus(spark, nexus_root).select(F.col("nex_id").alias("id"), "datetime", "value")
+    obs = scan_series(spark, obs_root, OBS_SCHEMA, "date", with_path=True, recursive=True)
+    obs = obs.select(F.regexp_extract("source_path", OBS_NAME, 1).alias("gage_id"),
+                     F.col("date").alias("datetime"), F.col("`QObs(mm/h)`").alias("obs"))
+    if gage_of_nexus is None:
+        gage = obs.select("gage_id").distinct().first()[0]  # one gage: one scalar
+        sims = sims.withColumn("gage_id", F.lit(gage))
+    else:
+        sims = sims.join(gage_of_nexus.withColumnRenamed("nex_id", "id"), "id")
+    if year is not None:
+        lo, hi = F.lit(f"{year}-01-01").cast("timestamp_ntz"), F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
+        obs = obs.filter((F.col("datetime") >= lo) & (F.col("datetime") < hi))
+        sims = sims.filter((F.col("datetime") >= lo) & (F.col("datetime") < hi))
+    members = evaluate.with_mean_member(sims, by=["gage_id"])
+    return evaluate.nse_table(obs, members, mode, by=["gage_id"])

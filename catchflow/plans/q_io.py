@@ -186,3 +186,29 @@ def post_process_files(spark, sf):
     back = src.scan_series(spark, out, "time string, PRES_surface double, SPFH_2maboveground double, "
                                        "series_id string, water_year int", "time")
     return back.select("series_id", "time", "PRES_surface", "SPFH_2maboveground", "water_year")
+
+
+@register("evaluation_files", sql=V.with_(V.SERIES) + """,
+m0 AS (SELECT datetime, id, value FROM series WHERE id IN ('error', 'purchase', 'signup', 'view')),
+mem AS (SELECT * FROM m0 UNION ALL SELECT datetime, 'mean' AS id, avg(value) AS value FROM m0 GROUP BY datetime),
+obs AS (SELECT datetime, value AS obs FROM series WHERE id = 'click'),
+j AS (SELECT m.id, o.obs, m.value FROM mem m JOIN obs o USING (datetime) WHERE o.obs IS NOT NULL AND m.value IS NOT NULL),
+a AS (SELECT id, avg(obs) AS mo FROM j GROUP BY 1)
+SELECT '01187300' AS gage_id, id,
+       round(CASE WHEN sum((obs - mo) * (obs - mo)) > 0 THEN 1 - sum((obs - value) * (obs - value)) / sum((obs - mo) * (obs - mo)) END, 9) AS nse,
+       CAST(count(*) AS BIGINT) AS n
+FROM j JOIN a USING (id) GROUP BY id""")
+def evaluation_files(spark, sf):
+    """The evaluation notebook as a job: members written as nexus output files, the observed series as a
+    discharge CSV (header ``date,QObs(mm/h)``, gage id in the name), then ensemble + NSE table."""
+    from .. import jobs
+    s = views.series(spark, sf)
+    root = scratch_path(spark, "eval")
+    mem = s.filter(F.col("id").isin(views.MEMBERS)).withColumn(
+        "index", F.timestamp_diff("HOUR", F.lit(S.EPOCH_1980).cast("timestamp_ntz"), F.col("datetime")))
+    sinks.write_nexus_files(mem, f"{root}/nexus")
+    obs = s.filter(F.col("id") == views.OBSERVED).select(
+        F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("value").alias("QObs(mm/h)"))
+    obs.coalesce(1).write.option("header", True).csv(f"{root}/obs/01187300-usgs-hourly")
+    t = jobs.evaluation_job(spark, f"{root}/nexus", f"{root}/obs")
+    return t.select("gage_id", "id", r9("nse", "nse"), F.col("n").cast("bigint"))

@@ -12,12 +12,16 @@ from ..schemas import NEXUS_SERIES, clean_doubles
 
 def scan_series(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, time_col: str,
                 fmt: str = "yyyy-MM-dd HH:mm:ss", on_bad_time: str = "error", header: bool = True,
-                with_path: bool = False) -> DataFrame:
+                with_path: bool = False, recursive: bool = False) -> DataFrame:
     """S5 + D4: headered CSV with the time column read as text and parsed strictly or leniently.
 
-    Partition folders (``key=value``) become columns; ``with_path`` adds ``source_path``.
+    Partition folders (``key=value``) become columns; ``recursive`` reads files in any sub-folder
+    instead (no partition columns); ``with_path`` adds ``source_path``.
     """
-    df = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(paths)
+    reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    df = reader.csv(paths)
     if with_path:
         df = df.withColumn("source_path", F.col("_metadata.file_path"))
     parsed = S.parse_time(time_col, fmt, strict=(on_bad_time == "error"))
