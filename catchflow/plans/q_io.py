@@ -212,3 +212,28 @@ def evaluation_files(spark, sf):
     obs.coalesce(1).write.option("header", True).csv(f"{root}/obs/01187300-usgs-hourly")
     t = jobs.evaluation_job(spark, f"{root}/nexus", f"{root}/obs")
     return t.select("gage_id", "id", r9("nse", "nse"), F.col("n").cast("bigint"))
+
+
+@register("nexus_map_files", sql=V.with_(V.NEXUS, V.NEXUS_VALUES) + """,
+lv AS (SELECT 'nex-' || nex_id AS id, arg_max(value, "index") AS value FROM nexus_values GROUP BY nex_id),
+m AS (SELECT n.vpu, n.id, coalesce(lv.value, 0.0) AS value FROM nexus n LEFT JOIN lv USING (id)),
+b AS (SELECT vpu, min(value) AS lo, max(value) AS hi FROM m GROUP BY 1),
+a AS (SELECT min(value) AS alo, max(value) AS ahi FROM m)
+SELECT vpu, id, round(value, 9) AS value,
+       round(CASE WHEN hi = lo THEN 1.0 ELSE 0.1 + 0.6 * (value - lo) / (hi - lo) END, 9) AS scaled_region,
+       round(CASE WHEN ahi = alo THEN 1.0 ELSE 0.1 + 0.6 * (value - alo) / (ahi - alo) END, 9) AS scaled_all
+FROM m JOIN b USING (vpu), a""")
+def nexus_map_files(spark, sf):
+    """The regional nexus map job: nexus output files written per region folder (``<vpu>/nex-<id>_output``),
+    read back in one scan, last value, zero fill, rescaled per region and overall."""
+    from .. import jobs
+    nx = views.nexus(spark, sf)
+    vals = views.nexus_values(spark, sf)
+    region_of = nx.select("vpu", F.regexp_extract("id", r"nex-(.+)", 1).alias("nex_id"))
+    per_region = vals.join(region_of, "nex_id", "left").select(
+        F.coalesce("vpu", F.lit("none")).alias("vpu"), F.col("nex_id").alias("id"), "index",
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("datetime"), "value")
+    root = scratch_path(spark, "regions")
+    sinks.write_nexus_files(per_region, root, partition_by=["vpu"])
+    m = jobs.nexus_map_job(spark, root, nx)
+    return m.select("vpu", "id", r9("value", "value"), r9("scaled_region", "scaled_region"), r9("scaled_all", "scaled_all"))

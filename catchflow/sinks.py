@@ -81,12 +81,15 @@ def write_dense(dense: DataFrame, path: str, mode: str = "overwrite") -> None:
     dense.repartition(*keys, salt).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
-def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: str = "overwrite") -> None:
-    """Headerless ``index, datetime, value`` CSVs, one folder per ``nex-<id>_output`` (the S6 layout)."""
-    s = series.select(F.concat(F.lit("nex-"), F.col(id_col), F.lit("_output")).alias("nex_file"),
+def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: str = "overwrite",
+                      partition_by: list[str] | None = None) -> None:
+    """Headerless ``index, datetime, value`` CSVs, one folder per ``nex-<id>_output`` (the S6 layout),
+    optionally below region folders (``partition_by=['vpu']``)."""
+    outer = partition_by or []
+    s = series.select(*outer, F.concat(F.lit("nex-"), F.col(id_col), F.lit("_output")).alias("nex_file"),
                       "index", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "value")
-    (s.repartition("nex_file").sortWithinPartitions("nex_file", "index")
-       .write.mode(mode).partitionBy("nex_file").option("header", False).csv(path))
+    (s.repartition(*outer, "nex_file").sortWithinPartitions(*outer, "nex_file", "index")
+       .write.mode(mode).partitionBy(*outer, "nex_file").option("header", False).csv(path))
 
 
 def write_raster(df: DataFrame, path: str, tile: int = 64, time_col: str = "time", mode: str = "overwrite") -> None:
