@@ -97,3 +97,17 @@ def nexus_map_job(spark: SparkSession, outputs_root: str, features: DataFrame, f
     m = maps.map_table(features, last, ["id"], fill=fill)
     m = maps.rescale(m, "value", by=["vpu"], out="scaled_region")
     return maps.rescale(m, "value", by=None, out="scaled_all")
+
+
+def routing_frames_job(spark: SparkSession, routed_path: str, features: DataFrame, lo: int, hi: int,
+                       gamma: float = 0.4, fill: float = 0.0) -> DataFrame:
+    """S7 + P7 + T2 + J8 + V1 + M4/W4: routed-flow array tables (one row per feature and time chunk,
+    any number of regions) -> time steps ``lo..hi`` by position -> every map feature per frame, zero
+    filled -> power-law normalisation per frame. One job for all regions and frames."""
+    from .functions.scalars import nex_id
+    from .operators import evaluate, maps
+    from .sources.series import scan_routed
+    long = scan_routed(spark, routed_path, "Time", "flow").select(nex_id("ids").alias("id"), "time", "flow")
+    steps = evaluate.position_index(long, "time", "time_idx")
+    t = maps.step_table(long, steps, features, lo, hi, fill)
+    return maps.power_norm(t, "value", by=["time_idx"], gamma=gamma)

@@ -237,3 +237,22 @@ def nexus_map_files(spark, sf):
     sinks.write_nexus_files(per_region, root, partition_by=["vpu"])
     m = jobs.nexus_map_job(spark, root, nx)
     return m.select("vpu", "id", r9("value", "value"), r9("scaled_region", "scaled_region"), r9("scaled_all", "scaled_all"))
+
+
+@register("routing_frames_files", sql=V.with_(V.NEXUS, V.FLOW) + """,
+steps AS (SELECT time, CAST(dense_rank() OVER (ORDER BY time) - 1 AS INTEGER) AS time_idx FROM (SELECT DISTINCT time FROM flow)),
+vals AS (SELECT 'nex-' || CAST(feature_id AS VARCHAR) AS id, time_idx, flow AS value FROM flow JOIN steps USING (time) WHERE time_idx BETWEEN 5 AND 12),
+frames AS (SELECT vpu, id, CAST(f.range AS INTEGER) AS time_idx FROM nexus, range(5, 13) f),
+m AS (SELECT vpu, id, time_idx, coalesce(value, 0.0) AS value FROM frames LEFT JOIN vals USING (id, time_idx)),
+b AS (SELECT time_idx, min(value) AS lo, max(value) AS hi FROM m GROUP BY 1)
+SELECT vpu, id, time_idx, round(value, 6) AS value,
+       round(CASE WHEN hi > lo THEN pow((value - lo) / (hi - lo), 0.4) END, 9) AS norm FROM m JOIN b USING (time_idx)""")
+def routing_frames_files(spark, sf):
+    """The routing-frames job from files: routed flow written as array tables (K1 layout per feature and
+    year), read back (S7), frames 5..12 for every nexus, zero fill, per-frame power norm."""
+    from .. import jobs
+    fl = views.flow(spark, sf).select(F.col("feature_id").cast("string").alias("feature_id"), "time", "flow")
+    path = scratch_path(spark, "routed")
+    sinks.write_dense(pack.to_dense(fl, ["flow"], chunk="year", id_col="feature_id"), path)
+    t = jobs.routing_frames_job(spark, path, views.nexus(spark, sf), 5, 12)
+    return t.select("vpu", "id", "time_idx", F.round("value", 6).alias("value"), r9("norm", "norm"))
