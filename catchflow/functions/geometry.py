@@ -105,6 +105,33 @@ def slab_area(rings: Column, xa: Column, xb: Column) -> Column:
         lambda acc, r: acc + F.when(r["hole"], -ring_slab(r)).otherwise(ring_slab(r)))
 
 
+def ring_edges(rings: Column) -> Column:
+    """Per ring: ``sign`` (-1 for holes) and its edges as flat structs ``ax, ay, bx, by``.
+
+    Built once per row, so a per-cell pass over it (:func:`slab_area_edges`) allocates no arrays.
+    """
+    def one(r: Column) -> Column:
+        e = _edges(r["pts"], lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"),
+                                                   b["x"].alias("bx"), b["y"].alias("by")))
+        return F.struct(F.when(r["hole"], F.lit(-1.0)).otherwise(F.lit(1.0)).alias("sign"), e.alias("e"))
+    return F.transform(F.filter(rings, lambda r: F.size(r["pts"]) >= 3), one)
+
+
+def _trap_left_flat(e: Column, X: Column) -> Column:
+    ax, ay, bx, by = e["ax"], e["ay"], e["bx"], e["by"]
+    yc = ay + (X - ax) * (by - ay) / (bx - ax)  # only in the crossing branches, where ax != bx
+    return (F.when((ax <= X) & (bx <= X), (bx - ax) * (ay + by) / 2)
+             .when(ax <= X, (X - ax) * (ay + yc) / 2)
+             .when(bx <= X, (bx - X) * (yc + by) / 2)
+             .otherwise(F.lit(0.0)))
+
+
+def slab_area_edges(redges: Column, xa: Column, xb: Column) -> Column:
+    """:func:`slab_area` on the output of :func:`ring_edges`."""
+    return F.aggregate(redges, F.lit(0.0), lambda acc, re: acc + re["sign"] * F.abs(F.aggregate(
+        re["e"], F.lit(0.0), lambda s_, e: s_ + _trap_left_flat(e, xb) - _trap_left_flat(e, xa))))
+
+
 def polygon_area(rings: Column) -> Column:
     """Area of a (multi-part) polygon: outer rings minus holes."""
     return F.aggregate(

@@ -97,11 +97,12 @@ def coverage(divides: DataFrame, grid: Grid, cells: str = "touch", expand: int =
     sb = geo.bbox(F.col("rings"))
     ix_lo = F.greatest(F.floor((sb["xmin"] - grid.x0) / grid.dx), F.col("e_ix_lo")).cast("bigint")
     ix_hi = F.least(F.ceil((sb["xmax"] - grid.x0) / grid.dx) - 1, F.col("e_ix_hi")).cast("bigint")
-    strips = strips.select("basin_id", "divide_id", "iy", "rings", ix_lo.alias("ix_lo"), ix_hi.alias("ix_hi"))
+    strips = strips.select("basin_id", "divide_id", "iy", geo.ring_edges(F.col("rings")).alias("redges"),
+                           ix_lo.alias("ix_lo"), ix_hi.alias("ix_hi"))
 
     def cell(ix):
         xlo = F.lit(grid.x0) + ix.cast("double") * F.lit(grid.dx)
-        a = geo.slab_area(F.col("rings"), xlo, xlo + F.lit(grid.dx)) / F.lit(grid.cell_area)
+        a = geo.slab_area_edges(F.col("redges"), xlo, xlo + F.lit(grid.dx)) / F.lit(grid.cell_area)
         return F.struct(ix.alias("ix"), F.least(a, F.lit(1.0)).alias("coverage"))
 
     cells = F.filter(F.transform(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi")), cell),
