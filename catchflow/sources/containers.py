@@ -2,8 +2,8 @@
 
 Each file is one task item of the ``binaryFile`` source; ``mapInArrow`` opens the bytes as an
 in-memory SQLite database (``sqlite3.Connection.deserialize``), reads the layer, and decodes the
-geometry blobs (GeoPackage header + WKB Polygon / MultiPolygon) with ``struct`` into the ring
-model ``array<struct<part, hole, pts array<struct<x, y>>>>``. An unreadable file yields an error
+geometry blobs (GeoPackage header + WKB Polygon / MultiPolygon, or Point / MultiPoint for nexus
+and gage layers, as one-vertex rings) with ``struct`` into the ring model ``array<struct<part, hole, pts array<struct<x, y>>>>``. An unreadable file yields an error
 row (``tolerant=True``) instead of failing the job.
 """
 
@@ -41,6 +41,16 @@ def _wkb_rings(buf: bytes, off: int, part: int, out: list) -> tuple[int, int]:
     has_m = bool(gtype & 0x40000000) or iso in (2, 3)
     base = code % 1000
     dims = 2 + int(has_z) + int(has_m)
+    if base == 1:  # Point: a one-vertex ring (nexus and gage locations)
+        vals = struct.unpack_from(bo + "d" * dims, buf, off)
+        out.append({"part": part, "hole": False, "pts": [{"x": vals[0], "y": vals[1]}]})
+        return off + 8 * dims, part + 1
+    if base == 4:  # MultiPoint
+        n = struct.unpack_from(bo + "I", buf, off)[0]
+        off += 4
+        for _ in range(n):
+            off, part = _wkb_rings(buf, off, part, out)
+        return off, part
     if base == 3:  # Polygon
         nrings = struct.unpack_from(bo + "I", buf, off)[0]
         off += 4
@@ -80,6 +90,11 @@ def _wkb_polygon(rings: list[dict]) -> bytes:
     return body
 
 
+def encode_point(x: float, y: float, srs_id: int = 4326) -> bytes:
+    """A point -> GeoPackage blob with a WKB Point (no envelope)."""
+    return b"GP" + bytes([0, 1]) + struct.pack("<i", srs_id) + struct.pack("<BIdd", 1, 1, x, y)
+
+
 def encode_polygon(rings: list[dict], srs_id: int = 4326) -> bytes:
     """Rings -> GeoPackage blob (no envelope): a WKB Polygon for one part, a MultiPolygon for several.
 

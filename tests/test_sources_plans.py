@@ -150,3 +150,18 @@ def test_raster_table_prunes_partitions_and_pushes_extent(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(iy), IsNotNull(ix), GreaterThanOrEqual(iy,0)" in plan
     want = r.filter("year(time) in (1996, 1997) and iy <= 4 and ix >= 5")
     assert sorted(df.collect()) == sorted(want.collect())
+
+
+def test_wkb_point_layer(spark, tmp_dir):
+    import sqlite3
+    blob = containers.encode_point(-97.5, 38.5)
+    assert containers.decode_geometry(blob) == [{"part": 0, "hole": False, "pts": [{"x": -97.5, "y": 38.5}]}]
+    con = sqlite3.connect(":memory:")
+    con.execute('CREATE TABLE nexus (fid INTEGER PRIMARY KEY, id TEXT, geom BLOB)')
+    con.execute("INSERT INTO nexus VALUES (1, 'nex-1', ?)", (blob,))
+    con.commit()
+    os.makedirs(f"{tmp_dir}/hf", exist_ok=True)
+    with open(f"{tmp_dir}/hf/01.gpkg", "wb") as fh:
+        fh.write(con.serialize())
+    d = containers.scan_divides(spark, f"{tmp_dir}/hf", layer="nexus", id_col="id").collect()
+    assert [(r.basin_id, r.divide_id, r.rings[0].pts[0].x) for r in d] == [("01", "nex-1", -97.5)]
