@@ -36,14 +36,15 @@ def get_spark(master: str | None = None, app: str = "catchflow", shuffle_partiti
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a private one only when it is unset (tests)."""
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="catchflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+        d = tempfile.mkdtemp(prefix="catchflow-ckpt-")  # no folder named by the session: local runs and tests only
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def local_path(uri: str) -> str:

@@ -18,8 +18,8 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests set their own only when unset
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="catchflow-test-ckpt-"))
+    if not s.sparkContext.getCheckpointDir():  # tests set their own only when the session names none
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catchflow-test-ckpt-"))
     yield s
     s.stop()
 
