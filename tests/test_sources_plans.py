@@ -165,3 +165,15 @@ def test_wkb_point_layer(spark, tmp_dir):
         fh.write(con.serialize())
     d = containers.scan_divides(spark, f"{tmp_dir}/hf", layer="nexus", id_col="id").collect()
     assert [(r.basin_id, r.divide_id, r.rings[0].pts[0].x) for r in d] == [("01", "nex-1", -97.5)]
+
+
+def test_public_api_names():
+    from catchflow import api
+    planned = """scan_raster scan_chunks scan_divides scan_series file_catalog hourly_paths project set_crs total_bounds
+    cells_in_extent coverage fill_nearest flatten_coverage cached_coverage catchment_mean basin_mean to_dense from_dense
+    to_long to_wide date_spine align_forecast dedupe_last duplicates merge_fields merge_conflicts keep_promised
+    completeness required_vars round_decimals round_sigfigs water_year clamp_to_water_year compile_gage pad_gage
+    ensemble_wide ensemble_mean nse nse_table feature_index feature_stats top_feature first_nonzero join_three
+    last_value map_table step_table rescale power_norm label_union in_span profile sample_ids pending record
+    ingest_daily write_series write_water_years write_dense""".split()
+    assert [n for n in planned if not callable(getattr(api, n, None))] == []
