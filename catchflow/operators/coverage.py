@@ -177,6 +177,8 @@ def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds:
     covered = feats.filter("_has").drop("_has")
     cov_tiles = covered.select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
                                F.col("bb").alias("src_bb"), _tiles(F.col("bb"), tile, F.lit(0.0)).alias("t"))
+    if covered.limit(1).count() == 0:  # nothing to copy from: no feature can be filled
+        return divides.sparkSession.createDataFrame([], "divide_id string, source_id string, dist double")
     state = missing.withColumn("radius", F.lit(float(tile)))
     found = []
     for _ in range(max_rounds):

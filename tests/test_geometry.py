@@ -128,3 +128,20 @@ def test_unravel_spark(spark):
     iy, ix = cov.unravel(F.col("cell_id"), 10)
     r = df.select(iy, ix).first()
     assert (r.iy, r.ix) == (2, 3)
+
+
+def test_nearest_without_any_covered_feature(spark):
+    g = Grid("g", 100.0, 100.0, 1.0, 1.0, 4, 4)  # the grid misses every polygon
+    df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "M", [square(-3, 0.5, -1, 1.5)])])
+    c = cov.coverage(df, g)
+    assert c.count() == 0
+    assert cov.nearest_sources(df, c, tile=1.0).count() == 0
+
+
+def test_bounded_broadcast_bound(spark):
+    from catchflow.session import bounded_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+    j_small = spark.range(100).join(bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    j_big = spark.range(100).join(bounded_broadcast(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in j_small.lower() and "broadcast" not in j_big.lower()
