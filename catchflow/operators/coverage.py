@@ -105,9 +105,9 @@ def coverage(divides: DataFrame, grid: Grid, cells: str = "touch", expand: int =
         a = geo.slab_area_edges(F.col("redges"), xlo, xlo + F.lit(grid.dx)) / F.lit(grid.cell_area)
         return F.struct(ix.alias("ix"), F.least(a, F.lit(1.0)).alias("coverage"))
 
-    cells = F.filter(F.transform(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi")), cell),
-                     lambda c: c["coverage"] > COVERAGE_EPS)
-    out = strips.select("basin_id", "divide_id", "iy", F.inline(cells))
+    strip_cells = F.filter(F.transform(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi")), cell),
+                           lambda c: c["coverage"] > COVERAGE_EPS)
+    out = strips.select("basin_id", "divide_id", "iy", F.inline(strip_cells))
     return out.select("basin_id", "divide_id", (F.col("iy") * grid.nx + F.col("ix")).alias("cell_id"),
                       "iy", "ix", "coverage")
 
