@@ -27,12 +27,14 @@ def prepare_coverage(cov: DataFrame) -> DataFrame:
 
 
 def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], missing: str = "poison",
-                   time_col: str = "time", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   time_col: str = "time", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   dense: str | None = None) -> DataFrame:
     """A1: coverage-weighted mean of each variable per (basin, catchment, time).
 
     ``missing='poison'`` (the reference rule): a covered cell that is NULL or has no raster row makes
     the result NULL; the denominator is all coverage. ``missing='skip'`` averages what is present.
-    ``cov`` is either a plain coverage table or the output of :func:`prepare_coverage`.
+    ``cov`` is either a plain coverage table or the output of :func:`prepare_coverage`. With ``dense``
+    (an interval such as ``'1 hour'``) every catchment gets a row per step, NULL where no raster row exists.
 
     Coverage with at most ``broadcast_rows`` rows is broadcast whole. A bigger coverage is split into
     spatial bands of whole catchments, each at most ``broadcast_rows`` rows; every band broadcasts
@@ -44,8 +46,23 @@ def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], miss
         raise ValueError(f"missing must be 'poison' or 'skip', not {missing!r}")
     c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
     if c.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return _weighted(raster, F.broadcast(c), variables, missing, time_col)
-    return _banded(raster, c, variables, missing, time_col, broadcast_rows)
+        out = _weighted(raster, F.broadcast(c), variables, missing, time_col)
+    else:
+        out = _banded(raster, c, variables, missing, time_col, broadcast_rows)
+    return out if dense is None else _densify(out, raster, c, variables, time_col, dense)
+
+
+def _densify(out: DataFrame, raster: DataFrame, c: DataFrame, variables: list[str], time_col: str,
+             step: str) -> DataFrame:
+    """``dense='1 hour'`` (any interval): one row per catchment and time step from the raster's first to
+    last time, NULL where a step has no raster row at all. The spine is a ``sequence`` exploded per
+    catchment (the output itself), joined to the means by key; no cross join."""
+    t0, t1 = raster.agg(F.min(time_col), F.max(time_col)).first()  # two scalars
+    if t0 is None:
+        return out
+    spine = F.sequence(F.lit(t0), F.lit(t1), F.expr(f"interval {step}"))
+    cats = c.select("basin_id", "divide_id").distinct().select("basin_id", "divide_id", F.explode(spine).alias(time_col))
+    return cats.join(out, ["basin_id", "divide_id", time_col], "left").select("basin_id", "divide_id", time_col, *variables)
 
 
 def _weighted(raster: DataFrame, c: DataFrame, variables: list[str], missing: str, time_col: str) -> DataFrame:

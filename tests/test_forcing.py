@@ -120,3 +120,12 @@ def test_stream_many_batches_and_rerun_is_idempotent(spark, tmp_dir):
     assert again == first
     batch = sorted(tuple(x) for x in forcing.catchment_mean(r, c, ["qty", "disc"]).collect())
     assert first == batch
+
+
+def test_dense_spine_fills_missing_steps(spark):
+    c = cov_df(spark, [("b", "d", 0, 0, 0, 1.0)])
+    r = raster_df(spark, [(T0, 0, 0, 1.0), (T0 + dt.timedelta(hours=3), 0, 0, 4.0)])
+    sparse = forcing.catchment_mean(r, c, ["v"]).count()
+    dense = sorted((x.time, x.v) for x in forcing.catchment_mean(r, c, ["v"], dense="1 hour").collect())
+    assert sparse == 2 and len(dense) == 4
+    assert dense[1][1] is None and dense[3][1] == 4.0
