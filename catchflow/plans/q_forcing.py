@@ -272,3 +272,16 @@ def coverage_multipart_holes(spark, sf):
     d = b.select("basin_id", "divide_id", F.concat(outer, hole, part2).alias("rings"))
     c = cov.coverage(d, G)
     return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
+
+
+@register("catchment_forcing_dense", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """,
+span AS (SELECT min(time) AS t0, max(time) AS t1 FROM raster),
+spine AS (SELECT d.basin_id, d.divide_id, unnest(generate_series(t0, t1, INTERVAL 1 MONTH)) AS time
+          FROM (SELECT DISTINCT basin_id, divide_id FROM rect_cov) d, span)
+SELECT s.basin_id, s.divide_id, s.time, round(c.qty, 9) AS qty, round(c.disc, 9) AS disc
+FROM spine s LEFT JOIN catch c USING (basin_id, divide_id, time)""")
+def catchment_forcing_dense(spark, sf):
+    """A1 with a time spine: every catchment gets every month from the raster's first to last, NULL where
+    none of its cells has a raster row."""
+    c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS, dense="1 month")
+    return c.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
