@@ -372,7 +372,7 @@ def _spans(chunks: list[int], data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names=["chunk", "data"])
 
 
-def _cleaner(with_text: bool):
+def _cleaner(with_text: bool, as_text: bool):
     """A chunk's texts and its spans -> what is left of each text."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         cols: list[list] = [[], [], [], [], []]
@@ -394,26 +394,28 @@ def _cleaner(with_text: bool):
                     n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     data = data[~gone]
                 raw = data.tobytes()
-                for col, v in zip(cols, (m, n_removed, n_spans, hashlib.sha256(raw).hexdigest(), raw if with_text else None)):
+                body = (raw.decode("utf-8", "ignore") if as_text else raw) if with_text else None
+                for col, v in zip(cols, (m, n_removed, n_spans, hashlib.sha256(raw).hexdigest(), body)):
                     col.append(v)
-        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary()]
         names = ["md5", "r_removed", "r_spans", "r_sha256", "r_kept"]
         n = 5 if with_text else 4
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types[:n])], names=names[:n])
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False, as_text: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> its columns without text, n_bytes, n_removed, n_spans, kept_sha256 [, kept].
 
-    ``kept`` is binary: the remaining bytes, which can begin or end within a character.
+    ``kept`` is binary: the remaining bytes, which can begin or end within a character; with ``as_text`` it is a
+    string without the parts of such characters. Input columns of these names are replaced.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     spark = docs.sparkSession
     prepare(spark)
     n = partitions(spark)
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     slim = keep_table(docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(rest)], F.col("doc_id").cast("long").alias("id"), F.md5(t).alias("md5"),
                                   F.octet_length(t).cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("row")), "dedup-rows")
@@ -429,8 +431,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     runs = (texts.groupBy("chunk").cogroup(twice.union(own).groupBy("chunk"))
             .applyInArrow(_runs_of(n, length), "route int, kind int, chunk int, data binary, bytes binary"))
     spans = runs.repartition(n, "route").mapInArrow(_suffix_task(length), "chunk int, data binary")
-    schema = "md5 string, r_removed long, r_spans long, r_sha256 string" + ", r_kept binary" * with_text
-    clean = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cleaner(with_text), schema)
+    schema = "md5 string, r_removed long, r_spans long, r_sha256 string" + (", r_kept string" if as_text else ", r_kept binary") * with_text
+    clean = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cleaner(with_text, as_text), schema)
     if not with_text:
         clean = keep_table(clean, "dedup-texts")
     who = owners.select(F.col("md5").alias("m"), F.col("o.row").alias("first"))
@@ -443,8 +445,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     if with_text:
         short = docs.select(F.md5(t).alias("s"), t.alias("short")).where(F.octet_length("short") < length).dropDuplicates(["s"])
         j = j.join(short, F.col("md5") == F.col("s"), "left")
-        kept = pick(F.col("r_kept"), F.lit(b""), F.col("short").cast("binary"))
-        return j.select(*out, F.sha2(kept, 256).alias("kept_sha256"), kept.alias("kept"))
+        kept = pick(F.col("r_kept"), F.lit("") if as_text else F.lit(b""), F.col("short") if as_text else F.col("short").cast("binary"))
+        sha = pick(F.col("r_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.sha2("short", 256))
+        return j.select(*out, sha.alias("kept_sha256"), kept.alias("kept"))
     small = docs.select(F.md5(t).alias("s"), F.sha2(t, 256).alias("whole"), F.octet_length(t).alias("l")).where(F.col("l") < length).select("s", "whole").distinct()
     j = j.join(small, F.col("md5") == F.col("s"), "left")
     return j.select(*out, pick(F.col("r_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.col("whole")).alias("kept_sha256"))
