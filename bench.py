@@ -20,7 +20,7 @@ HEADLINE = [
     "dense_pack", "nearest_fill", "round_decimals", "water_year_summary", "catalog_paths",
     "ensemble_wide", "nse_table", "nse_obs_all", "nonzero_features", "peak_feature", "three_way_join",
     "last_value_map", "step_map", "rescale_region", "forecast_align", "dedupe_last", "merge_outer",
-    "completeness", "required_vars", "ledger_anti", "profile", "forecast_forcing", "catchment_forcing_banded",
+    "completeness", "required_vars", "ledger_anti", "profile", "forecast_forcing", "catchment_forcing_shuffled",
     "chunk_scan", "polygon_container_scan", "incremental_daily",
 ]
 

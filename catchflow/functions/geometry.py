@@ -79,32 +79,6 @@ def ring_area(pts: Column) -> Column:
     return F.when(F.size(pts) >= 3, F.abs(s) / 2.0).otherwise(F.lit(0.0))
 
 
-def _trap_left(a: Column, b: Column, X: Column) -> Column:
-    """Signed trapezoid ``(qx - px) * (py + qy) / 2`` of the part of segment a->b with ``x <= X``."""
-    ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
-    yc = ay + (X - ax) * (by - ay) / (bx - ax)  # only evaluated in the crossing branches, where ax != bx
-    return (F.when((ax <= X) & (bx <= X), (bx - ax) * (ay + by) / 2)
-             .when(ax <= X, (X - ax) * (ay + yc) / 2)       # a inside, b beyond: a -> crossing
-             .when(bx <= X, (bx - X) * (yc + by) / 2)       # a beyond, b inside: crossing -> b
-             .otherwise(F.lit(0.0)))
-
-
-def slab_area(rings: Column, xa: Column, xb: Column) -> Column:
-    """Area of a (multi-ring) polygon between ``x = xa`` and ``x = xb``, holes subtracted.
-
-    Uses ``area(P n {x <= X}) = sum over edges of the trapezoid of the edge part left of X`` (the cut
-    along ``x = X`` is vertical and adds nothing), so one arithmetic pass over the edges gives the
-    slab's area as ``|F(xb) - F(xa)|`` per ring without building any clipped polygon.
-    """
-    def ring_slab(r: Column) -> Column:
-        terms = _edges(r["pts"], lambda a, b: _trap_left(a, b, xb) - _trap_left(a, b, xa))
-        return F.abs(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t))
-
-    return F.aggregate(
-        F.filter(rings, lambda r: F.size(r["pts"]) >= 3), F.lit(0.0),
-        lambda acc, r: acc + F.when(r["hole"], -ring_slab(r)).otherwise(ring_slab(r)))
-
-
 def ring_edges(rings: Column) -> Column:
     """Per ring: ``sign`` (-1 for holes) and its edges as flat structs ``ax, ay, bx, by``.
 
@@ -127,7 +101,11 @@ def _trap_left_flat(e: Column, X: Column) -> Column:
 
 
 def slab_area_edges(redges: Column, xa: Column, xb: Column) -> Column:
-    """:func:`slab_area` on the output of :func:`ring_edges`."""
+    """Area of a polygon (the output of :func:`ring_edges`) between ``x = xa`` and ``x = xb``, holes subtracted.
+
+    ``area(P n {x <= X})`` is the sum over edges of the trapezoid of the edge part left of X (the cut along
+    ``x = X`` is vertical and adds nothing), so one pass over the edges gives the slab without clipping.
+    """
     return F.aggregate(redges, F.lit(0.0), lambda acc, re: acc + re["sign"] * F.abs(F.aggregate(
         re["e"], F.lit(0.0), lambda s_, e: s_ + _trap_left_flat(e, xb) - _trap_left_flat(e, xa))))
 
@@ -192,11 +170,6 @@ def _segs_cross(s: Column, t: Column) -> Column:
     return (o1 * o2 < 0) & (o3 * o4 < 0)
 
 
-def point_in_rings(p: Column, rings: Column) -> Column:
-    """Even-odd rule over all rings (holes included)."""
-    return _point_in_segs(p, _segments(rings))
-
-
 def with_polygon_distance(df, a: str, b: str, out: str = "dist"):
     """Add ``out`` = :func:`polygon_distance` of two ring columns, with the edge and vertex arrays
     computed once as columns (keeps the generated code small)."""

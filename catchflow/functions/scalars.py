@@ -116,17 +116,6 @@ def nex_id(c: Column | str) -> Column:
     return F.concat(F.lit("nex-"), _c(c).cast("string"))
 
 
-def nex_from_file(name: Column | str) -> Column:
-    """``nex-<id>_output.csv`` -> ``<id>``."""
-    return F.regexp_extract(_c(name), r"nex-([^_]+)_output", 1)
-
-
-def stem(name: Column | str) -> Column:
-    """File name without directory and extension."""
-    base = F.regexp_extract(_c(name), r"([^/]+)$", 1)
-    return F.regexp_replace(base, r"\.[^.]*$", "")
-
-
 def level_of(lv: Column | str) -> Column:
     """T5: ``level/variable`` -> level."""
     return F.split_part(_c(lv), F.lit("/"), F.lit(1))

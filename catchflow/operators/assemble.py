@@ -28,6 +28,13 @@ def align_forecast(runs: DataFrame, horizon: int, day: str | None = None, init_c
     return r
 
 
+def align_analysis(runs: DataFrame, day: str | None = None, init_col: str = "init_hour", step_col: str = "step") -> DataFrame:
+    """J13 for analysis files: step 0 of every run, valid at its init hour."""
+    r = runs.filter(F.col(step_col) == 0).withColumn("time", F.col(init_col))
+    r = r.withColumn("day", F.to_date("time"))
+    return r if day is None else r.filter(F.col("day") == F.lit(day).cast("date"))
+
+
 def dedupe_last(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     """Per key keep the row with the largest ``seq`` (keep-last by input order)."""
     others = [c for c in df.columns if c not in keys]

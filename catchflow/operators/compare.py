@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
-
 
 def label_union(sources: dict[str, DataFrame], keys: list[str], variables: list[str]) -> DataFrame:
     """U4: union of sources with a ``source`` label, variables unpivoted to ``variable, value``."""
@@ -55,7 +53,7 @@ def profile(df: DataFrame) -> DataFrame:
 def sample_ids(ids: DataFrame, col: str, n: int, seed: int) -> DataFrame:
     """``n`` seeded draws with replacement from the distinct ids.
 
-    Draw ``i`` picks position ``pmod(xxhash64(seed, i), count)`` of the sorted distinct ids; the
+    Draw ``i`` picks position ``md5(seed:i) mod count`` (its first 8 hex digits) of the sorted distinct ids; the
     draws are generated as rows and joined to a position index of the ids (an equi-join).
     """
     from .ordering import ordered_index
@@ -64,8 +62,9 @@ def sample_ids(ids: DataFrame, col: str, n: int, seed: int) -> DataFrame:
     idx = ordered_index(d, [col], "_pos")
     total = idx.count()  # one scalar
     draws = spark.range(n).select(F.col("id").alias("draw"),
-                                  F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total)).alias("_pos"))
-    return draws.join(bounded_broadcast(idx), "_pos").select("draw", col)
+                                  (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), 1, 8), 16, 10)
+                                   .cast("long") % F.lit(total)).alias("_pos"))
+    return draws.join(idx, "_pos").select("draw", col)
 
 
 def head_tail(df: DataFrame, order: str, n: int = 5):

@@ -3,7 +3,7 @@
 Candidate cells come from each polygon's own bounding box, so work follows polygon area, never
 polygons x cells. The overlay runs in two stages: every polygon is first clipped to the row strips
 it spans (one row per strip), the strips are hash-spread over tasks so a single huge polygon is
-split, and each cell's share of its strip is then one edge-wise integral (``slab_area``). All of it
+split, and each cell's share of its strip is then one edge-wise integral (``slab_area_edges``). All of it
 is Catalyst expressions.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..schemas import Grid
-from ..session import bounded_broadcast, checkpoint_dir
+from ..session import written
 
 # Coverage below this is floating-point dust from clipping along a cell edge.
 COVERAGE_EPS = 1e-12
@@ -61,12 +61,12 @@ def extent_cells(bounds: DataFrame, grid: Grid, by: str = "basin_id", expand: in
              .select(by, "iy", F.explode(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi"))).alias("ix")))
 
 
-def coverage(divides: DataFrame, grid: Grid, cells: str = "touch", expand: int = 0,
+def coverage(divides: DataFrame, grid: Grid, cells: str = "centre", expand: int = 0,
              id_col: str = "divide_id", auto_expand: bool = True) -> DataFrame:
     """J2 + G1: exact fraction of each grid cell covered by each polygon.
 
-    ``cells='touch'`` keeps every cell the polygon touches; ``cells='centre'`` keeps only cells whose
-    centre lies within the bounds of the polygon's basin (the slice the reference overlays on).
+    ``cells='centre'`` keeps only cells whose centre lies within the bounds of the polygon's basin (the
+    slice the reference overlays on); ``cells='touch'`` keeps every cell the polygon touches.
     Output: ``basin_id, divide_id, cell_id, iy, ix, coverage`` with global grid indices.
     """
     d = divides.select(F.col("basin_id"), F.col(id_col).alias("divide_id"), "rings",
@@ -76,8 +76,8 @@ def coverage(divides: DataFrame, grid: Grid, cells: str = "touch", expand: int =
     d = d.select("basin_id", "divide_id", "rings", iy_lo.alias("iy_lo"), iy_hi.alias("iy_hi"))
     if cells == "centre":
         ext = cells_in_extent(total_bounds(divides, "basin_id"), grid, expand, auto_expand)
-        ext = bounded_broadcast(ext.select("basin_id", F.col("iy_lo").alias("e_iy_lo"), F.col("iy_hi").alias("e_iy_hi"),
-                                           F.col("ix_lo").alias("e_ix_lo"), F.col("ix_hi").alias("e_ix_hi")))
+        ext = ext.select("basin_id", F.col("iy_lo").alias("e_iy_lo"), F.col("iy_hi").alias("e_iy_hi"),
+                         F.col("ix_lo").alias("e_ix_lo"), F.col("ix_hi").alias("e_ix_hi"))
         d = (d.join(ext, "basin_id")
               .withColumn("iy_lo", F.greatest("iy_lo", "e_iy_lo")).withColumn("iy_hi", F.least("iy_hi", "e_iy_hi")))
     elif cells != "touch":
@@ -158,50 +158,46 @@ def _tiles(bb, tile: float, pad):
                                                                   lambda ty: F.struct(tx.alias("tx"), ty.alias("ty"))))))
 
 
-def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds: int = 32) -> DataFrame:
+def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float) -> DataFrame:
     """J3 + G2 + W2: for each feature without cells, the nearest feature with cells.
 
-    Exact, with equi-joins on spatial tiles instead of a cross join: a feature missing cells looks in
-    the tiles within radius ``r`` of its bbox; if the best candidate is at distance <= r it is exact
-    (any closer polygon has a bbox within r), otherwise ``r`` grows to that distance (or doubles) and
-    the feature is searched again. Ties go to the smallest ``divide_id``.
+    Exact, with equi-joins on spatial tiles instead of a cross join: a feature missing cells looks in the
+    tiles within radius ``r`` of its bbox; if the best candidate is at distance <= r it is exact (any closer
+    polygon has a bbox within r), otherwise ``r`` doubles and the feature is searched again. The tile grows
+    with the radius, so a small feature has at most nine tiles in any round, and the search ends when every
+    feature has its answer. Ties go to the smallest ``divide_id``.
     Output: ``divide_id`` (missing), ``source_id``, ``dist``.
     """
-    checkpoint_dir(divides.sparkSession)
     covered_ids = cov.select("divide_id").distinct().withColumn("_has", F.lit(True))
     # one written table: every feature with its bbox and whether it has cells (the overlay is not re-run)
-    feats = (divides.select("divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
-             .join(covered_ids, "divide_id", "left")
-             .withColumn("_has", F.coalesce("_has", F.lit(False))).checkpoint(eager=True))
-    missing = feats.filter(~F.col("_has")).drop("_has")
-    covered = feats.filter("_has").drop("_has")
-    cov_tiles = covered.select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
-                               F.col("bb").alias("src_bb"), _tiles(F.col("bb"), tile, F.lit(0.0)).alias("t"))
+    feats = written(divides.select("divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
+                    .join(covered_ids, "divide_id", "left")
+                    .withColumn("_has", F.coalesce("_has", F.lit(False))), "nearest-features")
+    state = feats.filter(~F.col("_has")).drop("_has")
+    covered = feats.filter("_has").select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
+                                          F.col("bb").alias("src_bb"))
+    none = divides.sparkSession.createDataFrame([], "divide_id string, source_id string, dist double")
     if covered.limit(1).count() == 0:  # nothing to copy from: no feature can be filled
-        return divides.sparkSession.createDataFrame([], "divide_id string, source_id string, dist double")
-    state = missing.withColumn("radius", F.lit(float(tile)))
-    found = []
-    for _ in range(max_rounds):
-        cand = (state.select("divide_id", "rings", "bb", "radius", _tiles(F.col("bb"), tile, F.col("radius")).alias("t"))
-                .join(cov_tiles, "t"))
+        return none
+    radius, found = float(tile), []
+    while state.limit(1).count():
+        r = F.lit(radius)
+        cand = (state.select("*", _tiles(F.col("bb"), radius, r).alias("t"))
+                .join(covered.select("*", _tiles(F.col("src_bb"), radius, F.lit(0.0)).alias("t")), "t"))
         # a pair sharing several tiles is kept only in the tile of its overlap's lower-left corner (no shuffle)
-        ref_x = F.floor(F.greatest(F.col("bb.xmin") - F.col("radius"), F.col("src_bb.xmin")) / tile).cast("bigint")
-        ref_y = F.floor(F.greatest(F.col("bb.ymin") - F.col("radius"), F.col("src_bb.ymin")) / tile).cast("bigint")
+        ref_x = F.floor(F.greatest(F.col("bb.xmin") - r, F.col("src_bb.xmin")) / r).cast("bigint")
+        ref_y = F.floor(F.greatest(F.col("bb.ymin") - r, F.col("src_bb.ymin")) / r).cast("bigint")
         cand = cand.filter((F.col("t.tx") == ref_x) & (F.col("t.ty") == ref_y))
         cand = geo.with_polygon_distance(cand, "rings", "src_rings", "dist")
-        best = (cand.groupBy("divide_id").agg(F.min(F.struct("dist", "source_id")).alias("b"))
+        best = (cand.filter(F.col("dist") <= r).groupBy("divide_id").agg(F.min(F.struct("dist", "source_id")).alias("b"))
                 .select("divide_id", F.col("b.dist").alias("dist"), F.col("b.source_id").alias("source_id")))
         # one written table per round: this round's answers and what is still open
-        res = state.join(best, "divide_id", "left").withColumn(
-            "done", F.coalesce(F.col("dist") <= F.col("radius"), F.lit(False))).checkpoint(eager=True)
-        found.append(res.filter("done").select("divide_id", "source_id", "dist"))
-        state = (res.filter(~F.col("done"))
-                 .select("divide_id", "rings", "bb",
-                         F.greatest(F.col("radius") * 2, F.coalesce(F.col("dist"), F.lit(0.0))).alias("radius")))
-        if state.limit(1).count() == 0:
-            break
-    out = found[0]
-    for f in found[1:]:
+        res = written(state.join(best, "divide_id", "left"), "nearest-round")
+        found.append(res.filter(F.col("dist").isNotNull()).select("divide_id", "source_id", "dist"))
+        state = res.filter(F.col("dist").isNull()).select("divide_id", "rings", "bb")
+        radius *= 2
+    out = none
+    for f in found:
         out = out.unionByName(f)
     return out
 
@@ -209,8 +205,7 @@ def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float, max_rounds:
 def fill_nearest(cov: DataFrame, divides: DataFrame, grid: Grid, tile: float | None = None) -> DataFrame:
     """Features without cells copy the cells of their nearest covered feature."""
     tile = tile or 16 * max(grid.dx, grid.dy)
-    checkpoint_dir(divides.sparkSession)
-    cov = cov.checkpoint(eager=True)  # used by the search and by the copy below
+    cov = written(cov, "coverage")  # used by the search and by the copy below
     near = nearest_sources(divides, cov, tile)
     copied = (near.join(divides.select("divide_id", "basin_id"), "divide_id")
               .join(cov.select(F.col("divide_id").alias("source_id"), "cell_id", "iy", "ix", "coverage"), "source_id")

@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nse import nse, obs_ss, sse
-from ..session import bounded_broadcast
 
 
 def ensemble_wide(series: DataFrame, ids: list[str], key: str = "datetime") -> DataFrame:
-    """One column per member, outer-aligned on ``key``; duplicate keys do not multiply (A16 reports them)."""
-    return series.groupBy(key).pivot("id", ids).agg(F.first("value"))
+    """One column per member, outer-aligned on ``key``; of duplicate keys the largest value stays (A16 reports them)."""
+    return series.groupBy(key).pivot("id", ids).agg(F.max("value"))
 
 
 def ensemble_mean(series: DataFrame, key: str = "datetime", by: list[str] | None = None) -> DataFrame:
@@ -52,7 +51,7 @@ def nse_table(obs: DataFrame, members: DataFrame, mode: str = "masked", key: str
     num = j.groupBy(*by, "id").agg(sse("obs", "value").alias("num"), F.count(F.lit(1)).alias("n"))
     if by:
         den = obs.groupBy(*by).agg(obs_ss("obs").alias("den"))
-        out = num.join(bounded_broadcast(den), by)
+        out = num.join(den, by)
     else:  # one series: the denominator is one scalar
         den = obs.agg(obs_ss("obs")).first()[0]
         out = num.withColumn("den", F.lit(den).cast("double"))
@@ -86,7 +85,7 @@ def feature_stats(flow: DataFrame, idx: DataFrame | None = None, dt: float | Non
         aggs.append((F.sum("flow") * F.lit(float(dt))).alias("volume"))
     g = flow.groupBy("feature_id").agg(*aggs)
     if idx is not None:
-        g = g.join(bounded_broadcast(idx), "feature_id")
+        g = g.join(idx, "feature_id")
     return g
 
 

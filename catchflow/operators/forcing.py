@@ -1,9 +1,9 @@
 """Grid -> catchment -> basin forcing (J1, A1, A2) and the long/wide reshape.
 
-The coverage table is small next to the raster and is reused for every time step, so it is
-broadcast when its size is proven small; the raster then streams through one whole-stage-codegen
-span: scan -> broadcast hash join -> partial aggregate, and only the partial sums per
-(catchment, time) are shuffled. A larger coverage is processed in bounded spatial bands.
+The coverage table is written once, so the planner knows its size: a small one is broadcast and the raster
+streams through one whole-stage-codegen span (scan, hash join, partial aggregate), a large one is joined by
+a shuffle on the cell, which AQE splits where it is skewed. One plan serves any size. The raster is cut to
+the covered rows and columns by literal ranges, which reach the scan.
 """
 
 from __future__ import annotations
@@ -11,44 +11,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_BROADCAST_ROWS, checkpoint_dir
+from ..session import written
 
 
 def prepare_coverage(cov: DataFrame) -> DataFrame:
-    """Coverage with each catchment's cell count, materialised once in the shared checkpoint folder.
+    """Coverage with each catchment's cell count, written once to the shared folder.
 
-    The checkpoint cuts the polygon-clipping lineage: the size check, the broadcast and any retry
-    after a lost executor read the written table instead of clipping again.
+    The written table cuts the polygon-clipping lineage: every use and any retry after a lost executor
+    reads it instead of clipping again.
     """
-    checkpoint_dir(cov.sparkSession)
-    base = cov.select("basin_id", "divide_id", "iy", "ix", "coverage").checkpoint(eager=True)  # overlay runs once
+    base = written(cov.select("basin_id", "divide_id", "iy", "ix", "coverage"), "coverage")  # overlay runs once
     ncell = base.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    return base.join(ncell, "divide_id")  # both sides read the written table
+    return written(base.join(ncell, "divide_id"), "coverage-cells")
+
+
+def covered_range(raster: DataFrame, c: DataFrame) -> DataFrame:
+    """The raster's rows within the covered index ranges (four scalars, as literals the scan can use)."""
+    y0, y1, x0, x1 = c.agg(F.min("iy"), F.max("iy"), F.min("ix"), F.max("ix")).first()
+    if y0 is None:
+        return raster.filter(F.lit(False))
+    return raster.filter(F.col("iy").between(y0, y1) & F.col("ix").between(x0, x1))
 
 
 def catchment_mean(raster: DataFrame, cov: DataFrame, variables: list[str], missing: str = "poison",
-                   time_col: str = "time", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   dense: str | None = None) -> DataFrame:
+                   time_col: str = "time", dense: str | None = None, join: str | None = None) -> DataFrame:
     """A1: coverage-weighted mean of each variable per (basin, catchment, time).
 
     ``missing='poison'`` (the reference rule): a covered cell that is NULL or has no raster row makes
     the result NULL; the denominator is all coverage. ``missing='skip'`` averages what is present.
     ``cov`` is either a plain coverage table or the output of :func:`prepare_coverage`. With ``dense``
     (an interval such as ``'1 hour'``) every catchment gets a row per step, NULL where no raster row exists.
-
-    Coverage with at most ``broadcast_rows`` rows is broadcast whole. A bigger coverage is split into
-    spatial bands of whole catchments, each at most ``broadcast_rows`` rows; every band broadcasts
-    its own coverage against the raster rows of its row/column range only (a pushed-down range
-    filter), and writes its result to the shared checkpoint folder. The raster is never shuffled.
+    ``join`` is a join hint for the coverage side (``'merge'`` forces the shuffle join); by default the
+    planner chooses by size.
     """
     variables = [v for v in variables if v in raster.columns]  # P10
     if missing not in ("poison", "skip"):
         raise ValueError(f"missing must be 'poison' or 'skip', not {missing!r}")
     c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
-    if c.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        out = _weighted(raster, F.broadcast(c), variables, missing, time_col)
-    else:
-        out = _banded(raster, c, variables, missing, time_col, broadcast_rows)
+    out = _weighted(covered_range(raster, c), c.hint(join) if join else c, variables, missing, time_col)
     return out if dense is None else _densify(out, raster, c, variables, time_col, dense)
 
 
@@ -84,35 +84,8 @@ def _weighted(raster: DataFrame, c: DataFrame, variables: list[str], missing: st
     return g.select("basin_id", "divide_id", time_col, *outs)
 
 
-def _banded(raster: DataFrame, c: DataFrame, variables: list[str], missing: str, time_col: str,
-            bound: int) -> DataFrame:
-    """Bands of whole catchments in row order, each with at most ``bound`` coverage rows (a catchment
-    larger than the bound gets a band of its own and a shuffle join with AQE skew handling)."""
-    from ..session import scratch_path
-    from .ordering import running_sum
-    spark = c.sparkSession
-    checkpoint_dir(spark)
-    per = c.groupBy("divide_id").agg(F.min("iy").alias("_iy0"), F.count(F.lit(1)).alias("_n"))
-    # running total over the catchment dimension (one row per catchment, not per fact), range-partitioned
-    per = running_sum(per, ["_iy0", "divide_id"], "_n", "_cum")
-    per = per.withColumn("band", F.floor((F.col("_cum") - F.col("_n")) / F.lit(bound)).cast("bigint"))
-    cb = c.join(per.select("divide_id", "band"), "divide_id").checkpoint(eager=True)
-    bands = (cb.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("iy").alias("iy0"), F.max("iy").alias("iy1"),
-                                    F.min("ix").alias("ix0"), F.max("ix").alias("ix1"))
-               .orderBy("band").collect())  # one small row per band
-    paths = []
-    for b in bands:
-        cov_b = cb.filter(F.col("band") == b["band"]).drop("band")
-        r_b = raster.filter(F.col("iy").between(b["iy0"], b["iy1"]) & F.col("ix").between(b["ix0"], b["ix1"]))
-        side = F.broadcast(cov_b) if b["n"] <= bound else cov_b
-        path = scratch_path(spark, f"band-{b['band']}")
-        _weighted(r_b, side, variables, missing, time_col).write.parquet(path)
-        paths.append(path)
-    return spark.read.parquet(*paths)
-
-
 def catchment_mean_long(raster_long: DataFrame, cov: DataFrame, variables: list[str] | None = None,
-                        time_col: str = "time", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        time_col: str = "time") -> DataFrame:
     """A1 on the long raster (``time, iy, ix, variable, value``, as chunk scans produce it).
 
     Joins coverage to the long rows and aggregates per (catchment, time, variable), so the raster is
@@ -120,18 +93,16 @@ def catchment_mean_long(raster_long: DataFrame, cov: DataFrame, variables: list[
     Poisoning as in :func:`catchment_mean`: a covered cell without a value for the variable makes it NULL.
     """
     c = cov if "n_cells" in cov.columns else prepare_coverage(cov)
-    if c.limit(broadcast_rows + 1).count() > broadcast_rows:
-        raise ValueError("coverage above the broadcast bound: use catchment_mean on a wide raster (banded)")
-    r = raster_long.select(time_col, "iy", "ix", "variable", "value")
+    r = covered_range(raster_long, c).select(time_col, "iy", "ix", "variable", "value")
     if variables:
         r = r.filter(F.col("variable").isin(variables))
-    g = (r.join(F.broadcast(c), ["iy", "ix"])
+    g = (r.join(c, ["iy", "ix"])
           .groupBy("basin_id", "divide_id", time_col, "variable")
           .agg(F.sum(F.col("value") * F.col("coverage")).alias("_s"), F.count("value").alias("_k"),
                F.max("n_cells").alias("_n"), F.sum(F.when(F.col("value").isNotNull(), F.col("coverage"))).alias("_c")))
     long = g.select("basin_id", "divide_id", time_col, "variable",
                     F.when(F.col("_k") == F.col("_n"), F.try_divide("_s", "_c")).alias("value"))
-    return long.groupBy("basin_id", "divide_id", time_col).pivot("variable", variables).agg(F.first("value"))
+    return long.groupBy("basin_id", "divide_id", time_col).pivot("variable", variables).agg(F.max("value"))
 
 
 def basin_mean(catchment: DataFrame, variables: list[str], time_col: str = "time",
@@ -154,5 +125,5 @@ def to_long(df: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
 
 
 def to_wide(df: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
-    """P16 inverse: one column per variable (listed, so the pivot needs no extra pass)."""
-    return df.groupBy(*keys).pivot("variable", variables).agg(F.first("value"))
+    """P16 inverse: one column per variable (listed, so the pivot needs no extra pass); of duplicates the largest stays."""
+    return df.groupBy(*keys).pivot("variable", variables).agg(F.max("value"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LEDGER
+from ..session import path_exists
 
 
 def pending(basins: DataFrame, ledger: DataFrame, skip: str = "finished", key: str = "basin_id") -> DataFrame:
@@ -24,15 +25,16 @@ def pending(basins: DataFrame, ledger: DataFrame, skip: str = "finished", key: s
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table; empty when nothing was recorded yet."""
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing folder means an empty ledger
-        return spark.createDataFrame([], LEDGER)
+    """The ledger table; empty when nothing was recorded yet (any other read error is raised)."""
+    return spark.read.schema(LEDGER).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], LEDGER)
 
 
 def record(ids: DataFrame, path: str, status: str, key: str = "basin_id") -> None:
-    """K9: append one line per id; call with ``processing`` before the work and ``finished`` after its write."""
-    (ids.select(F.col(key).cast("string").alias("basin_id"), F.lit(status).alias("status"),
+    """K9: append one line per id; call with ``processing`` before the work and ``finished`` after its write.
+
+    An id that already has this status gets no second line, so a retried batch changes nothing.
+    """
+    have = read_ledger(ids.sparkSession, path).where(F.col("status") == status).select(F.col("basin_id").alias(key)).distinct()
+    (ids.withColumn(key, F.col(key).cast("string")).join(have, key, "left_anti").select(F.col(key).cast("string").alias("basin_id"), F.lit(status).alias("status"),
                 F.localtimestamp().alias("ts"))
         .write.mode("append").parquet(path))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..schemas import nan_to_null
-from ..session import bounded_broadcast
 
 
 def last_value(values: DataFrame, key: str = "nex_id", order: str = "index") -> DataFrame:
@@ -30,7 +29,7 @@ def frame_bounds(df: DataFrame, by: list[str], col: str = "value") -> DataFrame:
 def rescale(df: DataFrame, col: str = "value", by: list[str] | None = None, out: str = "scaled") -> DataFrame:
     """M3 per frame (``by``) or over the whole table (``by=None``)."""
     if by:
-        b = bounded_broadcast(frame_bounds(df, by, col))
+        b = frame_bounds(df, by, col)
         j = df.join(b, by)
     else:
         lo, hi = df.agg(F.min(col), F.max(col)).first()  # one aggregate row, used as two literals
@@ -41,7 +40,7 @@ def rescale(df: DataFrame, col: str = "value", by: list[str] | None = None, out:
 def power_norm(df: DataFrame, col: str = "value", by: list[str] | None = None, gamma: float = 0.4,
                out: str = "norm") -> DataFrame:
     """M4 per frame."""
-    b = bounded_broadcast(frame_bounds(df, by, col))
+    b = frame_bounds(df, by, col)
     j = df.join(b, by)
     return j.withColumn(out, S.power_norm(F.col(col), F.col("_lo"), F.col("_hi"), gamma)).drop("_lo", "_hi")
 
@@ -53,7 +52,7 @@ def step_table(flow: DataFrame, steps: DataFrame, features: DataFrame, lo: int,
     ``flow``: ``id, time, flow``; ``steps``: ``time, time_idx`` (W3); ``features``: ``vpu, id``.
     The frame list is a generated range on the feature side, so the fill needs no cross join.
     """
-    vals = (flow.join(bounded_broadcast(steps.filter(F.col("time_idx").between(lo, hi))), "time")
+    vals = (flow.join(steps.filter(F.col("time_idx").between(lo, hi)), "time")
                 .select("id", "time_idx", F.col("flow").alias("value")))
     frames = features.select("vpu", "id", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("time_idx"))
     return map_table(frames, vals, ["id", "time_idx"], fill)

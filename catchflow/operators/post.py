@@ -26,21 +26,24 @@ def compile_gage(spark: SparkSession, root: str, schema: T.StructType | str, tim
     return df
 
 
-def cached_coverage(spark: SparkSession, root: str, name: str, divides: DataFrame, grid: Grid, cells: str = "touch",
-                    redo: bool = False) -> DataFrame:
+def cached_coverage(spark: SparkSession, root: str, name: str, divides: DataFrame, grid: Grid, cells: str = "centre",
+                    expand: int = 0, redo: bool = False) -> DataFrame:
     """K4 + S9: coverage read from the cache when present and ``redo`` is not set; else computed and written.
 
-    The cache key holds the grid id and the cell rule as well as the name, so a cache built on one
-    grid is never read for another. Indices are global grid indices.
+    The cache key holds a fingerprint of the polygons, all numbers of the grid and the cell rule as well as the
+    name, so a cache is never read for other polygons or another grid, and only a completed write counts.
+    Indices are global grid indices.
     """
+    import hashlib
+
     from ..operators.coverage import coverage
-    from ..sinks import write_coverage
-    path = f"{root.rstrip('/')}/{name}__{grid.grid_id}__{cells}_coverage.parquet"
     from ..schemas import COVERAGE
-    if not redo:
-        try:
-            return spark.read.schema(COVERAGE).parquet(path)
-        except Exception:  # noqa: BLE001 - no cache yet
-            pass
-    write_coverage(coverage(divides, grid, cells=cells), path)
+    from ..session import path_exists
+    from ..sinks import write_coverage
+    row = F.xxhash64("basin_id", "divide_id", F.to_json("rings"))
+    mark = divides.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()  # three scalars
+    key = hashlib.sha256(repr((tuple(mark), grid, cells, expand)).encode()).hexdigest()[:16]
+    path = f"{root.rstrip('/')}/{name}__{grid.grid_id}__{cells}__{key}_coverage.parquet"
+    if redo or not path_exists(spark, f"{path}/_SUCCESS"):
+        write_coverage(coverage(divides, grid, cells=cells, expand=expand), path)
     return spark.read.schema(COVERAGE).parquet(path)

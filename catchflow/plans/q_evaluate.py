@@ -270,7 +270,10 @@ def profile(spark, sf):
     return compare.profile(views.raster(spark, sf))
 
 
-@register("sample_basins")
+@register("sample_basins", sql=V.with_(V.BASINS) + """,
+d AS (SELECT basin_id, row_number() OVER (ORDER BY basin_id) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT basin_id FROM basins)),
+g AS (SELECT i AS draw, CAST('0x' || substr(md5('42:' || CAST(i AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM range(15) t(i))
+SELECT draw, basin_id FROM g JOIN d ON d.pos = g.h % d.n""")
 def sample_basins(spark, sf):
     return compare.sample_ids(views.basins(spark, sf), "basin_id", n=15, seed=42)
 

@@ -196,11 +196,11 @@ def reproject_lcc(spark, sf):
     return b.select("divide_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
-@register("catchment_forcing_banded", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """
+@register("catchment_forcing_shuffled", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """
 SELECT basin_id, divide_id, time, round(qty, 9) AS qty, round(disc, 9) AS disc FROM catch""")
-def catchment_forcing_banded(spark, sf):
-    """A1 through the banded path: coverage larger than the broadcast bound (30 rows here)."""
-    c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS, broadcast_rows=30)
+def catchment_forcing_shuffled(spark, sf):
+    """A1 with the shuffle join that the planner takes when coverage is too large to broadcast."""
+    c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS, join="merge")
     return c.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
 
 
@@ -270,7 +270,7 @@ def coverage_multipart_holes(spark, sf):
                        lambda r: r.withField("hole", F.lit(True)))
     part2 = F.transform(geo.rectangle(x0, y0 + 5, x0 + 0.5, y0 + 5.75), lambda r: r.withField("part", F.lit(1)))
     d = b.select("basin_id", "divide_id", F.concat(outer, hole, part2).alias("rings"))
-    c = cov.coverage(d, G)
+    c = cov.coverage(d, G, cells="touch")
     return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
 
 

@@ -1,16 +1,12 @@
-"""Session helpers: a tuned SparkSession, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: a tuned SparkSession, the shared checkpoint folder, written intermediate tables."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may have before it is no longer broadcast. A coverage row is about 48 bytes, so the
-# default keeps a broadcast under ~100 MB; bigger sides take the shuffle join (AQE handles skew).
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def get_spark(master: str | None = None, app: str = "catchflow", shuffle_partitions: int | None = None,
@@ -35,13 +31,15 @@ def get_spark(master: str | None = None, app: str = "catchflow", shuffle_partiti
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only when it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a private one only in local mode (tests), where it is unset."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="catchflow-ckpt-")  # no folder named by the session: local runs and tests only
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -62,19 +60,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Writers that produce raw files from Python (chunk stores, polygon containers) need this folder
     on a POSIX file system shared by all executors; Spark's own writers work on any scheme.
     """
-    import uuid
     base = local_path(checkpoint_dir(spark).rstrip("/"))
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, with a size the planner knows."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    The check is a bounded action (``limit(max_rows + 1).count()``); beyond the bound the side is
-    returned unchanged and the planner uses a shuffle join, with AQE splitting skewed partitions.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on any file system that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 _SHIPPED: set[str] = set()

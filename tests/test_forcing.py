@@ -77,20 +77,21 @@ def test_long_wide_roundtrip(spark):
     assert sorted(wide.collect()) == sorted(df.collect())
 
 
-def test_banded_equals_broadcast(spark):
+def test_shuffle_join_equals_broadcast(spark):
     from catchflow.operators import coverage as cov
     from catchflow.plans import views
     sf = "/root/testdata/sf0.001"
     r = views.raster(spark, sf)
-    c = cov.coverage(views.divides(spark, sf), views.GRID)
+    c = cov.coverage(views.divides(spark, sf), views.GRID, cells="touch")
     whole = forcing.catchment_mean(r, c, views.RASTER_VARS)
-    banded = forcing.catchment_mean(r, c, views.RASTER_VARS, broadcast_rows=9)  # 100 coverage rows -> many bands
+    shuffled = forcing.catchment_mean(r, c, views.RASTER_VARS, join="merge")
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
 
     def norm(df):
         def r(v):
             return None if v is None else round(v, 9)
         return sorted(((x.divide_id, x.time, r(x.qty), r(x.disc)) for x in df.collect()), key=str)
-    assert norm(banded) == norm(whole)
+    assert norm(shuffled) == norm(whole)
 
 
 def test_incremental_equals_batch(spark):
@@ -109,7 +110,7 @@ def test_stream_many_batches_and_rerun_is_idempotent(spark, tmp_dir):
     from catchflow.streaming import daily
     sf = "/root/testdata/sf0.001"
     r = views.raster(spark, sf).select("time", "iy", "ix", "qty", "disc")
-    c = cov.coverage(views.divides(spark, sf), views.GRID)
+    c = cov.coverage(views.divides(spark, sf), views.GRID, cells="touch")
     src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
     r.repartition(4, "time").write.parquet(src)
     daily.ingest_daily(spark, src, r.schema, c, ["qty", "disc"], out, ck, max_files_per_trigger=1)

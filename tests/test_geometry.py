@@ -36,7 +36,7 @@ def test_clip_square_against_window(spark):
 def test_hole_subtracts(spark):
     # G1 hole: square (0,0)-(2,2) with hole (0.5,0.5)-(1.5,1.5); cell (0,0) covered 0.75
     df = divides(spark, [("b", "d", [square(0, 0, 2, 2), square(0.5, 0.5, 1.5, 1.5, hole=True)])])
-    c = {(r.iy, r.ix): r.coverage for r in cov.coverage(df, UNIT).collect()}
+    c = {(r.iy, r.ix): r.coverage for r in cov.coverage(df, UNIT, cells="touch").collect()}
     assert c[(0, 0)] == pytest.approx(0.75, abs=1e-12)
     assert sum(c.values()) == pytest.approx(3.0, abs=1e-12)
 
@@ -46,7 +46,7 @@ def test_concave_and_multipart(spark):
     u = ring([(0, 0), (3, 0), (3, 3), (2, 3), (2, 1), (1, 1), (1, 3), (0, 3)])
     extra = square(5.25, 5.25, 6.75, 6.5, part=1)
     df = divides(spark, [("b", "d", [u, extra])])
-    total = cov.coverage(df, UNIT).agg(F.sum("coverage")).first()[0]
+    total = cov.coverage(df, UNIT, cells="touch").agg(F.sum("coverage")).first()[0]
     assert total == pytest.approx(7.0 + 1.5 * 1.25, abs=1e-9)
     poly = df.select(geo.polygon_area(F.col("rings"))).first()[0]
     assert poly == pytest.approx(total, abs=1e-9)
@@ -63,7 +63,7 @@ def test_coverage_in_unit_interval_and_area_property(spark):
                for a, rad in ((2 * math.pi * k / 7 + rnd.uniform(-0.3, 0.3), rnd.uniform(0.3, 2.5)) for k in range(7))]
         rows.append(("b", f"d{i}", [ring(pts)]))
     df = divides(spark, rows)
-    c = cov.coverage(df, Grid("g", -5.0, -5.0, 1.0, 1.0, 20, 20))
+    c = cov.coverage(df, Grid("g", -5.0, -5.0, 1.0, 1.0, 20, 20), cells="touch")
     assert c.filter((F.col("coverage") <= 0) | (F.col("coverage") > 1 + 1e-12)).count() == 0
     got = {r.divide_id: r.s for r in c.groupBy("divide_id").agg(F.sum("coverage").alias("s")).collect()}
     want = {r.divide_id: r.a for r in df.select("divide_id", geo.polygon_area(F.col("rings")).alias("a")).collect()}
@@ -94,7 +94,7 @@ def test_nearest_fill(spark):
     g = Grid("g", 0.0, 0.0, 1.0, 1.0, 4, 4)
     df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "B", [square(2, 2, 4, 4)]),
                          ("b", "M", [square(-3, 0.5, -1, 1.5)])])
-    c = cov.coverage(df, g)
+    c = cov.coverage(df, g, cells="touch")
     near = cov.nearest_sources(df, c, tile=1.0).collect()
     assert [(r.divide_id, r.source_id) for r in near] == [("M", "A")]
     assert near[0].dist == pytest.approx(1.0)
@@ -133,15 +133,14 @@ def test_unravel_spark(spark):
 def test_nearest_without_any_covered_feature(spark):
     g = Grid("g", 100.0, 100.0, 1.0, 1.0, 4, 4)  # the grid misses every polygon
     df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "M", [square(-3, 0.5, -1, 1.5)])])
-    c = cov.coverage(df, g)
+    c = cov.coverage(df, g, cells="touch")
     assert c.count() == 0
     assert cov.nearest_sources(df, c, tile=1.0).count() == 0
 
 
-def test_bounded_broadcast_bound(spark):
-    from catchflow.session import bounded_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-    j_small = spark.range(100).join(bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    j_big = spark.range(100).join(bounded_broadcast(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in j_small.lower() and "broadcast" not in j_big.lower()
+def test_nearest_hundreds_of_tiles_away(spark):
+    g = Grid("g", 0.0, 0.0, 1.0, 1.0, 4, 4)
+    df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "M", [square(400, 0.5, 401, 1.5)])])
+    c = cov.coverage(df, g, cells="touch")
+    r = cov.nearest_sources(df, c, tile=0.5).collect()
+    assert [(x.divide_id, x.source_id, round(x.dist, 9)) for x in r] == [("M", "A", 398.0)]
