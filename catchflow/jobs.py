@@ -13,20 +13,28 @@ from . import sinks
 from .operators import coverage as cov
 from .operators import forcing, ledger
 from .schemas import Grid
+from .session import written
 from .sources import chunks, containers
 
 
 def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int], variables: list[str],
                 divides_paths: str | list[str], grid: Grid, out: str, ledger_path: str, cells: str = "centre",
                 id_col: str = "divide_id", skip: str = "finished", dense: bool = True) -> DataFrame:
-    """S1 + S3 + J11 + J2 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table that was written."""
+    """S1 + S3 + J11 + J2 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table as it stands after the run.
+
+    A resumed run replaces the folders of the basins it works on and leaves those of finished basins alone.
+    """
     divides = containers.scan_divides(spark, divides_paths, id_col=id_col, tolerant=True)  # P11: id -> divide_id
-    todo = ledger.pending(divides.select("basin_id").distinct(), ledger.read_ledger(spark, ledger_path), skip)
+    divides = written(divides, "divides")  # decoded once
+    todo = written(ledger.pending(divides.select("basin_id").distinct(), ledger.read_ledger(spark, ledger_path), skip), "todo")
+    basin_schema = "time string, " + ", ".join(f"`{v}` double" for v in variables) + ", basin_id string"
+    if not todo.limit(1).count():  # nothing pending: what is finished stays as it is
+        return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
     divides = divides.join(todo, "basin_id", "left_semi")
     ledger.record(todo, ledger_path, "processing")
     c = forcing.prepare_coverage(cov.coverage(divides, grid, cells=cells))
     long = chunks.scan_raster(spark, raster_template, years, variables, drop_fill=True)
-    catch = forcing.catchment_mean_long(long, c, variables)
+    catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")  # one raster scan; the rest derives from it
     sinks.write_catchment_series(catch, f"{out}/catchment")                     # K2
     basin = forcing.basin_mean(catch, variables)
     sinks.write_basin_series(basin, f"{out}/basin")                             # K3
@@ -34,9 +42,7 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
         from .operators.pack import to_dense
         sinks.write_dense(to_dense(catch, variables), f"{out}/dense")           # K1
     ledger.record(todo, ledger_path, "finished")                                # K9, after the writes
-    return spark.read.option("header", True).csv(f"{out}/basin")
-
-
+    return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
 
 
 def post_process_job(spark: SparkSession, series_root: str, schema: str, out: str, spec: dict[str, int] | None = None,
@@ -73,8 +79,10 @@ def evaluation_job(spark: SparkSession, nexus_root: str, obs_root: str, mode: st
     obs = obs.select(F.regexp_extract("source_path", OBS_NAME, 1).alias("gage_id"),
                      F.col("date").alias("datetime"), F.col("`QObs(mm/h)`").alias("obs"))
     if gage_of_nexus is None:
-        gage = obs.select("gage_id").distinct().first()[0]  # one gage: one scalar
-        sims = sims.withColumn("gage_id", F.lit(gage))
+        gages = [r["gage_id"] for r in obs.select("gage_id").distinct().limit(2).collect()]
+        if len(gages) != 1:
+            raise ValueError("without gage_of_nexus there must be exactly one observed gage, " + ("none was found" if not gages else f"not {sorted(gages)} and more"))
+        sims = sims.withColumn("gage_id", F.lit(gages[0]))
     else:
         sims = sims.join(gage_of_nexus.withColumnRenamed("nex_id", "id"), "id")
     if year is not None:

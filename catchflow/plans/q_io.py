@@ -77,8 +77,9 @@ SELECT basin_id, divide_id, cell_id, iy, ix, round(coverage, 9) AS coverage FROM
 def coverage_cache_roundtrip(spark, sf):
     root = scratch_path(spark, "covcache")
     d = views.divides(spark, sf)
-    post.cached_coverage(spark, root, "nations", d, G)            # computes and writes
-    c = post.cached_coverage(spark, root, "nations", d, G)        # reads the cache
+    post.cached_coverage(spark, root, "nations", views.divides(spark, sf, "tri"), G, cells="touch")  # other polygons: a cache of their own
+    post.cached_coverage(spark, root, "nations", d, G, cells="touch")        # computes and writes
+    c = post.cached_coverage(spark, root, "nations", d, G, cells="touch")    # reads the cache
     return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
 
 

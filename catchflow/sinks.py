@@ -4,6 +4,7 @@ Every writer sorts within partitions by time (O1) instead of a global sort, and
 file committer, so a lost executor's task is simply re-run. Rows are spread over tasks by the
 output keys plus a deterministic salt (the year of the row, or a hash of a finer id), so a key
 holding a third of all rows is written by many tasks, and a retried task rebuilds the same split.
+An overwrite replaces only the partition folders it writes, so a resumed job keeps what is finished.
 """
 
 from __future__ import annotations
@@ -29,19 +30,19 @@ def write_catchment_series(df: DataFrame, path: str, time_col: str = "time", mod
     """K2: one CSV series per catchment (``basin_id=/divide_id=`` folders)."""
     (_ts_strings(df.repartition("basin_id", "divide_id", F.year(time_col))
                  .sortWithinPartitions("basin_id", "divide_id", time_col))
-        .write.mode(mode).partitionBy("basin_id", "divide_id").option("header", True).csv(path))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("basin_id", "divide_id").option("header", True).csv(path))
 
 
 def write_basin_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
     """K3: the basin aggregate, one CSV folder per basin."""
     (_ts_strings(df.repartition("basin_id", F.year(time_col)).sortWithinPartitions("basin_id", time_col))
-        .write.mode(mode).partitionBy("basin_id").option("header", True).csv(path))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("basin_id").option("header", True).csv(path))
 
 
 def write_coverage(cov: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: coverage cache keyed by basin (the grid id is part of ``path``)."""
     salt = F.pmod(F.xxhash64("divide_id"), F.lit(16))
-    cov.repartition("basin_id", salt).write.mode(mode).partitionBy("basin_id").parquet(path)
+    cov.repartition("basin_id", salt).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("basin_id").parquet(path)
 
 
 def write_rounded(df: DataFrame, path: str, spec: dict[str, int], time_col: str = "time", by: list[str] | None = None,
@@ -50,19 +51,20 @@ def write_rounded(df: DataFrame, path: str, spec: dict[str, int], time_col: str
     r = S.round_columns(df, spec)
     by = by or []
     w = _ts_strings(r.sortWithinPartitions(*by, time_col)).write.mode(mode).option("header", True)
-    (w.partitionBy(*by) if by else w).csv(path)
+    (w.option("partitionOverwriteMode", "dynamic").partitionBy(*by) if by else w).csv(path)
 
 
 def write_water_years(df: DataFrame, path: str, by: list[str], time_col: str = "time", compression: str | None = None,
                       mode: str = "overwrite") -> None:
     """K6/K7: split by water year (the helper column leaves the file body as a partition column).
 
-    ``compression='gzip'`` gives one compressed archive set per water year (K7).
+    ``compression='gzip'`` gives one compressed archive set per water year (K7). A year's months go to
+    tasks of their own, so one long year is not one task.
     """
     wy = df.withColumn("water_year", S.water_year(time_col))
     keys = by + ["water_year"]
-    w = (_ts_strings(wy.repartition(*keys).sortWithinPartitions(*keys, time_col))
-         .write.mode(mode).partitionBy(*keys).option("header", True))
+    w = (_ts_strings(wy.repartition(*keys, F.month(time_col)).sortWithinPartitions(*keys, time_col))
+         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).option("header", True))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
@@ -71,14 +73,14 @@ def write_water_years(df: DataFrame, path: str, by: list[str], time_col: str = "
 def write_gage_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
     """K8: compiled series per gage (``gage_id=`` folders), time-ordered inside each file, no index column."""
     (_ts_strings(df.repartition("gage_id", F.year(time_col)).sortWithinPartitions("gage_id", time_col))
-        .write.mode(mode).partitionBy("gage_id").option("header", True).csv(path))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("gage_id").option("header", True).csv(path))
 
 
 def write_dense(dense: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: dense model-input layout as Parquet, partitioned by basin and time chunk."""
     keys = [c for c in ("basin_id", "chunk") if c in dense.columns]
     salt = F.pmod(F.xxhash64("ids"), F.lit(16))
-    dense.repartition(*keys, salt).write.mode(mode).partitionBy(*keys).parquet(path)
+    dense.repartition(*keys, salt).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: str = "overwrite",
@@ -88,8 +90,8 @@ def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: st
     outer = partition_by or []
     s = series.select(*outer, F.concat(F.lit("nex-"), F.col(id_col), F.lit("_output")).alias("nex_file"),
                       "index", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "value")
-    (s.repartition(*outer, "nex_file").sortWithinPartitions(*outer, "nex_file", "index")
-       .write.mode(mode).partitionBy(*outer, "nex_file").option("header", False).csv(path))
+    (s.repartition(*outer, "nex_file", F.floor(F.col("index") / 100_000)).sortWithinPartitions(*outer, "nex_file", "index")
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*outer, "nex_file").option("header", False).csv(path))
 
 
 def write_raster(df: DataFrame, path: str, tile: int = 64, time_col: str = "time", mode: str = "overwrite") -> None:
@@ -100,4 +102,4 @@ def write_raster(df: DataFrame, path: str, tile: int = 64, time_col: str = "time
            .withColumn("ty", F.floor(F.col("iy") / tile).cast("int"))
            .withColumn("tx", F.floor(F.col("ix") / tile).cast("int")))
     (t.repartition("year", "ty", "tx", F.month(time_col)).sortWithinPartitions("iy", "ix", time_col)
-      .write.mode(mode).partitionBy("year", "ty", "tx").parquet(path))
+      .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year", "ty", "tx").parquet(path))

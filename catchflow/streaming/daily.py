@@ -28,8 +28,9 @@ def ingest_daily(spark: SparkSession, src: str, schema: T.StructType | str, cov:
     cov = prepare_coverage(cov)  # static side of every micro-batch: materialised once, broadcast per batch
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
-        c = catchment_mean(df, cov, variables)
-        c.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        path = f"{out}/batch={batch_id}"
+        catchment_mean(df, cov, variables).write.mode("overwrite").parquet(path)
+        c = df.sparkSession.read.parquet(path)  # the rest derives from what was written
         if basin_out:
             basin_mean(c, variables).write.mode("overwrite").parquet(f"{basin_out}/batch={batch_id}")
         if ledger_path:
