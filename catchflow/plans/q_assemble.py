@@ -35,9 +35,9 @@ def duplicates(spark, sf):
 
 
 def _anl_fcst(spark, sf):
-    """Analysis = step 0 valid at init + 1 h, forecast = step 1 valid at init + 2 h; keep-last per (variable, time)."""
+    """Analysis = step 0 valid at init, forecast = step 1 valid at init + 2 h; keep-last per (variable, time)."""
     r = views.runs(spark, sf)
-    a = assemble.align_forecast(r, 0).select("variable", "time", "value", "seq")
+    a = assemble.align_analysis(r).select("variable", "time", "value", "seq")
     f = assemble.align_forecast(r, 1).select("variable", "time", "value", "seq")
     a = assemble.dedupe_last(a, ["variable", "time"]).drop("seq")
     f = assemble.dedupe_last(f, ["variable", "time"]).drop("seq")
@@ -45,7 +45,7 @@ def _anl_fcst(spark, sf):
 
 
 _AF = """,
-a AS (SELECT variable, init_hour + to_hours(1) AS time, arg_max(value, seq) AS value FROM runs WHERE step = 0 GROUP BY 1, 2),
+a AS (SELECT variable, init_hour AS time, arg_max(value, seq) AS value FROM runs WHERE step = 0 GROUP BY 1, 2),
 f AS (SELECT variable, init_hour + to_hours(2) AS time, arg_max(value, seq) AS value FROM runs WHERE step = 1 GROUP BY 1, 2)
 """
 
@@ -134,32 +134,35 @@ def drop_rename_flip(spark, sf):
     return r.select("time", (F.lit(views.GRID.ny - 1) - F.col("iy")).cast("bigint").alias("iy_north_up"), "ix", "APCP_surface")
 
 
-ANL_VARS = ["click", "error", "view"]   # analysis files (step 0)
-FCST_VARS = ["purchase"]                # forecast files (step 1)
+FCST_VARS = ["purchase"]  # in forecast files (step 1); every other variable of the view is in analysis files (step 0)
+ANL_VARS = sorted({views.OBSERVED, *views.MEMBERS} - set(FCST_VARS))
 
 
 @register("forecast_forcing", sql=V.with_(V.RUN_CELLS, V.BOXES, V.GRID10, V.RECT_COV) + """,
-a AS (SELECT variable, init_hour + to_hours(1) AS time, iy, ix, arg_max(value, seq) AS value
-      FROM run_cells WHERE step = 0 AND variable IN ('click', 'error', 'view') GROUP BY 1, 2, 3, 4),
+a AS (SELECT variable, init_hour AS time, iy, ix, arg_max(value, seq) AS value
+      FROM run_cells WHERE step = 0 AND variable <> 'purchase' GROUP BY 1, 2, 3, 4),
 f AS (SELECT variable, init_hour + to_hours(2) AS time, iy, ix, arg_max(value, seq) AS value
       FROM run_cells WHERE step = 1 AND variable = 'purchase' GROUP BY 1, 2, 3, 4),
 aw AS (SELECT time, iy, ix, max(CASE WHEN variable = 'click' THEN value END) AS click,
-              max(CASE WHEN variable = 'error' THEN value END) AS error, max(CASE WHEN variable = 'view' THEN value END) AS view
+              max(CASE WHEN variable = 'error' THEN value END) AS error, max(CASE WHEN variable = 'signup' THEN value END) AS signup,
+              max(CASE WHEN variable = 'view' THEN value END) AS view
        FROM a GROUP BY 1, 2, 3),
 fw AS (SELECT time, iy, ix, max(value) AS purchase FROM f GROUP BY 1, 2, 3),
 raster AS (SELECT coalesce(aw.time, fw.time) AS time, coalesce(aw.iy, fw.iy) AS iy, coalesce(aw.ix, fw.ix) AS ix,
-                  click, error, view, purchase
+                  click, error, signup, view, purchase
            FROM aw FULL OUTER JOIN fw ON aw.time = fw.time AND aw.iy = fw.iy AND aw.ix = fw.ix),
 cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM rect_cov r),
-j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.click, r.error, r.view, r.purchase
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.click, r.error, r.signup, r.view, r.purchase
       FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,
          CASE WHEN count(click) = max(n) THEN sum(click * coverage) / sum(coverage) END AS click,
          CASE WHEN count(error) = max(n) THEN sum(error * coverage) / sum(coverage) END AS error,
+         CASE WHEN count(signup) = max(n) THEN sum(signup * coverage) / sum(coverage) END AS signup,
          CASE WHEN count(view) = max(n) THEN sum(view * coverage) / sum(coverage) END AS view,
          CASE WHEN count(purchase) = max(n) THEN sum(purchase * coverage) / sum(coverage) END AS purchase
   FROM j GROUP BY 1, 2, 3)
-SELECT basin_id, time, round(avg(click), 9) AS click, round(avg(error), 9) AS error, round(avg(view), 9) AS view,
+SELECT basin_id, time, round(avg(click), 9) AS click, round(avg(error), 9) AS error, round(avg(signup), 9) AS signup,
+       round(avg(view), 9) AS view,
        round(avg(purchase), 9) AS purchase
 FROM catch GROUP BY 1, 2""")
 def forecast_forcing(spark, sf):
@@ -169,7 +172,7 @@ def forecast_forcing(spark, sf):
     from .q_forcing import rect_coverage
     r = views.run_cells(spark, sf)
     keys = ["variable", "time", "iy", "ix"]
-    a = assemble.align_forecast(r.filter(F.col("variable").isin(ANL_VARS)), 0).select(*keys, "value", "seq")
+    a = assemble.align_analysis(r.filter(F.col("variable").isin(ANL_VARS))).select(*keys, "value", "seq")
     f = assemble.align_forecast(r.filter(F.col("variable").isin(FCST_VARS)), 1).select(*keys, "value", "seq")
     a = assemble.dedupe_last(a, keys).drop("seq")
     f = assemble.dedupe_last(f, keys).drop("seq")

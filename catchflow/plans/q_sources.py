@@ -45,7 +45,36 @@ def chunk_scan(spark, sf):
     with open(f"{root}/{years[2]}/qty/0.1.0", "wb") as fh:  # one corrupt chunk: its cells drop out
         fh.write(b"not a chunk")
     # years as range(begin, end): end is exclusive, so the whole archive is (first, last + 1)
-    return chunks.scan_raster(spark, root + "/{year}", (years[0], years[-1] + 1), ["qty", "disc"])
+    return chunks.scan_raster(spark, root + "/{year}", (years[0], years[-1] + 1), ["qty", "disc"], tolerant=True)
+
+
+@register("chunk_scan_missing_hour", sql=V.with_(V.RASTER) + """,
+yr AS (SELECT min(year(time)) AS y0 FROM raster)
+SELECT variable, CAST(count(*) AS BIGINT) AS n_cells, min(time) AS first_time, max(time) AS last_time
+FROM (SELECT time, year(time) AS y, variable, value FROM raster UNPIVOT (value FOR variable IN (qty, disc))), yr
+WHERE y <> y0 + 1 GROUP BY 1""")
+def chunk_scan_missing_hour(spark, sf):
+    """A whole store of the archive is missing; a tolerant scan goes on with the others."""
+    root = scratch_path(spark, "stores")
+    years = write_raster_stores(spark, sf, root)
+    missing = [f"{root}/{y}" if y != years[1] else f"{root}/never-written" for y in years]
+    long = chunks.scan_chunks(spark, missing, ["qty", "disc"], drop_fill=True, tolerant=True)
+    return long.groupBy("variable").agg(F.count("value").alias("n_cells"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+
+
+@register("chunk_scan_days", sql=V.with_(V.RASTER) + """
+SELECT time, iy, ix, CAST(CAST(disc AS FLOAT) AS DOUBLE) AS value FROM raster""")
+def chunk_scan_days(spark, sf):
+    """S1 + D3: a store whose time axis counts days."""
+    root = scratch_path(spark, "stores")
+    r = views.raster(spark, sf)
+    months = sorted(x[0] for x in r.select("time").distinct().collect())  # the time axis, as the store's writer has it
+    axis = spark.createDataFrame([(m, i) for i, m in enumerate(months)], "time timestamp_ntz, t bigint")
+    import datetime
+    days = [(m - datetime.datetime(1990, 1, 1)).days for m in months]
+    chunks.write_store(r.join(axis, "time").select("t", "iy", "ix", "disc"), f"{root}/all", ["disc"], (len(months), views.GRID.ny, views.GRID.nx),
+                       (12, 10, 10), days, "1990-01-01 00:00:00", {"id": "zstd", "level": 1}, unit="days")
+    return chunks.scan_chunks(spark, f"{root}/all", ["disc"], drop_fill=True).select("time", "iy", "ix", "value")
 
 
 @register("polygon_container_scan", sql=V.with_(V.BOXES) + """
@@ -69,7 +98,7 @@ def container_coverage(spark, sf):
     root = scratch_path(spark, "gpkg")
     containers.write_divides(views.divides(spark, sf), root)
     d = containers.scan_divides(spark, root)
-    c = cov.coverage(d, views.GRID)
+    c = cov.coverage(d, views.GRID, cells="touch")
     return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
 
 
@@ -107,3 +136,24 @@ def forcing_job_files(spark, sf):
                      views.GRID, f"{root}/out", f"{root}/ledger")
     back = src.scan_daily_basin_files(spark, f"{root}/out/basin", "time string, qty double, disc double")
     return back.select("basin_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("forcing_job_resume", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
+catch AS (SELECT basin_id, divide_id, time,
+         CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
+         CASE WHEN count(disc) = max(n) THEN sum(disc * coverage) / sum(coverage) END AS disc FROM j GROUP BY 1, 2, 3)
+SELECT basin_id, time, round(avg(qty), 9) AS qty, round(avg(disc), 9) AS disc FROM catch GROUP BY 1, 2""")
+def forcing_job_resume(spark, sf):
+    """ST3: the job over two basins, again over all of them, and again with nothing pending; the table is whole."""
+    from .. import jobs
+    root = scratch_path(spark, "resume")
+    years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
+    d = views.divides(spark, sf)
+    for name, part in (("gpkg-first", d.filter(F.col("basin_id").isin("0", "1"))), ("gpkg-all", d), ("gpkg-all", None)):
+        if part is not None:
+            containers.write_divides(part, f"{root}/{name}")
+        out = jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/{name}",
+                               views.GRID, f"{root}/out", f"{root}/ledger")
+    return out.select(F.col("basin_id").cast("string").alias("basin_id"), F.col("time").cast("timestamp_ntz").alias("time"), r9("qty", "qty"), r9("disc", "disc"))

@@ -2,12 +2,13 @@
 
 A store holds one folder per variable with a ``.zarray`` JSON (shape, chunks, dtype, compressor,
 fill value), optional ``.zattrs`` (``scale_factor``, ``add_offset``, ``_FillValue``) and one file per
-chunk named ``<i>.<j>.<k>``. A 1-D ``time`` array holds offsets in ``hours since <epoch>``.
+chunk named ``<i>.<j>.<k>``. A 1-D ``time`` array holds offsets in ``<unit> since <epoch>``
+(seconds, minutes, hours or days).
 
 The scan lists chunk files with the ``binaryFile`` source and decodes them in ``mapInArrow``: each
 chunk becomes one Arrow batch of ``(variable, t, iy, ix, value)`` rows built with numpy, so Python
-only touches raw bytes; all later work (joins, aggregates) is Catalyst. Only the small JSON
-metadata is read on the driver.
+only touches raw bytes; all later work (joins, aggregates) is Catalyst. The tasks read the small JSON
+metadata and the time axes of their own stores through ``pyarrow.fs``; the driver reads none.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast, ship_package
+from ..session import path_exists, ship_package
 
 # ---------------------------------------------------------------- codecs
 
@@ -62,27 +63,49 @@ def compress(raw: bytes, compressor: dict | None) -> bytes:
 
 # ---------------------------------------------------------------- metadata
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    """Small metadata file through ``pyarrow.fs`` (local, S3, HDFS URIs); Spark's listing skips dot-files."""
+UNITS_US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def _read_bytes(path: str) -> bytes:
+    """A small file through ``pyarrow.fs`` (local, S3, HDFS URIs); Spark's listing skips dot-files."""
     from pyarrow import fs as pafs
     if "://" not in path:
         path = "file://" + (path[len("file:"):] if path.startswith("file:") else path)
+    f, p = pafs.FileSystem.from_uri(path)
+    with f.open_input_stream(p) as h:
+        return h.read()
+
+
+def read_meta(var_root: str) -> dict:
+    """``.zarray`` merged with ``.zattrs`` of one variable. A missing ``.zarray`` and features that have no
+    decoder here (filters, unknown codecs) are errors."""
     try:
-        f, p = pafs.FileSystem.from_uri(path)
-        with f.open_input_stream(p) as h:
-            return h.read().decode("utf-8")
-    except (FileNotFoundError, OSError):
-        return None
-
-
-def read_meta(spark: SparkSession, var_root: str) -> dict:
-    """``.zarray`` merged with ``.zattrs`` of one variable (small JSON, read once on the driver)."""
-    meta = json.loads(_read_text(spark, f"{var_root}/.zarray"))
-    attrs = _read_text(spark, f"{var_root}/.zattrs")
-    meta["attrs"] = json.loads(attrs) if attrs else {}
+        meta = json.loads(_read_bytes(f"{var_root}/.zarray"))
+    except FileNotFoundError as e:
+        raise FileNotFoundError(f"no array metadata at {var_root}/.zarray") from e
+    try:
+        meta["attrs"] = json.loads(_read_bytes(f"{var_root}/.zattrs"))
+    except FileNotFoundError:
+        meta["attrs"] = {}
+    if meta.get("filters"):
+        raise ValueError(f"{var_root}: array filters {meta['filters']} can't be decoded here")
+    if (meta.get("compressor") or {}).get("id") not in (None, "zlib", "gzip", "zstd", "lz4"):
+        raise ValueError(f"{var_root}: unsupported chunk codec {meta['compressor']['id']!r}")
     return meta
 
 
+def read_times(store: str) -> np.ndarray:
+    """The store's time axis as microseconds since 1970 (UTC wall time)."""
+    meta = read_meta(f"{store}/time")
+    unit, _, epoch = meta["attrs"].get("units", "hours since 1970-01-01 00:00:00").partition(" since ")
+    scale = UNITS_US.get(unit.strip().lower().rstrip("s"))
+    if scale is None or not epoch:
+        raise ValueError(f"{store}/time: unknown time units {meta['attrs'].get('units')!r}")
+    start = int(np.datetime64(epoch.strip().replace(" ", "T"), "us").astype(np.int64))
+    parts = [_decode_chunk(_read_bytes(f"{store}/time/{k}"), str(k), meta)[1] for k in range(-(-meta["shape"][0] // meta["chunks"][0]))]
+    return start + np.rint(np.concatenate(parts) * scale).astype(np.int64)
+
+
 # ---------------------------------------------------------------- decode (executors)
 
 def _decode_chunk(content: bytes, key: str, meta: dict):
@@ -117,83 +140,80 @@ def _norm(p: str) -> str:
     return p
 
 
-def _decoder(metas: dict[str, dict], drop_fill: bool):
-    """``metas`` maps a variable folder (``<store>/<variable>``, no scheme) to its metadata."""
+def _decoder(drop_fill: bool, tolerant: bool):
+    """Chunk files -> rows. Metadata and time axes are read here, once per store and task."""
     def run(batches):
+        metas: dict[str, dict] = {}
+        times: dict[str, np.ndarray] = {}
         for b in batches:
-            paths = b.column("path").to_pylist()
-            contents = b.column("content").to_pylist()
-            for path, content in zip(paths, contents):
-                folder, key = _norm(path).rstrip("/").rsplit("/", 1)
+            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                folder, key = path.rstrip("/").rsplit("/", 1)
                 store, var = folder.rsplit("/", 1)
-                meta = metas.get(folder)
-                if meta is None:
-                    continue
                 try:
-                    coords, vals = _decode_chunk(content, key, meta)
-                except Exception as e:  # noqa: BLE001 - reported as an error row
+                    if folder not in metas:
+                        metas[folder] = read_meta(folder)
+                    if store not in times:
+                        times[store] = read_times(store)
+                    coords, vals = _decode_chunk(content, key, metas[folder])
+                    when = times[store][coords[0]]
+                except Exception as e:  # noqa: BLE001 - an error row where errors are asked for
+                    if not tolerant:
+                        raise ValueError(f"{path}: {type(e).__name__}: {e}") from e
                     yield pa.RecordBatch.from_pydict({
-                        "store": [store], "variable": [var], "t": [None], "iy": [None], "ix": [None], "value": [None],
+                        "store": [_norm(store)], "variable": [var], "time": [None], "iy": [None], "ix": [None], "value": [None],
                         "path": [path], "error": [f"{type(e).__name__}: {e}"]},
                         schema=_ARROW)
                     continue
-                nd = len(coords)
                 t = coords[0]
-                iy = coords[-2] if nd >= 2 else np.zeros_like(t)
-                ix = coords[-1] if nd >= 2 else np.zeros_like(t)
+                iy = coords[-2] if len(coords) >= 2 else np.zeros_like(t)
+                ix = coords[-1] if len(coords) >= 2 else np.zeros_like(t)
                 keep = ~np.isnan(vals) if drop_fill else np.ones(len(vals), dtype=bool)
                 n = int(keep.sum())
                 value = pa.array(vals[keep], type=pa.float64(), from_pandas=True)  # NaN -> NULL
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([store] * n, pa.string()), pa.array([var] * n, pa.string()),
-                    pa.array(t[keep].astype("int64")), pa.array(iy[keep].astype("int64")),
+                    pa.array([_norm(store)] * n, pa.string()), pa.array([var] * n, pa.string()),
+                    pa.array(when[keep], pa.int64()).cast(pa.timestamp("us")), pa.array(iy[keep].astype("int64")),
                     pa.array(ix[keep].astype("int64")), value,
                     pa.array([path] * n, pa.string()), pa.nulls(n, pa.string())], schema=_ARROW)
     return run
 
 
-CHUNK_SCHEMA = "store string, variable string, t bigint, iy bigint, ix bigint, value double, path string, error string"
-_ARROW = pa.schema([("store", pa.string()), ("variable", pa.string()), ("t", pa.int64()), ("iy", pa.int64()),
+CHUNK_SCHEMA = ("store string, variable string, time timestamp_ntz, iy bigint, ix bigint, value double, path string, "
+                "error string")
+_ARROW = pa.schema([("store", pa.string()), ("variable", pa.string()), ("time", pa.timestamp("us")), ("iy", pa.int64()),
                     ("ix", pa.int64()), ("value", pa.float64()), ("path", pa.string()), ("error", pa.string())])
 
 
 def scan_chunks(spark: SparkSession, roots: str | list[str], variables: list[str], drop_fill: bool = False,
-                with_errors: bool = False) -> DataFrame:
+                tolerant: bool = False, with_errors: bool = False) -> DataFrame:
     """S1/S2 + U3: decode every chunk of ``variables`` under all store roots in one job.
 
-    Output ``time, iy, ix, variable, value`` (or, with ``with_errors``, the raw decode including
-    error rows). A chunk that fails to decode yields an error row, not a failed job. Each store's
-    time axis is decoded the same way and joined on ``(store, t)``.
+    Output ``time, iy, ix, variable, value``. A store or variable that is missing and a chunk that can't be
+    decoded fail the job; with ``tolerant`` (an hour of a forecast archive may be missing) they drop out, and
+    ``with_errors`` shows why (the raw decode, error rows included).
     """
     ship_package(spark)
-    roots = [_norm(r).rstrip("/") for r in ([roots] if isinstance(roots, str) else list(roots))]
-    metas = {f"{r}/{v}": read_meta(spark, f"{r}/{v}") for r in roots for v in variables}
-    tmetas = {f"{r}/time": read_meta(spark, f"{r}/time") for r in roots}
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*")
-    dec = reader.load(list(metas)).select("path", "content").mapInArrow(_decoder(metas, drop_fill), CHUNK_SCHEMA)
-    tdec = reader.load(list(tmetas)).select("path", "content").mapInArrow(_decoder(tmetas, False), CHUNK_SCHEMA)
-    epochs = {k.rsplit("/", 1)[0]: m["attrs"].get("units", "hours since 1970-01-01 00:00:00").split(" since ", 1)[1].strip()
-              for k, m in tmetas.items()}
-    ep = F.create_map(*[x for kv in epochs.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    times = tdec.where(F.col("error").isNull()).select(
-        "store", "t", F.timestamp_add("HOUR", F.col("value").cast("bigint"), ep[F.col("store")].cast("timestamp_ntz")).alias("time"))
-    part = dec if with_errors else dec.where(F.col("error").isNull())
-    out = part.join(bounded_broadcast(times), ["store", "t"], "left")
-    if with_errors:
-        return out
-    return out.select("time", "iy", "ix", "variable", "value")
+    roots = [roots] if isinstance(roots, str) else list(roots)
+    folders = [f"{r.rstrip('/')}/{v}" for r in roots for v in variables]
+    if tolerant:
+        folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], CHUNK_SCHEMA if with_errors else "time timestamp_ntz, iy bigint, ix bigint, variable string, value double")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(folders).select("path", "content")
+    out = files.mapInArrow(_decoder(drop_fill, tolerant), CHUNK_SCHEMA)
+    return out if with_errors else out.where(F.col("error").isNull()).select("time", "iy", "ix", "variable", "value")
 
 
 def scan_raster(spark: SparkSession, template: str, years: tuple[int, int], variables: list[str],
-                drop_fill: bool = False) -> DataFrame:
+                drop_fill: bool = False, tolerant: bool = False) -> DataFrame:
     """One store per year from ``range(begin, end)`` (end exclusive), concatenated in time."""
     roots = [template.format(year=y) for y in range(*years)]
-    return scan_chunks(spark, roots, variables, drop_fill)
+    return scan_chunks(spark, roots, variables, drop_fill, tolerant)
 
 
 def chunk_errors(spark: SparkSession, roots: str | list[str], variables: list[str]) -> DataFrame:
     """S2 report: the chunk files that could not be decoded and why."""
-    return (scan_chunks(spark, roots, variables, with_errors=True)
+    return (scan_chunks(spark, roots, variables, tolerant=True, with_errors=True)
             .where(F.col("error").isNotNull()).select("variable", "path", "error").distinct())
 
 
@@ -201,7 +221,7 @@ def chunk_errors(spark: SparkSession, roots: str | list[str], variables: list[st
 
 def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int, int, int],
                 chunks: tuple[int, int, int], times: list[int], epoch: str, compressor: dict | None,
-                dtype: str = "<f4") -> None:
+                dtype: str = "<f4", unit: str = "hours") -> None:
     """Write long rows ``t, iy, ix, <variables>`` as a chunked store (executors write the chunk files).
 
     Each chunk is one group of at most ``prod(chunks)`` cells, so a group never grows with the data.
@@ -224,7 +244,7 @@ def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int
     with open(f"{root}/time/.zarray", "w") as fh:
         json.dump(tmeta, fh)
     with open(f"{root}/time/.zattrs", "w") as fh:
-        json.dump({"units": f"hours since {epoch}", "_ARRAY_DIMENSIONS": ["time"]}, fh)
+        json.dump({"units": f"{unit} since {epoch}", "_ARRAY_DIMENSIONS": ["time"]}, fh)
     with open(f"{root}/time/0", "wb") as fh:
         fh.write(np.asarray(times, dtype="<i8").tobytes())
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import path_exists, ship_package
 
 _PT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 _RING = pa.struct([("part", pa.int32()), ("hole", pa.bool_()), ("pts", pa.list_(_PT))])
@@ -145,9 +145,15 @@ def scan_divides(spark: SparkSession, paths: str | list[str], layer: str = "divi
     """S3/S4 + P11: every container under ``paths`` in one job; any ``id_col`` becomes ``divide_id``.
 
     ``basin_id`` is parsed from the file name. With ``tolerant`` unreadable files become error rows
-    (kept only with ``with_errors``); missing folders simply list nothing.
+    (kept only with ``with_errors``) and missing folders list nothing; without it both are errors.
     """
     ship_package(spark)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if tolerant:
+        paths = [p for p in paths if path_exists(spark, p)]
+        if not paths:
+            return spark.createDataFrame([], SCHEMA + ", basin_id string").select(
+                *(["*"] if with_errors else ["basin_id", F.col("feature_id").alias("divide_id"), "rings"]))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
              .load(paths).select("path", "content"))
     dec = files.mapInArrow(_decoder(layer, id_col, tolerant), SCHEMA)

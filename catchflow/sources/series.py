@@ -30,7 +30,7 @@ def scan_series(spark: SparkSession, paths: str | list[str], schema: T.StructTyp
 
 def scan_nexus(spark: SparkSession, root: str, on_bad_time: str = "error") -> DataFrame:
     """Headerless ``index, datetime, value`` files; the nexus id comes from ``nex-<id>_output`` in the path."""
-    df = (spark.read.schema(NEXUS_SERIES).option("header", False).option("recursiveFileLookup", "true")
+    df = (spark.read.schema(NEXUS_SERIES).option("header", False).option("mode", "FAILFAST").option("recursiveFileLookup", "true")
           .csv(root).withColumn("_path", F.col("_metadata.file_path")))
     nid = F.regexp_extract("_path", r"nex-([^_/]+)_output", 1)
     out = df.select(nid.alias("nex_id"), "index",
@@ -60,7 +60,7 @@ def scan_daily_basin_files(spark: SparkSession, root: str, schema: T.StructType
                            id_pattern: str = r"basin_id=([^/]+)") -> DataFrame:
     """S11 + U5: every daily file of every basin in one read; the basin id is parsed from the path
     (exact match on the parsed id, not a substring test)."""
-    df = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", "true").csv(root)
+    df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("recursiveFileLookup", "true").csv(root)
           .withColumn("basin_id", F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1)))
     return clean_doubles(df.withColumn(time_col, S.parse_time(time_col)))
 
