@@ -26,7 +26,7 @@ from .common import batch_blocks, keep_table, partitions, prepare, running_offse
 from .tokens import ENCODE_BYTES, TextEncoder, tokenizer_file
 
 BLOCK_IDS = 1024
-FILE_IDS = 4_000_000  # a file is closed after the document that reaches this; bounds a task's memory
+FILE_IDS = 1_000_000  # a file is closed after the document that reaches this; bounds a task's memory
 MAGIC = b"S8BLOCK1"
 # fixed values: (ids in a word, bits of an id) by selector; 0 is the escape, 15 is unused
 PACKINGS = [(1, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15),

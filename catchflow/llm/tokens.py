@@ -20,8 +20,8 @@ import pyarrow as pa
 
 from .common import LOWER, WHITE
 
-CACHE_PIECES = 600_000  # short pieces whose ids a worker keeps (about 120 MB); results don't depend on it
-ENCODE_BYTES = 8 << 20
+CACHE_PIECES = 250_000  # short pieces whose ids a worker keeps (about 50 MB); results don't depend on it
+ENCODE_BYTES = 4 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
