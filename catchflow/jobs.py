@@ -19,8 +19,10 @@ from .sources import chunks, containers
 
 def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int], variables: list[str],
                 divides_paths: str | list[str], grid: Grid, out: str, ledger_path: str, cells: str = "centre",
-                id_col: str = "divide_id", skip: str = "finished", dense: bool = True) -> DataFrame:
-    """S1 + S3 + J11 + J2 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table as it stands after the run.
+                id_col: str = "divide_id", skip: str = "finished", dense: bool = True, fill: bool = True) -> DataFrame:
+    """S1 + S3 + J11 + J2 + J3 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table as it stands after the run.
+
+    A catchment without cells takes those of its nearest covered one, unless ``fill`` is off.
 
     A resumed run replaces the folders of the basins it works on and leaves those of finished basins alone.
     """
@@ -32,7 +34,8 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
         return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
     divides = divides.join(todo, "basin_id", "left_semi")
     ledger.record(todo, ledger_path, "processing")
-    c = forcing.prepare_coverage(cov.coverage(divides, grid, cells=cells))
+    c = cov.coverage(divides, grid, cells=cells)
+    c = forcing.prepare_coverage(cov.fill_nearest(c, divides, grid) if fill else c)
     long = chunks.scan_raster(spark, raster_template, years, variables, drop_fill=True)
     catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")  # one raster scan; the rest derives from it
     sinks.write_catchment_series(catch, f"{out}/catchment")                     # K2

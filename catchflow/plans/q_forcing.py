@@ -140,7 +140,7 @@ def coverage_nested_roundtrip(spark, sf):
 G5 = Grid(grid_id="unit5", x0=0.0, y0=0.0, dx=1.0, dy=1.0, nx=5, ny=5)
 
 
-@register("nearest_fill", sql=V.with_(V.BOXES) + """,
+_NEAREST_SQL = """,
 grid AS (SELECT CAST(a.range AS BIGINT) AS iy, CAST(b.range AS BIGINT) AS ix FROM range(5) a, range(5) b),
 c5 AS (
   SELECT basin_id, divide_id, iy * 5 + ix AS cell_id, iy, ix,
@@ -153,13 +153,16 @@ d AS (SELECT m.divide_id, h.divide_id AS source_id,
              sqrt(pow(greatest(0, m.x0 - h.x1, h.x0 - m.x1), 2) + pow(greatest(0, m.y0 - h.y1, h.y0 - m.y1), 2)) AS dist
       FROM miss m, have h),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY divide_id ORDER BY dist, source_id) AS rn FROM d) WHERE rn = 1)
+"""
+
+
+@register("nearest_fill", sql=V.with_(V.BOXES) + _NEAREST_SQL + """
 SELECT b.divide_id, b.source_id, round(b.dist, 9) AS dist, c.cell_id, round(c.coverage, 9) AS coverage
 FROM best b JOIN c5 c ON c.divide_id = b.source_id""")
 def nearest_fill(spark, sf):
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
+    from ..session import written
     d = views.divides(spark, sf)
-    c = cov.coverage(d, G5, cells="touch").checkpoint(eager=True)  # searched and copied from: overlay once
+    c = written(cov.coverage(d, G5, cells="touch"), "coverage")  # searched and copied from: overlay once
     near = cov.nearest_sources(d, c, tile=4.0)
     return (near.join(c.select(F.col("divide_id").alias("source_id"), "cell_id", "coverage"), "source_id")
                 .select("divide_id", "source_id", r9("dist", "dist"), "cell_id", r9("coverage", "coverage")))

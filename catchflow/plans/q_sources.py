@@ -10,6 +10,7 @@ from ..sources import chunks, containers
 from . import sql_views as V
 from . import views
 from .q_forcing import _CENTRE_COV as _CENTRE_COV_SQL
+from .q_forcing import _NEAREST_SQL, G5
 from .registry import r9, register
 
 # Codec of each yearly store, in year order (cycled): exercises every decoder.
@@ -157,3 +158,28 @@ def forcing_job_resume(spark, sf):
         out = jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/{name}",
                                views.GRID, f"{root}/out", f"{root}/ledger")
     return out.select(F.col("basin_id").cast("string").alias("basin_id"), F.col("time").cast("timestamp_ntz").alias("time"), r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("forcing_job_filled", sql=V.with_(V.RASTER, V.BOXES) + _NEAREST_SQL + """,
+filled AS (SELECT basin_id, divide_id, iy, ix, coverage FROM c5 UNION ALL
+           SELECT m.basin_id, b.divide_id, c.iy, c.ix, c.coverage FROM best b JOIN miss m USING (divide_id) JOIN c5 c ON c.divide_id = b.source_id),
+cov AS (SELECT f.*, count(*) OVER (PARTITION BY divide_id) AS n FROM filled f),
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
+catch AS (SELECT basin_id, divide_id, time,
+         CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
+         CASE WHEN count(disc) = max(n) THEN sum(disc * coverage) / sum(coverage) END AS disc FROM j GROUP BY 1, 2, 3)
+SELECT basin_id, CAST(count(DISTINCT divide_id) AS BIGINT) AS n_divides, time, round(avg(qty), 9) AS qty, round(avg(disc), 9) AS disc
+FROM catch GROUP BY basin_id, time""")
+def forcing_job_filled(spark, sf):
+    """J3 in the job: on a grid that misses some catchments, each of them still has a series."""
+    from .. import jobs
+    from ..sources import series as src
+    root = scratch_path(spark, "filled")
+    years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
+    containers.write_divides(views.divides(spark, sf), f"{root}/gpkg")
+    basin = jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/gpkg", G5,
+                             f"{root}/out", f"{root}/ledger", cells="touch")
+    schema = "time string, qty double, disc double, basin_id string, divide_id string"
+    each = src.scan_series(spark, f"{root}/out/catchment", schema, "time").groupBy("basin_id", "time").agg(F.countDistinct("divide_id").alias("n_divides"))
+    b = basin.select("basin_id", F.col("time").cast("timestamp_ntz").alias("time"), "qty", "disc")
+    return b.join(each, ["basin_id", "time"]).select("basin_id", "n_divides", "time", r9("qty", "qty"), r9("disc", "disc"))

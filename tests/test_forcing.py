@@ -130,3 +130,21 @@ def test_dense_spine_fills_missing_steps(spark):
     dense = sorted((x.time, x.v) for x in forcing.catchment_mean(r, c, ["v"], dense="1 hour").collect())
     assert sparse == 2 and len(dense) == 4
     assert dense[1][1] is None and dense[3][1] == 4.0
+
+
+def test_covered_range_reaches_the_scan(spark, tmp_dir):
+    from catchflow.operators import coverage as cov
+    from catchflow.plans import views
+    from catchflow.schemas import Grid
+    sf = "/root/testdata/sf0.001"
+    views.raster(spark, sf).select("time", "iy", "ix", *views.RASTER_VARS).write.parquet(f"{tmp_dir}/raster")
+    raster = spark.read.parquet(f"{tmp_dir}/raster")
+    one = views.divides(spark, sf).filter("divide_id = 'cat-12'")
+    c = forcing.prepare_coverage(cov.coverage(one, Grid("unit10", 0.0, 0.0, 1.0, 1.0, 10, 10), cells="touch"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = forcing.catchment_mean(raster, c, views.RASTER_VARS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and f"{tmp_dir}/raster" in line]
+    assert pushed and all(f"{op}({col}," in pushed[0] for op in ("GreaterThanOrEqual", "LessThanOrEqual") for col in ("iy", "ix"))
