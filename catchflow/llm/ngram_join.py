@@ -85,17 +85,18 @@ class Parts:
         self.percent = percent
         self.lows = [1]  # the smallest size of each class
 
-    def _reach(self, size: int) -> None:
-        while self.lows[-1] <= size:
-            self.lows.append(self.lows[-1] * 100 // self.percent + 1)
+    def _next(self) -> None:
+        self.lows.append(self.lows[-1] * 100 // self.percent + 1)
 
     def classes(self, size: np.ndarray) -> np.ndarray:
-        self._reach(int(size.max(initial=1)) + 1)
+        while self.lows[-1] <= size.max(initial=1):
+            self._next()
         return np.searchsorted(np.array(self.lows), size, "right") - 1
 
     def dealt(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(parts, spare) of the classes ``c``: pairs whose smaller set is in the class."""
-        self._reach(self.lows[-1] * 2)
+        while len(self.lows) < c.max(initial=0) + 2:
+            self._next()
         most = np.array(self.lows[1:])[c] - 1  # the largest smaller set
         other = most * 100 // self.percent  # the largest partner
         both = (self.percent * (most + other) + 99 + self.percent) // (100 + self.percent)  # least overlap
