@@ -48,6 +48,39 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
     return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
 
 
+def forecast_job(spark: SparkSession, root: str, analysis: list[str], forecast: list[str], horizon: int,
+                 divides: DataFrame, grid: Grid, out: str, cells: str = "centre", fill: bool = True) -> DataFrame:
+    """S2 + J13 + W1 + J9 + A17 + J1/A1 + A2 + K3: an archive of run stores -> daily basin files, in one plan.
+
+    Stores are named ``<yyyymmdd>_<HH>z_anl.zarr`` (valid at their init hour) and ``.._fcst.zarr`` (a step's valid
+    time is ``init + h + 1``; ``horizon`` picks the step). Runs that are missing leave their hours out; unreadable
+    chunks and the shortfall of promised hours are written to ``out/errors`` and ``out/completeness``.
+    """
+    from .functions.scalars import time_from_name
+    from .operators import assemble
+    if not 0 <= horizon <= 23:
+        raise ValueError(f"forecast horizon must be 0..23, not {horizon}")
+    variables = analysis + forecast
+    raw = written(chunks.scan_archive(spark, root, variables), "archive")  # decoded once
+    raw.where("error IS NOT NULL").select("store", "variable", "path", "error").write.mode("overwrite").parquet(f"{out}/errors")
+    runs = (raw.where("error IS NULL").withColumn("name", F.regexp_extract("store", r"([^/]+)$", 1))
+            .withColumn("init_hour", time_from_name(F.col("name"))))
+    is_fcst = F.col("name").contains("_fcst.")
+    valid = F.when(is_fcst, F.timestamp_add("HOUR", F.lit(horizon + 1), F.col("init_hour"))).otherwise(F.col("init_hour"))
+    mine = F.when(is_fcst, F.col("variable").isin(forecast)).otherwise(F.col("variable").isin(analysis))
+    keys = ["variable", "time", "iy", "ix"]
+    long = runs.where(mine & (F.col("time") == valid)).select(*keys, "value", F.col("init_hour").alias("seq"))
+    long = assemble.dedupe_last(long, keys).drop("seq")
+    promised = runs.where(mine).select("variable", valid.alias("time")).distinct().withColumn("day", F.to_date("time"))
+    assemble.completeness(promised, long.select("variable", "time"), ["variable", "time"], ["day", "variable"]).write.mode("overwrite").parquet(f"{out}/completeness")
+    c = cov.coverage(divides, grid, cells=cells)
+    c = forcing.prepare_coverage(cov.fill_nearest(c, divides, grid) if fill else c)
+    catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")
+    sinks.write_daily_series(forcing.basin_mean(catch, variables), f"{out}/daily")
+    from .sources.series import scan_daily_basin_files
+    return scan_daily_basin_files(spark, f"{out}/daily", "time string, " + ", ".join(f"`{v}` double" for v in variables))
+
+
 def post_process_job(spark: SparkSession, series_root: str, schema: str, out: str, spec: dict[str, int] | None = None,
                      id_pattern: str = r"divide_id=([^/]+)", time_col: str = "time") -> DataFrame:
     """M1 + P10 + D1 + K5/K6/K7: every series file in one read, each listed variable rounded to its

@@ -138,7 +138,7 @@ FCST_VARS = ["purchase"]  # in forecast files (step 1); every other variable of
 ANL_VARS = sorted({views.OBSERVED, *views.MEMBERS} - set(FCST_VARS))
 
 
-@register("forecast_forcing", sql=V.with_(V.RUN_CELLS, V.BOXES, V.GRID10, V.RECT_COV) + """,
+_FORECAST_SQL = V.with_(V.RUN_CELLS, V.BOXES, V.GRID10, V.RECT_COV) + """,
 a AS (SELECT variable, init_hour AS time, iy, ix, arg_max(value, seq) AS value
       FROM run_cells WHERE step = 0 AND variable <> 'purchase' GROUP BY 1, 2, 3, 4),
 f AS (SELECT variable, init_hour + to_hours(2) AS time, iy, ix, arg_max(value, seq) AS value
@@ -164,7 +164,10 @@ catch AS (SELECT basin_id, divide_id, time,
 SELECT basin_id, time, round(avg(click), 9) AS click, round(avg(error), 9) AS error, round(avg(signup), 9) AS signup,
        round(avg(view), 9) AS view,
        round(avg(purchase), 9) AS purchase
-FROM catch GROUP BY 1, 2""")
+FROM catch GROUP BY 1, 2"""
+
+
+@register("forecast_forcing", sql=_FORECAST_SQL)
 def forecast_forcing(spark, sf):
     """The forecast-archive job as one plan: align (J13) -> keep-last (W1) -> wide (P16) ->
     merge analysis with forecast (J9) -> catchment mean (J1/A1) -> basin mean (A2)."""
@@ -183,3 +186,24 @@ def forecast_forcing(spark, sf):
     c = forcing.catchment_mean(raster, rect_coverage(spark, sf), variables)
     b = forcing.basin_mean(c, variables)
     return b.select("basin_id", "time", *[r9(v, v) for v in variables])
+
+
+def _init_of(store: str) -> str:
+    return f"{store[:4]}-{store[4:6]}-{store[6:8]} {store[9:11]}:00:00"
+
+
+@register("forecast_job_files", sql=_FORECAST_SQL)
+def forecast_job_files(spark, sf):
+    """The forecast job from files: one store per run and kind, written from the tables (hours without a run have none)."""
+    from .. import jobs
+    from ..session import scratch_path
+    from ..sources import chunks
+    root = scratch_path(spark, "archive")
+    r = views.run_cells(spark, sf)
+    kind = F.when(F.col("variable").isin(FCST_VARS), "fcst").otherwise("anl")
+    r = assemble.dedupe_last(r, ["variable", "init_hour", "step", "iy", "ix"]).where((kind == "fcst") | (F.col("step") == 0))
+    name = F.concat(F.date_format("init_hour", "yyyyMMdd_HH"), F.lit("z_"), kind, F.lit(".zarr"))
+    rows = r.select(name.alias("store"), "variable", F.col("step").cast("bigint").alias("t"), "iy", "ix", "value")
+    chunks.write_archive(rows, f"{root}/runs", (views.GRID.ny, views.GRID.nx), {"anl": [0], "fcst": [1, 2, 3]}, _init_of, {"id": "zstd", "level": 1})
+    out = jobs.forecast_job(spark, f"{root}/runs", ANL_VARS, FCST_VARS, 1, views.divides(spark, sf), views.GRID, f"{root}/out", cells="touch", fill=False)
+    return out.select("basin_id", "time", *[r9(v, v) for v in ANL_VARS + FCST_VARS])

@@ -39,6 +39,13 @@ def write_basin_series(df: DataFrame, path: str, time_col: str = "time", mode: s
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("basin_id").option("header", True).csv(path))
 
 
+def write_daily_series(df: DataFrame, path: str, time_col: str = "time", mode: str = "overwrite") -> None:
+    """K3 by day: one CSV folder per basin and valid day."""
+    d = df.withColumn("day", F.to_date(time_col))
+    (_ts_strings(d.repartition("basin_id", "day").sortWithinPartitions("basin_id", "day", time_col))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("basin_id", "day").option("header", True).csv(path))
+
+
 def write_coverage(cov: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: coverage cache keyed by basin (the grid id is part of ``path``)."""
     salt = F.pmod(F.xxhash64("divide_id"), F.lit(16))

@@ -211,6 +211,20 @@ def scan_raster(spark: SparkSession, template: str, years: tuple[int, int], vari
     return scan_chunks(spark, roots, variables, drop_fill, tolerant)
 
 
+def scan_archive(spark: SparkSession, root: str, variables: list[str], drop_fill: bool = True) -> DataFrame:
+    """Every store below ``root`` (an archive of one store per run), in one listing and one job.
+
+    Output as the raw decode of :func:`scan_chunks`: ``store, variable, time, iy, ix, value, path, error``. A run
+    that isn't there is not listed; a chunk that can't be decoded is an error row. Chunks of other variables are
+    left out before their bytes are decoded.
+    """
+    ship_package(spark)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.[0-9]*.[0-9]*")
+             .option("recursiveFileLookup", "true").load(root)
+             .where(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).isin(variables)).select("path", "content"))
+    return files.mapInArrow(_decoder(drop_fill, tolerant=True), CHUNK_SCHEMA)
+
+
 def chunk_errors(spark: SparkSession, roots: str | list[str], variables: list[str]) -> DataFrame:
     """S2 report: the chunk files that could not be decoded and why."""
     return (scan_chunks(spark, roots, variables, tolerant=True, with_errors=True)
@@ -266,3 +280,38 @@ def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int
         return pd.DataFrame({"variable": [var], "cells": [len(pdf)]})
 
     long.groupBy("variable", "kt", "ky", "kx").applyInPandas(write_chunk, "variable string, cells long").count()
+
+
+def _put(path: str, data: bytes) -> None:
+    from pyarrow import fs as pafs
+    store, p = pafs.FileSystem.from_uri(path if "://" in path else "file://" + _norm(path))
+    store.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(p) as f:
+        f.write(data)
+
+
+def write_archive(df: DataFrame, root: str, shape: tuple[int, int], axis: dict[str, list[int]], init_of, compressor: dict | None = None) -> None:
+    """Write ``store, variable, t, iy, ix, value`` as one store per ``store`` below ``root``, by the executors.
+
+    ``axis`` gives, by the store name's kind (``_anl`` or ``_fcst``), the hours after the run's start that the time
+    axis holds; ``init_of(store)`` is that start. A group is one variable of one run, whatever the archive's size.
+    """
+    ship_package(df.sparkSession)
+    ny, nx = shape
+
+    def write_one(pdf):
+        import pandas as pd
+        store, var = pdf["store"].iloc[0], pdf["variable"].iloc[0]
+        hours = next(v for k, v in axis.items() if f"_{k}." in store)
+        base = {"zarr_format": 2, "compressor": compressor, "order": "C", "filters": None}
+        a = np.full((len(hours), ny, nx), np.nan)
+        a[pdf["t"], pdf["iy"], pdf["ix"]] = pdf["value"]
+        meta = base | {"shape": list(a.shape), "chunks": list(a.shape), "dtype": "<f8", "fill_value": "NaN"}
+        time = base | {"shape": [len(hours)], "chunks": [len(hours)], "dtype": "<i8", "fill_value": None, "compressor": None}
+        for name, data in ((f"{var}/.zarray", json.dumps(meta).encode()), (f"{var}/0.0.0", compress(a.tobytes(), compressor)),
+                           ("time/.zarray", json.dumps(time).encode()), ("time/.zattrs", json.dumps({"units": f"hours since {init_of(store)}"}).encode()),
+                           ("time/0", np.asarray(hours, "<i8").tobytes())):
+            _put(f"{root}/{store}/{name}", data)
+        return pd.DataFrame({"store": [store]})
+
+    df.groupBy("store", "variable").applyInPandas(write_one, "store string").count()
