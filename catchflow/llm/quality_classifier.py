@@ -1,20 +1,22 @@
 """Quality by compression: zstandard dictionaries of good and of bad labelled text.
 
 Two dictionaries are built, one from texts labelled good and one from texts labelled bad. A text is compressed
-with each; the difference of the sizes over the text's own bytes, ``(bad - good) / bytes``, says which it is like.
-Logistic regression on that difference (its own part of the labelled rows, weighted to the labels' frequencies)
-makes it a probability.
+with each; the difference of the sizes over the text's own, ``(bad - good) / (bytes + SHORT)``, says which it is
+like (``SHORT`` keeps a difference of a byte or two in a text of a few words from counting much). Logistic
+regression, on labelled rows of its own and weighted to the labels' frequencies, makes it a probability; the logarithm
+of the good dictionary's rate goes in beside it, for texts that both dictionaries compress to next to nothing.
 
 The fit takes at most ``sample`` labelled texts of each class and only texts of at most ``longest`` bytes, chosen
 by a hash of their ids; both are parameters. Scoring covers every text, whole.
 
-Results in edge cases: a null or empty text has difference 0 and gets a score like any other; null ids are held
+Results in edge cases: a null or empty text has no sizes (0, 0) and gets a score like any other; null ids are held
 out by the rule's null (false) and scored; repeated rows are scored one by one; with one class or no labels the
 score is the labels' mean, or 0.5. No rows give no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,7 @@ SAMPLE = 1500
 LONGEST = 32_768
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
+SHORT = 100
 
 
 def held_out(mod: int, rest: int) -> Column:
@@ -47,10 +50,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int,
 
 
 class CompressionModel:
-    """Two dictionaries and a calibrated line. Plain values, so it travels to the tasks."""
+    """Two dictionaries and a calibration (weights of the two figures, and a shift). Plain values, so it travels."""
 
-    def __init__(self, good: bytes, bad: bytes, slope: float, shift: float, level: int = LEVEL):
-        self.good, self.bad, self.slope, self.shift, self.level = good, bad, slope, shift, level
+    def __init__(self, good: bytes, bad: bytes, weights: tuple[float, ...] = (0.0, 0.0), shift: float = 0.0, level: int = LEVEL):
+        self.good, self.bad, self.weights, self.shift, self.level = good, bad, weights, shift, level
         self._made = None
 
     def __getstate__(self):
@@ -64,14 +67,16 @@ class CompressionModel:
                           for d in (self.good, self.bad)]
         return self._made
 
-    def difference(self, text) -> float:
+    def figures(self, text) -> tuple[float, float]:
+        """The normalised difference, and the logarithm of the good dictionary's rate; an empty text has (0, 0)."""
         good, bad = self._compressors()
         if good is None or bad is None or not len(text):
-            return 0.0
-        return (len(bad.compress(text)) - len(good.compress(text))) / len(text)
+            return 0.0, 0.0
+        g, b, n = len(good.compress(text)), len(bad.compress(text)), len(text) + SHORT
+        return (b - g) / n, math.log((g + SHORT / 3) / n)
 
-    def score(self, diffs: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * diffs + self.shift, -40, 40)))
+    def score(self, figures: np.ndarray) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-np.clip(figures @ np.array(self.weights) + self.shift, -40, 40)))
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -83,20 +88,21 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(texts)[-size:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic regression on one standardised figure, by Newton steps with a small ridge."""
-    scale = float(x.std()) or 1.0
-    a = np.stack([x / scale, np.ones_like(x)], 1)
-    beta = np.zeros(2)
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Weighted logistic regression on standardised columns, by Newton steps with a small ridge: (weights, shift)."""
+    mean, scale = x.mean(0), x.std(0)
+    scale = np.where(scale > 0, scale, 1.0)
+    a = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], 1)
+    ridge = np.diag([1e-2] * x.shape[1] + [1e-6])
+    beta = np.zeros(a.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        grad = a.T @ (w * (y - p)) - 1e-3 * beta
-        hess = (a * (w * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        beta += np.clip(step, -5, 5)
+        step = np.linalg.solve((a * (w * p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(len(beta)), a.T @ (w * (y - p)) - ridge @ beta)
+        beta += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0] / scale), float(beta[1])
+    slope = beta[:-1] / scale
+    return tuple(float(v) for v in slope), float(beta[-1] - slope @ mean)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, longest: int = LONGEST,
@@ -108,14 +114,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     if not texts[0] or not texts[1]:
         total = sum(share.values())
         mean = min(0.99, max(0.01, share.get(1, 0) / total)) if total else 0.5
-        return CompressionModel(b"", b"", 0.0, float(np.log(mean / (1 - mean))), level)
+        return CompressionModel(b"", b"", shift=float(np.log(mean / (1 - mean))), level=level)
     parts = {y: ([t for i, t in enumerate(v) if i % 3 < 2 or len(v) < 3], [t for i, t in enumerate(v) if i % 3 == 2 or len(v) < 3])
              for y, v in texts.items()}
-    model = CompressionModel(_dictionary(parts[1][0], size), _dictionary(parts[0][0], size), 1.0, 0.0, level)
-    x = np.array([model.difference(t) for y in (0, 1) for t in parts[y][1]])
+    model = CompressionModel(_dictionary(parts[1][0], size), _dictionary(parts[0][0], size), level=level)
+    x = np.array([model.figures(t) for y in (0, 1) for t in parts[y][1]])
     y = np.array([float(k) for k in (0, 1) for _ in parts[k][1]])
     w = np.where(y == 1, share[1] / max(1, y.sum()), share[0] / max(1, (1 - y).sum()))
-    model.slope, model.shift = _logistic(x, y, w / w.sum() * len(y))
+    model.weights, model.shift = _logistic(x, y, w / w.sum() * len(y))
     return model
 
 
@@ -123,10 +129,10 @@ def _scorer(model: CompressionModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lo, hi, buf, offs in batch_blocks(batches):
             view = memoryview(np.ascontiguousarray(buf))
-            diffs = np.array([model.difference(view[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
+            figures = np.array([model.figures(view[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
             part = batch.slice(lo, hi - lo)
             rest = [c for c in range(part.num_columns) if part.schema.names[c] != "text"]
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], pa.array(model.score(diffs))],
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], pa.array(model.score(figures))],
                                              names=[*[part.schema.names[c] for c in rest], "score"])
     return run
 

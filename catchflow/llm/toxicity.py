@@ -232,7 +232,7 @@ def train(texts: list[str], y: np.ndarray, prior: float, passes: int = PASSES, r
                   y[text[k]].astype(np.float32), weight[k], rate * (1 - p / (passes + 1)))
     logit = document_logits(net, buf, offs)
     w = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum()))
-    net.slope, net.shift = _logistic(logit, y.astype(float), w / w.sum() * len(y))
+    (net.slope,), net.shift = _logistic(logit[:, None], y.astype(float), w / w.sum() * len(y))
     return net
 
 
