@@ -35,7 +35,7 @@ from .common import batch_blocks, blocks, keep_table, mix, partitions, prepare,
 
 LENGTH = 100
 GRAM = 32
-SORT_BYTES = 1 << 21  # bytes whose suffixes are sorted at a time (more only if one anchor has more)
+SORT_BYTES = 1 << 20  # bytes whose suffixes are sorted at a time (more only if one anchor has more)
 
 
 # ---------------------------------------------------------------- anchors
