@@ -38,15 +38,19 @@ def held_out(mod: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, longest: int, seed: str) -> list:
-    """At most ``sample`` (text, label) rows of each class, chosen by a hash of doc_id; a bounded collect."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int, longest: int, seed: str) -> DataFrame:
+    """At most ``sample`` (doc_id, text, y) rows of each class, chosen by a hash of doc_id."""
     ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("_y")).distinct()
     order = [F.md5(F.concat(F.lit(seed), F.col("doc_id").cast("string"))), F.col("doc_id")]
     parts = [ids.where(F.col("_y") == y).orderBy(*order).limit(sample) for y in (0, 1)]
     few = F.broadcast(parts[0].union(parts[1]))  # at most 2 * sample rows
-    got = (docs.select("doc_id", "text").join(few, "doc_id").where(F.octet_length("text") <= longest)
-           .select("doc_id", "text", F.col("_y").alias("y")))
-    return sorted(got.collect(), key=lambda r: (r["doc_id"], r["text"]))
+    return (docs.select("doc_id", "text").join(few, "doc_id").where(F.octet_length("text") <= longest)
+            .select("doc_id", "text", F.col("_y").alias("y")))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, longest: int, seed: str) -> list:
+    """The rows of ``labelled_rows``, in order; a bounded collect."""
+    return sorted(labelled_rows(docs, labels, label, sample, longest, seed).collect(), key=lambda r: (r["doc_id"], r["text"]))
 
 
 class CompressionModel:

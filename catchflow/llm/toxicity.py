@@ -18,6 +18,7 @@ labels' mean, or 0. No rows give no rows; very long texts are scored window by w
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, batch_blocks, blocks, mix, prepare, span_hashes, text_bytes, words
-from .quality_classifier import _logistic, held_out, labelled_sample
+from .quality_classifier import _logistic, held_out, labelled_rows
 
 WORD_BINS = 8192
 CHAR_BINS = 16384
@@ -62,8 +63,8 @@ def word_inputs(buf: np.ndarray, offs: np.ndarray):
     kind = np.concatenate([kind, kind[inner + 1 < np.repeat(size, size)]])
     order = np.argsort(kind, kind="stable")
     gram, kind = gram[order], kind[order]
-    return (which, np.searchsorted(doc, np.arange(len(offs))), (kinds % np.uint64(WORD_BINS)).astype(np.int64),
-            (mix(gram) % np.uint64(CHAR_BINS)).astype(np.int64), kind)
+    return (which.astype(np.int32), np.searchsorted(doc, np.arange(len(offs))), (kinds % np.uint64(WORD_BINS)).astype(np.int32),
+            (mix(gram) % np.uint64(CHAR_BINS)).astype(np.int32), kind.astype(np.int32))
 
 
 def windows_of(word_offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,18 +250,31 @@ def document_logits(net: Network, buf: np.ndarray, offs: np.ndarray) -> np.ndarr
 
 # ---------------------------------------------------------------- on Spark
 
+def _untrained(prior: float) -> Network:
+    """A network that gives every text the labels' mean."""
+    net, mean = Network(), min(1 - 1e-9, max(1e-9, prior))
+    net.slope, net.shift = 0.0, float(np.log(mean / (1 - mean)))
+    return net
+
+
+def _trainer(prior: float, passes: int):
+    """The whole (bounded) sample in one task -> one row, the network."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["text"], r["y"]) for b in batches for r in b.to_pylist() if r["text"].strip())
+        y = np.array([r[2] for r in rows])
+        net = train([r[1] for r in rows], y, prior, passes) if len(set(y.tolist())) == 2 else _untrained(prior)
+        yield pa.RecordBatch.from_pydict({"net": pa.array([pickle.dumps(net)], pa.binary())})
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, longest: int = LONGEST, passes: int = PASSES) -> Network:
-    """Train on the driver from a bounded sample of ``labels`` (training rows only)."""
-    rows = [r for r in labelled_sample(docs, labels, label, sample, longest, "toxicity") if r["text"] and r["text"].strip()]
+    """Train in one task on a bounded sample of ``labels`` (training rows only); the driver gets the weights."""
+    prepare(docs.sparkSession)
     share = {r["_y"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("_y")).agg(F.count("*").alias("n")).collect()}
     prior = share.get(1, 0) / max(1, sum(share.values()))
-    y = np.array([r["y"] for r in rows])
-    if len(set(y.tolist())) < 2:
-        net = Network()
-        mean = min(1 - 1e-9, max(1e-9, prior))
-        net.slope, net.shift = 0.0, float(np.log(mean / (1 - mean)))
-        return net
-    return train([r["text"] for r in rows], y, prior, passes)
+    rows = labelled_rows(docs, labels, label, sample, longest, "toxicity").repartition(1)
+    got = rows.mapInArrow(_trainer(prior, passes), "net binary").collect()  # one row, none without a partition
+    return pickle.loads(got[0]["net"]) if got else _untrained(prior)
 
 
 def _scorer(net: Network):
