@@ -3,13 +3,16 @@
 Targets: sources in code-point order (null last) weigh 1, 2, 3, repeating, and share all words; no target goes
 above ``cap`` times its source's size and the excess is shared again by weight. That is water-filling: one level
 ``v`` with ``target = min(cap * size, v * weight)``, read off prefix sums over the sources sorted by
-``cap * size / weight``.
+``cap * size / weight``: with the first sources at their caps, the rest gives a level; the right one is the first
+that fits its source, and levels only fall from there on.
 
 Sampling: every document of a source expects ``target / source_size`` copies. The running sum of expected copies
 is the document's rank in its source times that figure; with one offset added, a document is emitted once per
 integer the sum crosses. Ranks order a source by size class, so every class is thinned or repeated alike and the
 taken words come near the target. Within a class the order goes by a hash, then size, then id. Ranks are row
 numbers within (source, class, hash byte) plus prefix sums of those groups' counts: no task holds a whole source.
+A source's offset is that of ``OFFSETS``, fixed draws, whose taken words come nearest to the target, which matters
+where a few long documents hold much of a small source.
 
 Results in edge cases: a null or empty text has size 0 and still takes part; null sources are one source, last;
 null or repeated ids and repeated rows are documents of their own; no rows give no rows; other columns go along.
@@ -21,11 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import prepare, running_offsets
+from .common import keep_table, prepare, running_offsets
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-OFFSET = 0.3820037841796875  # the one random offset, a multiple of 2**-20 so that sums with whole numbers are exact
+# offsets to draw from: multiples of 2**-20, so that sums with whole numbers are exact
+OFFSETS = tuple(((2 * i + 1) * 648_055 % (1 << 20)) / (1 << 20) for i in range(24))
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -45,38 +49,66 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
              / F.sum("weight").over(by.rowsBetween(0, Window.unboundedFollowing)))
     lv = w.withColumn("level", level)
     fits = F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level"))
-    return (lv.withColumn("v", F.min(fits).over(all_))
+    return (lv.withColumn("v", F.max(fits).over(all_))
             .withColumn("target", F.least(F.col("most").cast("double"), F.col("v") * F.col("weight")))
             .select("source", "source_size", "target"))
 
 
-def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, offset: float = OFFSET,
-                  sizes: DataFrame | None = None) -> DataFrame:
-    """``docs`` (doc_id, source, and ``_size``, ``_hash`` or text) with ``size, source_size, target, copies``."""
+def _grouped(d: DataFrame) -> DataFrame:
+    """``grp``: size class and first hash byte, an order of a source's rows in which sizes rise."""
+    bits = F.bin("size")
+    salt = F.conv(F.substring("hash", 1, 2), 16, 10).cast("long")
+    return d.withColumn("grp", (F.length(bits) * 32 + F.conv(F.substring(bits, 1, 5), 2, 10)).cast("long") * 256 + salt)
+
+
+def _copies(offset: Column) -> Column:
+    k = F.col("nth") + F.col("before")
+    return (F.floor(offset + (k + 1) * F.col("rate")) - F.floor(offset + k * F.col("rate"))).cast("long")
+
+
+def _ranked(d: DataFrame, base: DataFrame, targets: DataFrame) -> DataFrame:
+    """``d`` with its rank (nth + before) in its source and all columns of ``targets``."""
+    w = Window.partitionBy("source", "grp").orderBy("size", "id", "hash")
+    out = d.withColumn("nth", F.row_number().over(w).cast("long") - 1)
+    out = out.join(base, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("grp") == F.col("b_grp")))
+    return out.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+
+
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
+                  offsets: tuple[float, ...] = OFFSETS) -> DataFrame:
+    """``docs`` (doc_id, source, text, ...) with ``size, source_size, target, copies``; input columns of these names go.
+
+    Without text, ``docs`` must have the columns ``_size`` and ``_hash`` of ``n_words`` and ``content_hash``.
+    """
     prepare(docs.sparkSession)
-    cols = docs.columns
-    if "_size" not in cols:
-        docs = docs.withColumn("_size", n_words("text")).withColumn("_hash", content_hash())
-    bits = F.bin("_size")
-    salt = F.conv(F.substring("_hash", 1, 2), 16, 10).cast("long")
-    grp = ((F.length(bits) * 32 + F.conv(F.substring(bits, 1, 5), 2, 10)).cast("long") * 256 + salt).alias("_group")
-    d = docs.withColumn("_group", grp)
-    keys = d.select("source", "_group", "_size")
-    sizes = keys.groupBy("source").agg(F.sum("_size").alias("source_size"))
-    targets = source_targets(sizes, weights, cap).select(F.col("source").alias("_source"), "source_size", "target")
-    counts = keys.groupBy("source", "_group").count()
-    base = running_offsets(counts, ["source"], "_group", "count", "_before").select(
-        F.col("source").alias("_src"), F.col("_group").alias("_grp"), "_before")
-    w = Window.partitionBy("source", "_group").orderBy("_size", "doc_id", "_hash")
-    ranked = d.withColumn("_row", F.row_number().over(w).cast("long") - 1)
-    ranked = ranked.join(base, ranked["source"].eqNullSafe(base["_src"]) & (ranked["_group"] == base["_grp"]))
-    out = ranked.join(targets, ranked["source"].eqNullSafe(targets["_source"]))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    k = F.col("_row") + F.col("_before")
-    copies = (F.floor(F.lit(offset) + (k + 1) * F.col("_rate")) - F.floor(F.lit(offset) + k * F.col("_rate"))).cast("long")
-    out = out.withColumn("_rate", rate).withColumn("copies", copies)
-    return out.select(*[c for c in cols if c not in ("_size", "_hash")], F.col("_size").alias("size"), "source_size",
-                      "target", "copies")
+    rest = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "_size", "_hash")]
+    if "text" in docs.columns:
+        size, hash_ = n_words("text"), content_hash()
+    else:
+        size, hash_ = F.col("_size"), F.col("_hash")
+    own = [F.col("source").alias("source"), F.col("doc_id").alias("id"), size.alias("size"), hash_.alias("hash")]
+    slim = keep_table(_grouped(docs.select(*own)), "mix-sizes")  # sizes and hashes only; texts are read once more below
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).select(
+        F.col("source").alias("t_source"), "source_size", "target",
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
+    targets = keep_table(targets, "mix-targets")
+    base = running_offsets(slim.groupBy("source", "grp").count(), ["source"], "grp", "count", "before").select(
+        F.col("source").alias("b_source"), F.col("grp").alias("b_grp"), "before")
+    base = keep_table(base, "mix-base")
+    taken = [F.sum(_copies(F.lit(x)) * F.col("size")).alias(f"x{i}") for i, x in enumerate(offsets)]
+    tried = _ranked(slim, base, targets).groupBy("t_source").agg(F.first("target").alias("goal"), *taken)
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"x{i}") - F.col("goal")).alias("off"), F.lit(i).alias("i"), F.lit(x).alias("offset"))
+                                 for i, x in enumerate(offsets)]))
+    best = tried.select(F.col("t_source").alias("o_source"), best["offset"].alias("offset"))
+    targets = targets.join(best, F.col("t_source").eqNullSafe(F.col("o_source")))
+    full = slim if not rest_columns(rest) else _grouped(docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(rest)], *own))
+    names = [F.col({"source": "source", "doc_id": "id"}[c]).alias(c) if full is slim else F.col(f"c_{i}").alias(c) for i, c in enumerate(rest)]
+    return _ranked(full, base, targets).select(*names, "size", "source_size", "target", _copies(F.col("offset")).alias("copies"))
+
+
+def rest_columns(cols: list[str]) -> list[str]:
+    """Columns beside the two that the sizes table has."""
+    return [c for c in cols if c not in ("doc_id", "source")]
 
 
 def content_hash() -> Column:
@@ -100,12 +132,15 @@ w AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1 A
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
       / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM w),
-t AS (SELECT source, source_size, least(CAST(most AS DOUBLE), (SELECT min(lev) FROM l WHERE lev <= most / weight) * weight) AS target FROM l),
+t AS (SELECT source, source_size, least(CAST(most AS DOUBLE), (SELECT max(lev) FROM l WHERE lev <= most / weight) * weight) AS target FROM l),
 r AS (
-  SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY length(bin(size)), substr(bin(size), 1, 5),
-    substr(h, 1, 2), size, doc_id, h) - 1 AS k FROM d)
-SELECT doc_id, size, source_size, target,
-  CAST(CASE WHEN source_size > 0 THEN (floor({OFFSET} + (k + 1) * (target / source_size)) - floor({OFFSET} + k * (target / source_size))) * size
-       ELSE 0 END AS BIGINT) AS taken
-FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source
+  SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)), substr(bin(size), 1, 5), substr(h, 1, 2), size, doc_id, h) - 1 AS k
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+o AS (SELECT unnest(range({len(OFFSETS)})) AS i, unnest([{", ".join(map(repr, OFFSETS))}]) AS x),
+n AS (SELECT source, i, x, abs(sum(CAST((floor(x + (k + 1) * rate) - floor(x + k * rate)) * size AS BIGINT)) - any_value(target)) AS off
+  FROM r, o GROUP BY source, i, x),
+b AS (SELECT source, x FROM n QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, i) = 1)
+SELECT doc_id, size, source_size, target, CAST((floor(x + (k + 1) * rate) - floor(x + k * rate)) * size AS BIGINT) AS taken
+FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source
 """
