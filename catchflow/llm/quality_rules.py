@@ -56,8 +56,9 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_ratio(docs: DataFrame, trusted: DataFrame, smoothing: float = SMOOTHING) -> np.ndarray:
     """``log p_trusted - log p_raw`` of each bucket. ``trusted``: the doc_ids of trusted documents."""
     prepare(docs.sparkSession)
+    # the labels grow with the documents, so the join is a shuffle at every size
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    flagged = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     parts = flagged.mapInArrow(_counter, "bucket long, raw long, trusted long")
     sums = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).collect()  # BUCKETS rows
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
