@@ -6,16 +6,19 @@ of the set. Two steps find all links ``100 * both >= percent * union``:
 1. *Which sets can meet.* Sizes fall into classes a factor ``100 / percent`` apart, so linked sets are in one class
    or in neighbouring ones. Within a class no more than D shingles differ, so if the shingles are dealt by hash into
    ``D + 1 + spare`` parts, at least ``1 + spare`` parts are equal. A set names itself by the hashes of its parts
-   with two or more shingles; if more than ``spare`` parts are smaller, by all of them. Linked sets share a name, so
-   they are in one connected group of names. Names travel packed, 6 bytes each, and leave a task as spanning
-   forests.
+   with two or more shingles. If more than ``spare`` parts are smaller, its prefix joins them: its
+   ``size - need + 1`` smallest shingles, where ``need`` is the least overlap of any link; the prefixes of two linked
+   sets share one. An empty part is never a name. A set too small to link with any other has one name, of all its
+   shingles. Linked sets share a name, so they are in one connected group of names. Names travel packed, 6 bytes
+   each, and leave a task as spanning forests.
 2. *Signature trees.* A group's sets are the leaves of a tree; nodes hold the OR of their leaves' bitmaps and the
    range of their sizes. Two nodes meet only if the sizes allow a link and the common bits, with the slack that
    tokens sharing bits add, reach the overlap that a link needs. What survives down to two leaves is compared
    exactly; leaves already connected are not compared again.
 
 Groups of more than ``GROUP`` sets are dealt into blocks: each block joins alone, then one set of each result meets
-the others, then every block meets all sets of its group that are still outside the group's largest component.
+the others. What is still outside the group's largest component is dealt into blocks again; every two of these blocks
+meet once, and each meets each block of the largest component once, so a task holds two blocks at most.
 No partners are capped and no pairs are emitted; links leave as forests.
 
 Results in edge cases: a null, empty or all-white text has no set, links with nothing and is its own component. A
@@ -109,7 +112,11 @@ def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts)
     """(names, rows): the names of the sets ``rows`` in their own class and as the larger of two in the one below."""
     size = np.diff(at)
     cls = parts.classes(size)
-    out_name, out_row = [], []
+    n = size[rows]
+    alone = (100 * n < parts.percent * (n + 1)) & (100 * (n - 1) < parts.percent * n)  # one shingle more or less is too much
+    out_name, out_row = [set_names(key, at)[rows[alone]].astype(np.uint64)], [rows[alone]]
+    rows = rows[~alone]
+    thin = np.zeros(len(size), bool)
     for below in (0, 1):
         mine = rows[cls[rows] >= below]
         if not len(mine):
@@ -129,13 +136,16 @@ def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts)
         value = total[edge[1:]] - total[edge[:-1]]
         owner = np.repeat(np.arange(len(mine)), m)
         weak = np.bincount(owner, weights=count < 2, minlength=len(mine))
-        sent = (count >= 2) | (weak > spare)[owner]
+        thin[mine[weak > spare]] = True
+        sent = count >= 2
         part = np.arange(len(owner)) - first[owner]
         name = mix(value + mix(part.astype(np.uint64) * np.uint64(1 << 20) + c[owner].astype(np.uint64) + np.uint64(7)))
         out_name.append(name[sent])
         out_row.append(mine[owner[sent]])
-    if not out_name:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    mine = rows[thin[rows]]
+    most = size[mine] - (parts.percent * size[mine] + 99) // 100 + 1
+    out_name.append(mix(key[np.repeat(at[mine] - (np.cumsum(most) - most), most) + np.arange(most.sum())] ^ np.uint64(0x2545F4914F6CDD1D)))
+    out_row.append(np.repeat(mine, most))
     return np.concatenate(out_name), np.concatenate(out_row)
 
 
@@ -285,10 +295,14 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
-    """Component numbers of a group's sets; ``known`` are components found before (equal numbers are connected)."""
+def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
+    """Component numbers of a group's sets; ``known`` are components found before (equal numbers are connected).
+
+    Sets of the same ``side`` have met elsewhere and aren't compared; those of side 0 meet all.
+    """
     n = len(sets)
     tree = SignatureTree(sets)
+    beside = np.zeros(n, np.int64) if side is None else side[tree.order]
     root = np.arange(n)
 
     def find(i: int) -> int:
@@ -308,7 +322,7 @@ def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None =
         for at in range(0, len(p), 512):
             r = flat()
             i, j = p[at:at + 512], q[at:at + 512]
-            open_ = r[i] != r[j]
+            open_ = (r[i] != r[j]) & ((beside[i] != beside[j]) | (beside[i] == 0))
             for x, y in zip(i[open_].tolist(), j[open_].tolist()):
                 fx, fy = find(x), find(y)
                 if fx != fy and linked(tree.sets[x], tree.sets[y], percent):
@@ -318,8 +332,8 @@ def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None =
         k = known[tree.order]
         _, first, inverse = np.unique(k, return_index=True, return_inverse=True)
         root[:] = first[inverse]
-    side = np.arange(n - 1)
-    compare(side, side + 1)
+    left = np.arange(n - 1)
+    compare(left, left + 1)
     level = len(tree.levels) - 1
     pairs = [(level, np.zeros(1, np.int64), np.zeros(1, np.int64))] if n > 1 else []
     while pairs:  # depth first, so that few node pairs wait at a time
@@ -328,6 +342,8 @@ def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None =
         at = np.arange(0, n, width)
         lo, hi = np.minimum.reduceat(r, at), np.maximum.reduceat(r, at)
         done = (lo[p] == hi[p]) & (lo[q] == hi[q]) & (lo[p] == lo[q])  # all connected already
+        low, high = np.minimum.reduceat(beside, at), np.maximum.reduceat(beside, at)
+        done |= (low[p] == high[q]) & (low[q] == high[p]) & (low[p] == low[q]) & (low[p] > 0)  # all of one side
         p, q = p[~done], q[~done]
         keep = tree.may_link(level, p, q, percent)
         p, q = p[keep], q[keep]
@@ -347,27 +363,27 @@ def join_group(sets: list[np.ndarray], percent: int, known: np.ndarray | None =
 
 
 def _group_joiner(k: int, percent: int):
-    """Rows (grp, node, known, text) sorted by grp -> a forest of each group's links."""
-    def close(nodes, known, texts):
+    """Rows (grp, node, known, side, text) sorted by grp -> a forest of each group's links."""
+    def close(nodes, known, side, texts):
         buf, offs = text_bytes(pa.array(texts, pa.string()))
         sets = []
         for _, _, b, o in blocks(buf, offs):
             key, at = shingle_sets(b, o, k)
             sets += [key[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-        nodes, known = np.array(nodes), np.array(known)
+        nodes, known, side = np.array(nodes), np.array(known), np.array(side)
         nodes, first = np.unique(nodes, return_index=True)
-        root = join_group([sets[i] for i in first], percent, known[first])
+        root = join_group([sets[i] for i in first], percent, known[first], side[first])
         new = root != np.arange(len(root))
         return pa.RecordBatch.from_arrays([pa.array(nodes[new]), pa.array(nodes[root[new]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, ([], [], [])
+        now, held = None, ([], [], [], [])
         for b in batches:
-            for grp, *row in zip(*[b.column(c).to_pylist() for c in ("grp", "node", "known", "text")]):
+            for grp, *row in zip(*[b.column(c).to_pylist() for c in ("grp", "node", "known", "side", "text")]):
                 if grp != now:
                     if len(held[0]) > 1:
                         yield close(*held)
-                    now, held = grp, ([], [], [])
+                    now, held = grp, ([], [], [], [])
                 for x, y in zip(held, row):
                     x.append(y)
         if len(held[0]) > 1:
@@ -386,11 +402,40 @@ def _set_rows(k: int):
 
 
 def _joined(rows: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """``rows`` (grp, node, known, text): the links of every group, as a written forest."""
+    """``rows`` (grp, node, known, side, text): the links of every group, as a written forest."""
     dealt = rows.repartition(partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
     return keep_table(dealt.mapInArrow(_group_joiner(k, percent), "a long, b long"), name)
 
 
+def outside_pairs(state: DataFrame, group: int) -> DataFrame:
+    """``state`` (root, node, comp, text) -> rows of ``_joined``: pairs of blocks of about ``group`` sets.
+
+    What is outside a root's largest component meets everything once; the largest component's own sets don't meet.
+    """
+    per = state.groupBy("root", "comp").agg(F.count("*").alias("n"))
+    sizes = (per.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("in_main"), F.sum("n").alias("n"))
+             .select("root", "main", F.ceil(F.col("in_main") / group).alias("homes"), F.ceil((F.col("n") - F.col("in_main")) / group).alias("outs")))
+    s = state.join(sizes, "root").where("outs > 0")
+
+    def block(seed: int, n: str):
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("long")
+
+    def spread(rows: DataFrame, n: str) -> DataFrame:
+        return rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (F.col(n) - 1).cast("long"))))
+
+    def dealt(rows: DataFrame, home: bool, i, j, side) -> DataFrame:
+        grp = F.struct("root", F.lit(home).alias("home"), i.alias("i"), j.alias("j"))
+        return rows.select(grp.alias("grp"), "node", F.col("comp").alias("known"), side.cast("long").alias("side"), "text")
+
+    mine, other = F.col("mine"), F.col("other")
+    out = s.where("comp <> main").withColumn("mine", block(2, "outs"))
+    each_other = dealt(spread(out, "outs"), False, F.least(mine, other), F.greatest(mine, other),
+                       F.when(mine == other, 0).when(mine < other, 1).otherwise(2))
+    outs = dealt(spread(out, "homes"), True, mine, other, F.lit(1))
+    homes = dealt(spread(s.where("comp = main").withColumn("mine", block(3, "homes")), "outs"), True, other, mine, F.lit(2))
+    return each_other.union(outs).union(homes)
+
+
 def candidate_groups(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, root): sets that can be linked are in one group."""
     n = partitions(docs.sparkSession)
@@ -413,8 +458,8 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
 
     blocks_ = F.ceil(F.col("size") / group)
     block = F.when(F.col("size") > group, F.pmod(F.xxhash64("node"), blocks_)).otherwise(F.lit(0))
-    own = F.struct("root", block.cast("long").alias("block"))
-    links = _joined(member.select(own.alias("grp"), "node", F.col("node").alias("known"), "text"), k, percent, "links-blocks")
+    own, met = F.struct("root", block.cast("long").alias("block")), F.lit(0).cast("long")
+    links = _joined(member.select(own.alias("grp"), "node", F.col("node").alias("known"), met.alias("side"), "text"), k, percent, "links-blocks")
     big = member.where(F.col("size") > group)
     if size.where(F.col("size") > group).limit(1).count():
         roots = components(links)
@@ -423,17 +468,10 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
         heads = state.where("node = comp")
         count = heads.groupBy("root").agg(F.count("*").alias("heads"))
         shard = F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.ceil(F.col("heads") / group)).cast("long")
-        links = keep_table(links.union(_joined(heads.join(count, "root").select(F.struct("root", shard.alias("block")).alias("grp"), "node", F.col("node").alias("known"), "text"), k, percent, "links-heads")), "links")
+        links = keep_table(links.union(_joined(heads.join(count, "root").select(F.struct("root", shard.alias("block")).alias("grp"), "node", F.col("node").alias("known"), met.alias("side"), "text"), k, percent, "links-heads")), "links")
         roots = components(links)
         state = keep_table(big.join(roots.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "group-state")
-        per = state.groupBy("root", "comp").agg(F.count("*").alias("n"))
-        main = per.groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-        # what is outside the group's largest component meets every block
-        home = state.select(F.struct("root", block.cast("long").alias("block")).alias("grp"), "node", F.col("comp").alias("known"), "text")
-        guests = (state.join(main, "root").where("comp <> main")
-                  .select(F.explode(F.sequence(F.lit(0).cast("long"), (blocks_ - 1).cast("long"))).alias("block"), "root", "node", "comp", "text")
-                  .select(F.struct("root", "block").alias("grp"), "node", F.col("comp").alias("known"), "text"))
-        links = links.union(_joined(home.union(guests), k, percent, "links-guests"))
+        links = links.union(_joined(outside_pairs(state, group), k, percent, "links-outside"))
     roots = components(links)
     placed = rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
     least = placed.where("node <> 0").groupBy("comp").agg(F.min("doc_id").alias("low"))
