@@ -8,6 +8,9 @@ contraction). The other cuts depend on the kind of vocabulary:
 * ``words`` (lower case, white space dropped, as in ``word_bpe_49k.json``): at every run of ASCII white space.
 * ``bytes`` (a space belongs to the next word, as in ``byte_bpe_50k.json``): before a single space, and around
   a single line feed, that stands between two characters that are certainly not white space.
+
+The library looks for the strings of added tokens (``<|endoftext|>``) in the text before anything else. A text
+that holds one is not cut: the library encodes it whole, as it is.
 """
 
 from __future__ import annotations
@@ -93,7 +96,7 @@ class TextEncoder:
         if kind not in ("words", "bytes"):
             raise ValueError(f"unknown kind of vocabulary {kind!r}")
         self.tok, self.kind = Tokenizer.from_file(file), kind
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = sorted({t.content.encode() for t in self.tok.get_added_tokens_decoder().values()} - {b""})
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.cache = _CACHES.setdefault(file, {})
@@ -114,19 +117,40 @@ class TextEncoder:
                 room -= 1
         return out
 
+    def _whole(self, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int]]:
+        """First and end byte of each text that holds the string of an added token."""
+        data, found = buf.tobytes(), set()
+        for string in self.added:
+            at = data.find(string)
+            while at >= 0:
+                i = int(np.searchsorted(offs, at, "right")) - 1
+                hi = int(offs[i + 1])
+                if at + len(string) <= hi:
+                    found.add((int(offs[i]), hi))
+                    at = data.find(string, hi)
+                else:  # it would cross into the next text
+                    at = data.find(string, at + 1)
+        return sorted(found)
+
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, joined, and the n + 1 offsets of the texts; ``end_id`` is put after each."""
         n = len(offs) - 1
+        whole, raw = self._whole(buf, offs), buf
         if self.kind == "words":
             buf = LOWER[buf]  # what the vocabulary's normaliser does to A-Z
-        pos = np.flatnonzero(_cuts(buf, offs, self.kind)).astype(np.int32)
+        cut = _cuts(buf, offs, self.kind)
+        for lo, hi in whole:
+            cut[lo + 1:hi] = False
+            if self.kind == "words":
+                buf[lo:hi] = raw[lo:hi]  # added tokens are looked for in the text as it is
+        pos = np.flatnonzero(cut).astype(np.int32)
         found, which = [], np.zeros(0, np.int32)
         starts = pos[:-1]
         if len(starts):
             data = np.ascontiguousarray(buf)
             rows = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(pos), pa.py_buffer(data)])
             if self.kind == "words":
-                dark = ~WHITE[buf[starts]]
+                dark = ~WHITE[buf[starts]] | np.isin(starts, [lo for lo, _ in whole])
                 rows, starts = rows.filter(pa.array(dark)), starts[dark]
             coded = rows.dictionary_encode()
             found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
