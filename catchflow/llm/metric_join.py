@@ -244,16 +244,17 @@ def link_embeddings(vectors: DataFrame, cosine: float = 0.98, cell: int = CELL,
     equal = keep_table(equal, "vector-classes")
     nodes = keep_table(equal.select("label", F.size("key").cast("int").alias("dim"), "node", "mult", "low", F.col("key").alias("embedding"))
                        .mapInArrow(_pack_vectors, "label long, dim int, node long, mult long, low long, vec binary"), "vector-nodes")
-    cell = max(cell, -(-nodes.count() // pivots))
-    large = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > cell).collect()  # at most ``pivots`` rows
+    total = nodes.count()
+    spaced = max(cell, -(-total // pivots))  # vectors a pivot; blocks are cut at ``cell`` whatever the table
+    many = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > cell)
+    large = many.where(F.col("n") > spaced).collect()  # at most ``pivots`` rows
     reach = math.sqrt(2 - 2 * cosine) + 1e-9
-    cells = _choose(nodes, large, cell, reach)
+    cells = _choose(nodes, large, spaced, reach)
     slim = nodes.select("label", "dim", "node", "mult", "vec")
-    if large:
-        keys = spark.createDataFrame([(r["label"], r["dim"]) for r in large], "label long, dim int")
-        homes = (slim.join(F.broadcast(keys), ["label", "dim"], "left_semi")
+    if total > cell:
+        homes = (slim.join(many, ["label", "dim"], "left_semi")
                  .mapInArrow(_dealer(cells, True), "label long, dim int, cell int, n long")
-                 .groupBy("label", "dim", "cell").agg(F.sum("n").alias("n")).collect())  # a row per pivot
+                 .groupBy("label", "dim", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > cell).collect())  # a row per cell of several blocks
         cells.blocks = {(r["label"], r["dim"], r["cell"]): -(-r["n"] // cell) for r in homes}
     dealt = (slim.mapInArrow(_dealer(cells, False), _ROWS)
              .repartition(partitions(spark), "label", "dim", "cell", "block")
