@@ -3,8 +3,8 @@
 Rules are (action, host, path): one fits its host and all subdomains if the url's path starts with the rule's;
 the longest wins, at equal length a block. Pages that no rule fits get their host's verdict:
 
-* Nodes are the pages' hosts, the hosts they link to, and the parent domains of both. Edges are absolute links
-  between different hosts, weighted by the pages that have them, and one edge each way between a host and its
+* Nodes are the pages' hosts, the hosts they link to, and the parent domains of both. Edges are links with a
+  host (``http://host/`` or ``//host/``) between different hosts, weighted by the pages that have them, and one edge each way between a host and its
   parent domain (a page's relative links stay on its host and add nothing).
 * Trust is personalised PageRank along the edges from the hosts of pages that a rule allows; distrust is the same
   against the edges from the hosts of pages that a rule blocks. Seeds weigh by such pages. Mass of hosts without
@@ -26,7 +26,7 @@ from .common import keep_table, prepare
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+_LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 def host_of(url):
@@ -67,7 +67,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight) between different hosts, from links of ``pages`` (host, html) and from parent domains."""
     links = (pages.select("host", F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all("html", F.lit(_LINK), 1),
-        lambda u: F.translate(F.regexp_extract(u, "://([^/?#]*)", 1), UPPER, LOWER)))).alias("dst"))
+        lambda u: F.translate(F.regexp_extract(u, "^[^/]*//([^/?#]*)", 1), UPPER, LOWER)))).alias("dst"))
         .where("dst <> '' AND dst <> host").groupBy(F.col("host").alias("src"), "dst")
         .agg(F.count("*").cast("double").alias("weight")))
     links = keep_table(links, "host-links")
