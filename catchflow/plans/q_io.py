@@ -210,7 +210,7 @@ def evaluation_files(spark, sf):
     sinks.write_nexus_files(mem, f"{root}/nexus")
     obs = s.filter(F.col("id") == views.OBSERVED).select(
         F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("value").alias("QObs(mm/h)"))
-    obs.coalesce(1).write.option("header", True).csv(f"{root}/obs/01187300-usgs-hourly")
+    obs.write.option("header", True).csv(f"{root}/obs/01187300-usgs-hourly")
     t = jobs.evaluation_job(spark, f"{root}/nexus", f"{root}/obs")
     return t.select("gage_id", "id", r9("nse", "nse"), F.col("n").cast("bigint"))
 
