@@ -6,11 +6,14 @@ of the set. Two steps find all links ``100 * both >= percent * union``:
 1. *Which sets can meet.* Sizes fall into classes a factor ``100 / percent`` apart, so linked sets are in one class
    or in neighbouring ones. Within a class no more than D shingles differ, so if the shingles are dealt by hash into
    ``D + 1 + spare`` parts, at least ``1 + spare`` parts are equal. A set names itself by the hashes of its parts
-   with two or more shingles. If more than ``spare`` parts are smaller, its prefix joins them: its
-   ``size - need + 1`` smallest shingles, where ``need`` is the least overlap of any link; the prefixes of two linked
-   sets share one. An empty part is never a name. A set too small to link with any other has one name, of all its
-   shingles. Linked sets share a name, so they are in one connected group of names. Names travel packed, 6 bytes
-   each, and leave a task as spanning forests.
+   with two or more shingles, one of them rare. If more than ``spare`` parts are not like that, its prefix in that
+   class joins them: its ``size - need + 1`` rarest shingles, where ``need`` is the least overlap of any link; the
+   prefixes of two linked sets share one. Rarity is the number of documents in a shingle's bin of a table of ``BINS``
+   counts over the whole corpus. It depends on the shingle alone, so equal parts are named alike and any two prefixes
+   follow one order, which keeps the join exact; and it keeps passages that many documents share out of the names.
+   An empty part is never a name. A set too small to link with any other has one
+   name, of all its shingles. Linked sets share a name, so they are in one connected group of names. Names travel
+   packed, 6 bytes each, and leave a task as spanning forests.
 2. *Signature trees.* A group's sets are the leaves of a tree; nodes hold the OR of their leaves' bitmaps and the
    range of their sizes. Two nodes meet only if the sizes allow a link and the common bits, with the slack that
    tokens sharing bits add, reach the overlap that a link needs. What survives down to two leaves is compared
@@ -28,20 +31,26 @@ id that isn't null. Repeated rows have equal sets. No rows give no rows; other c
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, batch_blocks, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, words
+from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, words
 from .graph import components
 
 GROUP = 2000
 FLUSH_NAMES = 2_000_000
 BITS = 2048
 FANOUT = 8
+BIN_BITS = 22
+BINS = 1 << BIN_BITS  # counts of shingles, 4 bytes each on the driver, 1 in a task
+SLICES = 16
+COMMON = 128
 
 
 # ---------------------------------------------------------------- sets of texts
@@ -108,15 +117,17 @@ class Parts:
         return differ + 1 + spare, spare
 
 
-def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
-    """(names, rows): the names of the sets ``rows`` in their own class and as the larger of two in the one below."""
+def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(names, rows): the names of the sets ``rows`` in their own class and as the larger of two in the one below.
+
+    ``common`` ranks the bins of shingles by how often they occur; without it all are alike.
+    """
     size = np.diff(at)
     cls = parts.classes(size)
     n = size[rows]
     alone = (100 * n < parts.percent * (n + 1)) & (100 * (n - 1) < parts.percent * n)  # one shingle more or less is too much
     out_name, out_row = [set_names(key, at)[rows[alone]].astype(np.uint64)], [rows[alone]]
     rows = rows[~alone]
-    thin = np.zeros(len(size), bool)
     for below in (0, 1):
         mine = rows[cls[rows] >= below]
         if not len(mine):
@@ -135,17 +146,29 @@ def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts)
         edge = np.append(0, np.cumsum(count))
         value = total[edge[1:]] - total[edge[:-1]]
         owner = np.repeat(np.arange(len(mine)), m)
-        weak = np.bincount(owner, weights=count < 2, minlength=len(mine))
-        thin[mine[weak > spare]] = True
         sent = count >= 2
+        if common is not None:  # a part of nothing but common shingles would tie together all texts with a passage
+            rank = common[(k >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
+            sent &= np.bincount(slot[rank < COMMON], minlength=len(count)) > 0
+        weak = np.bincount(owner, weights=~sent, minlength=len(mine))
         part = np.arange(len(owner)) - first[owner]
         name = mix(value + mix(part.astype(np.uint64) * np.uint64(1 << 20) + c[owner].astype(np.uint64) + np.uint64(7)))
         out_name.append(name[sent])
         out_row.append(mine[owner[sent]])
-    mine = rows[thin[rows]]
-    most = size[mine] - (parts.percent * size[mine] + 99) // 100 + 1
-    out_name.append(mix(key[np.repeat(at[mine] - (np.cumsum(most) - most), most) + np.arange(most.sum())] ^ np.uint64(0x2545F4914F6CDD1D)))
-    out_row.append(np.repeat(mine, most))
+        # two linked sets that are both thin in this class share a shingle of their prefixes
+        thin = weak > spare
+        held = thin[local]
+        rare, whose = k[held], local[held]
+        if common is not None:
+            rare = rare[np.lexsort((rare, rank[held], whose))]
+        least = np.maximum(np.array(parts.lows)[c], (parts.percent * n + 99) // 100)  # the smallest partner
+        most = n - (parts.percent * (n + least) + 99 + parts.percent) // (100 + parts.percent) + 1
+        most = np.where(thin, np.maximum(most, 1), 0)
+        from_ = np.cumsum(np.where(thin, n, 0)) - np.where(thin, n, 0)
+        pick = np.repeat(from_ - (np.cumsum(most) - most), most) + np.arange(most.sum())
+        owner = np.repeat(np.arange(len(mine)), most)
+        out_name.append(mix(rare[pick] ^ mix(c[owner].astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))))
+        out_row.append(mine[owner])
     return np.concatenate(out_name), np.concatenate(out_row)
 
 
@@ -184,7 +207,7 @@ def _stars(name: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return node[real], low[real]
 
 
-def _namer(k: int, percent: int, routes: int):
+def _namer(k: int, percent: int, routes: int, common: Broadcast):
     """Packed part names, dealt by their hash; equal sets of a block name themselves once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held, count = Parts(percent), [], 0
@@ -206,7 +229,7 @@ def _namer(k: int, percent: int, routes: int):
             key, at = shingle_sets(buf, offs, k)
             node = set_names(key, at)
             _, rows = np.unique(node, return_index=True)
-            name, row = part_names(key, at, rows[node[rows] != 0], parts)
+            name, row = part_names(key, at, rows[node[rows] != 0], parts, common.value)
             held.append((name, node[row]))
             count += len(name)
             if count >= FLUSH_NAMES:
@@ -392,15 +415,52 @@ def _group_joiner(k: int, percent: int):
 
 
 def _set_rows(k: int):
+    """A row for each document, and at a task's end ``SLICES`` rows with its counts of shingles by bin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BINS, np.uint32)
         for batch, lo, hi, buf, offs in batch_blocks(batches):
             key, at = shingle_sets(buf, offs, k)
-            part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(at)), pa.array(set_names(key, at))],
-                                             names=["doc_id", "text_hash", "n_shingles", "node"])
+            np.add.at(counts, (key >> np.uint64(64 - BIN_BITS)).astype(np.int64), np.uint32(1))
+            part, n = batch.slice(lo, hi - lo), hi - lo
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(at)), pa.array(set_names(key, at)),
+                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_SET_NAMES)
+        if counts.any():
+            packed = [zlib.compress(c.view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for c in counts.reshape(SLICES, -1)]  # byte planes: most are zeros
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(SLICES, pa.int64())] * 4, pa.array(range(SLICES), pa.int32()), binary_column(packed)], names=_SET_NAMES)
     return run
 
 
+_SET_NAMES = ["doc_id", "text_hash", "n_shingles", "node", "slice", "counts"]
+
+
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for s, packed in zip(b.column("slice").to_pylist(), b.column("counts")):
+            c = np.frombuffer(zlib.decompress(packed.as_buffer()), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+            total[s] = total.get(s, np.zeros(len(c), np.uint64)) + c
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), binary_column([common_ranks(c).tobytes() for c in total.values()])],
+                                         names=["slice", "ranks"])
+
+
+def common_ranks(counts: np.ndarray) -> np.ndarray:
+    """One byte for each bin, never falling with its count; ``COMMON`` and more where it's far above the bins' mean."""
+    steps = np.floor(4 * np.log2(1.0 + counts)).clip(0, COMMON - 1)
+    return (steps + np.where(counts > 50 + 2 * counts.mean(), COMMON, 0)).astype(np.uint8)
+
+
+def shingle_ranks(rows: DataFrame) -> Broadcast:
+    """The bins' ranks over all of ``rows`` (see ``_set_rows``); ``BINS`` bytes, whatever the table."""
+    spark = rows.sparkSession
+    found = (rows.where("slice IS NOT NULL").select("slice", "counts").repartition(SLICES, "slice")
+             .mapInArrow(_sum_counts, "slice int, ranks binary").collect())
+    ranks = np.zeros((SLICES, BINS // SLICES), np.uint8)
+    for r in found:
+        ranks[r["slice"]] = np.frombuffer(r["ranks"], np.uint8)
+    return spark.sparkContext.broadcast(ranks.ravel())
+
+
 def _joined(rows: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """``rows`` (grp, node, known, side, text): the links of every group, as a written forest."""
     dealt = rows.repartition(partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
@@ -436,10 +496,10 @@ def outside_pairs(state: DataFrame, group: int) -> DataFrame:
     return each_other.union(outs).union(homes)
 
 
-def candidate_groups(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def candidate_groups(docs: DataFrame, k: int, percent: int, common: Broadcast) -> DataFrame:
     """(node, root): sets that can be linked are in one group."""
     n = partitions(docs.sparkSession)
-    names = docs.select("text").mapInArrow(_namer(k, percent, n), "route int, nodes binary, names binary, at binary")
+    names = docs.select("text").mapInArrow(_namer(k, percent, n, common), "route int, nodes binary, names binary, at binary")
     packed = names.repartition(n, "route").mapInArrow(_gather(n), "route int, a binary, b binary")
     return components(packed.repartition(n, "route").mapInArrow(_thin, "a long, b long"))
 
@@ -448,8 +508,9 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
     """``docs`` (doc_id, text) -> doc_id, n_shingles, node (its set's name, 0 for none), component_id; a row a document."""
     prepare(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
-    rows = keep_table(d.mapInArrow(_set_rows(k), "doc_id long, text_hash long, n_shingles long, node long"), "shingle-sets")
-    near = candidate_groups(d, k, percent)
+    made = keep_table(d.mapInArrow(_set_rows(k), "doc_id long, text_hash long, n_shingles long, node long, slice int, counts binary"), "shingle-sets")
+    rows = made.where("slice IS NULL").drop("slice", "counts")
+    near = candidate_groups(d, k, percent, shingle_ranks(made))
     # one text for each set that is in a group
     texts = rows.where("node <> 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(near, "node")
     one = d.groupBy("text_hash").agg(F.any_value("text").alias("text"))

@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 from brute import WORD, base_rules, reshared
-from conftest import SF, tricky_rows
+from llm_rows import SF, tricky_rows
 
 from catchflow.llm import mixing, quality_classifier, quality_rules, queries, toxicity, url_filters
 

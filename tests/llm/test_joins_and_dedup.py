@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from brute import near_groups, repeats, sha, vector_links
-from conftest import SF, tricky_rows
+from llm_rows import SF, tricky_rows
 
 from catchflow.llm import graph, metric_join, ngram_join, suffix_dedup
 

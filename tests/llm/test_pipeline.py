@@ -3,7 +3,7 @@ import shutil
 import numpy as np
 import pytest
 from brute import near_groups, repeats
-from conftest import DOC, SF, tricky_rows
+from llm_rows import DOC, SF, tricky_rows
 from test_tokens_packing_files import library_ids
 
 import corpus_pipeline
@@ -35,7 +35,7 @@ def test_each_stage_equals_a_plain_version(spark, whole):
     logits = toxicity.document_logits(net, np.frombuffer(b"".join(buf), np.uint8), np.append(0, np.cumsum([len(b) for b in buf])))
     assert sorted(r["doc_id"] for r in calm) == sorted(r["doc_id"] for r, s in zip(docs, net.score(logits)) if s < 0.5)
     # one document of each group of near-duplicates
-    groups = near_groups([(r["doc_id"], r["text"]) for r in calm])
+    groups = near_groups([(r["doc_id"], r["text"]) for r in calm], percent=80, k=5)
     assert sorted(r["doc_id"] for r in single) == sorted({c for _, _, c in groups})
     # later copies of repeated strings
     want = {i: kept.decode("utf-8", "ignore") for i, _, _, _, kept in repeats(sorted((r["doc_id"], r["text"]) for r in single))}

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF, tricky_rows
+from llm_rows import SF, tricky_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
