@@ -27,6 +27,3 @@ def spark():
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="catchflow-test-")
-
-
-SF_SMALL = "/root/testdata/sf0.001"

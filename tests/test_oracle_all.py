@@ -8,7 +8,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 

@@ -12,7 +12,7 @@ from catchflow.operators import forcing
 from catchflow.plans import views
 from catchflow.sources import chunks, containers
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 @pytest.mark.parametrize("codec", [None, {"id": "zlib"}, {"id": "gzip"}, {"id": "zstd"}, {"id": "lz4"}])
