@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collision_search import op11_collision_search
+from .divergence import OP13_SQL, op13_run_columns
+from .hard_negatives import OP12_SQL, op12_multi_index
 from .metric_join import OP2_SQL, op2_pivot_cells
 from .mixing import OP8_SQL, op8_systematic_mix
 from .ngram_join import op7_signature_trees
@@ -28,5 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_systematic_mix": op8_systematic_mix,
     "op9_simple8b_files": op9_simple8b_files,
     "op10_zstd_quality": op10_zstd_quality,
+    "op11_collision_search": op11_collision_search,
+    "op12_multi_index": op12_multi_index,
+    "op13_run_columns": op13_run_columns,
 }
-ORACLES: dict[str, str] = {"op2_pivot_cells": OP2_SQL, "op8_systematic_mix": OP8_SQL}
+ORACLES: dict[str, str] = {"op2_pivot_cells": OP2_SQL, "op8_systematic_mix": OP8_SQL, "op12_multi_index": OP12_SQL, "op13_run_columns": OP13_SQL}
