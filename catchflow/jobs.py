@@ -35,7 +35,7 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
     divides = divides.join(todo, "basin_id", "left_semi")
     ledger.record(todo, ledger_path, "processing")
     c = cov.coverage(divides, grid, cells=cells)
-    c = forcing.prepare_coverage(cov.fill_nearest(c, divides, grid) if fill else c)
+    c = forcing.prepare_coverage(cov.fill_nearest(c, divides) if fill else c)
     long = chunks.scan_raster(spark, raster_template, years, variables, drop_fill=True)
     catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")  # one raster scan; the rest derives from it
     sinks.write_catchment_series(catch, f"{out}/catchment")                     # K2
@@ -74,7 +74,7 @@ def forecast_job(spark: SparkSession, root: str, analysis: list[str], forecast:
     promised = runs.where(mine).select("variable", valid.alias("time")).distinct().withColumn("day", F.to_date("time"))
     assemble.completeness(promised, long.select("variable", "time"), ["variable", "time"], ["day", "variable"]).write.mode("overwrite").parquet(f"{out}/completeness")
     c = cov.coverage(divides, grid, cells=cells)
-    c = forcing.prepare_coverage(cov.fill_nearest(c, divides, grid) if fill else c)
+    c = forcing.prepare_coverage(cov.fill_nearest(c, divides) if fill else c)
     catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")
     sinks.write_daily_series(forcing.basin_mean(catch, variables), f"{out}/daily")
     from .sources.series import scan_daily_basin_files

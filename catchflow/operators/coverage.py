@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..schemas import Grid
 from ..session import written
+from . import nearest
 
 # Coverage below this is floating-point dust from clipping along a cell edge.
 COVERAGE_EPS = 1e-12
@@ -118,8 +119,8 @@ def unravel(cell_id, nx: int):
 
 
 def to_nested(cov: DataFrame) -> DataFrame:
-    """R1 (pack): one row per feature with ``cells: array<struct<cell_id, coverage>>`` sorted by cell id."""
-    return cov.groupBy("divide_id").agg(
+    """R1 (pack): one row per (basin, feature) with ``cells: array<struct<cell_id, coverage>>`` sorted by cell id."""
+    return cov.groupBy("basin_id", "divide_id").agg(
         F.sort_array(F.collect_list(F.struct("cell_id", "coverage"))).alias("cells"))
 
 
@@ -128,7 +129,7 @@ def nested_coverage(divides: DataFrame, cov: DataFrame, id_col: str = "divide_id
     n = to_nested(cov)
     feats = divides.select(F.col(id_col).alias("divide_id"), "basin_id")
     empty = F.array().cast("array<struct<cell_id:bigint,coverage:double>>")
-    return feats.join(n, "divide_id", "left").select("basin_id", "divide_id", F.coalesce("cells", empty).alias("cells"))
+    return feats.join(n, ["basin_id", "divide_id"], "left").select("basin_id", "divide_id", F.coalesce("cells", empty).alias("cells"))
 
 
 def flatten_coverage(nested: DataFrame, nx: int, basin_id: str | None = None) -> DataFrame:
@@ -147,67 +148,27 @@ def without_cells(nested: DataFrame) -> DataFrame:
     return nested.filter(F.size("cells") == 0)
 
 
-def _tiles(bb, tile: float, pad):
-    """Explode the tile keys a (padded) bbox overlaps."""
-    tx0 = F.floor((bb["xmin"] - pad) / tile).cast("bigint")
-    tx1 = F.floor((bb["xmax"] + pad) / tile).cast("bigint")
-    ty0 = F.floor((bb["ymin"] - pad) / tile).cast("bigint")
-    ty1 = F.floor((bb["ymax"] + pad) / tile).cast("bigint")
-    return F.explode(F.flatten(F.transform(F.sequence(tx0, tx1),
-                                           lambda tx: F.transform(F.sequence(ty0, ty1),
-                                                                  lambda ty: F.struct(tx.alias("tx"), ty.alias("ty"))))))
+def nearest_sources(divides: DataFrame, cov: DataFrame) -> DataFrame:
+    """J3 + G2 + W2: for each (basin, feature) without cells, the nearest one with cells (see :mod:`nearest`).
 
+    Output: ``basin_id, divide_id`` (missing), ``source_basin, source_id``, ``dist``. Features without geometry have
+    no place and no answer: :func:`without_geometry` names them.
+    """
+    has = cov.select("basin_id", "divide_id").distinct().withColumn("_has", F.lit(True))
+    feats = written(divides.select("basin_id", "divide_id", "rings").join(has, ["basin_id", "divide_id"], "left"), "nearest-features")
+    return nearest.nearest(feats.where("_has IS NULL"), feats.where("_has"))
 
-def nearest_sources(divides: DataFrame, cov: DataFrame, tile: float) -> DataFrame:
-    """J3 + G2 + W2: for each feature without cells, the nearest feature with cells.
 
-    Exact, with equi-joins on spatial tiles instead of a cross join: a feature missing cells looks in the
-    tiles within radius ``r`` of its bbox; if the best candidate is at distance <= r it is exact (any closer
-    polygon has a bbox within r), otherwise ``r`` doubles and the feature is searched again. The tile grows
-    with the radius, so a small feature has at most nine tiles in any round, and the search ends when every
-    feature has its answer. Ties go to the smallest ``divide_id``.
-    Output: ``divide_id`` (missing), ``source_id``, ``dist``.
-    """
-    covered_ids = cov.select("divide_id").distinct().withColumn("_has", F.lit(True))
-    # one written table: every feature with its bbox and whether it has cells (the overlay is not re-run)
-    feats = written(divides.select("divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
-                    .join(covered_ids, "divide_id", "left")
-                    .withColumn("_has", F.coalesce("_has", F.lit(False))), "nearest-features")
-    state = feats.filter(~F.col("_has")).drop("_has")
-    covered = feats.filter("_has").select(F.col("divide_id").alias("source_id"), F.col("rings").alias("src_rings"),
-                                          F.col("bb").alias("src_bb"))
-    none = divides.sparkSession.createDataFrame([], "divide_id string, source_id string, dist double")
-    if covered.limit(1).count() == 0:  # nothing to copy from: no feature can be filled
-        return none
-    radius, found = float(tile), []
-    while state.limit(1).count():
-        r = F.lit(radius)
-        cand = (state.select("*", _tiles(F.col("bb"), radius, r).alias("t"))
-                .join(covered.select("*", _tiles(F.col("src_bb"), radius, F.lit(0.0)).alias("t")), "t"))
-        # a pair sharing several tiles is kept only in the tile of its overlap's lower-left corner (no shuffle)
-        ref_x = F.floor(F.greatest(F.col("bb.xmin") - r, F.col("src_bb.xmin")) / r).cast("bigint")
-        ref_y = F.floor(F.greatest(F.col("bb.ymin") - r, F.col("src_bb.ymin")) / r).cast("bigint")
-        cand = cand.filter((F.col("t.tx") == ref_x) & (F.col("t.ty") == ref_y))
-        cand = geo.with_polygon_distance(cand, "rings", "src_rings", "dist")
-        best = (cand.filter(F.col("dist") <= r).groupBy("divide_id").agg(F.min(F.struct("dist", "source_id")).alias("b"))
-                .select("divide_id", F.col("b.dist").alias("dist"), F.col("b.source_id").alias("source_id")))
-        # one written table per round: this round's answers and what is still open
-        res = written(state.join(best, "divide_id", "left"), "nearest-round")
-        found.append(res.filter(F.col("dist").isNotNull()).select("divide_id", "source_id", "dist"))
-        state = res.filter(F.col("dist").isNull()).select("divide_id", "rings", "bb")
-        radius *= 2
-    out = none
-    for f in found:
-        out = out.unionByName(f)
-    return out
-
-
-def fill_nearest(cov: DataFrame, divides: DataFrame, grid: Grid, tile: float | None = None) -> DataFrame:
+def without_geometry(divides: DataFrame) -> DataFrame:
+    """Features with null or empty rings: they have neither cells nor a nearest feature."""
+    return divides.where(~nearest.has_geometry("rings")).select("basin_id", "divide_id")
+
+
+def fill_nearest(cov: DataFrame, divides: DataFrame) -> DataFrame:
     """Features without cells copy the cells of their nearest covered feature."""
-    tile = tile or 16 * max(grid.dx, grid.dy)
     cov = written(cov, "coverage")  # used by the search and by the copy below
-    near = nearest_sources(divides, cov, tile)
-    copied = (near.join(divides.select("divide_id", "basin_id"), "divide_id")
-              .join(cov.select(F.col("divide_id").alias("source_id"), "cell_id", "iy", "ix", "coverage"), "source_id")
+    copied = (nearest_sources(divides, cov)
+              .join(cov.select(F.col("basin_id").alias("source_basin"), F.col("divide_id").alias("source_id"), "cell_id", "iy", "ix", "coverage"),
+                    ["source_basin", "source_id"])
               .select("basin_id", "divide_id", "cell_id", "iy", "ix", "coverage"))
     return cov.unionByName(copied)

@@ -17,12 +17,13 @@ from ..session import written
 def prepare_coverage(cov: DataFrame) -> DataFrame:
     """Coverage with each catchment's cell count, written once to the shared folder.
 
-    The written table cuts the polygon-clipping lineage: every use and any retry after a lost executor
+    A catchment is a (basin, divide) pair: basins that share divides (nested gages) count their cells each for
+    itself. The written table cuts the polygon-clipping lineage: every use and any retry after a lost executor
     reads it instead of clipping again.
     """
     base = written(cov.select("basin_id", "divide_id", "iy", "ix", "coverage"), "coverage")  # overlay runs once
-    ncell = base.groupBy("divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    return written(base.join(ncell, "divide_id"), "coverage-cells")
+    ncell = base.groupBy("basin_id", "divide_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    return written(base.join(ncell, ["basin_id", "divide_id"]), "coverage-cells")
 
 
 def covered_range(raster: DataFrame, c: DataFrame) -> DataFrame:

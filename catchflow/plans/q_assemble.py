@@ -151,7 +151,7 @@ fw AS (SELECT time, iy, ix, max(value) AS purchase FROM f GROUP BY 1, 2, 3),
 raster AS (SELECT coalesce(aw.time, fw.time) AS time, coalesce(aw.iy, fw.iy) AS iy, coalesce(aw.ix, fw.ix) AS ix,
                   click, error, signup, view, purchase
            FROM aw FULL OUTER JOIN fw ON aw.time = fw.time AND aw.iy = fw.iy AND aw.ix = fw.ix),
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM rect_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM rect_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.click, r.error, r.signup, r.view, r.purchase
       FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,

@@ -224,7 +224,7 @@ def step_map(spark, sf):
 # ---------------------------------------------------------------- comparisons, profile, sampling, previews
 
 @register("compare_sources", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + """,
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM rect_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM rect_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,
          CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,

@@ -59,7 +59,7 @@ def extent_expanded(spark, sf):
 
 
 _CATCH_SQL = """,
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM rect_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM rect_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (
   SELECT basin_id, divide_id, time,
@@ -131,7 +131,7 @@ def dense_unpack(spark, sf):
 SELECT basin_id, divide_id, cell_id, iy, ix, round(coverage, 9) AS coverage FROM rect_cov""")
 def coverage_nested_roundtrip(spark, sf):
     c = rect_coverage(spark, sf)
-    nested = cov.to_nested(c).join(c.select("divide_id", "basin_id").distinct(), "divide_id")
+    nested = cov.to_nested(c)
     flat = cov.flatten_coverage(nested, G.nx)
     return flat.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
 
@@ -163,8 +163,8 @@ def nearest_fill(spark, sf):
     from ..session import written
     d = views.divides(spark, sf)
     c = written(cov.coverage(d, G5, cells="touch"), "coverage")  # searched and copied from: overlay once
-    near = cov.nearest_sources(d, c, tile=4.0)
-    return (near.join(c.select(F.col("divide_id").alias("source_id"), "cell_id", "coverage"), "source_id")
+    near = cov.nearest_sources(d, c)
+    return (near.join(c.select(F.col("basin_id").alias("source_basin"), F.col("divide_id").alias("source_id"), "cell_id", "coverage"), ["source_basin", "source_id"])
                 .select("divide_id", "source_id", r9("dist", "dist"), "cell_id", r9("coverage", "coverage")))
 
 
@@ -236,7 +236,7 @@ def coverage_centre(spark, sf):
 
 
 @register("catchment_forcing_centre", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV + """,
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM centre_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix))
 SELECT basin_id, divide_id, time,
        round(CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END, 9) AS qty,
@@ -288,3 +288,79 @@ def catchment_forcing_dense(spark, sf):
     none of its cells has a raster row."""
     c = forcing.catchment_mean(views.raster(spark, sf), rect_coverage(spark, sf), views.RASTER_VARS, dense="1 month")
     return c.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+_SHARED_BOXES = V.BOXES.replace("boxes AS", "own_boxes AS", 1) + """,
+boxes AS (SELECT * FROM own_boxes UNION ALL
+          SELECT 'shared' AS basin_id, divide_id, x0, x1, y0, y1 FROM own_boxes WHERE CAST(substr(divide_id, 5) AS INTEGER) % 2 = 0)"""
+
+
+def shared_divides(spark, sf):
+    """The nations' catchments, and one more basin that holds every second of them again (nested gages)."""
+    d = views.divides(spark, sf)
+    again = d.where(F.substring("divide_id", 5, 10).cast("int") % 2 == 0).withColumn("basin_id", F.lit("shared"))
+    return d.union(again)
+
+
+@register("catchment_forcing_shared", sql=V.with_(V.RASTER, _SHARED_BOXES, V.GRID10, V.RECT_COV) + _CATCH_SQL + """
+SELECT basin_id, divide_id, time, round(qty, 9) AS qty, round(disc, 9) AS disc FROM catch""")
+def catchment_forcing_shared(spark, sf):
+    """A1 where basins share catchments: each (basin, catchment) has its own series."""
+    c = cov.coverage(shared_divides(spark, sf), G, cells="touch")
+    m = forcing.catchment_mean(views.raster(spark, sf), c, views.RASTER_VARS)
+    return m.select("basin_id", "divide_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("nested_shared", sql=V.with_(_SHARED_BOXES, V.GRID10, V.RECT_COV) + """
+SELECT b.basin_id, b.divide_id, count(c.coverage) AS n_cells, round(coalesce(sum(c.coverage), 0), 9) AS area
+FROM boxes b LEFT JOIN rect_cov c ON c.basin_id = b.basin_id AND c.divide_id = b.divide_id GROUP BY 1, 2""")
+def nested_shared(spark, sf):
+    """R1 where basins share catchments: the nested cells of a (basin, catchment) are its own, once."""
+    d = shared_divides(spark, sf)
+    n = cov.nested_coverage(d, cov.coverage(d, G, cells="touch"))
+    return n.select("basin_id", "divide_id", F.size("cells").cast("long").alias("n_cells"),
+                    F.round(F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["coverage"]), 9).alias("area"))
+
+
+# Half-unit boxes at multiples of 1/64 (exact in binary): two thirds on the grid, the rest beside it in a cluster or far away.
+_SCATTER_SQL = """scatter AS (
+  SELECT c_custkey AS k, 'far-' || CAST(c_custkey AS VARCHAR) AS divide_id, CAST(c_nationkey AS VARCHAR) AS basin_id,
+         CASE WHEN c_custkey % 3 <> 0 THEN ((c_custkey * 7919) % 640) / CAST(64.0 AS DOUBLE)
+              WHEN c_custkey % 2 = 0 THEN -20 + ((c_custkey * 13) % 97) / CAST(64.0 AS DOUBLE)
+              ELSE 500 + ((c_custkey * 31) % 500) / CAST(8.0 AS DOUBLE) END AS x0,
+         CASE WHEN c_custkey % 3 <> 0 THEN ((c_custkey * 104729) % 640) / CAST(64.0 AS DOUBLE)
+              WHEN c_custkey % 2 = 0 THEN 12 + ((c_custkey * 29) % 89) / CAST(64.0 AS DOUBLE)
+              ELSE -300 + ((c_custkey * 17) % 400) / CAST(1.0 AS DOUBLE) END AS y0
+  FROM customer)"""
+
+
+def scatter(spark, sf):
+    k = F.col("c_custkey")
+
+    def part(mult, mod, by):
+        return ((k * mult) % mod).cast("double") / F.lit(float(by))
+    x0 = F.when(k % 3 != 0, part(7919, 640, 64)).when(k % 2 == 0, part(13, 97, 64) - 20).otherwise(part(31, 500, 8) + 500)
+    y0 = F.when(k % 3 != 0, part(104729, 640, 64)).when(k % 2 == 0, part(29, 89, 64) + 12).otherwise(part(17, 400, 1) - 300)
+    b = views.table(spark, sf, "customer").select(k.alias("k"), F.concat(F.lit("far-"), k.cast("string")).alias("divide_id"),
+                                                  F.col("c_nationkey").cast("string").alias("basin_id"), x0.alias("x0"), y0.alias("y0"))
+    rings = geo.rectangle(F.col("x0"), F.col("y0"), F.col("x0") + 0.5, F.col("y0") + 0.5)
+    # some features without a shape: null rings, and no rings
+    rings = F.when(F.col("k") % 50 == 48, F.filter(rings, lambda r: F.lit(False))).when(F.col("k") % 50 != 49, rings)
+    return b.select("basin_id", "divide_id", rings.alias("rings"))
+
+
+@register("nearest_far", sql=V.with_(_SCATTER_SQL) + """,
+shaped AS (SELECT * FROM scatter WHERE k % 50 NOT IN (48, 49)),
+d AS (SELECT m.basin_id, m.divide_id, h.basin_id AS source_basin, h.divide_id AS source_id,
+             sqrt(pow(greatest(0, m.x0 - h.x0 - 0.5, h.x0 - m.x0 - 0.5), 2) + pow(greatest(0, m.y0 - h.y0 - 0.5, h.y0 - m.y0 - 0.5), 2)) AS dist
+      FROM shaped m JOIN shaped h ON m.k % 3 = 0 AND h.k % 3 <> 0)
+SELECT basin_id, divide_id, source_basin, source_id, round(dist, 9) AS dist FROM d
+QUALIFY row_number() OVER (PARTITION BY basin_id, divide_id ORDER BY d.dist, source_id) = 1
+UNION ALL SELECT basin_id, divide_id, NULL, NULL, NULL FROM scatter WHERE k % 50 IN (48, 49)""")
+def nearest_far(spark, sf):
+    """J3 over the customers' boxes, clustered and far away, with features that have no shape: those are named, with no answer."""
+    from ..session import written
+    d = written(scatter(spark, sf), "scatter")
+    near = cov.nearest_sources(d, written(cov.coverage(d, G, cells="touch"), "coverage"))
+    none = cov.without_geometry(d).select("*", F.lit(None).cast("string").alias("source_basin"), F.lit(None).cast("string").alias("source_id"), F.lit(None).cast("double").alias("dist"))
+    return near.select("basin_id", "divide_id", "source_basin", "source_id", r9("dist", "dist")).union(none)

@@ -19,8 +19,8 @@ CODECS = [None, {"id": "zlib", "level": 1}, {"id": "gzip", "level": 1}, {"id": "
 CHUNKS = (12, 5, 5)
 
 
-def write_raster_stores(spark, sf, root, dtype="<f4"):
-    """RASTER as one store per year (t = month - 1), chunks of a year x 5 x 5 cells; returns the years."""
+def write_raster_stores(spark, sf, root, dtype="<f4", shape=CHUNKS):
+    """RASTER as one store per year (t = month - 1), chunks of a year x 5 x 5 cells or ``shape``; returns the years."""
     r = views.raster(spark, sf)
     years = sorted(x[0] for x in r.select(F.year("time").alias("y")).distinct().collect())  # a handful of ints
     for i, y in enumerate(years):
@@ -28,7 +28,7 @@ def write_raster_stores(spark, sf, root, dtype="<f4"):
                                                     "qty", "disc")
         hours = [int(((__import__("datetime").datetime(y, m, 1) - __import__("datetime").datetime(1995, 1, 1))
                       .total_seconds()) // 3600) for m in range(1, 13)]
-        chunks.write_store(part, f"{root}/{y}", ["qty", "disc"], (12, views.GRID.ny, views.GRID.nx), CHUNKS,
+        chunks.write_store(part, f"{root}/{y}", ["qty", "disc"], (12, views.GRID.ny, views.GRID.nx), shape,
                            hours, "1995-01-01 00:00:00", CODECS[i % len(CODECS)], dtype=dtype)
     return years
 
@@ -49,6 +49,43 @@ def chunk_scan(spark, sf):
     return chunks.scan_raster(spark, root + "/{year}", (years[0], years[-1] + 1), ["qty", "disc"], tolerant=True)
 
 
+@register("chunk_scan_extent", sql=V.with_(V.RASTER, V.GRID10) + """,
+yr AS (SELECT min(year(time)) AS y0, max(year(time)) AS y1 FROM raster),
+months AS (SELECT unnest(generate_series(make_timestamp(y0, 1, 1, 0, 0, 0), make_timestamp(y1, 12, 1, 0, 0, 0), INTERVAL 1 MONTH)) AS time FROM yr),
+box AS (SELECT m.time, g.iy, g.ix, r.qty, r.disc FROM yr, months m CROSS JOIN grid g LEFT JOIN raster r USING (time, iy, ix)
+        WHERE iy BETWEEN 2 AND 5 AND ix BETWEEN 7 AND 8
+          AND m.time >= make_timestamp(y0 + 1, 3, 1, 0, 0, 0) AND m.time < make_timestamp(y0 + 2, 6, 1, 0, 0, 0)),
+long AS (SELECT time, iy, ix, variable, value FROM box UNPIVOT INCLUDE NULLS (value FOR variable IN (qty, disc)))
+SELECT CAST(year(time) AS INTEGER) AS year, variable,
+       count(DISTINCT ((month(time) - 1) // 4) * 100 + (iy // 3) * 10 + ix // 3) AS n_chunks, count(*) AS n_cells,
+       count(value) AS n_values, round(sum(CAST(value AS DOUBLE)), 6) AS total FROM long GROUP BY 1, 2""")
+def chunk_scan_extent(spark, sf):
+    """S1 + P1: a scan over a few cells and months opens the chunks that meet them and no other.
+
+    Every other chunk file of the archive is overwritten with bytes that can't be decoded, and the scan isn't tolerant.
+    """
+    import os
+    root = scratch_path(spark, "stores")
+    years = write_raster_stores(spark, sf, root, dtype="<f8", shape=(4, 3, 3))
+    first = years[0]
+    for folder, _, names in os.walk(root):  # a fixture: what lies outside the box can't be read
+        year, variable = folder.split("/")[-2:]
+        for name in names:
+            if variable not in ("qty", "disc") or name.startswith("."):
+                continue
+            kt, ky, kx = (int(k) for k in name.split("."))
+            months = range(4 * kt + 1, 4 * kt + 5)
+            inside = ky in (0, 1) and kx == 2 and any((int(year) == first + 1 and m >= 3) or (int(year) == first + 2 and m < 6) for m in months)
+            if not inside:
+                with open(f"{folder}/{name}", "wb") as fh:
+                    fh.write(b"never to be opened")
+    scan = chunks.scan_chunks(spark, [f"{root}/{y}" for y in years], ["qty", "disc"], with_errors=True)
+    scan = scan.where(F.col("iy").between(2, 5) & F.col("ix").between(7, 8)
+                      & (F.col("time") >= F.lit(f"{first + 1}-03-01").cast("timestamp_ntz")) & (F.col("time") < F.lit(f"{first + 2}-06-01").cast("timestamp_ntz")))
+    return scan.groupBy(F.year("time").alias("year"), "variable").agg(
+        F.countDistinct("path").alias("n_chunks"), F.count("*").alias("n_cells"), F.count("value").alias("n_values"), F.round(F.sum("value"), 6).alias("total"))
+
+
 @register("chunk_scan_missing_hour", sql=V.with_(V.RASTER) + """,
 yr AS (SELECT min(year(time)) AS y0 FROM raster)
 SELECT variable, CAST(count(*) AS BIGINT) AS n_cells, min(time) AS first_time, max(time) AS last_time
@@ -118,7 +155,7 @@ def file_catalog(spark, sf):
 
 
 @register("forcing_job_files", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM centre_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,
          CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
@@ -140,7 +177,7 @@ def forcing_job_files(spark, sf):
 
 
 @register("forcing_job_resume", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
-cov AS (SELECT r.*, count(*) OVER (PARTITION BY divide_id) AS n FROM centre_cov r),
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM centre_cov r),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,
          CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
@@ -163,7 +200,7 @@ def forcing_job_resume(spark, sf):
 @register("forcing_job_filled", sql=V.with_(V.RASTER, V.BOXES) + _NEAREST_SQL + """,
 filled AS (SELECT basin_id, divide_id, iy, ix, coverage FROM c5 UNION ALL
            SELECT m.basin_id, b.divide_id, c.iy, c.ix, c.coverage FROM best b JOIN miss m USING (divide_id) JOIN c5 c ON c.divide_id = b.source_id),
-cov AS (SELECT f.*, count(*) OVER (PARTITION BY divide_id) AS n FROM filled f),
+cov AS (SELECT f.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM filled f),
 j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
 catch AS (SELECT basin_id, divide_id, time,
          CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,

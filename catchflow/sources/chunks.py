@@ -5,10 +5,10 @@ fill value), optional ``.zattrs`` (``scale_factor``, ``add_offset``, ``_FillValu
 chunk named ``<i>.<j>.<k>``. A 1-D ``time`` array holds offsets in ``<unit> since <epoch>``
 (seconds, minutes, hours or days).
 
-The scan lists chunk files with the ``binaryFile`` source and decodes them in ``mapInArrow``: each
-chunk becomes one Arrow batch of ``(variable, t, iy, ix, value)`` rows built with numpy, so Python
-only touches raw bytes; all later work (joins, aggregates) is Catalyst. The tasks read the small JSON
-metadata and the time axes of their own stores through ``pyarrow.fs``; the driver reads none.
+The scans go through the data source of :mod:`chunk_source`: filters on cell indices, time and variable reach
+it as ranges, and only the chunks that meet them are opened. Chunks become Arrow batches of
+``(time, iy, ix, variable, value)`` built with numpy, so Python only touches raw bytes; all later work
+(joins, aggregates) is Catalyst.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, ship_package
+from ..session import ship_package
+from .chunk_source import ChunkSource
 
 # ---------------------------------------------------------------- codecs
 
@@ -66,25 +67,43 @@ def compress(raw: bytes, compressor: dict | None) -> bytes:
 UNITS_US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
-def _read_bytes(path: str) -> bytes:
-    """A small file through ``pyarrow.fs`` (local, S3, HDFS URIs); Spark's listing skips dot-files."""
+def _file_system(path: str):
+    """(file system, path in it) through ``pyarrow.fs``: local, S3 and HDFS URIs."""
     from pyarrow import fs as pafs
     if "://" not in path:
         path = "file://" + (path[len("file:"):] if path.startswith("file:") else path)
-    f, p = pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def read_bytes(path: str) -> bytes:
+    f, p = _file_system(path)
     with f.open_input_stream(p) as h:
         return h.read()
 
 
+def folder_there(path: str) -> bool:
+    from pyarrow import fs as pafs
+    f, p = _file_system(path)
+    return f.get_file_info(p).type == pafs.FileType.Directory
+
+
+def list_stores(root: str) -> list[str]:
+    """The folders directly below ``root``, as paths like ``root`` itself; one listing."""
+    from pyarrow import fs as pafs
+    f, p = _file_system(root)
+    found = f.get_file_info(pafs.FileSelector(p, allow_not_found=True))
+    return sorted(f"{root.rstrip('/')}/{i.base_name}" for i in found if i.type == pafs.FileType.Directory)
+
+
 def read_meta(var_root: str) -> dict:
     """``.zarray`` merged with ``.zattrs`` of one variable. A missing ``.zarray`` and features that have no
     decoder here (filters, unknown codecs) are errors."""
     try:
-        meta = json.loads(_read_bytes(f"{var_root}/.zarray"))
+        meta = json.loads(read_bytes(f"{var_root}/.zarray"))
     except FileNotFoundError as e:
         raise FileNotFoundError(f"no array metadata at {var_root}/.zarray") from e
     try:
-        meta["attrs"] = json.loads(_read_bytes(f"{var_root}/.zattrs"))
+        meta["attrs"] = json.loads(read_bytes(f"{var_root}/.zattrs"))
     except FileNotFoundError:
         meta["attrs"] = {}
     if meta.get("filters"):
@@ -102,22 +121,19 @@ def read_times(store: str) -> np.ndarray:
     if scale is None or not epoch:
         raise ValueError(f"{store}/time: unknown time units {meta['attrs'].get('units')!r}")
     start = int(np.datetime64(epoch.strip().replace(" ", "T"), "us").astype(np.int64))
-    parts = [_decode_chunk(_read_bytes(f"{store}/time/{k}"), str(k), meta)[1] for k in range(-(-meta["shape"][0] // meta["chunks"][0]))]
+    parts = [decode_chunk(read_bytes(f"{store}/time/{k}"), (k,), meta) for k in range(-(-meta["shape"][0] // meta["chunks"][0]))]
     return start + np.rint(np.concatenate(parts) * scale).astype(np.int64)
 
 
 # ---------------------------------------------------------------- decode (executors)
 
-def _decode_chunk(content: bytes, key: str, meta: dict):
-    """Chunk bytes -> (t, iy, ix, value) numpy columns, edge padding trimmed, fill -> NaN, scale/offset applied."""
+def decode_chunk(content: bytes, key: tuple[int, ...], meta: dict) -> np.ndarray:
+    """Chunk bytes -> array of doubles: edge padding trimmed, fill -> NaN, scale and offset applied."""
     shape, chunks = meta["shape"], meta["chunks"]
     dtype = np.dtype(meta["dtype"])
     arr = np.frombuffer(decompress(content, meta.get("compressor")), dtype=dtype)
     arr = arr.reshape(chunks, order=meta.get("order", "C"))
-    idx = [int(k) for k in key.split(".")]
-    lo = [i * c for i, c in zip(idx, chunks)]
-    hi = [min(l_ + c, s) for l_, c, s in zip(lo, chunks, shape)]
-    arr = arr[tuple(slice(0, h - l_) for l_, h in zip(lo, hi))]
+    arr = arr[tuple(slice(0, min(c, n - k * c)) for k, c, n in zip(key, chunks, shape))]
     vals = arr.astype("float64")
     fill = meta["attrs"].get("_FillValue", meta.get("fill_value"))
     if fill is not None and not (isinstance(fill, float) and np.isnan(fill)) and fill != "NaN":
@@ -128,80 +144,31 @@ def _decode_chunk(content: bytes, key: str, meta: dict):
         vals = vals * scale
     if offset is not None:
         vals = vals + offset
-    grids = np.indices(vals.shape).reshape(len(vals.shape), -1)
-    coords = [g + l_ for g, l_ in zip(grids, lo)]
-    return coords, vals.reshape(-1)
-
-
-def _norm(p: str) -> str:
-    for pre in ("file://", "file:"):
-        if p.startswith(pre):
-            return p[len(pre):]
-    return p
-
-
-def _decoder(drop_fill: bool, tolerant: bool):
-    """Chunk files -> rows. Metadata and time axes are read here, once per store and task."""
-    def run(batches):
-        metas: dict[str, dict] = {}
-        times: dict[str, np.ndarray] = {}
-        for b in batches:
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                folder, key = path.rstrip("/").rsplit("/", 1)
-                store, var = folder.rsplit("/", 1)
-                try:
-                    if folder not in metas:
-                        metas[folder] = read_meta(folder)
-                    if store not in times:
-                        times[store] = read_times(store)
-                    coords, vals = _decode_chunk(content, key, metas[folder])
-                    when = times[store][coords[0]]
-                except Exception as e:  # noqa: BLE001 - an error row where errors are asked for
-                    if not tolerant:
-                        raise ValueError(f"{path}: {type(e).__name__}: {e}") from e
-                    yield pa.RecordBatch.from_pydict({
-                        "store": [_norm(store)], "variable": [var], "time": [None], "iy": [None], "ix": [None], "value": [None],
-                        "path": [path], "error": [f"{type(e).__name__}: {e}"]},
-                        schema=_ARROW)
-                    continue
-                t = coords[0]
-                iy = coords[-2] if len(coords) >= 2 else np.zeros_like(t)
-                ix = coords[-1] if len(coords) >= 2 else np.zeros_like(t)
-                keep = ~np.isnan(vals) if drop_fill else np.ones(len(vals), dtype=bool)
-                n = int(keep.sum())
-                value = pa.array(vals[keep], type=pa.float64(), from_pandas=True)  # NaN -> NULL
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([_norm(store)] * n, pa.string()), pa.array([var] * n, pa.string()),
-                    pa.array(when[keep], pa.int64()).cast(pa.timestamp("us")), pa.array(iy[keep].astype("int64")),
-                    pa.array(ix[keep].astype("int64")), value,
-                    pa.array([path] * n, pa.string()), pa.nulls(n, pa.string())], schema=_ARROW)
-    return run
-
-
-CHUNK_SCHEMA = ("store string, variable string, time timestamp_ntz, iy bigint, ix bigint, value double, path string, "
-                "error string")
-_ARROW = pa.schema([("store", pa.string()), ("variable", pa.string()), ("time", pa.timestamp("us")), ("iy", pa.int64()),
-                    ("ix", pa.int64()), ("value", pa.float64()), ("path", pa.string()), ("error", pa.string())])
+    return vals
+
+
+# ---------------------------------------------------------------- scan
+
+def _load(spark: SparkSession, variables: list[str], **options: str) -> DataFrame:
+    """The registered data source. Spark hands filters to Python sources only where this setting says so."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ChunkSource)
+    return spark.read.format(ChunkSource.name()).options(variables=json.dumps(variables), **options).load()
 
 
 def scan_chunks(spark: SparkSession, roots: str | list[str], variables: list[str], drop_fill: bool = False,
                 tolerant: bool = False, with_errors: bool = False) -> DataFrame:
-    """S1/S2 + U3: decode every chunk of ``variables`` under all store roots in one job.
+    """S1/S2 + U3: the chunks of ``variables`` under all store roots in one job.
 
-    Output ``time, iy, ix, variable, value``. A store or variable that is missing and a chunk that can't be
-    decoded fail the job; with ``tolerant`` (an hour of a forecast archive may be missing) they drop out, and
-    ``with_errors`` shows why (the raw decode, error rows included).
+    Output ``time, iy, ix, variable, value``. Filters on these columns (see :func:`covered_range
+    <catchflow.operators.forcing.covered_range>`) decide which chunks are opened. A store or variable that is missing
+    and a chunk that can't be decoded fail the job; with ``tolerant`` (an hour of a forecast archive may be missing)
+    they drop out, and ``with_errors`` shows why (with ``store, path, error``, error rows included).
     """
-    ship_package(spark)
-    roots = [roots] if isinstance(roots, str) else list(roots)
-    folders = [f"{r.rstrip('/')}/{v}" for r in roots for v in variables]
-    if tolerant:
-        folders = [f for f in folders if path_exists(spark, f)]
-    if not folders:
-        return spark.createDataFrame([], CHUNK_SCHEMA if with_errors else "time timestamp_ntz, iy bigint, ix bigint, variable string, value double")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(folders).select("path", "content")
-    out = files.mapInArrow(_decoder(drop_fill, tolerant), CHUNK_SCHEMA)
-    return out if with_errors else out.where(F.col("error").isNull()).select("time", "iy", "ix", "variable", "value")
+    roots = [r.rstrip("/") for r in ([roots] if isinstance(roots, str) else roots)]
+    return _load(spark, variables, stores=json.dumps(roots), tolerant=str(tolerant).lower(), drop_fill=str(drop_fill).lower(),
+                 detail=str(with_errors).lower())
 
 
 def scan_raster(spark: SparkSession, template: str, years: tuple[int, int], variables: list[str],
@@ -212,17 +179,13 @@ def scan_raster(spark: SparkSession, template: str, years: tuple[int, int], vari
 
 
 def scan_archive(spark: SparkSession, root: str, variables: list[str], drop_fill: bool = True) -> DataFrame:
-    """Every store below ``root`` (an archive of one store per run), in one listing and one job.
+    """Every store directly below ``root`` (an archive of one store per run), in one job.
 
-    Output as the raw decode of :func:`scan_chunks`: ``store, variable, time, iy, ix, value, path, error``. A run
-    that isn't there is not listed; a chunk that can't be decoded is an error row. Chunks of other variables are
-    left out before their bytes are decoded.
+    Output as :func:`scan_chunks` with errors: ``time, iy, ix, variable, value, store, path, error``. A run that isn't
+    there is not listed; a chunk, an array or a time axis that can't be decoded is an error row. The tasks read the
+    metadata of their own runs, so planning is one listing however many runs there are.
     """
-    ship_package(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.[0-9]*.[0-9]*")
-             .option("recursiveFileLookup", "true").load(root)
-             .where(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).isin(variables)).select("path", "content"))
-    return files.mapInArrow(_decoder(drop_fill, tolerant=True), CHUNK_SCHEMA)
+    return _load(spark, variables, archive=root.rstrip("/"), tolerant="true", drop_fill=str(drop_fill).lower(), detail="true")
 
 
 def chunk_errors(spark: SparkSession, roots: str | list[str], variables: list[str]) -> DataFrame:
@@ -283,8 +246,7 @@ def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int
 
 
 def _put(path: str, data: bytes) -> None:
-    from pyarrow import fs as pafs
-    store, p = pafs.FileSystem.from_uri(path if "://" in path else "file://" + _norm(path))
+    store, p = _file_system(path)
     store.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with store.open_output_stream(p) as f:
         f.write(data)

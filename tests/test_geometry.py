@@ -95,10 +95,10 @@ def test_nearest_fill(spark):
     df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "B", [square(2, 2, 4, 4)]),
                          ("b", "M", [square(-3, 0.5, -1, 1.5)])])
     c = cov.coverage(df, g, cells="touch")
-    near = cov.nearest_sources(df, c, tile=1.0).collect()
+    near = cov.nearest_sources(df, c).collect()
     assert [(r.divide_id, r.source_id) for r in near] == [("M", "A")]
     assert near[0].dist == pytest.approx(1.0)
-    filled = cov.fill_nearest(c, df, g)
+    filled = cov.fill_nearest(c, df)
     assert filled.filter("divide_id = 'M'").count() == c.filter("divide_id = 'A'").count()
 
 
@@ -135,12 +135,12 @@ def test_nearest_without_any_covered_feature(spark):
     df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "M", [square(-3, 0.5, -1, 1.5)])])
     c = cov.coverage(df, g, cells="touch")
     assert c.count() == 0
-    assert cov.nearest_sources(df, c, tile=1.0).count() == 0
+    assert cov.nearest_sources(df, c).count() == 0
 
 
 def test_nearest_hundreds_of_tiles_away(spark):
     g = Grid("g", 0.0, 0.0, 1.0, 1.0, 4, 4)
     df = divides(spark, [("b", "A", [square(0, 0, 2, 2)]), ("b", "M", [square(400, 0.5, 401, 1.5)])])
     c = cov.coverage(df, g, cells="touch")
-    r = cov.nearest_sources(df, c, tile=0.5).collect()
+    r = cov.nearest_sources(df, c).collect()
     assert [(x.divide_id, x.source_id, round(x.dist, 9)) for x in r] == [("M", "A", 398.0)]
