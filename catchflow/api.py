@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from .functions.geometry import polygon_area, polygon_distance, project_rings, reproject as project, set_crs  # noqa: F401
 from .functions.nse import nse  # noqa: F401
+from .functions.projections import System, move_point, move_rings, to_system  # noqa: F401
 from .functions.scalars import (  # noqa: F401
     clamp_to_water_year, hours_since, pad_gage, parse_time, round_columns as round_decimals, round_sigfigs, water_year)
-from .jobs import evaluation_job, forcing_job, nexus_map_job, post_process_job, routing_frames_job  # noqa: F401
+from .jobs import evaluation_job, forcing_job, forecast_job, nexus_map_job, post_process_job, routing_frames_job  # noqa: F401
 from .operators.assemble import (  # noqa: F401
     align_forecast, completeness, dedupe_last, drop_vars, duplicates, keep_promised, merge_conflicts, merge_fields,
     required_vars)

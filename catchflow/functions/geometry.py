@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .projections import to_system
+
 
 def _pt(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
@@ -240,20 +242,9 @@ def project_rings(rings: Column, lon0: float, lat0: float, lat1: float, lat2: fl
                                                  F.transform(r["pts"], pt).alias("pts")))
 
 
-# Named target systems for :func:`reproject`.
-PROJECTIONS = {"lcc_forecast": LCC_FORECAST}
-
-
 def reproject(df, target, rings_col: str = "rings", source: str = "EPSG:4326"):
-    """Reproject lon/lat rings to ``target`` (a name in PROJECTIONS or LCC parameters).
-
-    A target equal to the source is the identity: the rings are left as they are.
-    """
-    if target == source:
-        return df.withColumn("crs", F.lit(source))
-    params = PROJECTIONS[target] if isinstance(target, str) else target
-    name = target if isinstance(target, str) else "lcc"
-    return df.withColumn(rings_col, project_rings(F.col(rings_col), **params)).withColumn("crs", F.lit(name))
+    """Reproject rings from ``source`` to ``target`` (see :mod:`projections`); the same system is the identity."""
+    return to_system(df, target, rings_col, override=source)
 
 
 def set_crs(df, crs: str):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sinks
+from .functions import projections
 from .operators import coverage as cov
 from .operators import forcing, ledger
 from .schemas import Grid
@@ -19,15 +20,21 @@ from .sources import chunks, containers
 
 def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int], variables: list[str],
                 divides_paths: str | list[str], grid: Grid, out: str, ledger_path: str, cells: str = "centre",
-                id_col: str = "divide_id", skip: str = "finished", dense: bool = True, fill: bool = True) -> DataFrame:
+                id_col: str = "divide_id", skip: str = "finished", dense: bool = True, fill: bool = True, source_crs: str | None = None) -> DataFrame:
     """S1 + S3 + J11 + J2 + J3 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table as it stands after the run.
 
-    A catchment without cells takes those of its nearest covered one, unless ``fill`` is off.
+    Polygons in another coordinate system move to the grid's first (G3/G4): the containers say theirs, ``source_crs``
+    overrides that. Containers that can't be read, and features without a shape, are written to ``out/errors``. A
+    catchment without cells takes those of its nearest covered one, unless ``fill`` is off.
 
     A resumed run replaces the folders of the basins it works on and leaves those of finished basins alone.
     """
-    divides = containers.scan_divides(spark, divides_paths, id_col=id_col, tolerant=True)  # P11: id -> divide_id
-    divides = written(divides, "divides")  # decoded once
+    raw = written(containers.scan_divides(spark, divides_paths, id_col=id_col, tolerant=True, with_errors=True), "divides")  # decoded once
+    divides = raw.where("error IS NULL").select("basin_id", F.col("feature_id").alias("divide_id"), "rings", "crs", "wkt")  # P11: id -> divide_id
+    shapeless = cov.without_geometry(divides).select(F.lit(None).cast("string").alias("path"), "basin_id", "divide_id", F.lit("no geometry").alias("error"))
+    (raw.where("error IS NOT NULL").select("path", "basin_id", F.lit(None).cast("string").alias("divide_id"), "error").union(shapeless)
+     .write.mode("overwrite").parquet(f"{out}/errors"))
+    divides = projections.to_system(divides, grid.crs, wkt_col="wkt", override=source_crs).drop("crs", "wkt")
     todo = written(ledger.pending(divides.select("basin_id").distinct(), ledger.read_ledger(spark, ledger_path), skip), "todo")
     basin_schema = "time string, " + ", ".join(f"`{v}` double" for v in variables) + ", basin_id string"
     if not todo.limit(1).count():  # nothing pending: what is finished stays as it is

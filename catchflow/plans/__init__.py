@@ -8,5 +8,5 @@ def load_all() -> None:
     global _LOADED
     if _LOADED:
         return
-    from . import q_assemble, q_evaluate, q_forcing, q_io, q_post, q_sources, q_streaming  # noqa: F401
+    from . import q_assemble, q_evaluate, q_forcing, q_io, q_post, q_projection, q_sources, q_streaming  # noqa: F401
     _LOADED = True

@@ -67,7 +67,7 @@ def compress(raw: bytes, compressor: dict | None) -> bytes:
 UNITS_US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
-def _file_system(path: str):
+def file_system(path: str):
     """(file system, path in it) through ``pyarrow.fs``: local, S3 and HDFS URIs."""
     from pyarrow import fs as pafs
     if "://" not in path:
@@ -76,21 +76,21 @@ def _file_system(path: str):
 
 
 def read_bytes(path: str) -> bytes:
-    f, p = _file_system(path)
+    f, p = file_system(path)
     with f.open_input_stream(p) as h:
         return h.read()
 
 
 def folder_there(path: str) -> bool:
     from pyarrow import fs as pafs
-    f, p = _file_system(path)
+    f, p = file_system(path)
     return f.get_file_info(p).type == pafs.FileType.Directory
 
 
 def list_stores(root: str) -> list[str]:
     """The folders directly below ``root``, as paths like ``root`` itself; one listing."""
     from pyarrow import fs as pafs
-    f, p = _file_system(root)
+    f, p = file_system(root)
     found = f.get_file_info(pafs.FileSelector(p, allow_not_found=True))
     return sorted(f"{root.rstrip('/')}/{i.base_name}" for i in found if i.type == pafs.FileType.Directory)
 
@@ -246,7 +246,7 @@ def write_store(df: DataFrame, root: str, variables: list[str], shape: tuple[int
 
 
 def _put(path: str, data: bytes) -> None:
-    store, p = _file_system(path)
+    store, p = file_system(path)
     store.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with store.open_output_stream(p) as f:
         f.write(data)

@@ -1,29 +1,24 @@
 """Polygon containers (S3, S4): GeoPackage-style SQLite files decoded on the executors.
 
-Each file is one task item of the ``binaryFile`` source; ``mapInArrow`` opens the bytes as an
-in-memory SQLite database (``sqlite3.Connection.deserialize``), reads the layer, and decodes the
-geometry blobs (GeoPackage header + WKB Polygon / MultiPolygon, or Point / MultiPoint for nexus
-and gage layers, as one-vertex rings) with ``struct`` into the ring model ``array<struct<part, hole, pts array<struct<x, y>>>>``. An unreadable file yields an error
-row (``tolerant=True``) instead of failing the job.
+The scan goes through the data source of :mod:`container_source`: large files are split into row-id ranges, small ones
+share tasks, and box filters use the file's R-tree. Geometry blobs (GeoPackage header + WKB Polygon / MultiPolygon, or
+Point / MultiPoint for nexus and gage layers, as one-vertex rings) become the ring model
+``array<struct<part, hole, pts array<struct<x, y>>>>``. An unreadable file yields an error row (``tolerant=True``)
+instead of failing the job.
 """
 
 from __future__ import annotations
 
+import json
 import sqlite3
 import struct
 
-import pyarrow as pa
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, ship_package
-
-_PT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-_RING = pa.struct([("part", pa.int32()), ("hole", pa.bool_()), ("pts", pa.list_(_PT))])
-_ARROW = pa.schema([("path", pa.string()), ("fid", pa.int64()), ("feature_id", pa.string()),
-                    ("rings", pa.list_(_RING)), ("error", pa.string())])
-SCHEMA = ("path string, fid bigint, feature_id string, "
-          "rings array<struct<part:int,hole:boolean,pts:array<struct<x:double,y:double>>>>, error string")
+from ..session import ship_package
+from .container_source import ContainerSource
 
 _ENVELOPE_BYTES = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
 
@@ -31,7 +26,7 @@ _ENVELOPE_BYTES = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
 # ---------------------------------------------------------------- WKB
 
 def _wkb_rings(buf: bytes, off: int, part: int, out: list) -> tuple[int, int]:
-    """Decode one WKB geometry at ``off``; append rings; return (new offset, next part number)."""
+    """Decode one WKB geometry at ``off``; append (part, hole, n x 2 vertices); return (new offset, next part number)."""
     bo = "<" if buf[off] == 1 else ">"
     gtype = struct.unpack_from(bo + "I", buf, off + 1)[0]
     off += 5
@@ -41,11 +36,14 @@ def _wkb_rings(buf: bytes, off: int, part: int, out: list) -> tuple[int, int]:
     has_m = bool(gtype & 0x40000000) or iso in (2, 3)
     base = code % 1000
     dims = 2 + int(has_z) + int(has_m)
+
+    def vertices(n: int) -> np.ndarray:
+        return np.frombuffer(buf, bo + "f8", n * dims, off).reshape(n, dims)[:, :2].astype(float)
+
     if base == 1:  # Point: a one-vertex ring (nexus and gage locations)
-        vals = struct.unpack_from(bo + "d" * dims, buf, off)
-        out.append({"part": part, "hole": False, "pts": [{"x": vals[0], "y": vals[1]}]})
+        out.append((part, False, vertices(1)))
         return off + 8 * dims, part + 1
-    if base == 4:  # MultiPoint
+    if base in (4, 6):  # MultiPoint, MultiPolygon
         n = struct.unpack_from(bo + "I", buf, off)[0]
         off += 4
         for _ in range(n):
@@ -57,29 +55,27 @@ def _wkb_rings(buf: bytes, off: int, part: int, out: list) -> tuple[int, int]:
         for r in range(nrings):
             npts = struct.unpack_from(bo + "I", buf, off)[0]
             off += 4
-            vals = struct.unpack_from(bo + "d" * (npts * dims), buf, off)
+            out.append((part, r > 0, vertices(npts)))
             off += 8 * npts * dims
-            pts = [{"x": vals[i * dims], "y": vals[i * dims + 1]} for i in range(npts)]
-            out.append({"part": part, "hole": r > 0, "pts": pts})
         return off, part + 1
-    if base == 6:  # MultiPolygon
-        n = struct.unpack_from(bo + "I", buf, off)[0]
-        off += 4
-        for _ in range(n):
-            off, part = _wkb_rings(buf, off, part, out)
-        return off, part
     raise ValueError(f"unsupported WKB geometry type {gtype}")
 
 
-def decode_geometry(blob: bytes) -> list[dict]:
-    """GeoPackage geometry blob (or bare WKB) -> rings."""
-    off = 0
+def geometry_parts(blob: bytes) -> tuple[int | None, list]:
+    """GeoPackage geometry blob (or bare WKB) -> (its srs id, [(part, hole, vertices)])."""
+    off, srs = 0, None
     if blob[:2] == b"GP":
         flags = blob[3]
+        srs = struct.unpack_from("<i" if flags & 1 else ">i", blob, 4)[0]
         off = 8 + _ENVELOPE_BYTES[(flags >> 1) & 0x07]
-    rings: list[dict] = []
+    rings: list = []
     _wkb_rings(blob, off, 0, rings)
-    return rings
+    return srs, rings
+
+
+def decode_geometry(blob: bytes) -> list[dict]:
+    """GeoPackage geometry blob (or bare WKB) -> rings as dicts."""
+    return [{"part": p, "hole": h, "pts": [{"x": x, "y": y} for x, y in v.tolist()]} for p, h, v in geometry_parts(blob)[1]]
 
 
 def _wkb_polygon(rings: list[dict]) -> bytes:
@@ -113,54 +109,30 @@ def encode_polygon(rings: list[dict], srs_id: int = 4326) -> bytes:
 
 # ---------------------------------------------------------------- scan
 
-def _decoder(layer: str, id_col: str, tolerant: bool):
-    def run(batches):
-        for b in batches:
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                rows = {"path": [], "fid": [], "feature_id": [], "rings": [], "error": []}
-                try:
-                    con = sqlite3.connect(":memory:")
-                    con.deserialize(content)
-                    cur = con.execute(f'SELECT fid, "{id_col}", geom FROM "{layer}"')
-                    for fid, ident, geom in cur:
-                        rows["path"].append(path)
-                        rows["fid"].append(int(fid))
-                        rows["feature_id"].append(None if ident is None else str(ident))
-                        rows["rings"].append(decode_geometry(bytes(geom)) if geom is not None else [])
-                        rows["error"].append(None)
-                    con.close()
-                except Exception as e:  # noqa: BLE001
-                    if not tolerant:
-                        raise
-                    rows = {"path": [path], "fid": [None], "feature_id": [None], "rings": [None],
-                            "error": [f"{type(e).__name__}: {e}"]}
-                if rows["path"]:
-                    yield pa.RecordBatch.from_pydict(rows, schema=_ARROW)
-    return run
-
-
 def scan_divides(spark: SparkSession, paths: str | list[str], layer: str = "divides", id_col: str = "divide_id",
                  glob: str = "*.gpkg", tolerant: bool = False, basin_pattern: str = r"([^/]+)\.gpkg$",
-                 with_errors: bool = False) -> DataFrame:
+                 with_errors: bool = False, with_crs: bool = False, extent: tuple[float, float, float, float] | None = None,
+                 split_bytes: int | None = None) -> DataFrame:
     """S3/S4 + P11: every container under ``paths`` in one job; any ``id_col`` becomes ``divide_id``.
 
     ``basin_id`` is parsed from the file name. With ``tolerant`` unreadable files become error rows
-    (kept only with ``with_errors``) and missing folders list nothing; without it both are errors.
+    (kept only with ``with_errors``) and missing folders list nothing; without it both are errors. ``with_crs`` adds the
+    features' coordinate system (``crs``, ``wkt``). ``extent`` (xmin, ymin, xmax, ymax, in the containers' own system)
+    keeps the features whose box meets it, and reaches the files' R-trees.
     """
     ship_package(spark)
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if tolerant:
-        paths = [p for p in paths if path_exists(spark, p)]
-        if not paths:
-            return spark.createDataFrame([], SCHEMA + ", basin_id string").select(
-                *(["*"] if with_errors else ["basin_id", F.col("feature_id").alias("divide_id"), "rings"]))
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .load(paths).select("path", "content"))
-    dec = files.mapInArrow(_decoder(layer, id_col, tolerant), SCHEMA)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ContainerSource)
+    options = {"paths": json.dumps([paths] if isinstance(paths, str) else list(paths)), "glob": glob, "layer": layer, "id_col": id_col,
+               "tolerant": str(tolerant).lower()} | ({"split_bytes": str(split_bytes)} if split_bytes else {})
+    dec = spark.read.format(ContainerSource.name()).options(**options).load()
+    if extent is not None:
+        x0, y0, x1, y1 = (float(v) for v in extent)
+        dec = dec.where((F.col("xmax") >= x0) & (F.col("xmin") <= x1) & (F.col("ymax") >= y0) & (F.col("ymin") <= y1))
     dec = dec.withColumn("basin_id", F.regexp_extract("path", basin_pattern, 1))
     if with_errors:
         return dec
-    return dec.where(F.col("error").isNull()).select("basin_id", F.col("feature_id").alias("divide_id"), "rings")
+    return dec.where(F.col("error").isNull()).select("basin_id", F.col("feature_id").alias("divide_id"), "rings", *(["crs", "wkt"] if with_crs else []))
 
 
 def container_errors(spark: SparkSession, paths: str | list[str], **kw) -> DataFrame:
@@ -172,24 +144,37 @@ def container_errors(spark: SparkSession, paths: str | list[str], **kw) -> DataF
 # ---------------------------------------------------------------- write (fixture / export side)
 
 def write_divides(divides: DataFrame, root: str, layer: str = "divides", id_col: str = "divide_id",
-                  file_col: str = "basin_id") -> None:
+                  file_col: str = "basin_id", srs: str | None = None, wkt: str = "undefined", rtree: bool = False) -> None:
     """One container per ``file_col`` value (``<value>.gpkg``), written by the executors.
 
-    A group is one basin's polygons (bounded by the basin, not by the archive).
+    ``srs`` (such as ``EPSG:5070``) and ``wkt`` go into the container's tables; ``rtree`` adds the box index. A group is
+    one basin's polygons (bounded by the basin, not by the archive).
     """
     import os
     ship_package(divides.sparkSession)
     os.makedirs(root, exist_ok=True)
+    organization, _, code = (srs or "EPSG:4326").partition(":")
+    srs_id = int(code) if code.isdigit() else 100_000
 
     def write_one(pdf):
         import pandas as pd
         name = str(pdf[file_col].iloc[0])
         con = sqlite3.connect(":memory:")
         con.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, "{id_col}" TEXT, geom BLOB)')
+        if srs:
+            con.execute("CREATE TABLE gpkg_spatial_ref_sys (srs_name TEXT, srs_id INTEGER PRIMARY KEY, organization TEXT, organization_coordsys_id INTEGER, definition TEXT, description TEXT)")
+            con.execute("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, ?, ?, ?, NULL)", (srs, srs_id, organization, srs_id, wkt))
+            con.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z TINYINT, m TINYINT)")
+            con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', ?, 0, 0)", (layer, srs_id))
+        if rtree:
+            con.execute(f'CREATE VIRTUAL TABLE "rtree_{layer}_geom" USING rtree(id, minx, maxx, miny, maxy)')
         for i, (ident, rings) in enumerate(zip(pdf[id_col], pdf["rings"])):
-            rl = [{"part": r["part"], "hole": r["hole"], "pts": [{"x": p["x"], "y": p["y"]} for p in r["pts"]]}
-                  for r in rings]
-            con.execute(f'INSERT INTO "{layer}" VALUES (?, ?, ?)', (i + 1, ident, encode_polygon(rl)))
+            rl = None if rings is None else [{"part": r["part"], "hole": r["hole"], "pts": [{"x": p["x"], "y": p["y"]} for p in r["pts"]]} for r in rings]
+            con.execute(f'INSERT INTO "{layer}" VALUES (?, ?, ?)', (i + 1, ident, encode_polygon(rl, srs_id) if rl is not None else None))
+            pts = [p for r in rl or [] for p in r["pts"]]
+            if rtree and pts:
+                xs, ys = [p["x"] for p in pts], [p["y"] for p in pts]
+                con.execute(f'INSERT INTO "rtree_{layer}_geom" VALUES (?, ?, ?, ?, ?)', (i + 1, min(xs), max(xs), min(ys), max(ys)))
         con.commit()
         with open(f"{root}/{name}.gpkg", "wb") as fh:
             fh.write(con.serialize())
