@@ -81,35 +81,22 @@ def ring_area(pts: Column) -> Column:
     return F.when(F.size(pts) >= 3, F.abs(s) / 2.0).otherwise(F.lit(0.0))
 
 
-def ring_edges(rings: Column) -> Column:
-    """Per ring: ``sign`` (-1 for holes) and its edges as flat structs ``ax, ay, bx, by``.
+def oriented_edges(rings: Column) -> Column:
+    """Per ring: ``sign`` and its edges as flat structs ``ax, ay, bx, by``.
 
-    Built once per row, so a per-cell pass over it (:func:`slab_area_edges`) allocates no arrays.
+    With that sign, going up an edge takes the ring's inside from what lies right of it for an outer ring, whichever way
+    the ring runs, and gives it for a hole: the signed heights of a row's edges add up to what is inside.
     """
     def one(r: Column) -> Column:
         e = _edges(r["pts"], lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"),
                                                    b["x"].alias("bx"), b["y"].alias("by")))
-        return F.struct(F.when(r["hole"], F.lit(-1.0)).otherwise(F.lit(1.0)).alias("sign"), e.alias("e"))
-    return F.transform(F.filter(rings, lambda r: F.size(r["pts"]) >= 3), one)
+        return F.struct(r["hole"].alias("hole"), e.alias("e"), F.element_at(r["pts"], 1).alias("o"))
 
-
-def _trap_left_flat(e: Column, X: Column) -> Column:
-    ax, ay, bx, by = e["ax"], e["ay"], e["bx"], e["by"]
-    yc = ay + (X - ax) * (by - ay) / (bx - ax)  # only in the crossing branches, where ax != bx
-    return (F.when((ax <= X) & (bx <= X), (bx - ax) * (ay + by) / 2)
-             .when(ax <= X, (X - ax) * (ay + yc) / 2)
-             .when(bx <= X, (bx - X) * (yc + by) / 2)
-             .otherwise(F.lit(0.0)))
-
-
-def slab_area_edges(redges: Column, xa: Column, xb: Column) -> Column:
-    """Area of a polygon (the output of :func:`ring_edges`) between ``x = xa`` and ``x = xb``, holes subtracted.
-
-    ``area(P n {x <= X})`` is the sum over edges of the trapezoid of the edge part left of X (the cut along
-    ``x = X`` is vertical and adds nothing), so one pass over the edges gives the slab without clipping.
-    """
-    return F.aggregate(redges, F.lit(0.0), lambda acc, re: acc + re["sign"] * F.abs(F.aggregate(
-        re["e"], F.lit(0.0), lambda s_, e: s_ + _trap_left_flat(e, xb) - _trap_left_flat(e, xa))))
+    def signed(r: Column) -> Column:
+        o = r["o"]  # areas about a vertex: large coordinates don't cancel
+        twice = F.aggregate(r["e"], F.lit(0.0), lambda s, e: s + (e["ax"] - o["x"]) * (e["by"] - o["y"]) - (e["bx"] - o["x"]) * (e["ay"] - o["y"]))
+        return F.struct((F.signum(twice) * F.when(r["hole"], F.lit(1.0)).otherwise(F.lit(-1.0))).alias("sign"), r["e"].alias("e"))
+    return F.transform(F.transform(F.filter(rings, lambda r: F.size(r["pts"]) >= 3), one), signed)
 
 
 def polygon_area(rings: Column) -> Column:

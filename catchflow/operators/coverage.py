@@ -1,15 +1,15 @@
 """Polygon x grid overlay: exact coverage fractions, extents, nearest fill, nested/flat forms.
 
-Candidate cells come from each polygon's own bounding box, so work follows polygon area, never
-polygons x cells. The overlay runs in two stages: every polygon is first clipped to the row strips
-it spans (one row per strip), the strips are hash-spread over tasks so a single huge polygon is
-split, and each cell's share of its strip is then one edge-wise integral (``slab_area_edges``). All of it
-is Catalyst expressions.
+The overlay is edge-wise (Green's theorem): polygons become rows of edges, edges are cut at the grid's row and
+column lines, and each piece adds its signed area to the cell it lies in and its height to all cells right of it. Sums
+by (polygon, row) give the cells on the boundary, and the running height along a row gives the full and empty cells
+between them. Work follows the boundary's length and the area, no polygon is copied per strip or cell, and one huge
+polygon's edges and rows spread over tasks. All of it is Catalyst expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -70,47 +70,72 @@ def coverage(divides: DataFrame, grid: Grid, cells: str = "centre", expand: int
     slice the reference overlays on); ``cells='touch'`` keeps every cell the polygon touches.
     Output: ``basin_id, divide_id, cell_id, iy, ix, coverage`` with global grid indices.
     """
-    d = divides.select(F.col("basin_id"), F.col(id_col).alias("divide_id"), "rings",
-                       geo.bbox(F.col("rings")).alias("bb"))
-    iy_lo = F.greatest(F.floor((F.col("bb.ymin") - grid.y0) / grid.dy), F.lit(0)).cast("bigint")
-    iy_hi = F.least(F.ceil((F.col("bb.ymax") - grid.y0) / grid.dy) - 1, F.lit(grid.ny - 1)).cast("bigint")
-    d = d.select("basin_id", "divide_id", "rings", iy_lo.alias("iy_lo"), iy_hi.alias("iy_hi"))
+    d = divides.select(F.col("basin_id"), F.col(id_col).alias("divide_id"), "rings")
     if cells == "centre":
         ext = cells_in_extent(total_bounds(divides, "basin_id"), grid, expand, auto_expand)
-        ext = ext.select("basin_id", F.col("iy_lo").alias("e_iy_lo"), F.col("iy_hi").alias("e_iy_hi"),
-                         F.col("ix_lo").alias("e_ix_lo"), F.col("ix_hi").alias("e_ix_hi"))
-        d = (d.join(ext, "basin_id")
-              .withColumn("iy_lo", F.greatest("iy_lo", "e_iy_lo")).withColumn("iy_hi", F.least("iy_hi", "e_iy_hi")))
+        d = d.join(ext.select("basin_id", "iy_lo", "iy_hi", "ix_lo", "ix_hi"), "basin_id")
     elif cells != "touch":
         raise ValueError(f"cells must be 'touch' or 'centre', not {cells!r}")
     else:
-        d = d.select("*", F.lit(0).cast("bigint").alias("e_ix_lo"), F.lit(grid.nx - 1).cast("bigint").alias("e_ix_hi"))
-
-    # stage 1: one row per (polygon, row strip), polygon clipped to the strip
-    strips = d.select("basin_id", "divide_id", "rings", "e_ix_lo", "e_ix_hi",
-                      F.explode(_seq_or_empty(F.col("iy_lo"), F.col("iy_hi"))).alias("iy"))
-    ylo = F.lit(grid.y0) + F.col("iy") * F.lit(grid.dy)
-    strips = strips.withColumn("rings", geo.clip_rings(F.col("rings"), "y", ylo, ylo + F.lit(grid.dy)))
-    strips = strips.filter(F.size("rings") > 0).repartition("divide_id", "iy")
-    # stage 2: all cells of a strip in one expression, from the strip's own x extent; each cell's share
-    # of the strip is one edge-wise integral, computed once, filtered and inlined (the strip polygon is
-    # never copied per cell)
-    sb = geo.bbox(F.col("rings"))
-    ix_lo = F.greatest(F.floor((sb["xmin"] - grid.x0) / grid.dx), F.col("e_ix_lo")).cast("bigint")
-    ix_hi = F.least(F.ceil((sb["xmax"] - grid.x0) / grid.dx) - 1, F.col("e_ix_hi")).cast("bigint")
-    strips = strips.select("basin_id", "divide_id", "iy", geo.ring_edges(F.col("rings")).alias("redges"),
-                           ix_lo.alias("ix_lo"), ix_hi.alias("ix_hi"))
-
-    def cell(ix):
-        xlo = F.lit(grid.x0) + ix.cast("double") * F.lit(grid.dx)
-        a = geo.slab_area_edges(F.col("redges"), xlo, xlo + F.lit(grid.dx)) / F.lit(grid.cell_area)
-        return F.struct(ix.alias("ix"), F.least(a, F.lit(1.0)).alias("coverage"))
-
-    strip_cells = F.filter(F.transform(_seq_or_empty(F.col("ix_lo"), F.col("ix_hi")), cell),
-                           lambda c: c["coverage"] > COVERAGE_EPS)
-    out = strips.select("basin_id", "divide_id", "iy", F.inline(strip_cells))
+        d = d.select("*", *[F.lit(v).cast("bigint").alias(k) for k, v in (("iy_lo", 0), ("iy_hi", grid.ny - 1), ("ix_lo", 0), ("ix_hi", grid.nx - 1))])
+    key = ["basin_id", "divide_id", "iy"]
+
+    # edges, then their pieces in each row
+    rings = d.select("basin_id", "divide_id", "iy_lo", "iy_hi", "ix_lo", "ix_hi", F.explode(geo.oriented_edges(F.col("rings"))).alias("r"))
+    edges = rings.select("basin_id", "divide_id", "iy_lo", "iy_hi", "ix_lo", "ix_hi", F.col("r.sign").alias("sign"), F.inline("r.e")).where("ay <> by")
+    y_line = F.lit(grid.y0) + F.col("iy") * F.lit(grid.dy)
+    rows = _pieces(edges, "ay", "by", grid.y0, grid.dy, "iy", F.col("iy_lo"), F.col("iy_hi"))
+    ya, yb = _held(F.col("ay"), y_line, grid.dy, "iy"), _held(F.col("by"), y_line, grid.dy, "iy")
+    slope_x = (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    rows = (rows.withColumn("ya", ya).withColumn("yb", yb).where("ya <> yb")
+            .select(*key, "ix_lo", "ix_hi", "sign", "ya", "yb",
+                    F.when(F.col("ya") == F.col("ay"), F.col("ax")).otherwise(F.col("ax") + (F.col("ya") - F.col("ay")) * slope_x).alias("xa"),
+                    F.when(F.col("yb") == F.col("by"), F.col("bx")).otherwise(F.col("ax") + (F.col("yb") - F.col("ay")) * slope_x).alias("xb")))
+    # the rows' pieces in each column; what lies left of the range is one piece in the column before it
+    x_line = F.lit(grid.x0) + F.col("ix") * F.lit(grid.dx)
+    cols = _pieces(rows, "xa", "xb", grid.x0, grid.dx, "ix", F.col("ix_lo") - 1, F.col("ix_hi"), keep_left=True)
+    u, v = _held(F.col("xa"), x_line, grid.dx, "ix"), _held(F.col("xb"), x_line, grid.dx, "ix")
+
+    def height(x: str, end: str, y: str):
+        steep = (F.col("yb") - F.col("ya")) / (F.col("xb") - F.col("xa"))  # only where a column line lies between the two
+        return F.when(F.col(x) == F.col(end), F.col(y)).otherwise(F.col("ya") + (F.col(x) - F.col("xa")) * steep)
+    cols = cols.withColumn("u", u).withColumn("v", v)
+    tall = F.col("sign") * (height("v", "xb", "yb") - height("u", "xa", "ya"))
+    right = F.lit(grid.x0) + (F.col("ix") + 1) * F.lit(grid.dx)
+    part = cols.select(*key, "ix", "ix_lo", "ix_hi", tall.alias("tall"), (right - (F.col("u") + F.col("v")) / 2).alias("wide"))
+    # per cell of the boundary, then along the row
+    sums = (part.repartition(*key).groupBy(*key, "ix").agg(F.sum(F.col("tall") * F.col("wide")).alias("area"), F.sum("tall").alias("tall"),
+                                                          F.first("ix_lo").alias("ix_lo"), F.first("ix_hi").alias("ix_hi")))
+    along = Window.partitionBy(*key).orderBy("ix")
+    sums = sums.select("*", F.sum("tall").over(along).alias("run"), F.lead("ix").over(along).alias("next"))
+    own = F.struct(F.col("ix"), ((F.col("area") + (F.col("run") - F.col("tall")) * F.lit(grid.dx)) / F.lit(grid.cell_area)).alias("coverage"))
+    full = F.col("run") / F.lit(grid.dy)
+    between = F.when(full > COVERAGE_EPS, F.transform(_seq_or_empty(F.col("ix") + 1, F.coalesce(F.col("next"), F.col("ix_hi") + 1) - 1),
+                                                      lambda i: F.struct(i.alias("ix"), full.alias("coverage"))))
+    found = F.filter(F.concat(F.array(own), F.coalesce(between, F.array().cast("array<struct<ix:bigint,coverage:double>>"))),
+                     lambda c: (c["coverage"] > COVERAGE_EPS) & (c["ix"] >= F.col("ix_lo")))
+    out = sums.select(*key, F.inline(found))
     return out.select("basin_id", "divide_id", (F.col("iy") * grid.nx + F.col("ix")).alias("cell_id"),
-                      "iy", "ix", "coverage")
+                      "iy", "ix", F.least("coverage", F.lit(1.0)).alias("coverage"))
+
+
+def _pieces(df: DataFrame, a: str, b: str, origin: float, step: float, name: str, lo, hi, keep_left: bool = False) -> DataFrame:
+    """One row for each grid interval ``name`` that the span ``a .. b`` meets within ``lo .. hi``, with ``_first`` and
+    ``_last``: whether the interval is the span's first or last one, so that no part of the span is lost to rounding.
+    With ``keep_left``, everything before ``lo`` counts as being in ``lo``."""
+    low = F.floor((F.least(a, b) - F.lit(origin)) / F.lit(step)).cast("bigint")
+    high = F.greatest(low, (F.ceil((F.greatest(a, b) - F.lit(origin)) / F.lit(step)) - 1).cast("bigint"))
+    spans = df.select("*", low.alias("_low"), high.alias("_high"))
+    if keep_left:
+        spans = spans.withColumn("_high", F.greatest("_high", lo)).withColumn("_low", F.greatest("_low", lo))
+    out = spans.select("*", F.explode(_seq_or_empty(F.greatest(F.col("_low"), lo), F.least(F.col("_high"), hi))).alias(name))
+    return out.withColumn("_first", F.col(name) == F.col("_low")).withColumn("_last", F.col(name) == F.col("_high")).drop("_low", "_high")
+
+
+def _held(v, line, step: float, name: str):
+    """A span's end held within its interval, but for the outer side of the first and last one."""
+    at_least = F.when(F.col("_first"), v).otherwise(F.greatest(v, line))
+    return F.when(F.col("_last"), at_least).otherwise(F.least(at_least, line + F.lit(step)))
 
 
 def unravel(cell_id, nx: int):

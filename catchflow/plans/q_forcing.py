@@ -364,3 +364,36 @@ def nearest_far(spark, sf):
     near = cov.nearest_sources(d, written(cov.coverage(d, G, cells="touch"), "coverage"))
     none = cov.without_geometry(d).select("*", F.lit(None).cast("string").alias("source_basin"), F.lit(None).cast("string").alias("source_id"), F.lit(None).cast("double").alias("dist"))
     return near.select("basin_id", "divide_id", "source_basin", "source_id", r9("dist", "dist")).union(none)
+
+
+# Right triangles of the customers, one cell and more across, slanted over the grid.
+_TRIANGLES_SQL = """tri AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS basin_id, 'tri-' || CAST(c_custkey AS VARCHAR) AS divide_id,
+         ((c_custkey * 7919) % 640) / CAST(64.0 AS DOUBLE) AS x0, ((c_custkey * 104729) % 640) / CAST(64.0 AS DOUBLE) AS y0,
+         CAST(0.5 AS DOUBLE) + ((c_custkey * 31) % 128) / CAST(32.0 AS DOUBLE) AS w, CAST(0.5 AS DOUBLE) + ((c_custkey * 17) % 96) / CAST(32.0 AS DOUBLE) AS h
+  FROM customer)"""
+
+
+def slanted(spark, sf):
+    k = F.col("c_custkey")
+
+    def part(mult, mod, by):
+        return ((k * mult) % mod).cast("double") / F.lit(float(by))
+    b = views.table(spark, sf, "customer").select(
+        F.col("c_nationkey").cast("string").alias("basin_id"), F.concat(F.lit("tri-"), k.cast("string")).alias("divide_id"),
+        part(7919, 640, 64).alias("x0"), part(104729, 640, 64).alias("y0"), (part(31, 128, 32) + 0.5).alias("w"), (part(17, 96, 32) + 0.5).alias("h"))
+    return b.select("basin_id", "divide_id", geo.triangle(F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")).alias("rings"))
+
+
+@register("coverage_slanted", sql=V.with_(_TRIANGLES_SQL, V.GRID10) + """,
+p AS (SELECT basin_id, divide_id, iy, ix, x0, y0, w, h, greatest(ix, x0) AS a, least(ix + 1, x0 + w) AS b, greatest(iy, y0) AS c, CAST(iy + 1 AS DOUBLE) AS d
+      FROM tri, grid WHERE ix < x0 + w AND ix + 1 > x0 AND iy < y0 + h AND iy + 1 > y0),
+e AS (SELECT *, greatest(a, least(b, x0 + (y0 + h - d) * w / h)) AS s, x0 + (y0 + h - c) * w / h AS foot FROM p),
+m AS (SELECT *, greatest(s, least(b, foot)) AS t FROM e),
+r AS (SELECT basin_id, divide_id, iy * 10 + ix AS cell_id, iy, ix,
+             (s - a) * (d - c) + (t - s) * ((y0 + h - (s - x0) * h / w + y0 + h - (t - x0) * h / w) / 2 - c) AS coverage FROM m)
+SELECT basin_id, divide_id, cell_id, iy, ix, round(coverage, 9) AS coverage FROM r WHERE coverage > 1e-9""")
+def coverage_slanted(spark, sf):
+    """J2 + G1 cell by cell on slanted edges, with as many polygons as there are customers; parts lie beyond the grid."""
+    c = cov.coverage(slanted(spark, sf), G, cells="touch").where("coverage > 1e-9")
+    return c.select("basin_id", "divide_id", "cell_id", "iy", "ix", r9("coverage", "coverage"))
