@@ -6,6 +6,9 @@ resumable through the ledger (SURVEY 3.1). All basins run in one plan; no per-ba
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,33 +58,76 @@ def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int
     return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
 
 
+def _promised_span(stores: list[str], horizon: int) -> tuple[dt.datetime, dt.datetime] | None:
+    """Whole days from the first to the last valid hour that the archive's run names stand for."""
+    times = []
+    for s in stores:
+        m = re.search(r"(\d{8}_\d{2})z_(anl|fcst)\.", s)
+        if m:
+            times.append(dt.datetime.strptime(m[1], "%Y%m%d_%H") + dt.timedelta(hours=horizon + 1 if m[2] == "fcst" else 0))
+    return (min(times).replace(hour=0), max(times).replace(hour=23)) if times else None
+
+
 def forecast_job(spark: SparkSession, root: str, analysis: list[str], forecast: list[str], horizon: int,
-                 divides: DataFrame, grid: Grid, out: str, cells: str = "centre", fill: bool = True) -> DataFrame:
-    """S2 + J13 + W1 + J9 + A17 + J1/A1 + A2 + K3: an archive of run stores -> daily basin files, in one plan.
+                 divides: DataFrame, grid: Grid, out: str, cells: str = "centre", fill: bool = True,
+                 span: tuple[dt.datetime, dt.datetime] | None = None, required: list[str] = (), on_conflict: str = "salvage") -> DataFrame:
+    """S2 + J13 + W1 + J10 + A17 + P13 + J9 + J1/A1 + A2 + K3: an archive of run stores -> daily basin files, in one plan.
 
     Stores are named ``<yyyymmdd>_<HH>z_anl.zarr`` (valid at their init hour) and ``.._fcst.zarr`` (a step's valid
-    time is ``init + h + 1``; ``horizon`` picks the step). Runs that are missing leave their hours out; unreadable
-    chunks and the shortfall of promised hours are written to ``out/errors`` and ``out/completeness``.
+    time is ``init + h + 1``; ``horizon`` picks the step). ``span`` is the first and last valid hour that the archive
+    promises; by default the whole days that its run names reach. Only chunks that the catchments cover are opened.
+
+    * Hours that no run promises are left out, and ``out/status`` has one status for each promised hour of each variable
+      (present, missing, unreadable) and for each extra one; ``out/completeness`` counts them by day and variable;
+      ``out/errors`` says what couldn't be read.
+    * Hours that lack one of ``required`` are left out as a whole and listed in ``out/skipped``.
+    * Analysis and forecast are merged; a variable of one that contradicts the other is set aside in ``out/salvage``
+      (``on_conflict`` as in :func:`merge_many <catchflow.operators.assemble.merge_many>`), ``out/conflicts`` counts.
+    * ``divides`` with a ``crs`` column (and ``wkt``) move to the grid's coordinate system first.
     """
     from .functions.scalars import time_from_name
     from .operators import assemble
     if not 0 <= horizon <= 23:
         raise ValueError(f"forecast horizon must be 0..23, not {horizon}")
-    variables = analysis + forecast
-    raw = written(chunks.scan_archive(spark, root, variables), "archive")  # decoded once
-    raw.where("error IS NOT NULL").select("store", "variable", "path", "error").write.mode("overwrite").parquet(f"{out}/errors")
-    runs = (raw.where("error IS NULL").withColumn("name", F.regexp_extract("store", r"([^/]+)$", 1))
-            .withColumn("init_hour", time_from_name(F.col("name"))))
-    is_fcst = F.col("name").contains("_fcst.")
-    valid = F.when(is_fcst, F.timestamp_add("HOUR", F.lit(horizon + 1), F.col("init_hour"))).otherwise(F.col("init_hour"))
-    mine = F.when(is_fcst, F.col("variable").isin(forecast)).otherwise(F.col("variable").isin(analysis))
-    keys = ["variable", "time", "iy", "ix"]
-    long = runs.where(mine & (F.col("time") == valid)).select(*keys, "value", F.col("init_hour").alias("seq"))
-    long = assemble.dedupe_last(long, keys).drop("seq")
-    promised = runs.where(mine).select("variable", valid.alias("time")).distinct().withColumn("day", F.to_date("time"))
-    assemble.completeness(promised, long.select("variable", "time"), ["variable", "time"], ["day", "variable"]).write.mode("overwrite").parquet(f"{out}/completeness")
+    variables = list(dict.fromkeys([*analysis, *forecast]))
+    if "crs" in divides.columns:
+        wkt = "wkt" if "wkt" in divides.columns else None
+        divides = projections.to_system(divides, grid.crs, wkt_col=wkt).drop("crs", "wkt")
     c = cov.coverage(divides, grid, cells=cells)
     c = forcing.prepare_coverage(cov.fill_nearest(c, divides) if fill else c)
+    raw = written(chunks.scan_archive(spark, root, variables, box=forcing.covered_box(c) or (0, -1, 0, -1)), "archive")  # decoded once
+    raw = raw.withColumn("name", F.regexp_extract("store", r"([^/]+)$", 1))
+    raw.where("error IS NOT NULL").select("store", "variable", "path", "error").write.mode("overwrite").parquet(f"{out}/errors")
+    is_fcst = F.col("name").contains("_fcst.")
+    mine = F.when(is_fcst, F.col("variable").isin(list(forecast))).otherwise(F.col("variable").isin(list(analysis)))
+    runs = raw.where(F.col("error").isNull() & mine).withColumn("init_hour", time_from_name(F.col("name"))).withColumn("is_fcst", is_fcst)
+    valid = F.when(F.col("is_fcst"), F.timestamp_add("HOUR", F.lit(horizon + 1), F.col("init_hour"))).otherwise(F.col("init_hour"))
+    # a forecast run's other steps are nobody's extra hours; an analysis run has its own hour and no other
+    runs = runs.withColumn("valid", valid).where(~F.col("is_fcst") | (F.col("time") == F.col("valid")))
+
+    span = span or _promised_span(chunks.list_stores(root), horizon)
+    promised = (assemble.promised_hours(spark, *span, analysis, forecast, horizon) if span
+                else spark.createDataFrame([], "store string, variable string, time timestamp_ntz"))
+    seen = runs.select(F.col("name").alias("store"), "variable", "time").distinct()
+    failed = raw.where(F.col("error").isNotNull() & mine).select(F.col("name").alias("store"), "variable")
+    status = written(assemble.hour_status(promised, seen, failed), "status")
+    status.write.mode("overwrite").parquet(f"{out}/status")
+    day = F.to_date("time").alias("day")
+    assemble.completeness(status.where("status <> 'extra'").select("variable", "time", day), status.where("status = 'present'").select("variable", "time"),
+                          ["variable", "time"], ["day", "variable"]).write.mode("overwrite").parquet(f"{out}/completeness")
+    there = status.where("status = 'present'").select("variable", "time")
+    if required:
+        whole, _ = assemble.required_vars(there, list(required), key="time")
+        there.select("time").distinct().join(whole.select("time").distinct(), "time", "left_anti").write.mode("overwrite").parquet(f"{out}/skipped")
+        there = whole
+
+    keys = ["time", "iy", "ix"]
+    good = assemble.keep_promised(runs.where(F.col("time") == F.col("valid")), there, ["variable", "time"])  # J10
+    both = [assemble.dedupe_last(good.where(F.col("is_fcst") == kind).select("variable", *keys, "value", F.col("init_hour").alias("seq")), ["variable", *keys]).drop("seq")
+            for kind in (False, True)]
+    long, salvage, report = assemble.merge_many(both, keys, on_conflict)  # J9
+    salvage.write.mode("overwrite").parquet(f"{out}/salvage")
+    report.write.mode("overwrite").parquet(f"{out}/conflicts")
     catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")
     sinks.write_daily_series(forcing.basin_mean(catch, variables), f"{out}/daily")
     from .sources.series import scan_daily_basin_files

@@ -26,11 +26,18 @@ def prepare_coverage(cov: DataFrame) -> DataFrame:
     return written(base.join(ncell, ["basin_id", "divide_id"]), "coverage-cells")
 
 
+def covered_box(c: DataFrame) -> tuple[int, int, int, int] | None:
+    """The covered index ranges: first and last row, first and last column; None without any cell."""
+    y0, y1, x0, x1 = c.agg(F.min("iy"), F.max("iy"), F.min("ix"), F.max("ix")).first()
+    return None if y0 is None else (y0, y1, x0, x1)
+
+
 def covered_range(raster: DataFrame, c: DataFrame) -> DataFrame:
     """The raster's rows within the covered index ranges (four scalars, as literals the scan can use)."""
-    y0, y1, x0, x1 = c.agg(F.min("iy"), F.max("iy"), F.min("ix"), F.max("ix")).first()
-    if y0 is None:
+    box = covered_box(c)
+    if box is None:
         return raster.filter(F.lit(False))
+    y0, y1, x0, x1 = box
     return raster.filter(F.col("iy").between(y0, y1) & F.col("ix").between(x0, x1))
 
 

@@ -192,18 +192,137 @@ def _init_of(store: str) -> str:
     return f"{store[:4]}-{store[4:6]}-{store[6:8]} {store[9:11]}:00:00"
 
 
-@register("forecast_job_files", sql=_FORECAST_SQL)
-def forecast_job_files(spark, sf):
-    """The forecast job from files: one store per run and kind, written from the tables (hours without a run have none)."""
-    from .. import jobs
-    from ..session import scratch_path
+def write_run_archive(spark, sf, root, init_of=_init_of):
+    """RUNS on the grid as an archive: one store per run and kind (hours without a run have none)."""
     from ..sources import chunks
-    root = scratch_path(spark, "archive")
     r = views.run_cells(spark, sf)
     kind = F.when(F.col("variable").isin(FCST_VARS), "fcst").otherwise("anl")
     r = assemble.dedupe_last(r, ["variable", "init_hour", "step", "iy", "ix"]).where((kind == "fcst") | (F.col("step") == 0))
     name = F.concat(F.date_format("init_hour", "yyyyMMdd_HH"), F.lit("z_"), kind, F.lit(".zarr"))
     rows = r.select(name.alias("store"), "variable", F.col("step").cast("bigint").alias("t"), "iy", "ix", "value")
-    chunks.write_archive(rows, f"{root}/runs", (views.GRID.ny, views.GRID.nx), {"anl": [0], "fcst": [1, 2, 3]}, _init_of, {"id": "zstd", "level": 1})
+    chunks.write_archive(rows, root, (views.GRID.ny, views.GRID.nx), {"anl": [0], "fcst": [1, 2, 3]}, init_of, {"id": "zstd", "level": 1})
+
+
+@register("forecast_job_files", sql=_FORECAST_SQL)
+def forecast_job_files(spark, sf):
+    """The forecast job from files: one store per run and kind, written from the tables (hours without a run have none)."""
+    from .. import jobs
+    from ..session import scratch_path
+    root = scratch_path(spark, "archive")
+    write_run_archive(spark, sf, f"{root}/runs")
     out = jobs.forecast_job(spark, f"{root}/runs", ANL_VARS, FCST_VARS, 1, views.divides(spark, sf), views.GRID, f"{root}/out", cells="touch", fill=False)
     return out.select("basin_id", "time", *[r9(v, v) for v in ANL_VARS + FCST_VARS])
+
+
+# Whole days of January 2024; of the analysis runs, those of hour 5 are shifted by a day inside, those of hour 7 have a
+# broken 'click' array, those of hour 9 aren't there.
+_STATUS_SQL = V.with_(V.RUN_CELLS) + """,
+hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS time),
+promised AS (SELECT strftime(time, '%Y%m%d_%H') || 'z_anl.zarr' AS store, variable, time FROM hours, (VALUES ('click'), ('error'), ('signup'), ('view')) v(variable)
+             UNION ALL SELECT strftime(time - INTERVAL 2 HOUR, '%Y%m%d_%H') || 'z_fcst.zarr', 'purchase', time FROM hours),
+anl AS (SELECT DISTINCT init_hour, variable FROM run_cells r JOIN (SELECT DISTINCT iy, ix FROM rect_cov) c USING (iy, ix)
+        WHERE step = 0 AND variable <> 'purchase' AND hour(init_hour) <> 9),
+seen AS (SELECT strftime(init_hour, '%Y%m%d_%H') || 'z_anl.zarr' AS store, variable,
+                CASE WHEN hour(init_hour) = 5 THEN init_hour + INTERVAL 24 HOUR ELSE init_hour END AS time FROM anl WHERE NOT (hour(init_hour) = 7 AND variable = 'click')
+         UNION SELECT strftime(init_hour, '%Y%m%d_%H') || 'z_fcst.zarr', variable, init_hour + INTERVAL 2 HOUR
+         FROM run_cells JOIN (SELECT DISTINCT iy, ix FROM rect_cov) c USING (iy, ix) WHERE step = 1 AND variable = 'purchase'),
+bad AS (SELECT DISTINCT strftime(init_hour, '%Y%m%d_%H') || 'z_anl.zarr' AS store, variable FROM run_cells WHERE step = 0 AND variable = 'click' AND hour(init_hour) = 7),
+status AS (SELECT coalesce(p.store, s.store) AS store, coalesce(p.variable, s.variable) AS variable, coalesce(p.time, s.time) AS time,
+                  CASE WHEN p.store IS NULL THEN 'extra' WHEN s.store IS NOT NULL THEN 'present' WHEN b.store IS NOT NULL THEN 'unreadable' ELSE 'missing' END AS status
+           FROM promised p FULL JOIN seen s ON p.store = s.store AND p.variable = s.variable AND p.time = s.time
+           LEFT JOIN bad b ON b.store = p.store AND b.variable = p.variable)
+""".replace("hours AS (", V.BOXES + ",\n" + V.GRID10 + ",\n" + V.RECT_COV + ",\nhours AS (", 1)
+
+
+def broken_archive(spark, sf, root):
+    """The archive with planted faults: shifted runs (hour 5), broken arrays (hour 7), no analysis runs (hour 9)."""
+    import glob
+    import json
+    import os
+    write_run_archive(spark, sf, f"{root}/all")
+    for store in glob.glob(f"{root}/all/*.zarr"):  # a fixture of small files
+        name = os.path.basename(store)
+        hour, anl = name[9:11], "_anl." in name
+        if anl and hour == "09":
+            continue
+        os.makedirs(f"{root}/runs", exist_ok=True)
+        os.symlink(store, f"{root}/runs/{name}")
+        if anl and hour == "05":
+            with open(f"{store}/time/.zattrs", "w") as fh:
+                json.dump({"units": f"hours since {_init_of(name)}"}, fh)
+            with open(f"{store}/time/0", "wb") as fh:
+                fh.write((24).to_bytes(8, "little"))
+        if anl and hour == "07" and os.path.exists(f"{store}/click"):
+            with open(f"{store}/click/0.0.0", "wb") as fh:
+                fh.write(b"torn")
+    import datetime
+    return datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 30, 23)
+
+
+@register("forecast_job_status", sql=_STATUS_SQL + "SELECT store, variable, time, status FROM status")
+def forecast_job_status(spark, sf):
+    """A17 + J10: one status for each promised hour, from runs that are missing, unreadable or hold another hour."""
+    from .. import jobs
+    from ..session import scratch_path
+    root = scratch_path(spark, "archive")
+    span = broken_archive(spark, sf, root)
+    jobs.forecast_job(spark, f"{root}/runs", ANL_VARS, FCST_VARS, 1, views.divides(spark, sf), views.GRID, f"{root}/out", cells="touch", fill=False, span=span)
+    return spark.read.parquet(f"{root}/out/status")
+
+
+@register("forecast_job_required", sql=_STATUS_SQL + """,
+there AS (SELECT DISTINCT variable, time FROM status WHERE status = 'present'),
+whole AS (SELECT time FROM there WHERE variable IN ('click', 'view') GROUP BY time HAVING count(*) = 2)
+SELECT CAST(time AS DATE) AS day, variable, count(*) AS n_promised, count_if(status = 'present') AS n_matched,
+       count_if(status <> 'present') AS shortfall, count_if(status = 'present' AND time NOT IN (SELECT time FROM whole)) AS n_left_out
+FROM status WHERE status <> 'extra' GROUP BY 1, 2""")
+def forecast_job_required(spark, sf):
+    """P13 + A17 in the job: hours without click and view are left out as a whole; the shortfall by day and variable."""
+    from .. import jobs
+    from ..session import scratch_path
+    root = scratch_path(spark, "archive")
+    span = broken_archive(spark, sf, root)
+    jobs.forecast_job(spark, f"{root}/runs", ANL_VARS, FCST_VARS, 1, views.divides(spark, sf), views.GRID, f"{root}/out", cells="touch", fill=False,
+                      span=span, required=["click", "view"])
+    skipped = spark.read.parquet(f"{root}/out/skipped")
+    status = spark.read.parquet(f"{root}/out/status").where("status = 'present'").join(skipped, "time", "left_semi")
+    left = status.groupBy(F.to_date("time").alias("day"), "variable").agg(F.count("*").alias("n_left_out"))
+    return (spark.read.parquet(f"{root}/out/completeness").join(left, ["day", "variable"], "left")
+            .select("day", "variable", "n_promised", "n_matched", "shortfall", F.coalesce("n_left_out", F.lit(0)).cast("long").alias("n_left_out")))
+
+
+_MANY_SQL = V.with_(V.RUNS) + """,
+base AS (SELECT variable, init_hour AS time, arg_max(value, seq) AS value FROM runs GROUP BY 1, 2),
+inputs AS (SELECT 0 AS input, * FROM base WHERE hour(time) % 3 = 0
+  UNION ALL SELECT 1, * FROM base WHERE hour(time) % 3 <= 1
+  UNION ALL SELECT 2, * FROM base WHERE hour(time) % 3 = 2 OR variable = 'view'
+  UNION ALL SELECT 3, variable, time, CASE WHEN variable = 'click' AND hour(time) = 13 THEN value + 1 ELSE value END FROM base WHERE variable IN ('click', 'error')),
+firsts AS (SELECT *, arg_min(value, input) OVER (PARTITION BY variable, time) AS f FROM inputs),
+aside AS (SELECT DISTINCT input, variable FROM firsts WHERE value <> f)
+"""
+
+
+def four_inputs(spark, sf):
+    """Four overlapping inputs of one table; the last one contradicts the others in one variable, at hour 13 alone."""
+    base = assemble.dedupe_last(views.runs(spark, sf).select("variable", F.col("init_hour").alias("time"), "value", "seq"), ["variable", "time"]).drop("seq")
+    h = F.hour("time")
+    planted = F.when((F.col("variable") == "click") & (h == 13), F.col("value") + 1).otherwise(F.col("value"))
+    return [base.where(h % 3 == 0), base.where(h % 3 <= 1), base.where((h % 3 == 2) | (F.col("variable") == "view")),
+            base.where(F.col("variable").isin("click", "error")).withColumn("value", planted)]
+
+
+@register("merge_many", sql=_MANY_SQL + """
+SELECT variable, time, round(arg_min(value, input), 9) AS value FROM inputs
+WHERE NOT EXISTS (SELECT 1 FROM aside a WHERE a.input = inputs.input AND a.variable = inputs.variable) GROUP BY variable, time""")
+def merge_many(spark, sf):
+    """J9 over four inputs: the variable that contradicts is set aside as a whole, everything else is merged."""
+    merged, _, _ = assemble.merge_many(four_inputs(spark, sf), ["time"])
+    return merged.select("variable", "time", r9("value", "value"))
+
+
+@register("merge_many_salvage", sql=_MANY_SQL + """
+SELECT i.input, i.variable, time, round(value, 9) AS value FROM inputs i JOIN aside a ON a.input = i.input AND a.variable = i.variable""")
+def merge_many_salvage(spark, sf):
+    """What was set aside."""
+    _, salvage, _ = assemble.merge_many(four_inputs(spark, sf), ["time"])
+    return salvage.select("input", "variable", "time", r9("value", "value"))

@@ -42,7 +42,8 @@ _EPOCH = dt.datetime(1970, 1, 1)
 
 
 class ChunkSource(DataSource):
-    """Options: ``stores`` (JSON list) or ``archive`` (a folder), ``variables`` (JSON list), ``detail``, ``tolerant``, ``drop_fill``."""
+    """Options: ``stores`` (JSON list) or ``archive`` (a folder), ``variables`` (JSON list), ``detail``, ``tolerant``,
+    ``drop_fill``, ``box`` (JSON: first and last row, first and last column; leaves error rows, as no filter on rows can)."""
 
     @classmethod
     def name(cls) -> str:
@@ -137,6 +138,10 @@ class ChunkReader(DataSourceReader):
         self.arrow = pa.schema(_DETAIL_ARROW if options.get("detail") == "true" else _CORE_ARROW)
         self.target = int(options.get("target_cells", TARGET_CELLS))
         self.ranges = Ranges()
+        if "box" in options:
+            y0, y1, x0, x1 = json.loads(options["box"])
+            self.ranges.low |= {"iy": y0, "ix": x0}
+            self.ranges.high |= {"iy": y1, "ix": x1}
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:

@@ -178,14 +178,17 @@ def scan_raster(spark: SparkSession, template: str, years: tuple[int, int], vari
     return scan_chunks(spark, roots, variables, drop_fill, tolerant)
 
 
-def scan_archive(spark: SparkSession, root: str, variables: list[str], drop_fill: bool = True) -> DataFrame:
+def scan_archive(spark: SparkSession, root: str, variables: list[str], drop_fill: bool = True,
+                 box: tuple[int, int, int, int] | None = None) -> DataFrame:
     """Every store directly below ``root`` (an archive of one store per run), in one job.
 
     Output as :func:`scan_chunks` with errors: ``time, iy, ix, variable, value, store, path, error``. A run that isn't
     there is not listed; a chunk, an array or a time axis that can't be decoded is an error row. The tasks read the
-    metadata of their own runs, so planning is one listing however many runs there are.
+    metadata of their own runs, so planning is one listing however many runs there are. ``box`` (first and last row,
+    first and last column) leaves out the chunks and cells beyond it.
     """
-    return _load(spark, variables, archive=root.rstrip("/"), tolerant="true", drop_fill=str(drop_fill).lower(), detail="true")
+    cut = {"box": json.dumps(box)} if box else {}
+    return _load(spark, variables, archive=root.rstrip("/"), tolerant="true", drop_fill=str(drop_fill).lower(), detail="true", **cut)
 
 
 def chunk_errors(spark: SparkSession, roots: str | list[str], variables: list[str]) -> DataFrame:
