@@ -543,3 +543,18 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
 def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents joined on 4-word shingles at 85 per cent."""
     return link_sets(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("node")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles FROM s),
+e AS (SELECT doc_id, hash(unnest(g)) AS h FROM s),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM m JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n_shingles + y.n_shingles - common)),
+p AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT p.a, r.root FROM r JOIN p ON p.b = r.id WHERE r.root < p.a)
+SELECT n.doc_id, n_shingles, c.root AS component_id FROM n JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) c ON c.id = n.doc_id
+"""

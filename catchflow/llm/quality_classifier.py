@@ -1,22 +1,22 @@
 """Quality by compression: zstandard dictionaries of good and of bad labelled text.
 
-Two dictionaries are built, one from texts labelled good and one from texts labelled bad. A text is compressed
-with each; the difference of the sizes over the text's own, ``(bad - good) / (bytes + SHORT)``, says which it is
-like (``SHORT`` keeps a difference of a byte or two in a text of a few words from counting much). Logistic
-regression, on labelled rows of its own and weighted to the labels' frequencies, makes it a probability; the logarithm
-of the good dictionary's rate goes in beside it, for texts that both dictionaries compress to next to nothing.
+Two dictionaries are built, one from texts labelled good and one from texts labelled bad. Each ``WINDOW`` bytes of a text
+are compressed by themselves with either dictionary, so that it's the dictionaries that shorten them and not what the
+text said before (junk that repeats itself would compress to next to nothing with both). The difference of the summed
+sizes over the text's own size, ``(bad - good) / (bytes + SHORT)``, says which the text is like (``SHORT`` keeps a
+difference of a byte or two in a text of a few words from counting much). Logistic regression of this one figure, on
+labelled rows of its own and weighted to the labels' frequencies, makes it a probability.
 
 The fit takes at most ``sample`` labelled texts of each class and only texts of at most ``longest`` bytes, chosen
 by a hash of their ids; both are parameters. Scoring covers every text, whole.
 
-Results in edge cases: a null or empty text has no sizes (0, 0) and gets a score like any other; null ids are held
+Results in edge cases: a null or empty text has the difference 0 and gets a score like any other; null ids are held
 out by the rule's null (false) and scored; repeated rows are scored one by one; with one class or no labels the
 score is the labels' mean, or 0.5. No rows give no rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +31,7 @@ LONGEST = 32_768
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 SHORT = 100
+WINDOW = 512
 
 
 def held_out(mod: int, rest: int) -> Column:
@@ -54,10 +55,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int,
 
 
 class CompressionModel:
-    """Two dictionaries and a calibration (weights of the two figures, and a shift). Plain values, so it travels."""
+    """Two dictionaries and a calibration (the figure's weight, and a shift). Plain values, so it travels."""
 
-    def __init__(self, good: bytes, bad: bytes, weights: tuple[float, ...] = (0.0, 0.0), shift: float = 0.0, level: int = LEVEL):
-        self.good, self.bad, self.weights, self.shift, self.level = good, bad, weights, shift, level
+    def __init__(self, good: bytes, bad: bytes, weight: float = 0.0, shift: float = 0.0, level: int = LEVEL):
+        self.good, self.bad, self.weight, self.shift, self.level = good, bad, weight, shift, level
         self._made = None
 
     def __getstate__(self):
@@ -71,16 +72,16 @@ class CompressionModel:
                           for d in (self.good, self.bad)]
         return self._made
 
-    def figures(self, text) -> tuple[float, float]:
-        """The normalised difference, and the logarithm of the good dictionary's rate; an empty text has (0, 0)."""
+    def difference(self, text) -> float:
+        """How much shorter the good dictionary makes the text, as a share of its size."""
         good, bad = self._compressors()
-        if good is None or bad is None or not len(text):
-            return 0.0, 0.0
-        g, b, n = len(good.compress(text)), len(bad.compress(text)), len(text) + SHORT
-        return (b - g) / n, math.log((g + SHORT / 3) / n)
+        if good is None or bad is None:
+            return 0.0
+        windows = [text[i:i + WINDOW] for i in range(0, len(text), WINDOW)]
+        return sum(len(bad.compress(w)) - len(good.compress(w)) for w in windows) / (len(text) + SHORT)
 
-    def score(self, figures: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(figures @ np.array(self.weights) + self.shift, -40, 40)))
+    def score(self, difference: np.ndarray) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-np.clip(difference * self.weight + self.shift, -40, 40)))
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -122,10 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     parts = {y: ([t for i, t in enumerate(v) if i % 3 < 2 or len(v) < 3], [t for i, t in enumerate(v) if i % 3 == 2 or len(v) < 3])
              for y, v in texts.items()}
     model = CompressionModel(_dictionary(parts[1][0], size), _dictionary(parts[0][0], size), level=level)
-    x = np.array([model.figures(t) for y in (0, 1) for t in parts[y][1]])
+    x = np.array([model.difference(t) for y in (0, 1) for t in parts[y][1]])
     y = np.array([float(k) for k in (0, 1) for _ in parts[k][1]])
     w = np.where(y == 1, share[1] / max(1, y.sum()), share[0] / max(1, (1 - y).sum()))
-    model.weights, model.shift = _logistic(x, y, w / w.sum() * len(y))
+    (model.weight,), model.shift = _logistic(x[:, None], y, w / w.sum() * len(y))
     return model
 
 
@@ -133,7 +134,7 @@ def _scorer(model: CompressionModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lo, hi, buf, offs in batch_blocks(batches):
             view = memoryview(np.ascontiguousarray(buf))
-            figures = np.array([model.figures(view[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
+            figures = np.array([model.difference(view[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
             part = batch.slice(lo, hi - lo)
             rest = [c for c in range(part.num_columns) if part.schema.names[c] != "text"]
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], pa.array(model.score(figures))],

@@ -11,7 +11,7 @@ from .divergence import OP13_SQL, op13_run_columns
 from .hard_negatives import OP12_SQL, op12_multi_index
 from .metric_join import OP2_SQL, op2_pivot_cells
 from .mixing import OP8_SQL, op8_systematic_mix
-from .ngram_join import op7_signature_trees
+from .ngram_join import OP7_SQL, op7_signature_trees
 from .packing import op1_nnls_packing
 from .quality_classifier import op10_zstd_quality
 from .quality_rules import op5_ngram_ratio
@@ -35,4 +35,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_multi_index": op12_multi_index,
     "op13_run_columns": op13_run_columns,
 }
-ORACLES: dict[str, str] = {"op2_pivot_cells": OP2_SQL, "op8_systematic_mix": OP8_SQL, "op12_multi_index": OP12_SQL, "op13_run_columns": OP13_SQL}
+ORACLES: dict[str, str] = {"op2_pivot_cells": OP2_SQL, "op7_signature_trees": OP7_SQL, "op8_systematic_mix": OP8_SQL, "op12_multi_index": OP12_SQL, "op13_run_columns": OP13_SQL}

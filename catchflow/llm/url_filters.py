@@ -78,30 +78,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps: int = 12, keep_every: int = 4) -> DataFrame:
-    """Personalised PageRank for several kinds of mass at once.
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, change: float = 1e-4, keep_every: int = 6) -> DataFrame:
+    """Personalised PageRank for several kinds of mass at once, until it stands still.
 
     ``edges`` (kind, src, dst, weight), ``seeds`` (kind, host, mass); returns (kind, host, score), summing to 1
-    for each kind that has seeds. The state is written every ``keep_every`` steps, so no plan grows with ``steps``.
+    for each kind that has seeds. The state is written every ``keep_every`` steps, so no plan grows, and compared with
+    the one before: the steps end when no kind's scores have moved by more than ``change`` in sum. Each step moves at
+    most ``damping`` times what the last one did, so that always comes.
     """
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     moves = keep_table(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("share")), "host-moves")
     mass = seeds.groupBy("kind").agg(F.sum("mass").alias("all"))
     start = keep_table(seeds.join(mass, "kind").where("all > 0").select("kind", "host", (F.col("mass") / F.col("all")).alias("score")), "host-seeds")
-    state = start
-    for i in range(1, steps + 1):
-        sent = (moves.join(state.withColumnRenamed("host", "src"), ["kind", "src"])
-                .select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")))
-        state = (sent.union(start.withColumn("score", F.col("score") * (1 - damping))).groupBy("kind", "host")
-                 .agg(F.sum("score").alias("score")))
-        if i % keep_every == 0 or i == steps:
-            state = keep_table(state, "host-state")
+    state, moved = start, 1.0
+    while moved > change:
+        before = state
+        for _ in range(keep_every):
+            sent = (moves.join(state.withColumnRenamed("host", "src"), ["kind", "src"])
+                    .select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")))
+            state = (sent.union(start.withColumn("score", F.col("score") * (1 - damping))).groupBy("kind", "host")
+                     .agg(F.sum("score").alias("score")))
+        state = keep_table(state, "host-state")
+        both = state.union(before.withColumn("score", -F.col("score"))).groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("off"))
+        moved = both.groupBy("kind").agg(F.sum("off").alias("off")).agg(F.max("off")).first()[0] or 0.0
     norm = state.groupBy("kind").agg(F.sum("score").alias("all"))
     return state.join(norm, "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
 
 
 def filter_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ratio: float = 1.0, damping: float = 0.85,
-                 steps: int = 12) -> DataFrame:
+                 change: float = 1e-4) -> DataFrame:
     """``pages`` (page_id, url, html) -> page_id, host, path, rule, verdict, trust, distrust."""
     prepare(pages.sparkSession)
     p = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
@@ -112,7 +117,7 @@ def filter_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ra
     seeds = (judged.where("verdict IS NOT NULL")
              .groupBy(F.when(F.col("verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
              .agg(F.count("*").cast("double").alias("mass")))
-    scores = spread(kinds, seeds, damping, steps)
+    scores = spread(kinds, seeds, damping, change)
     wide = scores.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k)
                                         for k in ("trust", "distrust")])
     out = judged.join(wide, "host", "left").fillna(0.0, ["trust", "distrust"])
