@@ -101,7 +101,7 @@ def read_meta(var_root: str) -> dict:
     try:
         meta = json.loads(read_bytes(f"{var_root}/.zarray"))
     except FileNotFoundError as e:
-        raise FileNotFoundError(f"no array metadata at {var_root}/.zarray") from e
+        raise FileNotFoundError(f"no array metadata at {var_root}/.zarray" if folder_there(var_root) else f"{var_root} does not exist") from e
     try:
         meta["attrs"] = json.loads(read_bytes(f"{var_root}/.zattrs"))
     except FileNotFoundError:
