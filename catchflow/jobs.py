@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sinks
+from . import publish, sinks
 from .functions import projections
 from .operators import coverage as cov
 from .operators import forcing, ledger
+from .operators.post import cached_coverage
 from .schemas import Grid
 from .session import written
 from .sources import chunks, containers
@@ -23,39 +25,69 @@ from .sources import chunks, containers
 
 def forcing_job(spark: SparkSession, raster_template: str, years: tuple[int, int], variables: list[str],
                 divides_paths: str | list[str], grid: Grid, out: str, ledger_path: str, cells: str = "centre",
-                id_col: str = "divide_id", skip: str = "finished", dense: bool = True, fill: bool = True, source_crs: str | None = None) -> DataFrame:
+                id_col: str = "divide_id", skip: str = "finished", dense: bool = True, fill: bool = True, source_crs: str | None = None,
+                cache: str | None = None, on_step: Callable[[str], None] | None = None) -> DataFrame:
     """S1 + S3 + J11 + J2 + J3 + A1 + A2 + K1/K2/K3 + K9. Returns the basin table as it stands after the run.
 
     Polygons in another coordinate system move to the grid's first (G3/G4): the containers say theirs, ``source_crs``
     overrides that. Containers that can't be read, and features without a shape, are written to ``out/errors``. A
     catchment without cells takes those of its nearest covered one, unless ``fill`` is off.
 
-    A resumed run replaces the folders of the basins it works on and leaves those of finished basins alone.
+    The outputs ``catchment``, ``basin`` and ``dense`` are staged and published as one (:mod:`catchflow.publish`; read
+    them with :func:`forcing_output`), so a run that is killed leaves all of them as they were. A resumed run
+    replaces the basins it works on and leaves finished ones alone. ``cache`` names a folder that keeps coverages (K4).
+    ``on_step`` is told each output's name once it is staged, and ``published``; an error it raises ends the run there.
     """
+    step = on_step or (lambda name: None)
     raw = written(containers.scan_divides(spark, divides_paths, id_col=id_col, tolerant=True, with_errors=True), "divides")  # decoded once
     divides = raw.where("error IS NULL").select("basin_id", F.col("feature_id").alias("divide_id"), "rings", "crs", "wkt")  # P11: id -> divide_id
     shapeless = cov.without_geometry(divides).select(F.lit(None).cast("string").alias("path"), "basin_id", "divide_id", F.lit("no geometry").alias("error"))
     (raw.where("error IS NOT NULL").select("path", "basin_id", F.lit(None).cast("string").alias("divide_id"), "error").union(shapeless)
      .write.mode("overwrite").parquet(f"{out}/errors"))
     divides = projections.to_system(divides, grid.crs, wkt_col="wkt", override=source_crs).drop("crs", "wkt")
+    _finish_published(spark, out, ledger_path)
     todo = written(ledger.pending(divides.select("basin_id").distinct(), ledger.read_ledger(spark, ledger_path), skip), "todo")
-    basin_schema = "time string, " + ", ".join(f"`{v}` double" for v in variables) + ", basin_id string"
     if not todo.limit(1).count():  # nothing pending: what is finished stays as it is
-        return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
+        return forcing_output(spark, out, "basin", variables)
     divides = divides.join(todo, "basin_id", "left_semi")
+    run = publish.begin(spark, out)
     ledger.record(todo, ledger_path, "processing")
-    c = cov.coverage(divides, grid, cells=cells)
+    c = cached_coverage(spark, cache, "forcing", divides, grid, cells) if cache else cov.coverage(divides, grid, cells=cells)
     c = forcing.prepare_coverage(cov.fill_nearest(c, divides) if fill else c)
     long = chunks.scan_raster(spark, raster_template, years, variables, drop_fill=True)
     catch = written(forcing.catchment_mean_long(long, c, variables), "catchment")  # one raster scan; the rest derives from it
-    sinks.write_catchment_series(catch, f"{out}/catchment")                     # K2
+    sinks.write_catchment_series(catch, publish.staged(out, run, "catchment"))  # K2
+    step("catchment")
     basin = forcing.basin_mean(catch, variables)
-    sinks.write_basin_series(basin, f"{out}/basin")                             # K3
+    sinks.write_basin_series(basin, publish.staged(out, run, "basin"))          # K3
+    step("basin")
     if dense:
         from .operators.pack import to_dense
-        sinks.write_dense(to_dense(catch, variables), f"{out}/dense")           # K1
+        sinks.write_dense(to_dense(catch, variables), publish.staged(out, run, "dense"))  # K1
+        step("dense")
+    publish.commit(todo, out, run)
+    step("published")
     ledger.record(todo, ledger_path, "finished")                                # K9, after the writes
-    return spark.read.schema(basin_schema).option("header", True).csv(f"{out}/basin")
+    return forcing_output(spark, out, "basin", variables)
+
+
+def _finish_published(spark: SparkSession, out: str, ledger_path: str) -> None:
+    """The ledger lines of a run that was killed after it published: basins published since they were begun are finished."""
+    begun = (ledger.read_ledger(spark, ledger_path).groupBy("basin_id")
+             .agg(F.max(F.when(F.col("status") == "processing", F.col("ts"))).alias("begun"), F.bool_or(F.col("status") == "finished").alias("done")))
+    late = publish.manifest(spark, out).join(begun.where("begun IS NOT NULL AND NOT done"), "basin_id").where("ts >= begun").select("basin_id")
+    late = written(late, "late")
+    if late.limit(1).count():
+        ledger.record(late, ledger_path, "finished")
+
+
+def forcing_output(spark: SparkSession, out: str, output: str, variables: list[str]) -> DataFrame:
+    """``catchment`` (K2) or ``basin`` (K3) of :func:`forcing_job` as last published, times as text as in the files."""
+    values = "".join(f", `{v}` double" for v in variables)
+    ids = {"catchment": "basin_id string, divide_id string", "basin": "basin_id string"}
+    if output not in ids:
+        raise ValueError(f"output must be one of {sorted(ids)}, not {output!r}")
+    return publish.published(spark, out, output, f"time string{values}, {ids[output]}")
 
 
 def _promised_span(stores: list[str], horizon: int) -> tuple[dt.datetime, dt.datetime] | None:

@@ -38,3 +38,22 @@ def record(ids: DataFrame, path: str, status: str, key: str = "basin_id") -> Non
     (ids.withColumn(key, F.col(key).cast("string")).join(have, key, "left_anti").select(F.col(key).cast("string").alias("basin_id"), F.lit(status).alias("status"),
                 F.localtimestamp().alias("ts"))
         .write.mode("append").parquet(path))
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """K9: all lines as one set of files with the first line of each id and status; returns how many files went.
+
+    The new lines are added before the old files go, and a line twice means what it means once, so this may end
+    anywhere and be run again. Not to be run beside a writer.
+    """
+    if not path_exists(spark, path):
+        return 0
+    old = [r["f"] for r in spark.read.schema(LEDGER).parquet(path).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]  # files, not lines
+    if len(old) < 2:
+        return 0
+    first = read_ledger(spark, path).groupBy("basin_id", "status").agg(F.min("ts").alias("ts"))
+    first.select("basin_id", "status", "ts").write.mode("append").parquet(path)
+    for f in old:
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
+    return len(old)

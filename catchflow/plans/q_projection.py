@@ -129,11 +129,10 @@ SELECT basin_id, time, round(avg(qty), 5) AS qty, round(avg(disc), 5) AS disc FR
 def forcing_job_projected(spark, sf):
     """The forcing job on containers in the Albers system and a longitude/latitude raster."""
     from .. import jobs
-    from ..sources import series as src
     root = scratch_path(spark, "job")
     years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
     d = views.divides(spark, sf).withColumn("rings", proj.move_rings(F.col("rings"), "EPSG:4326", "EPSG:5070"))
     containers.write_divides(d, f"{root}/gpkg", srs="EPSG:5070")
     jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/gpkg", views.GRID, f"{root}/out", f"{root}/ledger")
-    back = src.scan_daily_basin_files(spark, f"{root}/out/basin", "time string, qty double, disc double")
-    return back.select("basin_id", "time", F.round("qty", 5).alias("qty"), F.round("disc", 5).alias("disc"))
+    back = jobs.forcing_output(spark, f"{root}/out", "basin", ["qty", "disc"])
+    return back.select("basin_id", F.col("time").cast("timestamp_ntz").alias("time"), F.round("qty", 5).alias("qty"), F.round("disc", 5).alias("disc"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import coverage as cov
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import chunks, containers
 from . import sql_views as V
 from . import views
@@ -166,14 +166,59 @@ def forcing_job_files(spark, sf):
     the tables, then scan -> resume -> centre-rule coverage -> long-form catchment mean -> basin mean ->
     K1/K2/K3 writes -> ledger; the basin files are read back."""
     from .. import jobs
-    from ..sources import series as src
     root = scratch_path(spark, "job")
     years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
     containers.write_divides(views.divides(spark, sf), f"{root}/gpkg")
     jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/gpkg",
                      views.GRID, f"{root}/out", f"{root}/ledger")
-    back = src.scan_daily_basin_files(spark, f"{root}/out/basin", "time string, qty double, disc double")
-    return back.select("basin_id", "time", r9("qty", "qty"), r9("disc", "disc"))
+    back = jobs.forcing_output(spark, f"{root}/out", "basin", ["qty", "disc"])
+    return back.select("basin_id", F.col("time").cast("timestamp_ntz").alias("time"), r9("qty", "qty"), r9("disc", "disc"))
+
+
+@register("forcing_job_killed", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
+cov AS (SELECT r.*, count(*) OVER (PARTITION BY basin_id, divide_id) AS n FROM centre_cov r),
+j AS (SELECT c.basin_id, c.divide_id, r.time, c.coverage, c.n, r.qty, r.disc FROM cov c JOIN raster r USING (iy, ix)),
+catch AS (SELECT basin_id, divide_id, time,
+         CASE WHEN count(qty) = max(n) THEN sum(qty * coverage) / sum(coverage) END AS qty,
+         CASE WHEN count(disc) = max(n) THEN sum(disc * coverage) / sum(coverage) END AS disc FROM j GROUP BY 1, 2, 3),
+basin AS (SELECT basin_id, time, CAST(count(DISTINCT divide_id) AS BIGINT) AS n_divides, round(avg(qty), 9) AS qty, round(avg(disc), 9) AS disc
+          FROM catch GROUP BY 1, 2),
+older AS (SELECT * FROM basin WHERE basin_id IN ('0', '1') AND year(time) = (SELECT min(year(time)) FROM raster))
+SELECT 'killed after catchment' AS phase, * FROM older UNION ALL
+SELECT 'killed after dense' AS phase, * FROM older UNION ALL
+SELECT 'killed after published' AS phase, * FROM basin UNION ALL
+SELECT 'resumed' AS phase, * FROM basin""")
+def forcing_job_killed(spark, sf):
+    """K1/K2/K3/K9 as one: two basins' first year is published; a run over all basins and years is killed after its first
+    write, after its last one and after publishing, then left to end. Both outputs are read after each: they stand at
+    the older state until the run is published, never at a mix."""
+    from .. import jobs
+    root = scratch_path(spark, "killed")
+    years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
+    d = views.divides(spark, sf)
+    containers.write_divides(d.filter(F.col("basin_id").isin("0", "1")), f"{root}/gpkg-first")
+    containers.write_divides(d, f"{root}/gpkg-all")
+
+    def run(name, end, ledger, kill=None):
+        def on_step(done):
+            if done == kill:
+                raise InterruptedError(f"killed after {done}")
+        try:
+            jobs.forcing_job(spark, root + "/stores/{year}", (years[0], end), ["qty", "disc"], f"{root}/{name}", views.GRID,
+                             f"{root}/out", f"{root}/{ledger}", cache=f"{root}/cache", on_step=on_step)
+        except InterruptedError:
+            pass
+        each = jobs.forcing_output(spark, f"{root}/out", "catchment", ["qty", "disc"]).groupBy("basin_id", "time").agg(F.countDistinct("divide_id").alias("n_divides"))
+        both = jobs.forcing_output(spark, f"{root}/out", "basin", ["qty", "disc"]).join(each, ["basin_id", "time"], "full")
+        return written(both.select(F.lit(f"killed after {kill}" if kill else "resumed").alias("phase"), "basin_id", F.col("time").cast("timestamp_ntz").alias("time"),
+                                   "n_divides", r9("qty", "qty"), r9("disc", "disc")), "phase")
+
+    run("gpkg-first", years[0] + 1, "ledger-first")
+    phases = [run("gpkg-all", years[-1] + 1, "ledger", kill) for kill in ("catchment", "dense", "published", None)]
+    out = phases[0]
+    for p in phases[1:]:
+        out = out.union(p)
+    return out
 
 
 @register("forcing_job_resume", sql=V.with_(V.RASTER, V.BOXES, V.GRID10, V.RECT_COV) + _CENTRE_COV_SQL + """,
@@ -210,13 +255,11 @@ FROM catch GROUP BY basin_id, time""")
 def forcing_job_filled(spark, sf):
     """J3 in the job: on a grid that misses some catchments, each of them still has a series."""
     from .. import jobs
-    from ..sources import series as src
     root = scratch_path(spark, "filled")
     years = write_raster_stores(spark, sf, f"{root}/stores", dtype="<f8")
     containers.write_divides(views.divides(spark, sf), f"{root}/gpkg")
     basin = jobs.forcing_job(spark, root + "/stores/{year}", (years[0], years[-1] + 1), ["qty", "disc"], f"{root}/gpkg", G5,
                              f"{root}/out", f"{root}/ledger", cells="touch")
-    schema = "time string, qty double, disc double, basin_id string, divide_id string"
-    each = src.scan_series(spark, f"{root}/out/catchment", schema, "time").groupBy("basin_id", "time").agg(F.countDistinct("divide_id").alias("n_divides"))
-    b = basin.select("basin_id", F.col("time").cast("timestamp_ntz").alias("time"), "qty", "disc")
-    return b.join(each, ["basin_id", "time"]).select("basin_id", "n_divides", "time", r9("qty", "qty"), r9("disc", "disc"))
+    each = jobs.forcing_output(spark, f"{root}/out", "catchment", ["qty", "disc"]).groupBy("basin_id", "time").agg(F.countDistinct("divide_id").alias("n_divides"))
+    b = basin.join(each, ["basin_id", "time"])
+    return b.select("basin_id", "n_divides", F.col("time").cast("timestamp_ntz").alias("time"), r9("qty", "qty"), r9("disc", "disc"))
