@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, words
-from .graph import components
+from .graph import components, forest
 
 GROUP = 2000
 FLUSH_NAMES = 2_000_000
@@ -174,28 +174,6 @@ def part_names(key: np.ndarray, at: np.ndarray, rows: np.ndarray, parts: Parts,
 
 # ---------------------------------------------------------------- forests
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, root) that connect what the edges (a, b) connect; one for each node that isn't a root."""
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = flat[:len(a)], flat[len(a):]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        while True:
-            hop = new[new]
-            if (hop == new).all():
-                break
-            new = hop
-        if (new == root).all():
-            break
-        root = new
-    far = np.flatnonzero(root != np.arange(len(nodes)))
-    return nodes[far], nodes[root[far]]
-
-
 def _stars(name: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from each node to the smallest node with the same name."""
     order = np.lexsort((node, name))

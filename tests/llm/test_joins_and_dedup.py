@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from brute import near_groups, repeats, sha, vector_links
 from llm_rows import SF, tricky_rows
+from pyspark.sql import functions as F
 
 from catchflow.llm import graph, metric_join, ngram_join, suffix_dedup
 
@@ -27,11 +28,36 @@ def test_components_of_chains_stars_and_loops(spark):
         if a != b:
             a, b = find(a), find(b)
             up[max(a, b)] = min(a, b)
-    got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges + [(None, 3)], "a long, b long")).collect()}
-    assert got == {x: find(x) for x in list(up)}
+    table = spark.createDataFrame(edges + [(None, 3)], "a long, b long").repartition(24)
+    for least_hub in (graph.HUB, 2, 0):  # no hubs, some, all nodes that may be
+        got = {r["node"]: r["root"] for r in graph.components(table, least_hub).collect()}
+        assert got == {x: find(x) for x in list(up)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hub_edges_are_not_shuffled_by_their_hub(spark):
+    """A node with half of all edges is joined by a broadcast, and what is broadcast is bounded by the share."""
+    n = 6000
+    e = spark.createDataFrame([(n + i, 0) for i in range(n)] + [(9 * n, n + i) for i in range(n)], "u long, v long")
+    low = graph._low(e)
+    hub = max(graph.HUB, 2 * 2 * n // graph.MOST)
+    assert [r["c"] for r in low.where(F.col("n") > hub).collect()] == [9 * n]
+    got = graph._beside(e, low, hub)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
+    assert got.where("u = 54000").agg(F.count("*"), F.min("m"), F.max("m")).first() == (n, n, n)
+    assert got.count() == 2 * n
+
+
+def test_contraction_in_small_pieces(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(graph, "CONTRACT", 3)
+    pieces = [pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+              for u, v in (([2, 3], [1, 2]), ([4, 9], [3, 8]), ([], []), ([5], [4]))]
+    out = [sorted(zip(b.column("u").to_pylist(), b.column("v").to_pylist())) for b in graph._contract(iter(pieces))]
+    assert out == [[(2, 1), (3, 1), (4, 1), (9, 8)], [(5, 4)]]
+    assert list(graph._contract(iter([]))) == []
+
+
 # ---------------------------------------------------------------- vectors
 
 def vectors():
