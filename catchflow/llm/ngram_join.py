@@ -44,7 +44,7 @@ from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix,
 from .graph import components, forest
 
 GROUP = 2000
-FLUSH_NAMES = 2_000_000
+FLUSH_NAMES = 1_000_000
 BITS = 2048
 FANOUT = 8
 BIN_BITS = 22
