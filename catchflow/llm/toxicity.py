@@ -40,6 +40,7 @@ SAMPLE = 1200
 LONGEST = 16_384
 PASSES = 6
 BATCH = 256
+TOGETHER = 512  # windows scored at a time
 
 
 # ---------------------------------------------------------------- inputs
@@ -156,8 +157,8 @@ class Network:
         pf, pb = vecs @ self.w["in_f"] + self.w["c_f"], vecs @ self.w["in_b"] + self.w["c_b"]
         out = np.empty(len(first), np.float32)
         order = np.argsort(length, kind="stable")  # windows of a length together; most are full
-        for lo in range(0, len(first), 2048):
-            k = order[lo:lo + 2048]
+        for lo in range(0, len(first), TOGETHER):
+            k = order[lo:lo + TOGETHER]
             steps = int(length[k].max())
             at = which[np.minimum(first[k] + np.arange(steps)[:, None], len(which) - 1)]
             out[k] = self.forward(pf, pb, at, length[k])
