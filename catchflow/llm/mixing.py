@@ -9,12 +9,12 @@ that fits its source, and levels only fall from there on.
 Sampling: every document of a source expects ``target / source_size`` copies. The running sum of expected copies
 is the document's rank in its source times that figure; with one offset added, a document is emitted once per
 integer the sum crosses. Ranks order a source by size class, so every class is thinned or repeated alike and the
-taken words come near the target; sizes rise over a random half of the rows and fall over the other, so that what an
-offset takes too much on the way up it takes too little on the way down. Within a class the order goes by a hash, then size, then id. Ranks are row
+taken words come near the target. Within a class the order goes by a hash, then size, then id. Ranks are row
 numbers within (source, class, hash byte) plus prefix sums of those groups' counts: no task holds a whole source.
-A source's offset is one draw, seeded by its name, so reruns agree.
+A source's offset is that of ``OFFSETS``, fixed draws, whose taken words come nearest to the target, which matters
+where a few long documents hold much of a small source. Every draw is tried on all documents.
 
-Ranks and copies are worked out on rows without text; texts meet them in one join by a row number.
+Ranks are worked out once, on rows without text, and written; texts meet the copies in one join by a row number.
 
 Results in edge cases: a null or empty text has size 0 and still takes part; null sources are one source, last;
 null or repeated ids and repeated rows are documents of their own; no rows give no rows; other columns go along.
@@ -30,6 +30,8 @@ from .common import keep_table, prepare, running_offsets
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
+# offsets to draw from: multiples of 2**-20, so that sums with whole numbers are exact
+OFFSETS = tuple(((2 * i + 1) * 648_055 % (1 << 20)) / (1 << 20) for i in range(24))
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,32 +56,40 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
             .select("source", "source_size", "target"))
 
 
-def source_offset(source: str | Column) -> Column:
-    """The source's draw in [0, 1), a multiple of 2**-20, so that its sums with whole numbers are exact."""
-    name = F.coalesce(F.concat(F.lit("mix|"), source), F.lit("mix"))
-    return F.conv(F.substring(F.md5(name), 1, 5), 16, 10).cast("double") / F.lit(float(1 << 20))
-
-
 def _grouped(d: DataFrame) -> DataFrame:
-    """``grp``: size class and first hash byte; sizes rise over one half of a source's rows and fall over the other."""
+    """``grp``: size class and first hash byte, an order of a source's rows in which sizes rise."""
     bits = F.bin("size")
     salt = F.conv(F.substring("hash", 1, 2), 16, 10).cast("long")
-    rising = (F.length(bits) * 32 + F.conv(F.substring(bits, 1, 5), 2, 10)).cast("long") * 256 + salt
-    return d.withColumn("grp", F.when(F.substring("hash", 3, 1) < "8", rising).otherwise(F.lit(1 << 30) - rising))
+    return d.withColumn("grp", (F.length(bits) * 32 + F.conv(F.substring(bits, 1, 5), 2, 10)).cast("long") * 256 + salt)
 
 
-def _with_copies(slim: DataFrame, base: DataFrame, targets: DataFrame) -> DataFrame:
-    """``slim`` with ``source_size, target, copies``: the integers that the running sum of expected copies crosses."""
+def _ranked(slim: DataFrame, base: DataFrame) -> DataFrame:
+    """``slim`` with its rank ``k`` in its source."""
     w = Window.partitionBy("source", "grp").orderBy("size", "id", "hash")
     out = slim.withColumn("nth", F.row_number().over(w).cast("long") - 1)
     out = out.join(base, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("grp") == F.col("b_grp")))
-    out = out.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
-    k = F.col("nth") + F.col("before")
-    copies = F.floor(F.col("offset") + (k + 1) * F.col("rate")) - F.floor(F.col("offset") + k * F.col("rate"))
-    return out.withColumn("copies", copies.cast("long"))
+    return out.withColumn("k", F.col("nth") + F.col("before")).drop("hash", "grp", "nth", "b_source", "b_grp", "before")
+
+
+def _copies(offset: Column) -> Column:
+    """The integers that the running sum of expected copies crosses."""
+    k = F.col("k")
+    return (F.floor(offset + (k + 1) * F.col("rate")) - F.floor(offset + k * F.col("rate"))).cast("long")
+
+
+def _with_best_offset(ranked: DataFrame, targets: DataFrame, offsets: tuple[float, ...]) -> DataFrame:
+    """``targets`` with ``offset``, of ``offsets`` the one whose taken words come nearest to the target (of equals the first)."""
+    taken = [F.sum(_copies(F.lit(x)) * F.col("size")).alias(f"x{i}") for i, x in enumerate(offsets)]
+    tried = (ranked.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+             .groupBy("t_source").agg(F.first("target").alias("goal"), *taken))
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"x{i}") - F.col("goal")).alias("off"), F.lit(i).alias("i"), F.lit(x).alias("offset"))
+                                 for i, x in enumerate(offsets)]))
+    best = tried.select(F.col("t_source").alias("o_source"), best["offset"].alias("offset"))
+    return targets.join(best, F.col("t_source").eqNullSafe(F.col("o_source"))).drop("o_source")
 
 
-def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
+                  offsets: tuple[float, ...] = OFFSETS) -> DataFrame:
     """``docs`` (doc_id, source, text, ...) with ``size, source_size, target, copies``; input columns of these names go.
 
     Without text, ``docs`` must have the columns ``_size`` and ``_hash`` of ``n_words`` and ``content_hash``.
@@ -101,12 +111,14 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
     slim = keep_table(_grouped(slim), "mix-sizes")
     targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).select(
         F.col("source").alias("t_source"), "source_size", "target",
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"),
-        source_offset("source").alias("offset"))
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
     targets = keep_table(targets, "mix-targets")
     base = running_offsets(slim.groupBy("source", "grp").count(), ["source"], "grp", "count", "before").select(
         F.col("source").alias("b_source"), F.col("grp").alias("b_grp"), "before")
-    taken = _with_copies(slim, keep_table(base, "mix-base"), targets)
+    ranked = keep_table(_ranked(slim, keep_table(base, "mix-base")), "mix-ranks")
+    targets = keep_table(_with_best_offset(ranked, targets, offsets), "mix-offsets")
+    taken = (ranked.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+             .withColumn("copies", _copies(F.col("offset"))))
     if slim_only:
         return taken.select(*[F.col({"source": "source", "doc_id": "id"}[c]).alias(c) for c in rest], "size", "source_size", "target", "copies")
     # the texts are shuffled once, at every size
@@ -143,10 +155,12 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY mo
 t AS (SELECT source, source_size, least(CAST(most AS DOUBLE), (SELECT max(lev) FROM l WHERE lev <= most / weight) * weight) AS target FROM l),
 r AS (
   SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    row_number() OVER (PARTITION BY d.source ORDER BY substr(h, 3, 1) >= '8', CASE WHEN substr(h, 3, 1) < '8' THEN length(bin(size)) ELSE -length(bin(size)) END,
-      CASE WHEN substr(h, 3, 1) < '8' THEN substr(bin(size), 1, 5) END, CASE WHEN substr(h, 3, 1) >= '8' THEN substr(bin(size), 1, 5) END DESC,
-      CASE WHEN substr(h, 3, 1) < '8' THEN substr(h, 1, 2) END, CASE WHEN substr(h, 3, 1) >= '8' THEN substr(h, 1, 2) END DESC, size, doc_id, h) - 1 AS k
+    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)), substr(bin(size), 1, 5), substr(h, 1, 2), size, doc_id, h) - 1 AS k
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-o AS (SELECT r.*, CAST('0x' || substr(md5(coalesce('mix|' || source, 'mix')), 1, 5) AS BIGINT) / CAST({1 << 20} AS DOUBLE) AS x FROM r)
-SELECT doc_id, size, source_size, target, CAST((floor(x + (k + 1) * rate) - floor(x + k * rate)) * size AS BIGINT) AS taken FROM o
+o AS (SELECT unnest(range({len(OFFSETS)})) AS i, unnest([{", ".join(map(repr, OFFSETS))}]) AS x),
+n AS (SELECT source, i, x, abs(sum(CAST((floor(x + (k + 1) * rate) - floor(x + k * rate)) * size AS BIGINT)) - any_value(target)) AS off
+  FROM r, o GROUP BY source, i, x),
+b AS (SELECT source, x FROM n QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, i) = 1)
+SELECT doc_id, size, source_size, target, CAST((floor(x + (k + 1) * rate) - floor(x + k * rate)) * size AS BIGINT) AS taken
+FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source
 """

@@ -150,6 +150,27 @@ def test_mix_meets_targets(spark):
     assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.05)
 
 
+def test_mix_tries_all_offsets(spark):
+    """Each source's offset is that of all, tried on all documents, whose taken words come nearest to the target."""
+    import hashlib
+    from math import floor
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(["w"] * int(rng.lognormal(2, 1.5))), ["a", "b", "c", None][i % 4]) for i in range(160)]
+    out = {r["doc_id"]: r for r in mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for source in ("a", "b", "c", None):
+        mine = []
+        for i, text, s in rows:
+            if s == source:
+                n, h = len(WORD.findall(text)), hashlib.md5(f"{i}|{text}".encode()).hexdigest()
+                mine.append((len(f"{n:b}"), f"{n:b}"[:5], h[:2], n, i, h))
+        mine.sort()
+        target, rate = out[mine[0][4]]["target"], out[mine[0][4]]["target"] / sum(m[3] for m in mine)
+        tried = [[floor(x + (k + 1) * rate) - floor(x + k * rate) for k in range(len(mine))] for x in mixing.OFFSETS]
+        off = [abs(sum(c * m[3] for c, m in zip(t, mine)) - target) for t in tried]
+        assert len(mixing.OFFSETS) == 24 and len(set(off)) > 1
+        assert [out[m[4]]["copies"] for m in mine] == tried[off.index(min(off))]
+
+
 def test_mix_of_tricky_rows(spark, tricky_clash, none):
     out = mixing.mix_documents(tricky_clash).collect()
     assert len(out) == len(tricky_rows())
