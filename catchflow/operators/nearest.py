@@ -4,15 +4,18 @@ Covered features are packed by sort-tile-recursion: quantiles of the box centres
 a slab give leaves of about ``LEAF`` features. The slabs (about ``sqrt(n / LEAF)`` of them) are the upper level and go
 along as a literal; the leaves of a slab are one array in one row.
 
-A feature in need is answered in a fixed number of steps, whatever the distances:
+Nested basins hold the same catchments again, so features of equal rings are one shape on either side: of covered ones
+the smallest ``source_id``, then ``source_basin``, stands for its shape, and a shape in need is searched once for all
+features that have it. A shape in need is answered in a fixed number of steps, whatever the distances:
 
 1. a first bound from one member of the leaf its own centre falls into (vertex to vertex, so never too small);
 2. the slabs whose box comes within the bound, then the leaves within those (equi-join on the slab);
-3. best first: the members of its nearest leaf, whose exact distances tighten the bound;
-4. all other leaves whose box is nearer than that bound, and of their members only those whose own box is.
+3. best first: of its nearest leaf the member with the nearest box, whose exact distance tightens the bound;
+4. of all leaves whose box is nearer than that bound, the members whose own box is.
 
-Exact polygon distances are computed for the members of steps 3 and 4 alone. Every join is an equi-join on slab or
-leaf, so far-away features and clusters spread over tasks and no feature meets all others.
+Exact polygon distances are computed for the members of steps 3 and 4 alone, and their pairs are dealt evenly over
+tasks. Every join is an equi-join on slab, leaf or shape, so far-away features and clusters spread over tasks and no
+feature meets all others.
 """
 
 from __future__ import annotations
@@ -59,7 +62,7 @@ def _cuts(column: str, parts: int) -> Column:
 
 
 def pack_tree(covered: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, list, list]:
-    """``covered`` (source_basin, source_id, src_rings, src_bb) -> members with their leaf, a row a slab with its leaves,
+    """``covered`` (mid, source_basin, source_id, src_rings, src_bb) -> members with their leaf, a row a slab with its leaves,
     the slabs' cuts and the slabs' boxes (both of about ``sqrt(n / leaf)`` entries)."""
     n = covered.count()
     slabs = max(1, math.ceil(math.sqrt(n / leaf)))
@@ -87,9 +90,12 @@ def nearest(missing: DataFrame, covered: DataFrame, leaf: int = LEAF) -> DataFra
     features there are no rows.
     """
     spark = missing.sparkSession
-    src = (covered.where(has_geometry("rings")).select(F.col("basin_id").alias("source_basin"), F.col("divide_id").alias("source_id"),
-                                                       F.col("rings").alias("src_rings"), geo.bbox(F.col("rings")).alias("src_bb")))
-    need = missing.where(has_geometry("rings")).select("basin_id", "divide_id", "rings", geo.bbox(F.col("rings")).alias("bb"))
+    shape = [F.xxhash64("rings").alias("rings_hash"), "rings"]  # the hash first: few long arrays are compared
+    src = (covered.where(has_geometry("rings")).groupBy(*shape)
+           .agg(F.min(F.struct(F.col("divide_id").alias("source_id"), F.col("basin_id").alias("source_basin"))).alias("s"))
+           .select(F.monotonically_increasing_id().alias("mid"), "s.source_basin", "s.source_id", F.col("rings").alias("src_rings"), geo.bbox(F.col("rings")).alias("src_bb")))
+    asked = missing.where(has_geometry("rings")).select("basin_id", "divide_id", *shape)
+    need = asked.select("rings_hash", "rings").distinct().select(F.monotonically_increasing_id().alias("shape"), "rings_hash", "rings", geo.bbox(F.col("rings")).alias("bb"))
     members, tree, x_cuts, boxes = pack_tree(written(src, "nearest-covered"), leaf)
     if not boxes:  # nothing to copy from: no feature can be filled
         return spark.createDataFrame([], FOUND)
@@ -102,33 +108,34 @@ def nearest(missing: DataFrame, covered: DataFrame, leaf: int = LEAF) -> DataFra
     start = F.element_at(F.filter(F.flatten(F.transform("rings", lambda r: r["pts"])), lambda p: p.isNotNull()), 1)
     bounded = (need.join(tree, need["own"] == tree["slab"]).withColumn("pt", mine["pt"]).withColumn("start", start)
                .withColumn("bound", F.sqrt(F.pow(F.col("pt.x") - F.col("start.x"), F.lit(2.0)) + F.pow(F.col("pt.y") - F.col("start.y"), F.lit(2.0))))
-               .select("basin_id", "divide_id", "bb", "bound"))
+               .select("shape", "bb", "bound"))
     # 2. slabs, then leaves within the bound
     level = F.array(*[F.struct(F.lit(b["slab"]).alias("slab"), F.struct(*[F.lit(float(b[k])).alias(k) for k in ("xmin", "ymin", "xmax", "ymax")]).alias("box")) for b in boxes])
     near_slabs = F.filter(level, lambda s: box_distance(s["box"], F.col("bb")) <= _within(F.col("bound")))
-    hit = bounded.select("basin_id", "divide_id", "bb", "bound", F.explode(F.transform(near_slabs, lambda s: s["slab"])).alias("slab")).join(tree.select("slab", "leaves"), "slab")
+    hit = bounded.select("shape", "bb", "bound", F.explode(F.transform(near_slabs, lambda s: s["slab"])).alias("slab")).join(tree.select("slab", "leaves"), "slab")
     low = F.filter(F.transform("leaves", lambda x: F.struct(box_distance(x["box"], F.col("bb")).alias("low"), x["leaf"].alias("leaf"))),
                    lambda x: x["low"] <= _within(F.col("bound")))
-    hits = written(hit.select("basin_id", "divide_id", "bound", "slab", F.inline(low)), "nearest-leaves")
-    # 3. the nearest leaf of each feature
-    key = ["basin_id", "divide_id"]
-    best_leaf = (hits.groupBy(*key).agg(F.min(F.struct("low", "slab", "leaf")).alias("b"), F.max("bound").alias("bound"))
-                 .select(*key, "bound", F.col("b.slab").alias("slab"), F.col("b.leaf").alias("leaf")))
-
-    def measured(leaves: DataFrame) -> DataFrame:
-        pairs = leaves.join(members, ["slab", "leaf"]).join(need.select(F.col("basin_id").alias("nb"), F.col("divide_id").alias("nd"), "rings", "bb"),
-                                                            F.col("basin_id").eqNullSafe(F.col("nb")) & F.col("divide_id").eqNullSafe(F.col("nd")))
-        pairs = pairs.where(box_distance(F.col("src_bb"), F.col("bb")) <= _within(F.col("bound")))
-        exact = geo.with_polygon_distance(pairs.select(*key, "rings", "source_basin", "source_id", "src_rings"), "rings", "src_rings", "dist")
-        return exact.groupBy(*key).agg(F.min(F.struct("dist", "source_id", "source_basin")).alias("b"), F.count("*").alias("pairs"))
-
-    first = written(measured(best_leaf), "nearest-first")
-    # 4. what is nearer than that
-    other = (hits.join(best_leaf.select(*key, F.col("slab").alias("s0"), F.col("leaf").alias("l0")), key)
-             .where(~((F.col("slab") == F.col("s0")) & (F.col("leaf") == F.col("l0"))))
-             .join(first.select(*key, F.col("b.dist").alias("d0")), key, "left")
-             .withColumn("bound", F.least("bound", F.coalesce("d0", "bound"))).where(F.col("low") <= _within(F.col("bound")))
-             .select(*key, "bound", "slab", "leaf"))
-    both = first.select(*key, "b").union(measured(other).select(*key, "b"))
-    return (both.groupBy(*key).agg(F.min("b").alias("b"))
-            .select(*key, F.col("b.source_basin").alias("source_basin"), F.col("b.source_id").alias("source_id"), F.col("b.dist").alias("dist")))
+    hits = written(hit.select("shape", "bb", "bound", "slab", F.inline(low)), "nearest-leaves")
+    boxed = members.select("slab", "leaf", "mid", "src_bb")
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        """``pairs`` (shape, mid) -> the nearest member of each shape; the distances are dear, so no task gets more than its share."""
+        both = (pairs.join(members.select("mid", "source_basin", "source_id", "src_rings"), "mid").join(need.select("shape", "rings"), "shape")
+                .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shape", "mid"))
+        exact = geo.with_polygon_distance(both.select("shape", "rings", "source_basin", "source_id", "src_rings"), "rings", "src_rings", "dist")
+        return exact.groupBy("shape").agg(F.min(F.struct("dist", "source_id", "source_basin")).alias("b"))
+
+    # 3. the member of the nearest leaf whose box is nearest
+    best_leaf = hits.groupBy("shape").agg(F.min(F.struct("low", "slab", "leaf", "bb")).alias("b")).select("shape", "b.slab", "b.leaf", "b.bb")
+    best = (best_leaf.join(boxed, ["slab", "leaf"]).groupBy("shape").agg(F.min(F.struct(box_distance(F.col("src_bb"), F.col("bb")).alias("low"), "mid")).alias("m"))
+            .select("shape", "m.mid"))
+    first = written(measured(best), "nearest-first")
+    # 4. what is as near as that
+    near = (hits.join(first.select("shape", F.col("b.dist").alias("d0")), "shape", "left")
+            .withColumn("bound", F.least("bound", F.coalesce("d0", "bound"))).where(F.col("low") <= _within(F.col("bound")))
+            .join(boxed, ["slab", "leaf"]).where(box_distance(F.col("src_bb"), F.col("bb")) <= _within(F.col("bound")))
+            .select("shape", "mid"))
+    found = (first.union(measured(near)).groupBy("shape").agg(F.min("b").alias("b"))
+             .join(need.select("shape", "rings_hash", "rings"), "shape").select("rings_hash", "rings", "b"))
+    return (asked.join(found, ["rings_hash", "rings"]).groupBy("basin_id", "divide_id").agg(F.min("b").alias("b"))
+            .select("basin_id", "divide_id", F.col("b.source_basin").alias("source_basin"), F.col("b.source_id").alias("source_id"), F.col("b.dist").alias("dist")))

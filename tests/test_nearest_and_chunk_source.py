@@ -68,6 +68,27 @@ def test_few_exact_distances_where_features_cluster_far_away(spark, monkeypatch)
     assert sum(pairs) <= 20 * 2 * nearest.LEAF  # of 40,000 pairs
 
 
+def test_one_exact_distance_a_shape_and_its_rivals(spark, monkeypatch):
+    """Shapes that features share are searched once; only members with a box as near as the best are measured."""
+    have = [(f"b{i % 3}", f"c{i:04}", (i % 16 * 1.5, i // 16 % 10 * 1.5, 1.0)) for i in range(1600)]
+    need = [("b", f"m{i}", (-9.0 + i % 5 * 0.3, 4.1 + i % 5, 0.5)) for i in range(200)] + [("b", "m0", (40.0, 3.2, 0.5)), (None, "n", (-9.0, 4.1, 0.5))]
+    pairs = []
+    real = geo.with_polygon_distance
+
+    def counted(df, *args):
+        df = written(df, "counted")
+        pairs.append(df.count())
+        return real(df, *args)
+    monkeypatch.setattr(geo, "with_polygon_distance", counted)
+    got = {(r.basin_id, r.divide_id): (round(r.dist, 6), r.source_id, r.source_basin) for r in nearest.nearest(features(spark, need), features(spark, have)).collect()}
+    want = {}
+    for b, i, s in need:
+        best = min((round(gap(s, h), 6), c, o) for o, c, h in have)
+        want[b, i] = min(want.get((b, i), best), best)
+    assert got == want
+    assert sum(pairs) <= 6 * 4  # six shapes in need, of 320,000 pairs
+
+
 # ---------------------------------------------------------------- chunk source
 
 def reader(**options):
