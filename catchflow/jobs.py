@@ -222,7 +222,7 @@ def nexus_map_job(spark: SparkSession, outputs_root: str, features: DataFrame, f
     from .operators import maps
     from .sources.series import scan_nexus
     values = scan_nexus(spark, outputs_root)
-    last = maps.last_value(values).select(nex_id("nex_id").alias("id"), "value")
+    last = written(maps.last_value(values).select(nex_id("nex_id").alias("id"), "value"), "nexus-last")  # the files are read once
     m = maps.map_table(features, last, ["id"], fill=fill)
     m = maps.rescale(m, "value", by=["vpu"], out="scaled_region")
     return maps.rescale(m, "value", by=None, out="scaled_all")

@@ -5,10 +5,19 @@ file committer, so a lost executor's task is simply re-run. Rows are spread over
 output keys plus a deterministic salt (the year of the row, or a hash of a finer id), so a key
 holding a third of all rows is written by many tasks, and a retried task rebuilds the same split.
 An overwrite replaces only the partition folders it writes, so a resumed job keeps what is finished.
+Nexus files are small and many, one a nexus, so their tasks write them through ``pyarrow.fs`` and move each into place
+when it is whole; a task that is run again writes the same names.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,15 +99,87 @@ def write_dense(dense: DataFrame, path: str, mode: str = "overwrite") -> None:
     dense.repartition(*keys, salt).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def _escaped(name: str) -> str:
+    """A value as part of a path, as Spark escapes partition values."""
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", name)
+
+
+def _nexus_writer(root: str, run: str, outer: list[str], replace: bool):
+    """Rows (outer..., nex_file, line), sorted by file -> the files, ``<nex_file>-<run>-<task>.csv`` in their region folder."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from .sources.chunks import file_system
+        fs, base = file_system(root)
+        task, made, count, held, now, out = TaskContext.get(), {}, 0, None, None, None
+
+        def close():
+            out.close()
+            fs.move(held[0], held[1])
+
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in (*outer, "nex_file", "line")]
+            for key, rows in groupby(zip(*cols), lambda r: r[:-1]):
+                if key != now or out is None:
+                    if out is not None:
+                        close()
+                    *region, file = ["__HIVE_DEFAULT_PARTITION__" if v is None else _escaped(str(v)) for v in key]
+                    folder = "/".join([base.rstrip("/"), *[f"{c}={v}" for c, v in zip(outer, region)]])
+                    file = file if key[-1] is not None else "none_output"  # a file with a leading _ would be hidden
+                    if folder not in made:
+                        fs.create_dir(folder, recursive=True)
+                        made[folder] = _of_other_runs(fs, folder, run) if replace else {}
+                    for old in made[folder].pop(file, []):
+                        _gone(fs, old)
+                    held = (f"{folder}/.{file}-{run}-{task.taskAttemptId()}", f"{folder}/{file}-{run}-{task.partitionId()}.csv")
+                    now, out, count = key, fs.open_output_stream(held[0]), count + 1
+                out.write("".join(f"{r[-1]}\n" for r in rows).encode())
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["files"])
+    return write
+
+
+def _of_other_runs(fs, folder: str, run: str) -> dict[str, list[str]]:
+    """Files that earlier runs left in a region folder, by nexus file name."""
+    from pyarrow import fs as pafs
+    found: dict[str, list[str]] = {}
+    for f in fs.get_file_info(pafs.FileSelector(folder)):
+        name, own, _ = f.base_name.rsplit("-", 2) if f.base_name.count("-") > 1 else (f.base_name, run, "")
+        if own != run and not name.startswith("."):
+            found.setdefault(name, []).append(f.path)
+    return found
+
+
+def _gone(fs, path: str) -> None:
+    try:
+        fs.delete_file(path)
+    except FileNotFoundError:  # another task of this nexus was first
+        pass
+
+
 def write_nexus_files(series: DataFrame, path: str, id_col: str = "id", mode: str = "overwrite",
                       partition_by: list[str] | None = None) -> None:
-    """Headerless ``index, datetime, value`` CSVs, one folder per ``nex-<id>_output`` (the S6 layout),
-    optionally below region folders (``partition_by=['vpu']``)."""
-    outer = partition_by or []
-    s = series.select(*outer, F.concat(F.lit("nex-"), F.col(id_col), F.lit("_output")).alias("nex_file"),
-                      "index", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "value")
-    (s.repartition(*outer, "nex_file", F.floor(F.col("index") / 100_000)).sortWithinPartitions(*outer, "nex_file", "index")
-       .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*outer, "nex_file").option("header", False).csv(path))
+    """Headerless ``index, datetime, value`` CSVs named ``nex-<id>_output`` (the S6 layout), one for each task that
+    holds rows of the nexus, optionally below region folders (``partition_by=['vpu']``).
+
+    ``overwrite`` replaces the files of the nexuses it writes, ``append`` leaves them; ``error`` and ``ignore`` refuse
+    or keep what is there, as Spark's writer does.
+    """
+    from .session import path_exists, ship_package
+    spark, outer = series.sparkSession, partition_by or []
+    there = path_exists(spark, path)
+    if there and mode in ("error", "errorifexists"):
+        raise FileExistsError(path)
+    if there and mode == "ignore":
+        return
+    ship_package(spark)
+    s = series.select(*outer, F.concat(F.lit("nex-"), F.col(id_col), F.lit("_output")).alias("nex_file"), "index",
+                      F.to_csv(F.struct("index", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "value")).alias("line"))
+    rows = (s.repartition(*outer, "nex_file", F.floor(F.col("index") / 100_000)).sortWithinPartitions(*outer, "nex_file", "index")
+            .select(*outer, "nex_file", "line"))
+    write = _nexus_writer(path, uuid.uuid4().hex[:12], outer, mode == "overwrite" and there)
+    rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)  # no rows leave an empty folder
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
 
 
 def write_raster(df: DataFrame, path: str, tile: int = 64, time_col: str = "time", mode: str = "overwrite") -> None:

@@ -248,3 +248,36 @@ def test_large_water_year_is_several_files(spark, tmp_dir):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(glob.glob(f"{tmp_dir}/wy/water_year=2001/*.csv")) > 1
     assert spark.read.option("header", True).csv(f"{tmp_dir}/wy").count() == 20000
+
+
+def test_nexus_files_are_one_a_nexus_and_replaced(spark, tmp_path):
+    """Files, not folders; an overwrite replaces the nexuses it writes and keeps the others; odd ids and nulls come back."""
+    import glob
+    from pyspark.sql import functions as F
+    from catchflow import sinks
+    from catchflow.sources.series import scan_nexus
+    path = f"file://{tmp_path}/nexus"
+
+    def rows(ids, n, value):
+        return spark.createDataFrame([(v, i, k, value + k if k else None) for v, i in ids for k in range(n)], "vpu string, id string, index long, value double").withColumn(
+            "datetime", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    sinks.write_nexus_files(rows([("1", "7"), ("1", "8"), (None, "9"), ("2", None)], 5, 0.5), path, partition_by=["vpu"])
+    sinks.write_nexus_files(rows([("1", "8")], 3, 100.25), path, partition_by=["vpu"])
+    got = {}
+    for r in scan_nexus(spark, path).collect():
+        got.setdefault(r["nex_id"], []).append((r["index"], r["value"]))
+    old = [(0, None), (1, 1.5), (2, 2.5), (3, 3.5), (4, 4.5)]
+    assert {k: sorted(v) for k, v in got.items()} == {"7": old, "9": old, "": old, "8": [(0, None), (1, 101.25), (2, 102.25)]}
+    assert all(f.endswith(".csv") for f in glob.glob(f"{tmp_path}/nexus/vpu=1/*")) and not glob.glob(f"{tmp_path}/nexus/*/.nex*")
+    sinks.write_nexus_files(rows([("1", "7")], 2, 0.5).limit(0), f"file://{tmp_path}/none")
+    assert scan_nexus(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_map_job_reads_the_files_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from catchflow import jobs, sinks
+    vals = spark.range(6).select(F.col("id").cast("string").alias("id"), F.lit("1").alias("vpu"), F.lit(1).cast("long").alias("index"),
+                                 F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("datetime"), F.col("id").cast("double").alias("value"))
+    sinks.write_nexus_files(vals, f"file://{tmp_path}/n", partition_by=["vpu"])
+    m = jobs.nexus_map_job(spark, f"file://{tmp_path}/n", vals.select("vpu", F.concat(F.lit("nex-"), "id").alias("id")))
+    assert "_output" not in " ".join(m.inputFiles()) and sorted(r["value"] for r in m.collect()) == [0, 1, 2, 3, 4, 5]
