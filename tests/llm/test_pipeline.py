@@ -1,6 +1,7 @@
 import shutil
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import near_groups, repeats
 from llm_rows import DOC, SF, tricky_rows
@@ -69,3 +70,16 @@ def test_tricky_and_empty_tables_pass_through(spark, tricky_clash, none, tmp_pat
         n = [w.count() for w in out]
         assert n[0] == rows and (n[-1] > 0) == (rows > 0)
     assert spark.createDataFrame([], DOC).columns == none.columns
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    try:
+        for now, then in (("10000", 1000), ("0", 1000), ("200", 200)):
+            spark.conf.set(name, now)
+            corpus_pipeline.small_batches(spark)
+            sizes = spark.range(0, 2500, 1, 1).mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in it), "id long").collect()
+            assert max(r["id"] for r in sizes) == then
+    finally:
+        spark.conf.set(name, was)
