@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, words
+from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, trimmed, words
 from .graph import components, forest
 
 GROUP = 2000
@@ -432,7 +432,7 @@ def shingle_ranks(rows: DataFrame) -> Broadcast:
     """The bins' ranks over all of ``rows`` (see ``_set_rows``); ``BINS`` bytes, whatever the table."""
     spark = rows.sparkSession
     found = (rows.where("slice IS NOT NULL").select("slice", "counts").repartition(SLICES, "slice")
-             .mapInArrow(_sum_counts, "slice int, ranks binary").collect())
+             .mapInArrow(trimmed(_sum_counts), "slice int, ranks binary").collect())
     ranks = np.zeros((SLICES, BINS // SLICES), np.uint8)
     for r in found:
         ranks[r["slice"]] = np.frombuffer(r["ranks"], np.uint8)
@@ -442,7 +442,7 @@ def shingle_ranks(rows: DataFrame) -> Broadcast:
 def _joined(rows: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """``rows`` (grp, node, known, side, text): the links of every group, as a written forest."""
     dealt = rows.repartition(partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
-    return keep_table(dealt.mapInArrow(_group_joiner(k, percent), "a long, b long"), name)
+    return keep_table(dealt.mapInArrow(trimmed(_group_joiner(k, percent)), "a long, b long"), name)
 
 
 def outside_pairs(state: DataFrame, group: int) -> DataFrame:
@@ -477,16 +477,16 @@ def outside_pairs(state: DataFrame, group: int) -> DataFrame:
 def candidate_groups(docs: DataFrame, k: int, percent: int, common: Broadcast) -> DataFrame:
     """(node, root): sets that can be linked are in one group."""
     n = partitions(docs.sparkSession)
-    names = docs.select("text").mapInArrow(_namer(k, percent, n, common), "route int, nodes binary, names binary, at binary")
-    packed = names.repartition(n, "route").mapInArrow(_gather(n), "route int, a binary, b binary")
-    return components(packed.repartition(n, "route").mapInArrow(_thin, "a long, b long"))
+    names = docs.select("text").mapInArrow(trimmed(_namer(k, percent, n, common)), "route int, nodes binary, names binary, at binary")
+    packed = names.repartition(n, "route").mapInArrow(trimmed(_gather(n)), "route int, a binary, b binary")
+    return components(packed.repartition(n, "route").mapInArrow(trimmed(_thin), "a long, b long"))
 
 
 def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, node (its set's name, 0 for none), component_id; a row a document."""
     prepare(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
-    made = keep_table(d.mapInArrow(_set_rows(k), "doc_id long, text_hash long, n_shingles long, node long, slice int, counts binary"), "shingle-sets")
+    made = keep_table(d.mapInArrow(trimmed(_set_rows(k)), "doc_id long, text_hash long, n_shingles long, node long, slice int, counts binary"), "shingle-sets")
     rows = made.where("slice IS NULL").drop("slice", "counts")
     near = candidate_groups(d, k, percent, shingle_ranks(made))
     # one text for each set that is in a group

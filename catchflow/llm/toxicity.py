@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, batch_blocks, blocks, mix, prepare, span_hashes, text_bytes, words
+from .common import LOWER, batch_blocks, blocks, mix, prepare, span_hashes, text_bytes, trimmed, words
 from .quality_classifier import _logistic, held_out, labelled_rows
 
 WORD_BINS = 8192
@@ -290,7 +290,7 @@ def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
     prepare(docs.sparkSession)
     if "toxic_score" in docs.columns:
         raise ValueError("toxic_score is the result's name")
-    return docs.mapInArrow(_scorer(net), T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType())]))
+    return docs.mapInArrow(trimmed(_scorer(net)), T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType())]))
 
 
 def _drop_text(batches: Iterator[pa.RecordBatch], net: Network) -> Iterator[pa.RecordBatch]:

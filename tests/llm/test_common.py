@@ -41,3 +41,16 @@ def test_offsets_equal_plain_sums(spark):
         got = {(r["k"], r["o"]): r["before"] for r in common.running_offsets(df, ["k"], "o", "v", "before", block).collect()}
         assert got == {(k, o): sum(x for j, p, x in rows if j == k and p < o) for k, o, _ in rows}
     assert common.running_offsets(df.limit(0), ["k"], "o", "v", "before").count() == 0
+
+
+def test_trimmed_gives_all_rows_and_frees_memory():
+    import numpy as np
+    import pyarrow as pa
+    from catchflow.llm import common
+
+    def run(batches):
+        for b in batches:
+            pa.array(np.arange(1 << 20))  # Arrow's pool holds on to what it frees
+            yield b
+    batches = [pa.RecordBatch.from_pydict({"a": [i, i + 1]}) for i in range(3)]
+    assert [b.to_pydict() for b in common.trimmed(run)(iter(batches))] == [b.to_pydict() for b in batches]
