@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import batch_blocks, keep_table, partitions, prepare, running_offsets, shared_path
-from .tokens import ENCODE_BYTES, TextEncoder, tokenizer_file
+from .tokens import CACHE_PIECES, ENCODE_BYTES, TextEncoder, tokenizer_file
 
 BLOCK_IDS = 1024
 FILE_IDS = 1_000_000  # a file is closed after the document that reaches this; bounds a task's memory
@@ -185,7 +185,7 @@ def _writer(folder: str, file: str, kind: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         from pyspark import TaskContext
-        enc, part = TextEncoder(file, kind), TaskContext.get().partitionId()
+        enc, part = TextEncoder(file, kind, 2 * CACHE_PIECES), TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()
         store, base = fs.FileSystem.from_uri(folder)
         held: list[tuple] = []

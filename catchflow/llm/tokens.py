@@ -16,6 +16,7 @@ that holds one is not cut: the library encodes it whole, as it is.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -25,6 +26,9 @@ from .common import LOWER, WHITE
 
 CACHE_PIECES = 250_000  # short pieces whose ids a worker keeps (about 50 MB); results don't depend on it
 ENCODE_BYTES = 4 << 20
+JOINED = 64  # new pieces of a ``bytes`` vocabulary that go to the library as one string, a line each
+# lines of at most one space, first, and characters that are certainly not white space
+_LINES = re.compile(rb"(?: ?[^\s\x1c-\x1f\xc2\xe1-\xe3]+\n)+")
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -88,9 +92,12 @@ _CACHES: dict[str, dict[bytes, bytes]] = {}
 
 
 class TextEncoder:
-    """Token ids of many texts. ``file`` is a tokenizers JSON file, ``kind`` is ``words`` or ``bytes``."""
+    """Token ids of many texts. ``file`` is a tokenizers JSON file, ``kind`` is ``words`` or ``bytes``.
 
-    def __init__(self, file: str, kind: str):
+    ``keep`` is the number of short pieces whose ids the worker keeps, ``CACHE_PIECES`` if not given.
+    """
+
+    def __init__(self, file: str, kind: str, keep: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         if kind not in ("words", "bytes"):
@@ -99,21 +106,43 @@ class TextEncoder:
         self.added = sorted({t.content.encode() for t in self.tok.get_added_tokens_decoder().values()} - {b""})
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.cache = _CACHES.setdefault(file, {})
-
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of each piece as bytes; recent pieces come from the cache."""
-        cache = self.cache
+        self.cache, self.keep = _CACHES.setdefault(file, {}), keep
+        feed = self.tok.encode("\n", add_special_tokens=False).ids if kind == "bytes" else []
+        self.feed = feed[0] if len(feed) == 1 and not any(b"\n" in x for x in self.added) else None
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as bytes, from the library."""
+        coded = self.tok.encode_batch_fast([x.decode("utf-8") for x in pieces], add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in coded]
+
+    def _encode_lines(self, pieces: list[bytes]) -> list[bytes]:
+        """As ``_encode``, many pieces in one string: a line feed between two pieces is an id of its own."""
+        groups = [pieces[i:i + JOINED] for i in range(0, len(pieces), JOINED)]
+        lines = [b"\n".join([*g, b""]) for g in groups]
+        whole = [i for i, x in enumerate(lines) if _LINES.fullmatch(x) and x.count(b"\n") == len(groups[i])]
+        coded = self.tok.encode_batch_fast([lines[i].decode("utf-8") for i in whole], add_special_tokens=False)
+        out: list[list[bytes] | None] = [None] * len(groups)
+        for i, e in zip(whole, coded):
+            ids = np.array(e.ids, self.dtype)
+            ends = (np.flatnonzero(ids == self.feed) * self.dtype.itemsize).tolist()
+            if len(ends) == len(groups[i]):
+                raw, step = ids.tobytes(), self.dtype.itemsize
+                out[i] = [raw[a:z] for a, z in zip([0, *[x + step for x in ends]], ends)]
+        return [x for g, ids in zip(groups, out) for x in (self._encode(g) if ids is None else ids)]
+
+    def _pieces(self, pieces: list[bytes], plain: bool) -> list[bytes]:
+        """The ids of each piece as bytes; recent pieces come from the cache. ``plain``: none holds an added token."""
+        cache, keep = self.cache, CACHE_PIECES if self.keep is None else self.keep
         out = list(map(cache.get, pieces))
         missing = [i for i, x in enumerate(out) if x is None]
-        if 2 * len(missing) > len(pieces) and len(cache) >= CACHE_PIECES:
+        if 2 * len(missing) > len(pieces) and len(cache) >= keep:
             cache.clear()  # the texts have changed
-        coded = self.tok.encode_batch_fast([pieces[i].decode("utf-8") for i in missing], add_special_tokens=False)
-        code, room = self.code, CACHE_PIECES - len(cache)
-        for i, e in zip(missing, coded):
-            out[i] = array(code, e.ids).tobytes()
-            if room > 0 and len(pieces[i]) <= 24:
-                cache[pieces[i]] = out[i]
+        new = [pieces[i] for i in missing]
+        room = keep - len(cache)
+        for i, x, ids in zip(missing, new, self._encode_lines(new) if plain and self.feed is not None else self._encode(new)):
+            out[i] = ids
+            if room > 0 and len(x) <= 24:
+                cache[x] = ids
                 room -= 1
         return out
 
@@ -153,18 +182,15 @@ class TextEncoder:
                 dark = ~WHITE[buf[starts]] | np.isin(starts, [lo for lo, _ in whole])
                 rows, starts = rows.filter(pa.array(dark)), starts[dark]
             coded = rows.dictionary_encode()
-            found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), not whole)
             which = coded.indices.to_numpy(zero_copy_only=False)
         per_text = np.searchsorted(starts, offs)  # pieces before each text
         if end_id is not None:
             which = np.insert(which, per_text[1:], len(found))
             found.append(array(self.code, [end_id]).tobytes())
             per_text = per_text + np.arange(n + 1)
-        flat = np.frombuffer(b"".join(found), self.dtype)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-        base = np.cumsum(size) - size
-        each = size[which]
-        ends = np.zeros(len(which) + 1, np.int64)
-        np.cumsum(each, out=ends[1:])
-        ids = flat[np.repeat(base[which] - ends[:-1], each) + np.arange(ends[-1])]
+        rows = pa.array(found, pa.large_binary()).take(pa.array(which))
+        _, offsets, data = rows.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(rows) + 1) // self.dtype.itemsize if len(rows) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, self.dtype, ends[-1]) if ends[-1] else np.zeros(0, self.dtype)
         return ids, ends[per_text]
