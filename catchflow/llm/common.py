@@ -73,15 +73,29 @@ def running_offsets(df: DataFrame, keys: list[str], order: str, value: str, name
     return out.withColumn(name, (F.col("_in") + F.col("_base")).cast("long")).select(*df.columns, name)
 
 
+def give_back() -> None:
+    """Memory that this process freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def trimmed(run):
     """``run`` for ``mapInArrow``; after a task's rows the memory it freed goes back to the system, as the worker lives on."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library
-            pass
+        give_back()
+    return task
+
+
+def trimmed_groups(run):
+    """As ``trimmed``, for cogrouped ``applyInArrow``: after each pair of groups."""
+    def task(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        give_back()
+        return out
     return task
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_blocks, binary_rows, keep_table, prepare, running_offsets
+from .common import batch_blocks, binary_rows, keep_table, prepare, running_offsets, trimmed
 from .tokens import ENCODE_BYTES, TextEncoder, tokenizer_file
 
 PLAN_COLUMNS = 60_000  # combinations considered; depends on the window alone
@@ -227,7 +227,7 @@ def pack_documents(docs: DataFrame, window: int = 2048, file: str | None = None,
     file = file or tokenizer_file("word_bpe_49k.json")
     dtype = TextEncoder(file, kind).dtype
     pieces = keep_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                        .mapInArrow(_cutter(file, kind, end_id, window), _PIECES), "pack-pieces")
+                        .mapInArrow(trimmed(_cutter(file, kind, end_id, window)), _PIECES), "pack-pieces")
     counts = keep_table(pieces.groupBy("part", "length").count(), "pack-counts")
     hist = np.zeros(window + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect():  # at most ``window`` rows
@@ -238,7 +238,7 @@ def pack_documents(docs: DataFrame, window: int = 2048, file: str | None = None,
     placed = (pieces.join(base, (F.col("part") == F.col("_part")) & (F.col("length") == F.col("_length")))
               .select("doc_id", "start", "length", "doc_tokens", (F.col("rank") + F.col("before")).alias("rank"), "ids"))
     schema = T.StructType(PIECE_SCHEMA.fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
-    return placed.mapInArrow(_placer(plan, dtype, with_ids), schema)
+    return placed.mapInArrow(trimmed(_placer(plan, dtype, with_ids)), schema)
 
 
 def op1_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_blocks, blocks, keep_table, mix, partitions, prepare, text_bytes
+from .common import batch_blocks, binary_rows, blocks, keep_table, mix, partitions, prepare, span_hashes, text_bytes, trimmed, trimmed_groups
 
 LENGTH = 100
 GRAM = 32
-SORT_BYTES = 1 << 20  # bytes whose suffixes are sorted at a time (more only if one anchor has more)
+SORT_BYTES = 1 << 18  # bytes whose suffixes are sorted at a time (more only if one anchor has more)
+ANCHOR_BYTES = 1 << 18  # texts' bytes that are searched for anchors at a time (more only if one text has more)
+SPANS = 1 << 18  # spans that leave a task at a time
 
 
 # ---------------------------------------------------------------- anchors
@@ -186,7 +188,7 @@ def _anchor_lists(routes: int, length: int):
                     keep.append(i)
             part = b.take(pa.array(keep, pa.int64()))
             chunk = part.column("chunk").to_numpy(zero_copy_only=False)
-            for _, lo, _, buf, offs in batch_blocks([part]):
+            for _, lo, _, buf, offs in batch_blocks([part], size=ANCHOR_BYTES):
                 _, _, text, h = anchor_runs(buf, offs, length)
                 for c in np.unique(chunk[lo:lo + len(offs) - 1]).tolist():
                     held.setdefault(c, []).append(h[(chunk[lo:lo + len(offs) - 1] == c)[text]])
@@ -254,8 +256,8 @@ def _runs_of(routes: int, length: int):
         md5, buf, offs = _texts(left)
         order = np.array([owner[m] for m in md5], np.int64)
         tie = np.array([int(m[:15], 16) for m in md5], np.int64)
-        rows, bytes_, where = [], [], []
-        for lo, _, b, o in blocks(buf, offs):
+        rows, begins, hashes = [], [], []
+        for lo, _, b, o in blocks(buf, offs, ANCHOR_BYTES):
             first, end, text, h = anchor_runs(b, o, length)
             code = (((h >> np.uint64(31)) % np.uint64(routes)) << np.uint64(32)) | (h & np.uint64(0x7FFFFFFF))
             at = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
@@ -267,65 +269,59 @@ def _runs_of(routes: int, length: int):
             r["anchor"], r["order"], r["tie"], r["text"] = h, order[lo + text], tie[lo + text], lo + text
             r["start"], r["starts"] = first - o[text], end - first
             rows.append(r)
-            size = end - first + length - 1
-            pos = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            bytes_.append(b[pos])
-            where.append(size)
+            begins.append(offs[lo] + first)
+            hashes.append(span_hashes(b, first, end + length - 1))
         if not rows:
             return none
-        r, data, size = np.concatenate(rows), np.concatenate(bytes_), np.concatenate(where)
-        at = np.append(0, np.cumsum(size))
+        r, begin, body = np.concatenate(rows), np.concatenate(begins), np.concatenate(hashes)
+        size = r["starts"].astype(np.int64) + length - 1
         # equal runs of this chunk: the first travels, the others are later copies as a whole
-        body = hashes_of(data, at)
         rank = np.lexsort((r["start"], r["tie"], r["order"], size, body, r["anchor"]))
         again = np.zeros(len(r), bool)
         x, y = rank[1:], rank[:-1]
         again[x] = (r["anchor"][x] == r["anchor"][y]) & (body[x] == body[y]) & (size[x] == size[y])
-        out = []
+        out = [none]
         gone = np.flatnonzero(again)
         if len(gone):
             spans = np.stack([r["text"][gone].astype(np.int64), r["start"][gone], r["start"][gone] + r["starts"][gone].astype(np.int64) + length - 1], 1)
-            out.append((chunk % routes, 1, chunk, spans.astype("<i8").tobytes(), b""))
+            cols = [[chunk % routes], [1], [chunk], [spans.astype("<i8").tobytes()], [b""]]
+            out.append(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names))
         left_ = np.flatnonzero(~again)
         route = ((r["anchor"][left_] >> np.uint64(31)) % np.uint64(routes)).astype(np.int64)
         left_, route = left_[np.argsort(route, kind="stable")], np.sort(route, kind="stable")
         cut = np.append(np.flatnonzero(np.append(True, route[1:] != route[:-1])), len(route))
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            k = left_[a:b]
-            n = size[k]
-            pos = np.repeat(at[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((int(route[a]), 0, chunk, r[k].tobytes(), data[pos].tobytes()))
-        return pa.Table.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=names)
+        r, begin, size = r[left_], begin[left_], size[left_]
+        at = np.append(0, np.cumsum(size))
+        data = np.empty(at[-1], np.uint8)
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            pos = np.repeat(begin[a:z] - at[a:z], size[a:z]) + np.arange(at[a], at[z])
+            data[at[a]:at[z]] = buf[pos]
+        some = len(cut) - 1
+        out.append(pa.Table.from_arrays([pa.array(route[cut[:-1]], pa.int32()), pa.array([0] * some, pa.int32()), pa.array([chunk] * some, pa.int32()),
+                                         binary_rows(r, cut), binary_rows(data, at[cut])], names=names))
+        return pa.concat_tables(out)
     return run
 
 
-def hashes_of(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashes of consecutive byte spans, a span at a time of the shared helper's block size."""
-    from .common import span_hashes
-    out, lo = np.zeros(len(at) - 1, np.uint64), 0
-    while lo < len(at) - 1:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 20), "right")) - 1)
-        out[lo:hi] = span_hashes(data[at[lo]:at[hi]], at[lo:hi] - at[lo], at[lo + 1:hi + 1] - at[lo])
-        lo = hi
-    return out
-
-
 def _suffix_task(length: int):
     """Runs of some routes -> the byte ranges that are later copies, for each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, bodies, chunks = [], [], []
         for b in batches:
-            for kind, c, data, body in zip(*[b.column(x).to_pylist() for x in ("kind", "chunk", "data", "bytes")]):
+            data, offs = text_bytes(b.column("data"))
+            for i, (kind, c) in enumerate(zip(b.column("kind").to_pylist(), b.column("chunk").to_pylist())):
+                part = data[offs[i]:offs[i + 1]]
                 if kind == 1:
-                    yield _spans([c], [data])
+                    yield _spans([c], [part.tobytes()])
                     continue
-                runs.append(np.frombuffer(data, np.dtype(_RUNS)))
-                bodies.append(np.frombuffer(body, np.uint8))
-                chunks.append(np.full(len(runs[-1]), c))
+                runs.append(np.frombuffer(part.tobytes(), np.dtype(_RUNS)))
+                chunks.append(np.full(len(runs[-1]), c, np.int32))
+            bodies.append(text_bytes(b.column("bytes"))[0])  # empty where kind is 1
         if not runs:
             return
-        r, body, chunk = np.concatenate(runs), np.concatenate(bodies), np.concatenate(chunks)
-        runs = bodies = None
+        r, chunk = np.concatenate(runs), np.concatenate(chunks)
+        body = bodies[0] if len(bodies) == 1 else np.concatenate(bodies)
+        runs = chunks = bodies = b = data = part = None
         size = r["starts"].astype(np.int64) + length - 1
         at = np.cumsum(size) - size
         order = np.argsort(r["anchor"], kind="stable")
@@ -334,7 +330,7 @@ def _suffix_task(length: int):
         alone = np.bincount(group)[group] < 2
         order, group = order[~alone], group[~alone]
         total = np.cumsum(size[order])
-        lo = 0
+        found, n_found, lo = [], 0, 0
         while lo < len(order):
             hi = int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SORT_BYTES, "right"))
             hi = max(hi, lo + 1)
@@ -359,12 +355,16 @@ def _suffix_task(length: int):
             if len(a):
                 base = r["start"][k]
                 spans = np.stack([r["text"][k][owner[a]].astype(np.int64), base[owner[a]] + inner[a], base[owner[a]] + inner[z] + length], 1)
-                c = chunk[k][owner[a]]
+                found.append((chunk[k][owner[a]], spans))
+                n_found += len(spans)
+            lo = hi
+            if found and (n_found >= SPANS or lo >= len(order)):
+                c, spans = (np.concatenate(x) for x in zip(*found))
+                found, n_found = [], 0
                 o = np.argsort(c, kind="stable")
                 c, spans = c[o], spans[o].astype("<i8")
                 cut = np.append(np.flatnonzero(np.append(True, c[1:] != c[:-1])), len(c))
                 yield _spans([int(c[i]) for i in cut[:-1]], [spans[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])])
-            lo = hi
     return run
 
 
@@ -423,16 +423,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     owners = slim.groupBy("md5").agg(F.min(key).alias("o"), F.any_value("n_bytes").alias("size"))
     chunk = F.pmod(F.xxhash64("md5"), F.lit(n)).cast("int").alias("chunk")
     texts = (docs.select(F.md5(t).alias("md5"), t.alias("text")).where(F.octet_length("text") >= length)
-             .mapInArrow(_once, "md5 string, text string").select(chunk, "md5", "text").repartition(n, "chunk"))
-    anchors = texts.mapInArrow(_anchor_lists(n, length), "route int, chunk int, data binary")
-    twice = anchors.repartition(n, "route").mapInArrow(_repeated, "chunk int, kind int, number long, data binary")
+             .mapInArrow(trimmed(_once), "md5 string, text string").select(chunk, "md5", "text").repartition(n, "chunk"))
+    anchors = texts.mapInArrow(trimmed(_anchor_lists(n, length)), "route int, chunk int, data binary")
+    twice = anchors.repartition(n, "route").mapInArrow(trimmed(_repeated), "chunk int, kind int, number long, data binary")
     own = (owners.where(F.col("size") >= length)
            .select(chunk, F.lit(0).alias("kind"), F.coalesce("o.id", F.lit(-(1 << 63)).cast("long")).alias("number"), F.col("md5").cast("binary").alias("data")))
     runs = (texts.groupBy("chunk").cogroup(twice.union(own).groupBy("chunk"))
-            .applyInArrow(_runs_of(n, length), "route int, kind int, chunk int, data binary, bytes binary"))
-    spans = runs.repartition(n, "route").mapInArrow(_suffix_task(length), "chunk int, data binary")
+            .applyInArrow(trimmed_groups(_runs_of(n, length)), "route int, kind int, chunk int, data binary, bytes binary"))
+    spans = runs.repartition(n, "route").mapInArrow(trimmed(_suffix_task(length)), "chunk int, data binary")
     schema = "md5 string, r_removed long, r_spans long, r_sha256 string" + (", r_kept string" if as_text else ", r_kept binary") * with_text
-    clean = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cleaner(with_text, as_text), schema)
+    clean = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(trimmed_groups(_cleaner(with_text, as_text)), schema)
     if not with_text:
         clean = keep_table(clean, "dedup-texts")
     who = owners.select(F.col("md5").alias("m"), F.col("o.row").alias("first"))
