@@ -27,6 +27,7 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+WORD_BITS = 18  # marks are 64 << WORD_BITS bins, broadcast as words of 64
 BLOCK_BYTES = 1 << 20  # texts are worked on in blocks of about this size; a longer text is a block of its own
 
 
@@ -41,7 +42,37 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table of ``keep_table`` that nothing reads any more: no frame that is still to be read may come from it."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def marks(keys: DataFrame, column: str) -> DataFrame:
+    """(word, bits): the bins of the hashes of ``column``; at most ``1 << WORD_BITS`` rows, whatever the table."""
+    h = F.xxhash64(column)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(xxhash64(`{column}`), {58 - WORD_BITS}) & 63 AS INT))")
+    return keys.select(F.shiftrightunsigned(h, 64 - WORD_BITS).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def parted(df: DataFrame, column: str, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``column`` is surely none of the keys behind the ``marks`` ``found``, and those where it may be one.
+
+    Nothing is shuffled, so a join that follows shuffles the rows it is about and few others; with more keys than bins
+    (``64 << WORD_BITS``) the second part grows to the whole.
+    """
+    mine = f"shiftleft(1L, CAST(shiftrightunsigned(xxhash64(`{column}`), {58 - WORD_BITS}) & 63 AS INT))"
+    word = F.shiftrightunsigned(F.xxhash64(column), 64 - WORD_BITS)
+    b = F.broadcast(found.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    hit = F.expr(f"_bits & {mine}") != 0
+    surely = df.join(b, word == F.col("_word"), "left").where(F.col("_bits").isNull() | ~hit)
+    return surely.select(*df.columns), df.join(b, word == F.col("_word")).where(hit).select(*df.columns)
 
 
 def prepare(spark: SparkSession) -> None:

@@ -2,7 +2,7 @@
 
 Edges are first contracted where they lie: every task turns its edges, a bounded number at a time, into a forest. Each
 step after that is a grouped minimum and a join, so no node's neighbours are ever gathered in one place; every round is
-written to the shared folder. A node with more than its share of the edges gets its minimum by a broadcast, so its
+written to the shared folder and the one before it deleted. A node with more than its share of the edges gets its minimum by a broadcast, so its
 edges aren't shuffled to one task: more than ``1 / MOST`` of all ends lie at fewer than ``MOST`` nodes, whatever the
 graph. Nothing else of the graph reaches the driver but its size and a checksum.
 """
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_table, prepare
+from .common import drop_table, keep_table, prepare
 
 MOST = 1000  # no more nodes than this are broadcast
 HUB = 1000  # nodes with fewer edges are never hubs
@@ -106,6 +106,8 @@ def components(edges: DataFrame, least_hub: int = HUB) -> DataFrame:
             break
         hub = max(least_hub, 2 * before[0] // MOST)  # of large-star's 2 n ends, and small-star's n
         star = keep_table(_large_star(e, hub), "edges-large")
+        drop_table(e)
         e = keep_table(_small_star(star, hub), "edges")
+        drop_table(star)
     # every edge now goes from a node straight to its root
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())

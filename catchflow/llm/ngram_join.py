@@ -40,11 +40,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, batch_blocks, binary_column, blocks, keep_table, mix, partitions, prepare, run_hashes, span_hashes, text_bytes, trimmed, words
+from .common import LOWER, batch_blocks, binary_column, blocks, drop_table, keep_table, marks, mix, parted, partitions, prepare, run_hashes, span_hashes, text_bytes, trimmed, words
 from .graph import components, forest
 
 GROUP = 2000
-FLUSH_NAMES = 1_000_000
+FLUSH_NAMES = 250_000
+SET_BYTES = 1 << 18  # bytes of texts whose sets are made at a time (more only if one text has more)
 BITS = 2048
 FANOUT = 8
 BIN_BITS = 22
@@ -203,7 +204,7 @@ def _namer(k: int, percent: int, routes: int, common: Broadcast):
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), *[pa.array([x[i] for x in out], pa.binary()) for i in (1, 2, 3)]],
                                               names=["route", "nodes", "names", "at"])
 
-        for _, _, _, buf, offs in batch_blocks(batches):
+        for _, _, _, buf, offs in batch_blocks(batches, size=SET_BYTES):
             key, at = shingle_sets(buf, offs, k)
             node = set_names(key, at)
             _, rows = np.unique(node, return_index=True)
@@ -396,7 +397,7 @@ def _set_rows(k: int):
     """A row for each document, and at a task's end ``SLICES`` rows with its counts of shingles by bin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BINS, np.uint32)
-        for batch, lo, hi, buf, offs in batch_blocks(batches):
+        for batch, lo, hi, buf, offs in batch_blocks(batches, size=SET_BYTES):
             key, at = shingle_sets(buf, offs, k)
             np.add.at(counts, (key >> np.uint64(64 - BIN_BITS)).astype(np.int64), np.uint32(1))
             part, n = batch.slice(lo, hi - lo), hi - lo
@@ -489,9 +490,10 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
     made = keep_table(d.mapInArrow(trimmed(_set_rows(k)), "doc_id long, text_hash long, n_shingles long, node long, slice int, counts binary"), "shingle-sets")
     rows = made.where("slice IS NULL").drop("slice", "counts")
     near = candidate_groups(d, k, percent, shingle_ranks(made))
-    # one text for each set that is in a group
-    texts = rows.where("node <> 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(near, "node")
-    one = d.groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    # one text for each set that is in a group; the other texts stay where they are
+    texts = keep_table(rows.where("node <> 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(near, "node"), "group-sets")
+    _, wanted = parted(d.select("text_hash", "text"), "text_hash", marks(texts, "text_hash"))
+    one = wanted.groupBy("text_hash").agg(F.any_value("text").alias("text"))
     size = near.groupBy("root").agg(F.count("*").alias("size"))
     member = keep_table(one.join(texts, "text_hash").join(size, "root").select("root", "node", "size", "text"), "group-texts")
 
@@ -511,6 +513,8 @@ def link_sets(docs: DataFrame, k: int = 4, percent: int = 85, group: int = GROUP
         roots = components(links)
         state = keep_table(big.join(roots.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "group-state")
         links = links.union(_joined(outside_pairs(state, group), k, percent, "links-outside"))
+        drop_table(state)
+    drop_table(member)
     roots = components(links)
     placed = rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
     least = placed.where("node <> 0").groupBy("comp").agg(F.min("doc_id").alias("low"))

@@ -28,8 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .common import batch_blocks, binary_rows, blocks, keep_table, mix, partitions, prepare, span_hashes, text_bytes, trimmed, trimmed_groups
 
@@ -372,10 +374,15 @@ def _spans(chunks: list[int], data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names=["chunk", "data"])
 
 
-def _cleaner(with_text: bool, as_text: bool):
-    """A chunk's texts and its spans -> what is left of each text."""
+def _cleaner(with_text: bool, as_text: bool, beside: list[str] | None = None):
+    """A chunk's texts and its spans -> what is left of each text, with the columns ``beside`` of the text's row in ``right``."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         cols: list[list] = [[], [], [], [], []]
+        place: list[int] = []
+        if beside is not None:
+            named = right.column("md5").is_valid()
+            rows, right = right.filter(named), right.filter(pc.invert(named))
+            at_row = {m: i for i, m in enumerate(rows.column("md5").to_pylist())}
         if left.num_rows:
             md5, buf, offs = _texts(left)
             parts = [np.frombuffer(d, "<i8").reshape(-1, 3) for d in right.column("data").to_pylist()] if right.num_rows else []
@@ -397,10 +404,17 @@ def _cleaner(with_text: bool, as_text: bool):
                 body = (raw.decode("utf-8", "ignore") if as_text else raw) if with_text else None
                 for col, v in zip(cols, (m, n_removed, n_spans, hashlib.sha256(raw).hexdigest(), body)):
                     col.append(v)
+                if beside is not None:
+                    place.append(at_row[m])
         types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary()]
         names = ["md5", "r_removed", "r_spans", "r_sha256", "r_kept"]
         n = 5 if with_text else 4
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types[:n])], names=names[:n])
+        out = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types[:n])], names=names[:n])
+        if beside is not None:
+            own = rows.select(beside).take(pa.array(place, pa.int64()))
+            for c in beside:
+                out = out.append_column(c, own.column(c))
+        return out
     return run
 
 
@@ -431,26 +445,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     runs = (texts.groupBy("chunk").cogroup(twice.union(own).groupBy("chunk"))
             .applyInArrow(trimmed_groups(_runs_of(n, length)), "route int, kind int, chunk int, data binary, bytes binary"))
     spans = runs.repartition(n, "route").mapInArrow(trimmed(_suffix_task(length)), "chunk int, data binary")
-    schema = "md5 string, r_removed long, r_spans long, r_sha256 string" + (", r_kept string" if as_text else ", r_kept binary") * with_text
-    clean = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(trimmed_groups(_cleaner(with_text, as_text)), schema)
-    if not with_text:
-        clean = keep_table(clean, "dedup-texts")
+    schema = "md5 string, r_removed long, r_spans long, r_sha256 string"
     who = owners.select(F.col("md5").alias("m"), F.col("o.row").alias("first"))
-    j = slim.join(who, F.col("md5") == F.col("m")).drop("m").join(clean.withColumnRenamed("md5", "m"), F.col("md5") == F.col("m"), "left")
+    j = slim.join(who, F.col("md5") == F.col("m")).drop("m")
     long_, first = F.col("n_bytes") >= length, F.col("row") == F.col("first")
     pick = lambda own_, copy, short: F.when(~long_, short).when(first, own_).otherwise(copy)
-    zero = F.lit(0).cast("long")
+    zero, nothing = F.lit(0).cast("long"), F.lit(hashlib.sha256(b"").hexdigest())
     out = [F.col(f"c_{i}").alias(c) for i, c in enumerate(rest)]
-    out += ["n_bytes", pick(F.col("r_removed"), F.col("n_bytes"), zero).alias("n_removed"), pick(F.col("r_spans"), F.lit(1).cast("long"), zero).alias("n_spans")]
-    if with_text:
+    if with_text:  # the first row of a text goes to the text, so what is left of the texts isn't shuffled
+        beside = [f"c_{i}" for i in range(len(rest))] + ["n_bytes"]
+        own = j.where(long_ & first).select(chunk, F.lit(None).cast("binary").alias("data"), "md5", *beside)
+        spans = spans.select("chunk", "data", F.lit(None).cast("string").alias("md5"), *[F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in beside])
+        kind = StructType([*StructType.fromDDL(f"{schema}, r_kept {'string' if as_text else 'binary'}").fields, *[StructField(c, slim.schema[c].dataType) for c in beside]])
+        clean = texts.groupBy("chunk").cogroup(spans.union(own).groupBy("chunk")).applyInArrow(trimmed_groups(_cleaner(True, as_text, beside)), kind)
+        firsts = clean.select(*out, "n_bytes", F.col("r_removed").alias("n_removed"), F.col("r_spans").alias("n_spans"), F.col("r_sha256").alias("kept_sha256"), F.col("r_kept").alias("kept"))
         short = docs.select(F.md5(t).alias("s"), t.alias("short")).where(F.octet_length("short") < length).dropDuplicates(["s"])
-        j = j.join(short, F.col("md5") == F.col("s"), "left")
-        kept = pick(F.col("r_kept"), F.lit("") if as_text else F.lit(b""), F.col("short") if as_text else F.col("short").cast("binary"))
-        sha = pick(F.col("r_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.sha2("short", 256))
-        return j.select(*out, sha.alias("kept_sha256"), kept.alias("kept"))
+        j = j.where(~(long_ & first)).join(short, F.col("md5") == F.col("s"), "left")
+        body = F.when(long_, F.lit("")).otherwise(F.col("short"))
+        rest_ = j.select(*out, "n_bytes", F.when(long_, F.col("n_bytes")).otherwise(zero).alias("n_removed"), F.when(long_, F.lit(1).cast("long")).otherwise(zero).alias("n_spans"),
+                         F.when(long_, nothing).otherwise(F.sha2("short", 256)).alias("kept_sha256"), (body if as_text else body.cast("binary")).alias("kept"))
+        return firsts.union(rest_)
+    clean = keep_table(texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(trimmed_groups(_cleaner(False, as_text)), schema), "dedup-texts")
+    j = j.join(clean.withColumnRenamed("md5", "m"), F.col("md5") == F.col("m"), "left")
+    out += ["n_bytes", pick(F.col("r_removed"), F.col("n_bytes"), zero).alias("n_removed"), pick(F.col("r_spans"), F.lit(1).cast("long"), zero).alias("n_spans")]
     small = docs.select(F.md5(t).alias("s"), F.sha2(t, 256).alias("whole"), F.octet_length(t).alias("l")).where(F.col("l") < length).select("s", "whole").distinct()
     j = j.join(small, F.col("md5") == F.col("s"), "left")
-    return j.select(*out, pick(F.col("r_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.col("whole")).alias("kept_sha256"))
+    return j.select(*out, pick(F.col("r_sha256"), nothing, F.col("whole")).alias("kept_sha256"))
 
 
 def op3_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     share = {r["_y"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("_y")).agg(F.count("*").alias("n")).collect()}
     prior = share.get(1, 0) / max(1, sum(share.values()))
     rows = labelled_rows(docs, labels, label, sample, longest, "toxicity").repartition(1)
-    got = rows.mapInArrow(_trainer(prior, passes), "net binary").collect()  # one row, none without a partition
+    got = rows.mapInArrow(trimmed(_trainer(prior, passes)), "net binary").collect()  # one row, none without a partition
     return pickle.loads(got[0]["net"]) if got else _untrained(prior)
 
 
