@@ -215,13 +215,13 @@ def evaluation_job(spark: SparkSession, nexus_root: str, obs_root: str, mode: st
 
 
 def nexus_map_job(spark: SparkSession, outputs_root: str, features: DataFrame, fill: float = 0.0) -> DataFrame:
-    """S4 + S6 + A12 + T2 + J8 + V1 + U1 + M3/W4: one read over every region's output folder (a missing
-    region just lists nothing), last value per nexus in file order, joined to the map features
+    """S4 + S6 + A12 + T2 + J8 + V1 + U1 + M3/W4: one read over every region's output folder, listed
+    and read by tasks (a missing region just lists nothing), last value per nexus in file order, joined to the map features
     (``vpu, id``) with ``fill`` for nexuses without output, rescaled per region and over all regions."""
     from .functions.scalars import nex_id
     from .operators import maps
-    from .sources.series import scan_nexus
-    values = scan_nexus(spark, outputs_root)
+    from .sources.series import scan_nexus_values
+    values = scan_nexus_values(spark, outputs_root)
     last = written(maps.last_value(values).select(nex_id("nex_id").alias("id"), "value"), "nexus-last")  # the files are read once
     m = maps.map_table(features, last, ["id"], fill=fill)
     m = maps.rescale(m, "value", by=["vpu"], out="scaled_region")

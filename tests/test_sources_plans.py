@@ -281,3 +281,48 @@ def test_map_job_reads_the_files_once(spark, tmp_path):
     sinks.write_nexus_files(vals, f"file://{tmp_path}/n", partition_by=["vpu"])
     m = jobs.nexus_map_job(spark, f"file://{tmp_path}/n", vals.select("vpu", F.concat(F.lit("nex-"), "id").alias("id")))
     assert "_output" not in " ".join(m.inputFiles()) and sorted(r["value"] for r in m.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_nexus_files_are_listed_by_tasks_as_sparks_reader_reads_them(spark, tmp_path):
+    """Odd names and lines give what Spark's reader gives, and no list of the files stays in the driver."""
+    import gzip
+    from catchflow.sources.series import scan_nexus, scan_nexus_values
+
+    def put(name, data):
+        f = tmp_path / "n" / name
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(data)
+    line = b"%d,2024-01-01 00:00:00,%d.5\n"
+    put("vpu=a b%3Ac/nex-x y%3A[1]é_output-1.csv", b"\xef\xbb\xbf1,2024-01-01 00:00:00,2.5\r\n\n  \n2,2024-01-01 01:00:00,\r3,2024-01-01,\"7\"\n4,bad,NaN")
+    put("vpu=1/nex-more_output.csv", b"5,2024-01-01 00:00:00\n6\n7,2024-01-01 00:00:00,1.0,7\n8,\"a,b\",2.0,\"c\"\n9,\"a \"\"q\"\" b\",3.0\n")
+    put("vpu=1/deep/er/nex-folder_output/part.csv", line % (1, 1))
+    put("vpu=1/deep/nex-zip_output.csv.gz", gzip.compress(line % (1, 1) + line % (2, 2)))
+    put("vpu=1/nex-none_output.csv", b"")
+    put("vpu=1/other.csv", line % (3, 3))
+    for name in ("vpu=1/_nex-h_output.csv", "vpu=1/.nex-h_output.csv", "_hid/nex-h_output.csv", "vpu=1/nex-h_output.csv._COPYING_"):
+        put(name, line % (9, 9))
+    put("vpu=1/_a=nex-seen_output.csv", line % (4, 4))
+    root = f"file://{tmp_path}/n"
+    got = scan_nexus_values(spark, root)
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, (tuple(r) for r in scan_nexus(spark, root).select("nex_id", "index", "value").collect())))
+    assert not got.inputFiles() or not any("nex-" in f.rsplit("/", 1)[1] and "_output" in f for f in got.inputFiles())
+    assert got.dtypes == scan_nexus(spark, root).select("nex_id", "index", "value").dtypes
+    one = f"{root}/vpu=1/other.csv"
+    assert scan_nexus_values(spark, one).collect() == scan_nexus(spark, one).select("nex_id", "index", "value").collect()
+    put("bad/nex-1_output.csv", b"1,2024-01-01 00:00:00,x\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        scan_nexus_values(spark, f"{root}/bad").collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_nexus_values(spark, f"{root}/nothing").collect()
+
+
+def test_map_job_leaves_the_list_of_files_to_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from catchflow import jobs, sinks
+    from catchflow.sources import series
+    vals = spark.range(40).select(F.col("id").cast("string").alias("id"), (F.col("id") % 3).cast("string").alias("vpu"), F.lit(1).cast("long").alias("index"),
+                                  F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("datetime"), F.col("id").cast("double").alias("value"))
+    sinks.write_nexus_files(vals, f"file://{tmp_path}/n", partition_by=["vpu"])
+    monkeypatch.setattr(series, "scan_nexus", lambda *a: pytest.fail("Spark's reader lists all files in the driver"))
+    m = jobs.nexus_map_job(spark, f"file://{tmp_path}/n", vals.select("vpu", F.concat(F.lit("nex-"), "id").alias("id")))
+    assert sorted(r["value"] for r in m.collect()) == list(range(40))
