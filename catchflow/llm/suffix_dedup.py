@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import batch_blocks, binary_rows, blocks, keep_table, mix, partitions, prepare, span_hashes, text_bytes, trimmed, trimmed_groups
+from .common import batch_blocks, binary_rows, blocks, drop_table, keep_table, mix, partitions, prepare, span_hashes, text_bytes, trimmed, trimmed_groups
 
 LENGTH = 100
 GRAM = 32
@@ -359,6 +359,7 @@ def _suffix_task(length: int):
                 spans = np.stack([r["text"][k][owner[a]].astype(np.int64), base[owner[a]] + inner[a], base[owner[a]] + inner[z] + length], 1)
                 found.append((chunk[k][owner[a]], spans))
                 n_found += len(spans)
+            text = owner = inner = starts = by = place = copy = edge = head = tail = None  # not beside those of the next anchors
             lo = hi
             if found and (n_found >= SPANS or lo >= len(order)):
                 c, spans = (np.concatenate(x) for x in zip(*found))
@@ -434,29 +435,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     slim = keep_table(docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(rest)], F.col("doc_id").cast("long").alias("id"), F.md5(t).alias("md5"),
                                   F.octet_length(t).cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("row")), "dedup-rows")
     key = F.struct(F.col("id").isNotNull(), "id", "row")
-    owners = slim.groupBy("md5").agg(F.min(key).alias("o"), F.any_value("n_bytes").alias("size"))
+    who = slim.groupBy("md5").agg(F.min(key).alias("o")).select(F.col("md5").alias("m"), F.col("o.row").alias("first"))
+    j = keep_table(slim.join(who, F.col("md5") == F.col("m")).drop("m"), "dedup-owners")
+    drop_table(slim)
+    long_, first = F.col("n_bytes") >= length, F.col("row") == F.col("first")
     chunk = F.pmod(F.xxhash64("md5"), F.lit(n)).cast("int").alias("chunk")
     texts = (docs.select(F.md5(t).alias("md5"), t.alias("text")).where(F.octet_length("text") >= length)
              .mapInArrow(trimmed(_once), "md5 string, text string").select(chunk, "md5", "text").repartition(n, "chunk"))
     anchors = texts.mapInArrow(trimmed(_anchor_lists(n, length)), "route int, chunk int, data binary")
     twice = anchors.repartition(n, "route").mapInArrow(trimmed(_repeated), "chunk int, kind int, number long, data binary")
-    own = (owners.where(F.col("size") >= length)
-           .select(chunk, F.lit(0).alias("kind"), F.coalesce("o.id", F.lit(-(1 << 63)).cast("long")).alias("number"), F.col("md5").cast("binary").alias("data")))
+    own = (j.where(long_ & first)
+           .select(chunk, F.lit(0).alias("kind"), F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("number"), F.col("md5").cast("binary").alias("data")))
     runs = (texts.groupBy("chunk").cogroup(twice.union(own).groupBy("chunk"))
             .applyInArrow(trimmed_groups(_runs_of(n, length)), "route int, kind int, chunk int, data binary, bytes binary"))
     spans = runs.repartition(n, "route").mapInArrow(trimmed(_suffix_task(length)), "chunk int, data binary")
     schema = "md5 string, r_removed long, r_spans long, r_sha256 string"
-    who = owners.select(F.col("md5").alias("m"), F.col("o.row").alias("first"))
-    j = slim.join(who, F.col("md5") == F.col("m")).drop("m")
-    long_, first = F.col("n_bytes") >= length, F.col("row") == F.col("first")
     pick = lambda own_, copy, short: F.when(~long_, short).when(first, own_).otherwise(copy)
     zero, nothing = F.lit(0).cast("long"), F.lit(hashlib.sha256(b"").hexdigest())
     out = [F.col(f"c_{i}").alias(c) for i, c in enumerate(rest)]
     if with_text:  # the first row of a text goes to the text, so what is left of the texts isn't shuffled
         beside = [f"c_{i}" for i in range(len(rest))] + ["n_bytes"]
         own = j.where(long_ & first).select(chunk, F.lit(None).cast("binary").alias("data"), "md5", *beside)
-        spans = spans.select("chunk", "data", F.lit(None).cast("string").alias("md5"), *[F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in beside])
-        kind = StructType([*StructType.fromDDL(f"{schema}, r_kept {'string' if as_text else 'binary'}").fields, *[StructField(c, slim.schema[c].dataType) for c in beside]])
+        spans = spans.select("chunk", "data", F.lit(None).cast("string").alias("md5"), *[F.lit(None).cast(j.schema[c].dataType).alias(c) for c in beside])
+        kind = StructType([*StructType.fromDDL(f"{schema}, r_kept {'string' if as_text else 'binary'}").fields, *[StructField(c, j.schema[c].dataType) for c in beside]])
         clean = texts.groupBy("chunk").cogroup(spans.union(own).groupBy("chunk")).applyInArrow(trimmed_groups(_cleaner(True, as_text, beside)), kind)
         firsts = clean.select(*out, "n_bytes", F.col("r_removed").alias("n_removed"), F.col("r_spans").alias("n_spans"), F.col("r_sha256").alias("kept_sha256"), F.col("r_kept").alias("kept"))
         short = docs.select(F.md5(t).alias("s"), t.alias("short")).where(F.octet_length("short") < length).dropDuplicates(["s"])
