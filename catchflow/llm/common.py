@@ -105,7 +105,8 @@ def running_offsets(df: DataFrame, keys: list[str], order: str, value: str, name
 
 
 def give_back() -> None:
-    """Memory that this process freed goes back to the system."""
+    """Memory that this process freed, and its table of powers, goes back to the system."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
